@@ -173,3 +173,294 @@ def q_gold_literal_weeks(spark, sf_dir):
     plays = silver_plays(spark, sf_dir, schemas.LITERAL_KEEP_TYPES)
     odds = silver_odds(spark, sf_dir, schemas.LITERAL_WEEK_NAMES)
     return rounded(build_gold(plays, odds, GoldOptions.literal()).select(*GOLD_COLUMNS))
+
+
+# --- quality reports -------------------------------------------------------------
+
+from gridcast.operators.quality import column_summary, layer_report, null_profile  # noqa: E402
+
+_BRONZE_COLUMNS = ("play_id", "game_id", "game_date", "season", "week", "season_type", "home_team",
+                   "away_team", "posteam", "defteam", "play_type", "air_yards", "yards_after_catch",
+                   "yards_gained", "epa", "total_home_score", "total_away_score", "div_game", "result",
+                   "src_seq")
+_SILVER_COLUMNS = tuple(c.strip() for c in O.PLAYS_CLEAN_COLUMNS.split(","))
+
+
+def _null_profile_sql(source: str, cols) -> str:
+    parts = " union all ".join(
+        f"select '{c}' as column_name, cast(count(*) filter (where {c} is null) as bigint) as null_count from {source}"
+        for c in cols)
+    return f"select * from ({parts}) where null_count > 0"
+
+
+@register("null_profile", O.with_ctes(O.STANDIN_CTES) + " " + _null_profile_sql("fx_pbp", _BRONZE_COLUMNS))
+def q_null_profile(spark, sf_dir):
+    """Null counts per bronze column, non-zero only, largest first."""
+    return null_profile(standin.plays(spark, sf_dir))
+
+
+@register("null_profile_silver", O.with_ctes(O.STANDIN_CTES, O.plays_clean_cte()) + " "
+          + _null_profile_sql("plays_clean", _SILVER_COLUMNS))
+def q_null_profile_silver(spark, sf_dir):
+    """A3 on silver plays: which casts produced nulls ("NA", empty text)."""
+    return null_profile(silver_plays(spark, sf_dir))
+
+
+def _summary_sql() -> str:
+    parts = []
+    for c in schemas.SUMMARY_COLUMNS:
+        x = c if c in _BRONZE_COLUMNS else "cast(null as varchar)"
+        num = f"try_cast({x} as double)"
+        parts.append(
+            f"select '{c}' as column_name, count({x}) as count, {O.exact_avg(num)} + 0.0 as mean, "
+            f"round(stddev_samp({num}), 6) + 0.0 as stddev, min({x}) as min, max({x}) as max from fx_pbp")
+    return O.with_ctes(O.STANDIN_CTES) + " " + " union all ".join(parts)
+
+
+@register("column_summary", _summary_sql())
+def q_column_summary(spark, sf_dir):
+    """A4: count / mean / stddev / min / max of the profiled bronze columns."""
+    return rounded(column_summary(standin.plays(spark, sf_dir), schemas.SUMMARY_COLUMNS))
+
+
+@register("layer_report", O.with_ctes(O.STANDIN_CTES, O.plays_clean_cte())
+          + f" select 'bronze' as layer, count(*) as n_rows, {len(_BRONZE_COLUMNS)} as n_columns from fx_pbp"
+            f" union all select 'silver', count(*), {len(_SILVER_COLUMNS)} from plays_clean")
+def q_layer_report(spark, sf_dir):
+    """Rows and columns before and after cleaning."""
+    return layer_report(standin.plays(spark, sf_dir), "bronze").unionByName(
+        layer_report(silver_plays(spark, sf_dir), "silver"))
+
+
+# --- sinks and partitioned round trip ----------------------------------------------
+
+@register("season_roundtrip", O.with_ctes(O.STANDIN_CTES, O.plays_clean_cte())
+          + " select season, count(*) as n_plays, count(distinct game_id) as n_games"
+            " from plays_clean group by season")
+def q_season_roundtrip(spark, sf_dir):
+    """Silver plays written partitioned by season (whole table, then one
+    season restated in place), read back with partition discovery, counted."""
+    import uuid
+
+    from gridcast.session import scratch_path
+    from gridcast.sources.files import read_layer, write_layer, write_season
+    path = scratch_path(spark, f"season_roundtrip/{uuid.uuid4().hex}")
+    plays = silver_plays(spark, sf_dir)
+    write_layer(plays, path)
+    last = read_layer(spark, path).agg(F.max("season")).first()[0]
+    if last is not None:
+        # restating one season must leave the others untouched
+        write_season(plays.where(F.col("season") == last), path)
+    return read_layer(spark, path).groupBy("season").agg(
+        F.count(F.lit(1)).alias("n_plays"), F.count_distinct("game_id").alias("n_games"))
+
+
+# --- features, splits and metrics ---------------------------------------------------
+
+from gridcast.operators.features import feature_matrix, select_features  # noqa: E402
+from gridcast.operators.metrics import (accuracy, chrono_split, confusion_matrix,  # noqa: E402
+                                        evaluate, home_win_baseline, split_counts)
+from gridcast.operators.scoring import (form_forecast, latest_team_game,  # noqa: E402
+                                        market_edges, matchup_features)
+
+_SPLIT_SQL = (f"case when season <= {standin.STANDIN_TRAIN_TO} then 'train' when season = {standin.STANDIN_VAL}"
+              f" then 'val' when season > {standin.STANDIN_VAL} then 'test' end")
+
+
+def split_gold(spark, sf_dir) -> DataFrame:
+    return chrono_split(gold(spark, sf_dir), standin.STANDIN_TRAIN_TO, standin.STANDIN_VAL)
+
+
+_GOLD = O.with_ctes(*gold_oracle_ctes(), f"""
+gold_split as (select *, {_SPLIT_SQL} as split from gold)""")
+
+
+@register("home_win_baseline", _GOLD + " select count(*) as n_games,"
+          " cast(sum(home_win) as double) / count(home_win) as home_win_rate from gold")
+def q_home_win_baseline(spark, sf_dir):
+    """A5: home-win base rate over all games."""
+    return home_win_baseline(gold(spark, sf_dir))
+
+
+@register("split_counts", _GOLD + " select count(*) as n_all, count(*) filter (where split = 'train') as n_train,"
+          " count(*) filter (where split = 'val') as n_val, count(*) filter (where split = 'test') as n_test"
+          " from gold_split")
+def q_split_counts(spark, sf_dir):
+    """Chronological split sizes."""
+    return split_counts(split_gold(spark, sf_dir))
+
+
+FEATURES = [c for c in GOLD_COLUMNS if "_avg" in c] + list(schemas.ODDS_FEATURES)
+_MATRIX_KEEP = ("game_id", "season", "home_win", "final_home_margin", "final_total_score")
+
+
+@register("feature_matrix", _GOLD + " select " + ", ".join(
+    list(_MATRIX_KEEP) + [f"coalesce({c}, 0) + 0.0 as {c}" if c != "is_favorite_home"
+                          else f"coalesce({c}, 0) as {c}" for c in FEATURES]) + " from gold")
+def q_feature_matrix(spark, sf_dir):
+    """The 39 features (36 trailing averages + 3 odds), nulls as 0."""
+    g = gold(spark, sf_dir)
+    feats = select_features(g)
+    assert feats == FEATURES, feats
+    return rounded(feature_matrix(g, feats, _MATRIX_KEEP))
+
+
+_LATEST_COLS = ("team", "is_home", "game_id", "game_date", "season", "week", "home_team", "away_team",
+                "home_points_scored_season_avg", "away_points_scored_season_avg")
+_LATEST_CTE = """
+sides as (
+  select home_team as team, true as is_home, * from gold
+  union all select away_team as team, false as is_home, * from gold
+),
+latest as (
+  select * exclude (rn) from (
+    select *, row_number() over (partition by team order by game_date desc, game_id desc) as rn from sides)
+  where rn = 1
+)"""
+
+
+@register("latest_team_game", O.with_ctes(*gold_oracle_ctes(), _LATEST_CTE)
+          + f" select {O.round_list(_LATEST_COLS, ints=_LATEST_COLS[:8])} from latest")
+def q_latest_team_game(spark, sf_dir):
+    """Most recent game of every team, home or away."""
+    return rounded(latest_team_game(gold(spark, sf_dir)).select(*_LATEST_COLS))
+
+
+def _requests(spark, sf_dir) -> DataFrame:
+    """Matchup requests derived from the data: every priced game of the odds table."""
+    return silver_odds(spark, sf_dir).select(
+        "season", "week", "home_team", "away_team",
+        F.col("spread_favorite").alias("vegas_spread"), F.col("over_under_line").alias("vegas_total"))
+
+
+_MATCHUP_KEYS = ("season", "week", "home_team", "away_team", "vegas_spread", "vegas_total")
+_MATCHUP_FEATURES = tuple(FEATURES)
+
+
+def _matchup_cte(mode: str) -> str:
+    home = [c for c in FEATURES if c.startswith("home_")]
+    away = [c for c in FEATURES if c.startswith("away_")]
+
+    def pick(alias, c, side):
+        stem = c[len(side) + 1:]
+        if mode == "literal":
+            return f"{alias}.{c} as {c}"
+        return f"case when {alias}.is_home then {alias}.home_{stem} else {alias}.away_{stem} end as {c}"
+    cols = [pick("lh", c, "home") for c in home] + [pick("la", c, "away") for c in away]
+    return f"""
+requests as (
+  select season, week, home_team, away_team, spread_favorite as vegas_spread, over_under_line as vegas_total
+  from odds_clean
+),
+matchups as (
+  select r.*, {', '.join(cols)},
+    cast(r.vegas_spread as double) as spread_favorite, cast(r.vegas_total as double) as over_under_line,
+    case when r.vegas_spread < 0 then 1 else 0 end as is_favorite_home
+  from requests r left join latest lh on r.home_team = lh.team left join latest la on r.away_team = la.team
+)"""
+
+
+def _matchup_sql(mode: str) -> str:
+    cols = _MATCHUP_KEYS + _MATCHUP_FEATURES
+    return (O.with_ctes(*gold_oracle_ctes(), _LATEST_CTE, _matchup_cte(mode))
+            + f" select {O.round_list(cols, ints=_MATCHUP_KEYS[:4] + ('is_favorite_home',))} from matchups")
+
+
+@register("matchup_features_literal", _matchup_sql("literal"))
+def q_matchup_features_literal(spark, sf_dir):
+    """T2 P15 (literal, Q4): home_* read from the home team's latest row as is."""
+    feats = matchup_features(_requests(spark, sf_dir), latest_team_game(gold(spark, sf_dir)), "literal")
+    return rounded(feats.select(*_MATCHUP_KEYS, *_MATCHUP_FEATURES))
+
+
+@register("matchup_features_own", _matchup_sql("own_side"))
+def q_matchup_features_own(spark, sf_dir):
+    """T2 P15 (own side): each team's form from the side it actually played."""
+    feats = matchup_features(_requests(spark, sf_dir), latest_team_game(gold(spark, sf_dir)), "own_side")
+    return rounded(feats.select(*_MATCHUP_KEYS, *_MATCHUP_FEATURES))
+
+
+def _forecast_sql(source: str) -> str:
+    h = "coalesce(home_points_scored_season_avg, 0.0)"
+    a = "coalesce(away_points_scored_season_avg, 0.0)"
+    return f"""
+forecast as (
+  select *, case when {h} + {a} > 0 then {h} / ({h} + {a}) else 0.5 end as prob_home_win,
+    {h} - {a} as pred_spread, {h} + {a} as pred_total
+  from {source}
+),
+forecast2 as (select *, cast(prob_home_win > 0.5 as integer) as pred_home_win from forecast)"""
+
+
+def _edges_sql() -> str:
+    s = "pred_spread"
+    win = (f"case when prob_home_win > {schemas.WIN_HI} then '{schemas.LABEL_BET_HOME}' "
+           f"when prob_home_win < {schemas.WIN_LO} then '{schemas.LABEL_BET_AWAY}' end")
+    spr = (f"case when {s} > vegas_spread + {schemas.SPREAD_GAP} then '{schemas.LABEL_SPREAD_PREFIX}' || "
+           f"(case when {s} > 0 then '+' else '' end) || cast(cast(trunc({s}) as integer) as varchar) "
+           f"when {s} < vegas_spread - {schemas.SPREAD_GAP} then '{schemas.LABEL_OPPOSITE_SPREAD}' end")
+    tot = (f"case when pred_total > vegas_total + {schemas.TOTAL_GAP} then '{schemas.LABEL_OVER}' "
+           f"when pred_total < vegas_total - {schemas.TOTAL_GAP} then '{schemas.LABEL_UNDER}' end")
+    return f"coalesce(nullif(concat_ws('; ', {win}, {spr}, {tot}), ''), '{schemas.LABEL_NO_EDGE}')"
+
+
+_EDGE_COLS = ("season", "week", "home_team", "away_team", "vegas_spread", "vegas_total",
+              "prob_home_win", "pred_spread", "pred_total", "recommendation_text")
+
+
+@register("market_edges", O.with_ctes(*gold_oracle_ctes(), _LATEST_CTE, _matchup_cte("own_side"),
+                                      _forecast_sql("matchups"))
+          + f" select {O.round_list(_EDGE_COLS[:-1], ints=_EDGE_COLS[:4])}, {_edges_sql()} as recommendation_text"
+            " from forecast2")
+def q_market_edges(spark, sf_dir):
+    """T4 over the season-form forecast of every priced matchup."""
+    feats = matchup_features(_requests(spark, sf_dir), latest_team_game(gold(spark, sf_dir)), "own_side")
+    return rounded(market_edges(form_forecast(feats)).select(*_EDGE_COLS))
+
+
+_EVAL = O.with_ctes(*gold_oracle_ctes(), f"""
+gold_split as (select *, {_SPLIT_SQL} as split from gold)""", _forecast_sql("gold_split"))
+
+
+def forecast_gold(spark, sf_dir) -> DataFrame:
+    return form_forecast(split_gold(spark, sf_dir))
+
+
+@register("eval_classifier", _EVAL + " select split, count(*) as n,"
+          " cast(sum(cast(pred_home_win = home_win as integer)) as double) / count(*) as accuracy"
+          " from forecast2 group by split")
+def q_eval_classifier(spark, sf_dir):
+    """Accuracy of the home-win call per split."""
+    return accuracy(forecast_gold(spark, sf_dir), "home_win", "pred_home_win", by=("split",))
+
+
+def _mae_sql(pred, label) -> str:
+    return O.exact_avg(f"abs(cast({pred} as double) - cast({label} as double))")
+
+
+@register("eval_regression", _EVAL + f" select split, count(*) as n,"
+          f" {_mae_sql('pred_spread', 'final_home_margin')} + 0.0 as mae_spread,"
+          f" {_mae_sql('pred_total', 'final_total_score')} + 0.0 as mae_total from forecast2 group by split")
+def q_eval_regression(spark, sf_dir):
+    """Spread and total MAE per split."""
+    ev = evaluate(forecast_gold(spark, sf_dir))
+    return rounded(ev.select("split", "n", "mae_spread", "mae_total"))
+
+
+@register("evaluate_splits", _EVAL + f" select split, count(*) as n,"
+          " cast(sum(cast(pred_home_win = home_win as integer)) as double) / count(*) as accuracy,"
+          " cast(sum(home_win) as double) / count(*) as home_win_rate,"
+          f" {_mae_sql('pred_spread', 'final_home_margin')} + 0.0 as mae_spread,"
+          f" {_mae_sql('pred_total', 'final_total_score')} + 0.0 as mae_total from forecast2 group by split")
+def q_evaluate_splits(spark, sf_dir):
+    """M7: accuracy, base rate and both MAEs per split in one aggregate."""
+    return rounded(evaluate(forecast_gold(spark, sf_dir)))
+
+
+@register("confusion_matrix", _EVAL + " select split, home_win as actual,"
+          " count(*) filter (where pred_home_win = 0) as predicted_away,"
+          " count(*) filter (where pred_home_win = 1) as predicted_home"
+          " from forecast2 group by split, home_win")
+def q_confusion_matrix(spark, sf_dir):
+    """Actual x predicted home-win counts per split."""
+    return confusion_matrix(forecast_gold(spark, sf_dir), "home_win", "pred_home_win", by=("split",))

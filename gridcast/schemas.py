@@ -112,6 +112,10 @@ PLAY_INT_COLUMNS = (
 )
 PLAY_DOUBLE_COLUMNS = ("epa",)
 
+# Columns profiled by the exploratory summary.
+SUMMARY_COLUMNS = ("play_id", "game_id", "game_date", "season", "week", "home_team", "away_team",
+                   "posteam", "defteam", "play_type", "yards_gained", "epa", "wp")
+
 BRONZE_ODDS = T.StructType([
     T.StructField("schedule_season", T.IntegerType(), True),
     T.StructField("schedule_week", T.StringType(), True),

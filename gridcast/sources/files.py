@@ -64,21 +64,27 @@ def read_gold(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _partitioned_writer(df: DataFrame, partition_col: str = "season"):
-    # one shuffle on the partition column so each season folder gets few large files
-    return (df.repartition(partition_col).write.mode("overwrite")
+def _partitioned_writer(df: DataFrame, partition_col: str, within: Sequence[str]):
+    """Range-partition on (season, within...) before a partitioned write: each task
+    writes one contiguous slice, so a season gets a few large files and a big
+    season is still spread over many tasks (hash-partitioning on the season
+    alone would put a whole season in one task)."""
+    keys = [partition_col] + [c for c in within if c in df.columns]
+    return (df.repartitionByRange(*[F.col(k) for k in keys]).write.mode("overwrite")
             .partitionBy(partition_col))
 
 
-def write_season(df: DataFrame, path: str, partition_col: str = "season") -> None:
+def write_season(df: DataFrame, path: str, partition_col: str = "season",
+                 within: Sequence[str] = ("game_id",)) -> None:
     """Restate only the seasons present in ``df`` (dynamic partition overwrite)."""
-    (_partitioned_writer(df, partition_col)
+    (_partitioned_writer(df, partition_col, within)
      .option("partitionOverwriteMode", "dynamic").parquet(path))
 
 
-def write_layer(df: DataFrame, path: str, partition_col: str = "season") -> None:
+def write_layer(df: DataFrame, path: str, partition_col: str = "season",
+                within: Sequence[str] = ("game_id",)) -> None:
     """Overwrite the whole table, partitioned by season."""
-    (_partitioned_writer(df, partition_col)
+    (_partitioned_writer(df, partition_col, within)
      .option("partitionOverwriteMode", "static").parquet(path))
 
 

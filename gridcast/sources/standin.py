@@ -141,3 +141,7 @@ def odds(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((-(gid % 41)).cast("double") / 2.0).alias("spread_favorite"),
         F.when(gid % 17 == 0, F.lit(" ")).otherwise(_text(30 + gid % 36)).alias("over_under_line"),
     )
+
+# Chronological split of the stand-in seasons (order years 1992-1998).
+STANDIN_TRAIN_TO = 1996
+STANDIN_VAL = 1997
