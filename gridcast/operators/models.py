@@ -50,8 +50,8 @@ def fit_home_win(df: DataFrame, features: Sequence[str], label: str = "home_win"
                  seed: int = schemas.GBT_SEED, early_stop: bool = False) -> PipelineModel:
     """Binary boosted trees for the home win (M3), logistic loss."""
     gbt = GBTClassifier(**_gbt_params(label, max_iter, depth, rate, subsample, seed, "pred_home_win"),
-                        probabilityCol="probability", rawPredictionCol="raw_home_win",
                         lossType="logistic")
+    gbt = gbt.setProbabilityCol("probability").setRawPredictionCol("raw_home_win")
     return _fit(gbt, df, features, early_stop)
 
 
