@@ -24,9 +24,10 @@ Two physical strategies give the same values:
     of a chunk it is looked up in the chunk tails (the last ``n + 1`` rows of
     every chunk, a table bounded by chunks x (n + 1)).  Sums are exact (long for
     integral metrics, decimal(38,18) for fractional ones), so subtracting
-    prefixes loses nothing.  The chunk-tagged rows are checkpointed to the
-    shared checkpoint folder so that all branches see the same chunk ids even
-    if executors are lost and stages recompute.
+    prefixes loses nothing.  The chunk-tagged rows are written as a table in
+    the shared checkpoint folder (``spark.checkpoint.dir``) so that all
+    branches see the same chunk ids even if executors are lost and stages
+    recompute.
 """
 
 from __future__ import annotations
@@ -39,7 +40,7 @@ from pyspark.sql import types as T
 
 from gridcast import schemas
 from gridcast.functions.columns import decimal_to_double, negate_metric
-from gridcast.session import checkpoint_dir
+from gridcast.session import checkpoint_dir, materialize
 
 DEFAULT_ORDER = ("week", "game_id")
 
@@ -93,10 +94,11 @@ def _scan_pass(df: DataFrame, entity: str, metrics, recent: int, order, season:
     original = df.columns
 
     # 1. bounded chunks: contiguous ranges of the (entity, season, order) sort order
-    tagged = (df.withColumns(vals)
-              .repartitionByRange(chunks, *[F.col(k).asc_nulls_first() for k in keys + list(order)])
-              .withColumn("_chunk", F.spark_partition_id())
-              .checkpoint(eager=True))
+    tagged = materialize(
+        df.withColumns(vals)
+        .repartitionByRange(chunks, *[F.col(k).asc_nulls_first() for k in keys + list(order)])
+        .withColumn("_chunk", F.spark_partition_id()),
+        f"trailing_{entity}")
     vcols = list(vals)
 
     # 2. chunk-local running sums and counts (inclusive of the row)

@@ -481,13 +481,12 @@ _MODELS: dict = {}
 
 def trained(spark, sf_dir):
     """(training table, win, spread, total models) for one data folder, trained once
-    per application.  The split gold table is checkpointed to the shared folder
+    per application.  The split gold table is written to the shared folder
     first: the trainers make many passes and must not rebuild gold each time."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MODELS:
-        from gridcast.session import checkpoint_dir
-        checkpoint_dir(spark)
-        data = split_gold(spark, sf_dir).checkpoint(eager=True)
+        from gridcast.session import materialize
+        data = materialize(split_gold(spark, sf_dir), "training_gold")
         kw = dict(max_iter=REGISTERED_GBT_ITER)
         _MODELS[key] = (data, fit_home_win(data, FEATURES, **kw), fit_margin(data, FEATURES, **kw),
                         fit_total(data, FEATURES, **kw))

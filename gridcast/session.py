@@ -68,3 +68,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for written intermediate tables."""
     return f"{checkpoint_dir(spark).rstrip('/')}/gridcast/{name}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` as a parquet table under the shared checkpoint folder and read it
+    back: cuts the lineage (recovery after a lost executor re-reads the files
+    instead of recomputing upstream stages) and fixes values that must be seen
+    identically by several branches.  One job, unlike ``checkpoint()`` which runs
+    the plan once to count and again to save."""
+    import uuid
+    path = scratch_path(df.sparkSession, f"{name}/{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -43,7 +43,8 @@ def games(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     d = F.to_date("o_orderdate")
-    return o.join(c, o.o_custkey == c.c_custkey).select(
+    # hash-partitioned on the game id: every consumer joins or groups on it
+    return o.join(c, o.o_custkey == c.c_custkey).repartition("o_orderkey").select(
         F.col("o_orderkey").alias("game_id"),
         d.alias("game_date"),
         F.year(d).cast("int").alias("season"),
@@ -57,9 +58,13 @@ def games(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze play-by-play shape (every column text), one row per line item."""
+    # Hash-partition lines by order once: the per-game aggregate and the join to
+    # games both need exactly this distribution, so it is the only shuffle of the
+    # line table (and the row-wise text formatting below runs in parallel tasks
+    # even when the table is a single parquet row group).
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_discount", "l_tax")
+        "l_extendedprice", "l_discount", "l_tax").repartition("l_orderkey")
     qty = F.floor("l_quantity").cast("int")
     away_pts = F.floor("l_extendedprice").cast("int") % 50
     # the game result is per-game: pre-aggregate lines by order, then join (no window
