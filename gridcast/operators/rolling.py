@@ -12,7 +12,7 @@ Two physical strategies give the same values:
     One task per (entity, season): fine while such groups are small (a real
     season has ~17 games per team).
 
-``scan`` (default)
+``scan``
     A parallel prefix scan that never puts a whole (entity, season) group in
     one task.  Rows are range-partitioned on (entity, season, order) into
     bounded chunks, so a hot group is split across many tasks.  Each chunk gets
@@ -43,6 +43,8 @@ from gridcast.functions.columns import decimal_to_double, negate_metric
 from gridcast.session import checkpoint_dir, materialize
 
 DEFAULT_ORDER = ("week", "game_id")
+# Largest (entity, season) group the single-task window strategy may get.
+MAX_GROUP_ROWS = 2_000_000
 
 
 def _source(m: schemas.RollingMetric):
@@ -187,25 +189,43 @@ def _ratio(total, count) -> F.Column:
     return F.when(count > 0, decimal_to_double(total) / count.cast("double"))
 
 
+def largest_groups(df: DataFrame, entities: Sequence[str], season: str = "season") -> dict[str, int]:
+    """Row count of the largest (entity, season) group per entity, in one job (the
+    per-group counts are a partial+final aggregate; only one row per entity
+    reaches the driver)."""
+    roles = F.array(*[F.struct(F.lit(e).alias("role"), F.col(e).cast("string").alias("key"))
+                      for e in entities])
+    per_group = (df.select(F.inline(roles), F.col(season).alias("_season"))
+                 .groupBy("role", "key", "_season").count())
+    rows = per_group.groupBy("role").agg(F.max("count").alias("n")).collect()
+    return {r["role"]: int(r["n"]) for r in rows}
+
+
 def add_trailing_avg(df: DataFrame, metrics: Sequence[schemas.RollingMetric] = schemas.ALL_METRICS,
                      recent: int = schemas.RECENT_GAMES, order: Sequence[str] = DEFAULT_ORDER,
-                     season: str = "season", strategy: str = "scan",
-                     chunks: int | None = None) -> DataFrame:
+                     season: str = "season", strategy: str = "auto",
+                     chunks: int | None = None, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Add ``{metric}_recent_avg`` and ``{metric}_season_avg`` for each metric,
     partitioned by the metric's entity (``posteam`` or ``defteam``) and season."""
+    groups = _by_entity(metrics)
+    if strategy not in ("auto", "window", "scan"):
+        raise ValueError(f"unknown strategy {strategy!r}")
+    chosen = {e: strategy for e in groups}
     out = df
-    for entity, ms in _by_entity(metrics).items():
-        if strategy == "window":
+    if strategy == "auto":
+        out = materialize(df, "trailing_input")
+        sizes = largest_groups(out, list(groups), season)
+        chosen = {e: "window" if sizes.get(e, 0) <= max_group_rows else "scan" for e in groups}
+    for entity, ms in groups.items():
+        if chosen[entity] == "window":
             out = _window_pass(out, entity, ms, recent, order, season)
-        elif strategy == "scan":
-            out = _scan_pass(out, entity, ms, recent, order, season, chunks)
         else:
-            raise ValueError(f"unknown strategy {strategy!r}")
+            out = _scan_pass(out, entity, ms, recent, order, season, chunks)
     return out
 
 
 def rolling_offense(team_games: DataFrame, recent: int = schemas.RECENT_GAMES,
-                    order: Sequence[str] = DEFAULT_ORDER, strategy: str = "scan",
+                    order: Sequence[str] = DEFAULT_ORDER, strategy: str = "auto",
                     chunks: int | None = None) -> DataFrame:
     """W1 + W2: offence form of the row's ``posteam``."""
     return add_trailing_avg(team_games, schemas.OFFENSE_METRICS, recent, order,
@@ -213,7 +233,7 @@ def rolling_offense(team_games: DataFrame, recent: int = schemas.RECENT_GAMES,
 
 
 def rolling_defense(team_games: DataFrame, recent: int = schemas.RECENT_GAMES,
-                    order: Sequence[str] = DEFAULT_ORDER, strategy: str = "scan",
+                    order: Sequence[str] = DEFAULT_ORDER, strategy: str = "auto",
                     chunks: int | None = None) -> DataFrame:
     """W3 + W4: defence form of the row's ``defteam`` (the offence's opponent)."""
     return add_trailing_avg(team_games, schemas.DEFENSE_METRICS, recent, order,
@@ -221,7 +241,7 @@ def rolling_defense(team_games: DataFrame, recent: int = schemas.RECENT_GAMES,
 
 
 def team_form(team_games: DataFrame, recent: int = schemas.RECENT_GAMES,
-              order: Sequence[str] = DEFAULT_ORDER, strategy: str = "scan",
+              order: Sequence[str] = DEFAULT_ORDER, strategy: str = "auto",
               chunks: int | None = None) -> DataFrame:
     """All 18 trailing columns."""
     return add_trailing_avg(team_games, schemas.ALL_METRICS, recent, order,

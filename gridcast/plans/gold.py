@@ -25,7 +25,7 @@ class GoldOptions:
     order: Sequence[str] = DEFAULT_ORDER
     defense_side: str = "own"
     check_unique_odds: bool = True
-    strategy: str = "scan"
+    strategy: str = "auto"
     chunks: int | None = None
     metrics: Sequence[schemas.RollingMetric] = field(default=schemas.ALL_METRICS)
 

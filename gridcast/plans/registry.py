@@ -138,6 +138,12 @@ def q_rolling_window_strategy(spark, sf_dir):
     return rounded(team_form(team_game_stats(silver_plays(spark, sf_dir)), strategy="window"))
 
 
+@register("rolling_scan_strategy", _form_sql(schemas.ALL_METRICS))
+def q_rolling_scan_strategy(spark, sf_dir):
+    """W1-W4 with the skew-proof parallel prefix scan (same values as the window)."""
+    return rounded(team_form(team_game_stats(silver_plays(spark, sf_dir)), strategy="scan"))
+
+
 def _pivot_sql(defense_side: str) -> str:
     cols = ["game_id"] + schemas.gold_form_columns("home") + schemas.gold_form_columns("away")
     return (O.with_ctes(O.STANDIN_CTES, O.plays_clean_cte(), O.team_games_cte(), O.team_form_cte(),
