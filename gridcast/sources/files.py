@@ -64,27 +64,31 @@ def read_gold(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _partitioned_writer(df: DataFrame, partition_col: str, within: Sequence[str]):
+def _partitioned_writer(df: DataFrame, partition_col: str, within: Sequence[str], observation=None):
     """Range-partition on (season, within...) before a partitioned write: each task
     writes one contiguous slice, so a season gets a few large files and a big
     season is still spread over many tasks (hash-partitioning on the season
-    alone would put a whole season in one task)."""
+    alone would put a whole season in one task).  An ``Observation`` is attached
+    above the exchange, so it counts the written rows once (the range sampling
+    job runs below it)."""
     keys = [partition_col] + [c for c in within if c in df.columns]
-    return (df.repartitionByRange(*[F.col(k) for k in keys]).write.mode("overwrite")
-            .partitionBy(partition_col))
+    out = df.repartitionByRange(*[F.col(k) for k in keys])
+    if observation is not None:
+        out = out.observe(observation, F.count(F.lit(1)).alias("rows"))
+    return out.write.mode("overwrite").partitionBy(partition_col)
 
 
 def write_season(df: DataFrame, path: str, partition_col: str = "season",
-                 within: Sequence[str] = ("game_id",)) -> None:
+                 within: Sequence[str] = ("game_id",), observation=None) -> None:
     """Restate only the seasons present in ``df`` (dynamic partition overwrite)."""
-    (_partitioned_writer(df, partition_col, within)
+    (_partitioned_writer(df, partition_col, within, observation)
      .option("partitionOverwriteMode", "dynamic").parquet(path))
 
 
 def write_layer(df: DataFrame, path: str, partition_col: str = "season",
-                within: Sequence[str] = ("game_id",)) -> None:
+                within: Sequence[str] = ("game_id",), observation=None) -> None:
     """Overwrite the whole table, partitioned by season."""
-    (_partitioned_writer(df, partition_col, within)
+    (_partitioned_writer(df, partition_col, within, observation)
      .option("partitionOverwriteMode", "static").parquet(path))
 
 
