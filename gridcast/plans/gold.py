@@ -8,9 +8,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 
 from gridcast import schemas
-from gridcast.operators.aggregate import game_base, team_game_stats
+from gridcast.operators.aggregate import (game_base_from_rollup, play_rollup, team_game_stats,
+                                         team_game_stats_from_rollup)
 from gridcast.operators.reshape import attach_form, attach_odds, side_pivot
 from gridcast.operators.rolling import DEFAULT_ORDER, team_form
+from gridcast.session import materialize
 
 
 @dataclass(frozen=True)
@@ -47,9 +49,18 @@ def build_team_form(plays: DataFrame, opts: GoldOptions = GoldOptions()) -> Data
 
 
 def build_gold(plays: DataFrame, odds: DataFrame | None, opts: GoldOptions = GoldOptions()) -> DataFrame:
-    """Silver plays (+ silver odds) -> gold games."""
-    base = game_base(plays, opts.pass_types, opts.count_rush_types)
-    sides = side_pivot(build_team_form(plays, opts), opts.metrics, opts.defense_side)
+    """Silver plays (+ silver odds) -> gold games.
+
+    The plays are aggregated once (``play_rollup``, partial+final) and that small
+    table is written to the shared folder; the game base and the team-game stats
+    are both re-aggregations of it, so the play table is read and shuffled once.
+    """
+    rollup = materialize(play_rollup(plays, opts.pass_types, opts.count_rush_types,
+                                     opts.yard_rush_types), "play_rollup")
+    base = game_base_from_rollup(rollup)
+    tg = team_game_stats_from_rollup(rollup)
+    form = team_form(tg, opts.recent, opts.order, opts.strategy, opts.chunks)
+    sides = side_pivot(form, opts.metrics, opts.defense_side)
     games = attach_form(base, sides)
     if odds is None:
         return games
