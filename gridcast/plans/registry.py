@@ -489,7 +489,11 @@ def trained(spark, sf_dir):
     """(training table, win, spread, total models) for one data folder, trained once
     per application.  The split gold table is written to the shared folder
     first: the trainers make many passes and must not rebuild gold each time."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - no SparkContext handle
+        app = id(spark)
+    key = (app, sf_dir)
     if key not in _MODELS:
         from gridcast.session import materialize
         data = materialize(split_gold(spark, sf_dir), "training_gold")

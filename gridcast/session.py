@@ -36,8 +36,22 @@ def build_session(master: str | None = None, app_name: str = "gridcast",
     return spark
 
 
+def _conf(spark: SparkSession, key: str):
+    try:
+        return spark.conf.get(key)
+    except Exception:  # noqa: BLE001 - unset key
+        return None
+
+
 def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    try:
+        master = spark.sparkContext.master
+    except Exception:  # noqa: BLE001 - no SparkContext handle (e.g. a Connect session)
+        master = _conf(spark, "spark.master") or ""
+    return master.startswith("local")
+
+
+_LOCAL_FALLBACK: dict = {}
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -47,20 +61,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     local-mode session without that setting (tests) gets a private temp folder;
     on a cluster a missing setting is an error, never a machine-local path.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        try:
-            configured = spark.conf.get("spark.checkpoint.dir")
-        except Exception:  # noqa: BLE001 - unset key
-            configured = None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no SparkContext handle (e.g. a Connect session)
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    configured = (sc.getConf().get("spark.checkpoint.dir", None) if sc is not None else None) \
+        or _conf(spark, "spark.checkpoint.dir")
     if not configured:
         if not is_local(spark):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        configured = tempfile.mkdtemp(prefix="gridcast-ckpt-")
+        configured = _LOCAL_FALLBACK.setdefault("dir", tempfile.mkdtemp(prefix="gridcast-ckpt-"))
+    if sc is None:
+        return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
