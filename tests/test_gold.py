@@ -72,5 +72,6 @@ def test_input_order_and_partitioning_change_nothing(spark):
     a = build_gold(clean_plays(bronze, dedupe_order=("epa",)), None, GoldOptions(strategy="window"))
     shuffled = bronze.orderBy(F.rand(5)).repartition(7)
     b = build_gold(clean_plays(shuffled, dedupe_order=("epa",)), None, GoldOptions(strategy="scan", chunks=3))
-    rows = lambda df: sorted(tuple(r) for r in df.select(sorted(df.columns)).collect())
+    rows = lambda df: sorted((tuple(r) for r in df.select(sorted(df.columns)).collect()),
+                             key=lambda t: tuple(repr(x) for x in t))
     assert rows(a) == rows(b)
