@@ -104,6 +104,12 @@ def _fingerprints(h: Column, g: Column, c: Class, test) -> Column:
         F.slice(h, p + (c.k + 1), F.lit(c.reach)).alias("after")))
 
 
+def _tagged(n: int):
+    """Puts the class number before a fingerprint's fields."""
+    return lambda f: F.struct(F.lit(n).alias("c"), f.p.alias("p"), f.fp.alias("fp"),
+                              f.before.alias("before"), f.after.alias("after"))
+
+
 def _common(a: Column, b: Column) -> Column:
     """Length of the common beginning of two arrays."""
     differ = F.array_position(F.zip_with(a, b, lambda x, y: x.eqNullSafe(y)), False)
@@ -157,9 +163,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     read = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), word_hashes(F.col(text_col)).alias("h"))
     read = read.select("*", *[_grams(F.col("h"), c.k).alias(f"g{n}") for n, c in kinds.items()])
     none = F.array().cast("array<struct<c:int,p:int,fp:bigint,before:array<bigint>,after:array<bigint>>>")
-    found = [F.transform(_fingerprints(F.col("h"), F.col(f"g{n}"), c, listed), lambda f, n=n: F.struct(
-        F.lit(n).alias("c"), f.p.alias("p"), f.fp.alias("fp"), f.before.alias("before"), f.after.alias("after")))
-        for n, c in kinds.items()]
+    found = [F.transform(_fingerprints(F.col("h"), F.col(f"g{n}"), c, listed), _tagged(n)) for n, c in kinds.items()]
     read = stage_table(read.select("id", "text_hash", F.size("h").cast("long").alias("n_words"),
                                    (F.concat(none, *found) if found else none).alias("found")), "document-fingerprints")
 
