@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridcast.llm import decontam, simhash
+from gridcast.llm import decontam, quality_rules, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,12 @@ def op10_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics and verdicts of the learned quality rules for all documents."""
+    found, _ = quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", *quality_rules.BASE, "base_failed", "kept", "rule")
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark words found in all documents."""
     found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -30,6 +36,7 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality_rules": op1_quality_rules,
     "op2_decontamination": op2_decontamination,
     "op10_simhash_neardup": op10_simhash_neardup,
 }
