@@ -2,12 +2,24 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridcast.llm import decontam, quality_rules, simhash
+from gridcast.llm import decontam, quality_rules, simhash, token_counts
+
+TOKENIZERS = os.environ.get("TOKENIZER_DIR", "")
+
+
+def tokenizer_path(name: str) -> str:
+    """Place of a public vocabulary file: TOKENIZER_DIR, or the installed package."""
+    if TOKENIZERS:
+        return os.path.join(TOKENIZERS, name)
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +28,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of all documents."""
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
 def op10_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash near-duplicate components of all documents."""
     found = simhash.simhash_components(table(spark, sf_dir, "documents"))
@@ -38,6 +55,7 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_decontamination": op2_decontamination,
+    "op4_token_counts": op4_token_counts,
     "op10_simhash_neardup": op10_simhash_neardup,
 }
 
