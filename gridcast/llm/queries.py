@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridcast.llm import decontam, quality_rules, simhash, token_counts
+from gridcast.llm import decontam, mixing, quality_rules, simhash, token_counts
 
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "")
 
@@ -33,6 +33,12 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes from all documents."""
+    found = mixing.mix(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op10_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash near-duplicate components of all documents."""
     found = simhash.simhash_components(table(spark, sf_dir, "documents"))
@@ -56,6 +62,7 @@ QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_decontamination": op2_decontamination,
     "op4_token_counts": op4_token_counts,
+    "op6_mixing": op6_mixing,
     "op10_simhash_neardup": op10_simhash_neardup,
 }
 
