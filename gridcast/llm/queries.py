@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridcast.llm import decontam, mixing, quality_rules, simhash, token_counts
+from gridcast.llm import decontam, mixing, pii, quality_rules, simhash, token_counts
 
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "")
 
@@ -39,6 +39,15 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents."""
+    found, _ = pii.personal_data(table(spark, sf_dir, "documents"))
+    n = [F.size(F.filter("base", lambda s: s.k == 0)), F.size(F.filter("base", lambda s: s.k == 1)),
+         F.size(F.filter("base", lambda s: s.k == 2)), F.size(F.filter("base", lambda s: s.k == 3))]
+    return found.select("doc_id", *[x.cast("long").alias(f"n_{k}") for k, x in zip(pii.KINDS, n, strict=True)],
+                        F.sha2(pii.span_text(F.col("base")), 256).alias("base_sha256"), pii.span_text(F.col("spans")).alias("spans"))
+
+
 def op10_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash near-duplicate components of all documents."""
     found = simhash.simhash_components(table(spark, sf_dir, "documents"))
@@ -63,6 +72,7 @@ QUERIES: dict[str, Query] = {
     "op2_decontamination": op2_decontamination,
     "op4_token_counts": op4_token_counts,
     "op6_mixing": op6_mixing,
+    "op9_pii": op9_pii,
     "op10_simhash_neardup": op10_simhash_neardup,
 }
 
