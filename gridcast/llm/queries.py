@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridcast.llm import decontam, mixing, pii, quality_rules, simhash, token_counts
+from gridcast.llm import decontam, kn_quality, mixing, pii, quality_rules, simhash, token_counts
 
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "")
 
@@ -39,6 +39,12 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexities of all documents and verdicts by language."""
+    found = kn_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "lang", "perplexity", "perplexity_limit", "hard_word", "hard_word_limit", "kept")
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in all documents."""
     found, _ = pii.personal_data(table(spark, sf_dir, "documents"))
@@ -72,6 +78,7 @@ QUERIES: dict[str, Query] = {
     "op2_decontamination": op2_decontamination,
     "op4_token_counts": op4_token_counts,
     "op6_mixing": op6_mixing,
+    "op7_quality_classifier": op7_quality_classifier,
     "op9_pii": op9_pii,
     "op10_simhash_neardup": op10_simhash_neardup,
 }
