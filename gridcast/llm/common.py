@@ -17,7 +17,7 @@ SPACE_RE = r"[\x20\x09-\x0D]+"
 _OPEN: list[tuple[SparkSession, str]] = []
 
 
-def stage_table(df: DataFrame, name: str) -> DataFrame:
+def stage_table(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
     Cuts the lineage (a lost executor costs a re-read, not a recomputation) and
@@ -26,7 +26,7 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"llm/{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     _OPEN.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 

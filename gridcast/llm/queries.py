@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridcast.llm import decontam, kn_quality, mixing, pii, quality_rules, simhash, token_counts
+from gridcast.llm import decontam, kn_quality, mixing, pii, quality_rules, simhash, token_counts, training_order
 
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "")
 
@@ -45,6 +45,11 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "lang", "perplexity", "perplexity_limit", "hard_word", "hard_word_limit", "kept")
 
 
+def op8_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequences of all documents in their slots."""
+    return training_order.training_order(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in all documents."""
     found, _ = pii.personal_data(table(spark, sf_dir, "documents"))
@@ -79,6 +84,7 @@ QUERIES: dict[str, Query] = {
     "op4_token_counts": op4_token_counts,
     "op6_mixing": op6_mixing,
     "op7_quality_classifier": op7_quality_classifier,
+    "op8_training_order": op8_training_order,
     "op9_pii": op9_pii,
     "op10_simhash_neardup": op10_simhash_neardup,
 }
