@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridcast.llm import decontam, kn_quality, mixing, pii, quality_rules, simhash, token_counts, training_order
+from gridcast.llm import decontam, kn_quality, line_dedup, mixing, pii, quality_rules, simhash, token_counts, training_order
 
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "")
 
@@ -28,6 +28,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that every document keeps."""
+    found = line_dedup.kept_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_equal", "n_near", F.array_join("kept", ",").alias("kept_lines"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of all documents."""
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
@@ -81,6 +87,7 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_decontamination": op2_decontamination,
+    "op3_line_dedup": op3_line_dedup,
     "op4_token_counts": op4_token_counts,
     "op6_mixing": op6_mixing,
     "op7_quality_classifier": op7_quality_classifier,
