@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridcast.llm import decontam, kn_quality, line_dedup, mixing, pii, quality_rules, simhash, token_counts, training_order
+from gridcast.llm import chat, decontam, kn_quality, line_dedup, mixing, pii, quality_rules, simhash, token_counts, training_order
 
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "")
 
@@ -45,6 +45,14 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All messages in reply order without quotes, in chat-template form."""
+    found = chat.conversations(table(spark, sf_dir, "conversations"))
+    key = F.transform("order_key", lambda k: F.concat_ws(":", k.hangs, k.place, k.chain))
+    return found.select("conv_id", "turn", "parent", "linked", "depth", F.array_join(key, "/").alias("order_key"),
+                        chat.chat_turn(F.col("role"), F.col("content")).alias("message"))
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Perplexities of all documents and verdicts by language."""
     found = kn_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -90,6 +98,7 @@ QUERIES: dict[str, Query] = {
     "op3_line_dedup": op3_line_dedup,
     "op4_token_counts": op4_token_counts,
     "op6_mixing": op6_mixing,
+    "op5_chat_format": op5_chat_format,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_training_order": op8_training_order,
     "op9_pii": op9_pii,
