@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,16 +39,29 @@ def drop_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def release(spark: SparkSession, keep: int = 0) -> int:
-    """Delete the staged tables made so far, but for the first ``keep``; call it
-    when what was built on them has been written.  Returns how many went."""
-    mine = [x for x in _OPEN[keep:] if x[0] is spark]
+def release(spark: SparkSession) -> int:
+    """Delete the staged tables made so far; call it when what was built on them has
+    been written.  Returns how many went."""
+    mine = [x for x in _OPEN if x[0] is spark]
     for x in mine:
         drop_path(spark, x[1])
         _OPEN.remove(x)
     return len(mine)
 
 
+def stage_path(spark: SparkSession, name: str) -> str:
+    """A folder in the shared folder for a table that outlives :func:`release`."""
+    return scratch_path(spark, f"llm/{name}")
+
+
+def tokenizer_path(name: str) -> str:
+    """Place of a public vocabulary file: TOKENIZER_DIR, or the installed package."""
+    if folder := os.environ.get("TOKENIZER_DIR"):
+        return os.path.join(folder, name)
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 def text_of(text: Column) -> Column:
     """The text, a null one as empty."""
     return F.coalesce(text.cast("string"), F.lit(""))

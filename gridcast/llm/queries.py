@@ -2,24 +2,14 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from gridcast.llm import chat, decontam, kn_quality, line_dedup, mixing, pii, quality_rules, simhash, token_counts, training_order
-
-TOKENIZERS = os.environ.get("TOKENIZER_DIR", "")
-
-
-def tokenizer_path(name: str) -> str:
-    """Place of a public vocabulary file: TOKENIZER_DIR, or the installed package."""
-    if TOKENIZERS:
-        return os.path.join(TOKENIZERS, name)
-    import public_tokenizers
-    return public_tokenizers.path(name)
-
+from gridcast.llm.common import tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -103,6 +93,7 @@ QUERIES: dict[str, Query] = {
     "op8_training_order": op8_training_order,
     "op9_pii": op9_pii,
     "op10_simhash_neardup": op10_simhash_neardup,
+    "pipeline": corpus_pipeline.run,
 }
 
 OP2_SQL = r"""
@@ -130,4 +121,4 @@ FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN it USING (doc_id)
 
 ORACLE: dict[str, str] = {
     "op2_decontamination": OP2_SQL,
-}
+} | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
