@@ -18,9 +18,10 @@ def parse_date(col, fmt: str = "yyyy-MM-dd") -> Column:
 
 
 def to_double(col) -> Column:
-    """Tolerant text -> double: ``"NA"``/empty -> null, ``"NaN"`` -> null."""
+    """Tolerant text -> double: ``"NA"``, empty, ``"NaN"``, infinite and out-of-range
+    values (``EXACT_LIMIT`` and more, which no exact sum can hold) become null (P2)."""
     d = _c(col).try_cast("double")
-    return F.nanvl(d, F.lit(None).cast("double"))
+    return F.when(F.abs(d) < EXACT_LIMIT, d)   # false for NaN and infinity
 
 
 def to_int(col) -> Column:
@@ -34,12 +35,29 @@ def playoff_flag(col) -> Column:
     return F.when(_c(col) == "REG", 0).otherwise(1)
 
 
-def normalise_week(col, names: Mapping[str, int]) -> Column:
-    """Named playoff rounds -> week numbers, other text -> int."""
+def last_week(season, by_season: Mapping[int, int]) -> Column:
+    """Last regular week of a season, from ``{first season: weeks from then on}``."""
+    s, expr = _c(season), F.lit(None).cast("int")
+    for first, weeks in sorted(by_season.items()):
+        expr = F.when(s >= first, F.lit(weeks)).otherwise(expr)
+    return expr
+
+
+def normalise_week(col, names: Mapping[str, int], season=None,
+                   last_regular: Mapping[int, int] | None = None, names_after: int = 17) -> Column:
+    """Named playoff rounds -> week numbers, other text -> int.
+
+    Without ``season`` the numbers of ``names`` are used as they are.  With it,
+    ``names`` are read as rounds after week ``names_after`` and moved behind the
+    season's own last regular week, so a round never shares a number with a regular
+    week of a longer season.
+    """
     c = _c(col)
+    shift = F.lit(0) if season is None else last_week(season, last_regular) - names_after
     expr = None
     for name, week in names.items():
-        expr = F.when(c == name, F.lit(week)) if expr is None else expr.when(c == name, F.lit(week))
+        value = F.lit(week) + shift
+        expr = F.when(c == name, value) if expr is None else expr.when(c == name, value)
     numeric = to_int(c)
     return numeric if expr is None else expr.otherwise(numeric)
 
@@ -59,12 +77,20 @@ def team_code(prefix: str, key) -> Column:
 
 
 EXACT = "decimal(38,18)"
+#: Values from here on do not fit ``EXACT``.
+EXACT_LIMIT = 1e20
+
+
+def exact(col) -> Column:
+    """A double rounded to 18 decimals as decimal(38,18); null if it does not fit."""
+    return _c(col).try_cast(EXACT)
 
 
 def exact_sum(col) -> Column:
-    """Sum of a fractional column in decimal(38,18): exact, so the result does not
-    depend on partitioning or summation order."""
-    return F.sum(_c(col).cast(EXACT))
+    """Sum of a column in decimal(38,18).  Each value is first rounded to 18 decimals;
+    the sum of the rounded values is exact, so it does not depend on partitioning or
+    summation order.  A sum that does not fit is null."""
+    return F.try_sum(exact(col))
 
 
 def decimal_to_double(col) -> Column:
@@ -75,7 +101,6 @@ def decimal_to_double(col) -> Column:
 
 
 def exact_avg(col) -> Column:
-    """Average from an exact sum divided by the non-null count (null when none)."""
-    c = _c(col)
-    n = F.count(c)
-    return F.when(n > 0, decimal_to_double(exact_sum(c)) / n.cast("double"))
+    """Average from an exact sum divided by the count of the values in it (null when none)."""
+    n = F.count(exact(col))   # of the values that are in the sum
+    return F.when(n > 0, decimal_to_double(exact_sum(col)) / n.cast("double"))

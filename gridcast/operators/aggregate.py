@@ -56,71 +56,3 @@ def team_game_stats(plays: DataFrame, pass_types: Sequence[str] = schemas.PASS_T
         F.count("play_id").alias("team_plays"),
         F.max(own_points).alias("off_final_points_scored"),
     )
-
-
-ROLLUP_KEYS = tuple(dict.fromkeys(schemas.GAME_KEYS + schemas.TEAM_GAME_KEYS))
-
-
-def play_rollup(plays: DataFrame, pass_types: Sequence[str] = schemas.PASS_TYPES,
-                count_rush_types: Sequence[str] = schemas.RUSH_TYPES,
-                yard_rush_types: Sequence[str] = schemas.RUSH_TYPES) -> DataFrame:
-    """One pass over the plays at (game keys, offence, defence) grain holding every
-    partial the game base and the team-game stats need (sums, counts, maxima, the
-    exact EPA sum).  Both are then small re-aggregations of this table, so the
-    play table is shuffled once instead of twice."""
-    from gridcast.functions.columns import exact_sum
-    pt = F.col("play_type")
-    offensive = pt.isin(list(pass_types) + list(count_rush_types))
-    own_points = (F.when(F.col("posteam") == F.col("home_team"), F.col("total_home_score"))
-                  .when(F.col("posteam") == F.col("away_team"), F.col("total_away_score"))
-                  .otherwise(0))
-    return plays.groupBy(*ROLLUP_KEYS).agg(
-        F.max("total_home_score").alias("_home_max"),
-        F.max("total_away_score").alias("_away_max"),
-        F.max("home_margin").alias("_margin_max"),
-        _count_when(pt.isin(list(pass_types))).alias("_pass_plays"),
-        _count_when(pt.isin(list(count_rush_types))).alias("_rush_plays"),
-        F.sum(F.when(offensive, F.col("yards_gained")).otherwise(0)).alias("_off_yards"),
-        F.sum(F.when(pt.isin(list(pass_types)), F.col("yards_gained")).otherwise(0)).alias("_pass_yds"),
-        F.sum(F.when(pt.isin(list(yard_rush_types)), F.col("yards_gained")).otherwise(0)).alias("_rush_yds"),
-        F.sum("yards_gained").alias("_yds"),
-        F.count("play_id").alias("_plays"),
-        F.max(own_points).alias("_own_points"),
-        exact_sum("epa").alias("_epa_sum"),
-        F.count("epa").alias("_epa_n"),
-    )
-
-
-def _exact_ratio(total: str, count: str) -> F.Column:
-    from gridcast.functions.columns import decimal_to_double
-    n = F.sum(count)
-    return F.when(n > 0, decimal_to_double(F.sum(total)) / n.cast("double"))
-
-
-def game_base_from_rollup(rollup: DataFrame) -> DataFrame:
-    """A1 from ``play_rollup`` (same values as ``game_base`` on the plays)."""
-    home_final = F.max("_home_max")
-    away_final = F.max("_away_max")
-    return rollup.groupBy(*schemas.GAME_KEYS).agg(
-        home_final.alias("final_home_score"),
-        away_final.alias("final_away_score"),
-        (home_final + away_final).alias("final_total_score"),
-        F.max("_margin_max").alias("final_home_margin"),
-        F.when(home_final > away_final, 1).otherwise(0).alias("home_win"),
-        F.sum("_pass_plays").alias("total_pass_plays"),
-        F.sum("_rush_plays").alias("total_rush_plays"),
-        F.sum("_off_yards").alias("total_offensive_yards"),
-        _exact_ratio("_epa_sum", "_epa_n").alias("avg_epa_per_play"),
-    )
-
-
-def team_game_stats_from_rollup(rollup: DataFrame) -> DataFrame:
-    """A2 from ``play_rollup`` (same values as ``team_game_stats`` on the plays)."""
-    return filter_has_possession(rollup).groupBy(*schemas.TEAM_GAME_KEYS).agg(
-        _exact_ratio("_epa_sum", "_epa_n").alias("off_epa_avg"),
-        F.sum("_pass_yds").alias("pass_yds"),
-        F.sum("_rush_yds").alias("rush_yds"),
-        F.sum("_yds").alias("total_yds"),
-        F.sum("_plays").alias("team_plays"),
-        F.max("_own_points").alias("off_final_points_scored"),
-    )

@@ -3,31 +3,25 @@
 Every metric gets two ROWS frames that end one row before the current game, so
 a feature only sees earlier games: the last ``recent`` games and the season to
 date.  Frames restart each season; the first game of a season has no history
-and gets null.
-
-Two physical strategies give the same values:
-
-``window``
-    ``avg(x) over (partition by entity, season order by week, game_id rows ...)``.
-    One task per (entity, season): fine while such groups are small (a real
-    season has ~17 games per team).
-
-``scan``
-    A parallel prefix scan that never puts a whole (entity, season) group in
-    one task.  Rows are range-partitioned on (entity, season, order) into
-    bounded chunks, so a hot group is split across many tasks.  Each chunk gets
-    running sums with a chunk-local window; per-chunk totals (one row per
-    chunk) are turned into chunk offsets with a small window; a row's global
-    prefix is offset + local running sum.  Season-to-date = prefix before the
-    row.  Last-``n`` = prefix before the row minus the prefix ``n`` rows
-    earlier; inside a chunk that is a ``lag``, and for the first ``n + 1`` rows
-    of a chunk it is looked up in the chunk tails (the last ``n + 1`` rows of
-    every chunk, a table bounded by chunks x (n + 1)).  Sums are exact (long for
-    integral metrics, decimal(38,18) for fractional ones), so subtracting
-    prefixes loses nothing.  The chunk-tagged rows are written as a table in
-    the shared checkpoint folder (``spark.checkpoint.dir``) so that all
-    branches see the same chunk ids even if executors are lost and stages
-    recompute.
+and gets null.  ``as_of="after_latest"`` moves both frames' ends to the current
+game, for a forecast of the next one (quirk Q5).
+
+``scan`` (the default) is a prefix scan over deterministic chunks: the rows of one
+entity, season and week.  A window inside each chunk gives the sums over the
+chunk's earlier rows; a table with one row per chunk holds its totals and its last
+``recent`` rows, and a window over that table (at most one row per week of an
+(entity, season)) what lies before each chunk.  A row's frames are its chunk's part
+plus the part before.  So a hot team-season spreads over as many tasks as it has
+weeks, nothing is measured or written while the plan is built, and the row count
+never changes the plan.  The rows and their chunk table read the same exchange:
+the tails keep whole rows, so both sides need the same columns and Spark's
+adaptive execution runs the exchange once.
+
+``window`` is the plain ``avg(x) over (partition by entity, season order by week,
+game_id rows ...)``: one task per (entity, season), for small groups.
+
+Sums are exact (long for integral metrics, decimal(38,18) for fractional ones), so
+both give the same doubles whatever the partitioning.
 """
 
 from __future__ import annotations
@@ -39,17 +33,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridcast import schemas
-from gridcast.functions.columns import decimal_to_double, negate_metric
-from gridcast.session import checkpoint_dir, materialize
+from gridcast.functions.columns import EXACT, decimal_to_double, negate_metric
 
 DEFAULT_ORDER = ("week", "game_id")
-# Largest (entity, season) group the single-task window strategy may get.
-MAX_GROUP_ROWS = 2_000_000
-
-
-def _source(m: schemas.RollingMetric):
-    c = F.col(m.source)
-    return negate_metric(c) if m.negate else c
+AS_OF = ("before_game", "after_latest")
 
 
 def _names(m: schemas.RollingMetric) -> tuple[str, str]:
@@ -63,186 +50,146 @@ def _by_entity(metrics) -> dict[str, list[schemas.RollingMetric]]:
     return out
 
 
-def _window_pass(df: DataFrame, entity: str, metrics, recent: int, order, season: str) -> DataFrame:
-    base = Window.partitionBy(entity, season).orderBy(*order)
-    w_recent = base.rowsBetween(-recent, -1)
-    w_season = base.rowsBetween(Window.unboundedPreceding, -1)
-    types = {f.name: f.dataType for f in df.schema.fields}
-    cols = {}
-    for m in metrics:
-        r, s = _names(m)
-        v = _source(m).cast(_exact_type(types[m.source]))
-        cols[r] = _ratio(F.sum(v).over(w_recent), F.count(v).over(w_recent))
-        cols[s] = _ratio(F.sum(v).over(w_season), F.count(v).over(w_season))
-    return df.withColumns(cols)
-
-
 def _exact_type(dt: T.DataType) -> str:
-    return "bigint" if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)) else "decimal(38,18)"
-
-
-def _scan_pass(df: DataFrame, entity: str, metrics, recent: int, order, season: str,
-               chunks: int | None) -> DataFrame:
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    n = recent
-    keys = [entity, season]
-    if chunks is None:
-        chunks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    src_types = {f.name: f.dataType for f in df.schema.fields}
-    vals = {}
-    for i, m in enumerate(metrics):
-        vals[f"_v{i}"] = _source(m).cast(_exact_type(src_types[m.source]))
-    original = df.columns
-
-    # 1. bounded chunks: contiguous ranges of the (entity, season, order) sort order
-    tagged = materialize(
-        df.withColumns(vals)
-        .repartitionByRange(chunks, *[F.col(k).asc_nulls_first() for k in keys + list(order)])
-        .withColumn("_chunk", F.spark_partition_id()),
-        f"trailing_{entity}")
-    vcols = list(vals)
-
-    # 2. chunk-local running sums and counts (inclusive of the row)
-    w_local = Window.partitionBy(*keys, "_chunk").orderBy(*order)
-    w_run = w_local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = tagged.withColumn("_rn", F.row_number().over(w_local))
-    for v in vcols:
-        local = local.withColumns({f"{v}_ls": F.coalesce(F.sum(v).over(w_run), F.lit(0).cast(
-            T.LongType() if _is_long(tagged, v) else T.DecimalType(38, 18))),
-                                   f"{v}_lc": F.count(v).over(w_run)})
-    lag_cols = {}
-    for v in vcols:
-        lag_cols[f"{v}_lagS"] = F.lag(f"{v}_ls", n + 1).over(w_local)
-        lag_cols[f"{v}_lagC"] = F.lag(f"{v}_lc", n + 1).over(w_local)
-    local = local.withColumns(lag_cols)
-
-    # 3. chunk offsets: totals per chunk (one row per chunk), summed over earlier chunks
-    totals = tagged.groupBy(*keys, "_chunk").agg(
-        F.count(F.lit(1)).alias("_rows"),
-        *[F.coalesce(F.sum(v), F.lit(0)).cast(_sum_type(tagged, v)).alias(f"{v}_ts") for v in vcols],
-        *[F.count(v).alias(f"{v}_tc") for v in vcols])
-    w_prev = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *keys, "_chunk", F.col("_rows").alias("_chunk_rows"),
-        F.coalesce(F.sum("_rows").over(w_prev), F.lit(0)).alias("_off_rows"),
-        *[F.coalesce(F.sum(f"{v}_ts").over(w_prev), F.lit(0)).cast(_sum_type(tagged, v)).alias(f"{v}_os")
-          for v in vcols],
-        *[F.coalesce(F.sum(f"{v}_tc").over(w_prev), F.lit(0)).alias(f"{v}_oc") for v in vcols])
-
-    rows = local.join(offsets, keys + ["_chunk"], "inner").withColumn("_pos", F.col("_off_rows") + F.col("_rn"))
-    prefix = {}
-    for v in vcols:
-        prefix[f"{v}_P"] = _add(F.col(f"{v}_os"), F.col(f"{v}_ls"), tagged, v)
-        prefix[f"{v}_C"] = F.col(f"{v}_oc") + F.col(f"{v}_lc")
-    rows = rows.withColumns(prefix)
-
-    # 4. chunk tails: the last n + 1 rows of every chunk, with their global prefixes
-    tail = rows.where(F.col("_rn") > F.col("_chunk_rows") - (n + 1)).select(
-        *[F.col(k).alias(f"_t_{k}") for k in keys], F.col("_pos").alias("_t_pos"),
-        *[F.col(f"{v}_P").alias(f"{v}_tP") for v in vcols],
-        *[F.col(f"{v}_C").alias(f"{v}_tC") for v in vcols])
-    # rows whose look-back position lies in an earlier chunk probe the tails; the
-    # others get a negative, never-matching and evenly spread key (no null-key skew)
-    back = F.when(F.col("_rn") <= n + 1, F.col("_pos") - (n + 1)).otherwise(-F.col("_pos"))
-    rows = rows.withColumn("_back", back)
-    cond = [rows[k].eqNullSafe(tail[f"_t_{k}"]) for k in keys] + [rows["_back"] == tail["_t_pos"]]
-    joined = rows.join(tail, cond, "left")
-
-    out = {}
-    for i, m in enumerate(metrics):
-        v = f"_v{i}"
-        cur_s = F.coalesce(F.col(v), F.lit(0))
-        cur_c = F.when(F.col(v).isNull(), 0).otherwise(1)
-        before_s = _add(F.col(f"{v}_P"), -cur_s, tagged, v)
-        before_c = F.col(f"{v}_C") - cur_c
-        zero_s = F.lit(0).cast(_sum_type(tagged, v))
-        back_s = (F.when(F.col("_rn") > n + 1, _add(F.col(f"{v}_os"), F.col(f"{v}_lagS"), tagged, v))
-                  .otherwise(F.coalesce(F.col(f"{v}_tP"), zero_s)))
-        back_c = (F.when(F.col("_rn") > n + 1, F.col(f"{v}_oc") + F.col(f"{v}_lagC"))
-                  .otherwise(F.coalesce(F.col(f"{v}_tC"), F.lit(0))))
-        r, s = _names(m)
-        out[s] = _ratio(before_s, before_c)
-        out[r] = _ratio(_add(before_s, -back_s, tagged, v), before_c - back_c)
-    return joined.select(*[F.col(c) for c in original], *[e.alias(k) for k, e in out.items()])
+    return "bigint" if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)) else EXACT
 
 
-def _is_long(df: DataFrame, col: str) -> bool:
-    return isinstance(df.schema[col].dataType, T.LongType)
-
-
-def _sum_type(df: DataFrame, col: str):
-    return T.LongType() if _is_long(df, col) else T.DecimalType(38, 18)
+def _value(df: DataFrame, m: schemas.RollingMetric) -> tuple[F.Column, bool]:
+    """The metric as an exactly summable column, and whether it is integral."""
+    kind = _exact_type(df.schema[m.source].dataType)
+    c = F.col(m.source)
+    return (negate_metric(c) if m.negate else c).try_cast(kind), kind == "bigint"
 
 
-def _add(a, b, df: DataFrame, col: str) -> F.Column:
+def _add(a, b, integral: bool) -> F.Column:
     """Exact a + b.  decimal(38,18) + decimal(38,18) would be typed with 39 digits
     and lose a decimal place, so decimal operands are narrowed to 37 digits first
     (19 integral digits remain) and the sum keeps scale 18."""
-    if _is_long(df, col):
+    if integral:
         return a + b
-    return (a.cast("decimal(37,18)") + b.cast("decimal(37,18)")).cast("decimal(38,18)")
+    return (a.cast("decimal(37,18)") + b.cast("decimal(37,18)")).cast(EXACT)
 
 
-def _ratio(total, count) -> F.Column:
-    # exact total (long or decimal) divided once; see decimal_to_double
-    return F.when(count > 0, decimal_to_double(total) / count.cast("double"))
+def _ratio(total, count, integral: bool) -> F.Column:
+    """Exact total divided once."""
+    t = total.cast("double") if integral else decimal_to_double(total)
+    return F.when(count > 0, t / count.cast("double"))
 
 
-def largest_groups(df: DataFrame, entities: Sequence[str], season: str = "season") -> dict[str, int]:
-    """Row count of the largest (entity, season) group per entity, in one job (the
-    per-group counts are a partial+final aggregate; only one row per entity
-    reaches the driver)."""
-    roles = F.array(*[F.struct(F.lit(e).alias("role"), F.col(e).cast("string").alias("key"))
-                      for e in entities])
-    per_group = (df.select(F.inline(roles), F.col(season).alias("_season"))
-                 .groupBy("role", "key", "_season").count())
-    rows = per_group.groupBy("role").agg(F.max("count").alias("n")).collect()
-    return {r["role"]: int(r["n"]) for r in rows}
+def _ends(as_of: str) -> int:
+    if as_of not in AS_OF:
+        raise ValueError(f"as_of must be one of {AS_OF}")
+    return -1 if as_of == "before_game" else 0
+
+
+def _window_pass(df: DataFrame, entity: str, metrics, recent: int, order, season: str, end: int) -> DataFrame:
+    base = Window.partitionBy(entity, season).orderBy(*order)
+    w_recent = base.rowsBetween(end + 1 - recent, end)
+    w_season = base.rowsBetween(Window.unboundedPreceding, end)
+    cols = {}
+    for m in metrics:
+        r, s = _names(m)
+        v, integral = _value(df, m)
+        cols[r] = _ratio(F.sum(v).over(w_recent), F.count(v).over(w_recent), integral)
+        cols[s] = _ratio(F.sum(v).over(w_season), F.count(v).over(w_season), integral)
+    return df.withColumns(cols)
+
+
+def _scan_pass(df: DataFrame, entity: str, metrics, recent: int, order, season: str, end: int) -> DataFrame:
+    original = df.columns
+    n, values = recent, {}
+    for i, m in enumerate(metrics):
+        values[f"_v{i}"] = _value(df, m)
+    zero = {v: F.lit(0).cast("bigint" if integral else EXACT) for v, (_, integral) in values.items()}
+    # the chunk as one key that is never null, for the window and for the join alike
+    base = df.withColumn("_chunk", F.struct(F.col(entity).alias("e"), F.col(season).alias("s"), F.col(order[0]).alias("w")))
+    base = base.withColumns({v: c for v, (c, _) in values.items()})
+
+    # 1. inside each chunk: sums over its earlier rows
+    inside = Window.partitionBy("_chunk").orderBy(*order)
+    earlier = inside.rowsBetween(Window.unboundedPreceding, end)
+    last = inside.rowsBetween(end + 1 - n, end)
+    rows = base.withColumn("_rn", F.row_number().over(inside))
+    rows = rows.withColumns({f"{v}{k}": agg(v).over(w) for v in values
+                             for k, agg, w in (("_es", F.sum, earlier), ("_ec", F.count, earlier),
+                                               ("_ls", F.sum, last), ("_lc", F.count, last))})
+
+    # 2. one row per chunk: totals and last n rows
+    tail = F.collect_list(F.struct(*base.drop("_chunk").columns)).over(inside.rowsBetween(1 - n, 0))
+    chunks = (base.withColumn("_tail", tail).withColumn("_rn", F.row_number().over(inside)).groupBy("_chunk")
+              .agg(F.max_by("_tail", "_rn").alias("_tail"), *[F.sum(v).alias(f"{v}_s") for v in values], *[F.count(v).alias(f"{v}_c") for v in values]))
+
+    # 3. what lies before each chunk: sums, and sums of the last 0 .. n rows
+    over = Window.partitionBy("_chunk.e", "_chunk.s").orderBy("_chunk.w")
+    before = over.rowsBetween(Window.unboundedPreceding, -1)
+    empty = F.array().cast(chunks.schema["_tail"].dataType)
+    # every chunk has a row, so the last n rows are in the last n chunks
+    carry = F.concat(*[F.coalesce(F.lag("_tail", k).over(over), empty) for k in range(n, 0, -1)])
+    prior = chunks.select(F.col("_chunk").alias("_key"), carry.alias("_carry"),
+                          *[F.sum(f"{v}_s").over(before).alias(f"{v}_ps") for v in values],
+                          *[F.sum(f"{v}_c").over(before).alias(f"{v}_pc") for v in values])
+    steps = {}
+    for v, (_, integral) in values.items():
+        total, count = zero[v], F.lit(0).cast("bigint")
+        totals, counts = [total], [count]
+        for k in range(1, n + 1):
+            x = F.try_element_at(F.col("_carry"), F.lit(-k))[v]
+            total = _add(total, F.coalesce(x, zero[v]), integral)
+            count = count + F.when(x.isNull(), 0).otherwise(1)
+            totals.append(total)
+            counts.append(count)
+        steps |= {f"{v}_ts": F.array(*totals), f"{v}_tc": F.array(*counts)}
+    prior = prior.select("_key", *[f"{v}_p{k}" for v in values for k in "sc"], *[c.alias(k) for k, c in steps.items()])
+
+    # 4. both parts; the frame's length inside the chunk says how many rows come from before it
+    joined = rows.join(prior, F.col("_chunk") == F.col("_key"))
+    missing = F.greatest(F.lit(n) - (F.col("_rn") + end), F.lit(0)) + 1
+    out = {}
+    for m, (v, (_, integral)) in zip(metrics, values.items(), strict=True):
+        r, s = _names(m)
+        none = F.lit(0).cast("bigint")
+        out[s] = _ratio(_add(F.coalesce(f"{v}_es", zero[v]), F.coalesce(f"{v}_ps", zero[v]), integral),
+                        F.coalesce(f"{v}_ec", none) + F.coalesce(f"{v}_pc", none), integral)
+        out[r] = _ratio(_add(F.coalesce(f"{v}_ls", zero[v]), F.element_at(f"{v}_ts", missing), integral),
+                        F.coalesce(f"{v}_lc", none) + F.element_at(f"{v}_tc", missing), integral)
+    names = [x for m in metrics for x in _names(m)]
+    return joined.select(*[F.col(c) for c in original], *[out[k].alias(k) for k in names])
 
 
 def add_trailing_avg(df: DataFrame, metrics: Sequence[schemas.RollingMetric] = schemas.ALL_METRICS,
                      recent: int = schemas.RECENT_GAMES, order: Sequence[str] = DEFAULT_ORDER,
-                     season: str = "season", strategy: str = "auto",
-                     chunks: int | None = None, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+                     season: str = "season", strategy: str = "scan", as_of: str = "before_game") -> DataFrame:
     """Add ``{metric}_recent_avg`` and ``{metric}_season_avg`` for each metric,
-    partitioned by the metric's entity (``posteam`` or ``defteam``) and season."""
-    groups = _by_entity(metrics)
-    if strategy not in ("auto", "window", "scan"):
+    partitioned by the metric's entity (``posteam`` or ``defteam``) and season.
+
+    The first of ``order`` (the week) cuts an (entity, season) into chunks for
+    ``scan``; the whole of ``order`` should order a team's games without ties.
+    """
+    passes = {"scan": _scan_pass, "window": _window_pass}
+    if strategy not in passes:
         raise ValueError(f"unknown strategy {strategy!r}")
-    chosen = {e: strategy for e in groups}
     out = df
-    if strategy == "auto":
-        out = materialize(df, "trailing_input")
-        sizes = largest_groups(out, list(groups), season)
-        chosen = {e: "window" if sizes.get(e, 0) <= max_group_rows else "scan" for e in groups}
-    for entity, ms in groups.items():
-        if chosen[entity] == "window":
-            out = _window_pass(out, entity, ms, recent, order, season)
-        else:
-            out = _scan_pass(out, entity, ms, recent, order, season, chunks)
+    for entity, ms in _by_entity(metrics).items():
+        out = passes[strategy](out, entity, ms, recent, list(order), season, _ends(as_of))
     return out
 
 
 def rolling_offense(team_games: DataFrame, recent: int = schemas.RECENT_GAMES,
-                    order: Sequence[str] = DEFAULT_ORDER, strategy: str = "auto",
-                    chunks: int | None = None) -> DataFrame:
+                    order: Sequence[str] = DEFAULT_ORDER, strategy: str = "scan",
+                    as_of: str = "before_game") -> DataFrame:
     """W1 + W2: offence form of the row's ``posteam``."""
-    return add_trailing_avg(team_games, schemas.OFFENSE_METRICS, recent, order,
-                            strategy=strategy, chunks=chunks)
+    return add_trailing_avg(team_games, schemas.OFFENSE_METRICS, recent, order, strategy=strategy, as_of=as_of)
 
 
 def rolling_defense(team_games: DataFrame, recent: int = schemas.RECENT_GAMES,
-                    order: Sequence[str] = DEFAULT_ORDER, strategy: str = "auto",
-                    chunks: int | None = None) -> DataFrame:
+                    order: Sequence[str] = DEFAULT_ORDER, strategy: str = "scan",
+                    as_of: str = "before_game") -> DataFrame:
     """W3 + W4: defence form of the row's ``defteam`` (the offence's opponent)."""
-    return add_trailing_avg(team_games, schemas.DEFENSE_METRICS, recent, order,
-                            strategy=strategy, chunks=chunks)
+    return add_trailing_avg(team_games, schemas.DEFENSE_METRICS, recent, order, strategy=strategy, as_of=as_of)
 
 
 def team_form(team_games: DataFrame, recent: int = schemas.RECENT_GAMES,
-              order: Sequence[str] = DEFAULT_ORDER, strategy: str = "auto",
-              chunks: int | None = None) -> DataFrame:
+              order: Sequence[str] = DEFAULT_ORDER, strategy: str = "scan",
+              as_of: str = "before_game") -> DataFrame:
     """All 18 trailing columns."""
-    return add_trailing_avg(team_games, schemas.ALL_METRICS, recent, order,
-                            strategy=strategy, chunks=chunks)
+    return add_trailing_avg(team_games, schemas.ALL_METRICS, recent, order, strategy=strategy, as_of=as_of)

@@ -62,18 +62,23 @@ def dedupe(df: DataFrame, keys: Sequence[str] = ("game_id", "play_id"),
            order_by: Sequence[str] | None = None) -> DataFrame:
     """One row per key.
 
-    With ``order_by`` the survivor is the row with the smallest ordering tuple,
-    so reruns give the same rows.  It is a ``min_by`` aggregate: copies are
-    collapsed map-side (partial aggregation) before the shuffle, so one key
-    holding a large share of all rows never lands whole in one task.  Without
-    ``order_by`` Spark's ``dropDuplicates`` keeps an arbitrary copy.
+    The survivor is the least row by ``order_by`` and then by all other columns: a
+    total order, so whatever the layout of the input the same row stays.  An
+    ``order_by`` without a column beyond the keys orders nothing and is refused.
+
+    It is a ``min`` aggregate: copies are collapsed map-side (partial aggregation)
+    before the shuffle, so one key holding a large share of all rows never lands
+    whole in one task.  Rows of text cannot be kept in a hash aggregate's buffer, so
+    it sorts each task's rows by key; the rows are moved once.
     """
     keys = list(keys)
-    if not order_by:
+    first = [c for c in (order_by or ()) if c not in keys]
+    if order_by and not first:
+        raise ValueError(f"order_by {list(order_by)} has only key columns and leaves ties")
+    others = first + [c for c in df.columns if c not in keys and c not in first]
+    if not others:
         return df.dropDuplicates(keys)
-    others = [c for c in df.columns if c not in keys]
-    order = F.struct(*[F.col(c) for c in order_by])
-    best = F.min_by(F.struct(*[F.col(c) for c in others]), order).alias("_best")
+    best = F.min(F.struct(*[F.col(c) for c in others])).alias("_best")
     return df.groupBy(*keys).agg(best).select(
         *[F.col(c) if c in keys else F.col(f"_best.{c}").alias(c) for c in df.columns])
 
@@ -99,10 +104,12 @@ def clean_plays(bronze: DataFrame, keep_types: Sequence[str] = schemas.KEEP_TYPE
 
 
 def clean_odds(bronze: DataFrame, team_map=None, after: int = 2019,
-               week_names: Mapping[str, int] = schemas.LITERAL_WEEK_NAMES) -> DataFrame:
+               week_names: Mapping[str, int] = schemas.LITERAL_WEEK_NAMES,
+               last_regular: Mapping[int, int] | None = schemas.LAST_REGULAR_WEEK) -> DataFrame:
     """Bronze odds -> silver odds, 7 columns.
 
-    ``team_map`` defaults to the fixed 33-entry name -> code map; a DataFrame
+    Playoff rounds follow each season's last regular week (``last_regular``); None
+    gives the original's numbers, the same for all seasons (quirk Q3).  ``team_map`` defaults to the fixed 33-entry name -> code map; a DataFrame
     with ``team_name``/``team_code`` may be given instead.
     """
     df = filter_min_season(bronze, after)
@@ -112,7 +119,7 @@ def clean_odds(bronze: DataFrame, team_map=None, after: int = 2019,
                              "team_home": "home_team", "team_away": "away_team"})
     return df.select(
         F.col("season").cast("int").alias("season"),
-        normalise_week("week", week_names).alias("week"),
+        normalise_week("week", week_names, "season" if last_regular else None, last_regular).alias("week"),
         "home_team", "away_team",
         favourite_is_home("team_favorite_id", "home_team").alias("is_favorite_home"),
         F.col("spread_favorite").cast("double").alias("spread_favorite"),

@@ -8,11 +8,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 
 from gridcast import schemas
-from gridcast.operators.aggregate import (game_base_from_rollup, play_rollup, team_game_stats,
-                                         team_game_stats_from_rollup)
+from gridcast.operators.aggregate import game_base, team_game_stats
 from gridcast.operators.reshape import attach_form, attach_odds, side_pivot
 from gridcast.operators.rolling import DEFAULT_ORDER, team_form
-from gridcast.session import materialize
 
 
 @dataclass(frozen=True)
@@ -27,8 +25,7 @@ class GoldOptions:
     order: Sequence[str] = DEFAULT_ORDER
     defense_side: str = "own"
     check_unique_odds: bool = True
-    strategy: str = "auto"
-    chunks: int | None = None
+    strategy: str = "scan"
     metrics: Sequence[schemas.RollingMetric] = field(default=schemas.ALL_METRICS)
 
     @staticmethod
@@ -42,26 +39,17 @@ class GoldOptions:
         return GoldOptions(**base)
 
 
-def build_team_form(plays: DataFrame, opts: GoldOptions = GoldOptions()) -> DataFrame:
-    """Team-game stats + the 18 trailing columns."""
-    tg = team_game_stats(plays, opts.pass_types, opts.yard_rush_types)
-    return team_form(tg, opts.recent, opts.order, opts.strategy, opts.chunks)
-
-
 def build_gold(plays: DataFrame, odds: DataFrame | None, opts: GoldOptions = GoldOptions()) -> DataFrame:
     """Silver plays (+ silver odds) -> gold games.
 
-    The plays are aggregated once (``play_rollup``, partial+final) and that small
-    table is written to the shared folder; the game base and the team-game stats
-    are both re-aggregations of it, so the play table is read and shuffled once.
+    The game base and the team-game stats are two aggregates over the plays.  Where
+    the plays come out of their de-duplication both read its one exchange; where
+    they are a Parquet layer each scans only its columns.
     """
-    rollup = materialize(play_rollup(plays, opts.pass_types, opts.count_rush_types,
-                                     opts.yard_rush_types), "play_rollup")
-    base = game_base_from_rollup(rollup)
-    tg = team_game_stats_from_rollup(rollup)
-    form = team_form(tg, opts.recent, opts.order, opts.strategy, opts.chunks)
-    sides = side_pivot(form, opts.metrics, opts.defense_side)
-    games = attach_form(base, sides)
+    base = game_base(plays, opts.pass_types, opts.count_rush_types)
+    tg = team_game_stats(plays, opts.pass_types, opts.yard_rush_types)
+    form = team_form(tg, opts.recent, opts.order, opts.strategy)
+    games = attach_form(base, side_pivot(form, opts.metrics, opts.defense_side))
     if odds is None:
         return games
     return attach_odds(games, odds, check_unique=opts.check_unique_odds)

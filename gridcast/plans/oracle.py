@@ -12,12 +12,9 @@ from gridcast import schemas
 from gridcast.sources.standin import (STANDIN_AFTER, STANDIN_PLAY_TYPES, STANDIN_UNMAPPED_NATION,
                                       STANDIN_WEEK_NAMES, STANDIN_WEEK_NUMBERS)
 
-ROUND = 6
-
-
 def _dbl(x: str) -> str:
     d = f"try_cast({x} as double)"
-    return f"(case when isnan({d}) then null else {d} end)"
+    return f"(case when abs({d}) < 1e20 and not isnan({d}) then {d} end)"
 
 
 def _int(x: str) -> str:
@@ -96,7 +93,7 @@ fx_odds as (
     cast(-(q.game_id % 41) as double) / 2.0 as spread_favorite,
     case when q.game_id % 17 = 0 then ' ' else cast(30 + q.game_id % 36 as varchar) end as over_under_line
   from (select g.*, row_number() over (partition by season, week, hk, ak order by game_id) as rn
-        from fx_games g where g.game_id % 3 <> 0) q
+        from fx_games g) q
   join nation hn on q.hk = hn.n_nationkey join nation an on q.ak = an.n_nationkey
   where q.rn = 1
 )"""

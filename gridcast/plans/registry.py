@@ -47,9 +47,10 @@ def silver_plays(spark: SparkSession, sf_dir: str, keep_types=schemas.KEEP_TYPES
     return clean_plays(standin.plays(spark, sf_dir), keep_types, dedupe_order=DEDUPE_ORDER)
 
 
-def silver_odds(spark: SparkSession, sf_dir: str, week_names=standin.STANDIN_WEEK_NUMBERS) -> DataFrame:
+def silver_odds(spark: SparkSession, sf_dir: str, week_names=standin.STANDIN_WEEK_NUMBERS,
+                last_regular=None) -> DataFrame:
     return clean_odds(standin.odds(spark, sf_dir), standin.team_map(spark, sf_dir),
-                      after=standin.STANDIN_AFTER, week_names=week_names)
+                      after=standin.STANDIN_AFTER, week_names=week_names, last_regular=last_regular)
 
 
 def gold(spark: SparkSession, sf_dir: str, opts: GoldOptions = GoldOptions()) -> DataFrame:

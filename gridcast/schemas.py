@@ -20,6 +20,8 @@ KEEP_TYPES = ("pass", "run", "rush", "punt", "field_goal", "extra_point")
 
 # Odds file: playoff round names and the week numbers the original assigns them.
 LITERAL_WEEK_NAMES = {"Wildcard": 18, "Division": 19, "Conference": 20, "Superbowl": 21}
+# Last regular week from a season on (public schedule: 17 weeks, 18 from 2021).
+LAST_REGULAR_WEEK = {0: 17, 2021: 18}
 
 # Odds file: full team names -> team codes (33 entries, two names for Washington).
 TEAM_NAME_TO_CODE = {
@@ -58,12 +60,6 @@ TEAM_NAME_TO_CODE = {
     "Washington Football Team": "WAS",
 }
 
-# Team codes offered by the matchup page (32 teams; the Rams appear as LAR there).
-TEAM_CODES = (
-    "ARI", "ATL", "BAL", "BUF", "CAR", "CHI", "CIN", "CLE", "DAL", "DEN",
-    "DET", "GB", "HOU", "IND", "JAX", "KC", "LAC", "LAR", "LV", "MIA",
-    "MIN", "NE", "NO", "NYG", "NYJ", "PHI", "PIT", "SEA", "SF", "TB", "TEN", "WAS",
-)
 # Page code -> odds/gold code aliases (quirk Q9).
 TEAM_ALIASES = {"LAR": "LA"}
 
@@ -126,16 +122,6 @@ BRONZE_ODDS = T.StructType([
     T.StructField("over_under_line", T.StringType(), True),
 ])
 
-SILVER_ODDS = T.StructType([
-    T.StructField("season", T.IntegerType(), True),
-    T.StructField("week", T.IntegerType(), True),
-    T.StructField("home_team", T.StringType(), True),
-    T.StructField("away_team", T.StringType(), True),
-    T.StructField("is_favorite_home", T.IntegerType(), False),
-    T.StructField("spread_favorite", T.DoubleType(), True),
-    T.StructField("over_under_line", T.DoubleType(), True),
-])
-
 GAME_KEYS = ("game_id", "season", "game_date", "week", "home_team", "away_team",
              "div_game", "is_playoffs")
 TEAM_GAME_KEYS = ("game_id", "season", "week", "posteam", "defteam", "home_team", "away_team")

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -44,44 +47,59 @@ def _conf(spark: SparkSession, key: str):
 
 
 def is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process on one machine."""
     try:
         master = spark.sparkContext.master
     except Exception:  # noqa: BLE001 - no SparkContext handle (e.g. a Connect session)
         master = _conf(spark, "spark.master") or ""
-    return master.startswith("local")
+    return re.match(r"local(\[|$)", master) is not None
 
 
-_LOCAL_FALLBACK: dict = {}
+def configured_checkpoint_dir(spark: SparkSession) -> str | None:
+    """The shared folder the session names, if any."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no SparkContext handle (e.g. a Connect session)
+        return _conf(spark, "spark.checkpoint.dir")
+    return sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None) or _conf(spark, "spark.checkpoint.dir")
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for checkpoints and intermediate tables.
+    """Shared folder for checkpoints and intermediate tables: the one the cluster
+    names in ``spark.checkpoint.dir``.  A session without it is an error; what runs
+    in one process (tests, a smoke check) names a folder by ``use_own_folder``."""
+    folder = configured_checkpoint_dir(spark)
+    if not folder:
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    return folder
 
-    Uses the folder the cluster names in ``spark.checkpoint.dir``.  Only a
-    local-mode session without that setting (tests) gets a private temp folder;
-    on a cluster a missing setting is an error, never a machine-local path.
-    """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - no SparkContext handle (e.g. a Connect session)
-        sc = None
-    if sc is not None and sc.getCheckpointDir():
-        return sc.getCheckpointDir()
-    configured = (sc.getConf().get("spark.checkpoint.dir", None) if sc is not None else None) \
-        or _conf(spark, "spark.checkpoint.dir")
-    if not configured:
-        if not is_local(spark):
-            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        configured = _LOCAL_FALLBACK.setdefault("dir", tempfile.mkdtemp(prefix="gridcast-ckpt-"))
-    if sc is None:
-        return configured
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir()
+
+def use_own_folder(spark: SparkSession) -> None:
+    """Name a temporary folder where the session has none; in one process only."""
+    if not configured_checkpoint_dir(spark) and is_local(spark):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="gridcast-"))
+
+
+_SCRATCH: set[tuple[int, str]] = set()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for written intermediate tables."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/gridcast/{name}"
+    """A path in this application's own folder under the shared one, for written
+    intermediate tables.  The folder is deleted when the driver's Python ends."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/gridcast-{spark.sparkContext.applicationId}"
+    if (id(spark), root) not in _SCRATCH:
+        _SCRATCH.add((id(spark), root))
+        atexit.register(_delete, spark, root)
+    return f"{root}/{name}"
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    except Exception:  # noqa: BLE001 - the session is gone; its owner cleans the shared folder
+        pass
 
 
 def materialize(df, name: str):
@@ -90,7 +108,6 @@ def materialize(df, name: str):
     instead of recomputing upstream stages) and fixes values that must be seen
     identically by several branches.  One job, unlike ``checkpoint()`` which runs
     the plan once to count and again to save."""
-    import uuid
     path = scratch_path(df.sparkSession, f"{name}/{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -23,28 +23,65 @@ def _select_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
                       for c in columns])
 
 
+def list_files(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """Data files under the paths (files, folders or globs), in name order."""
+    jvm, conf, out = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), []
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(conf)
+        todo = list(fs.globStatus(p) or [])
+        if not todo:
+            raise FileNotFoundError(path)
+        while todo:
+            s = todo.pop()
+            name = s.getPath().getName()
+            if s.isDirectory():
+                todo += list(fs.listStatus(s.getPath()))
+            elif not name.startswith((".", "_")) and s.getLen() > 0:
+                out.append(s.getPath().toString())
+    return sorted(set(out))
+
+
+def read_headed_csv(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """CSV files as text columns, each by its own header, put together by name.
+
+    A header takes one read of a file's first line; files are scanned together where
+    their headers are equal, and the scans are unioned by name.
+    """
+    by_header: dict[tuple, list[str]] = {}
+    for f in list_files(spark, paths):
+        by_header.setdefault(tuple(spark.read.option("header", "true").csv(f).columns), []).append(f)
+    out = None
+    for header, files in by_header.items():
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
+        df = spark.read.schema(schema).option("header", "true").option("enforceSchema", "false").csv(files)
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    return spark.createDataFrame([], T.StructType()) if out is None else out
+
+
 def read_plays_csv(spark: SparkSession, path, seasons: Iterable[int] | None = None,
                    all_columns: bool = False) -> DataFrame:
-    """Bronze play-by-play CSV, one headered file per season, all text.
+    """Bronze play-by-play CSV, headered files, all text.
 
     ``path`` is a folder holding ``play_by_play_{season}.csv`` files, a file,
-    or a list of files.  All seasons are read by one scan (not one job per
-    season).  Without schema inference every column is text, so there is no
-    extra pass; columns are matched by header name and the CSV reader parses
-    only the selected ones.  ``all_columns`` keeps every header column.
+    or a list of files.  Every file is read by its own header and columns are
+    matched by name; files with equal headers share one scan.  Without schema
+    inference every column is text, so there is no extra pass, and the CSV reader
+    parses only the selected columns.  ``all_columns`` keeps every column that some
+    header has, null where a file lacks it.
     """
     paths = _as_list(path)
     if seasons is not None:
         root = paths[0].rstrip("/")
         paths = [f"{root}/play_by_play_{s}.csv" for s in seasons]
-    df = spark.read.option("header", "true").csv(paths)
+    df = read_headed_csv(spark, paths)
     return df if all_columns else _select_text(df, schemas.BRONZE_PLAY_COLUMNS)
 
 
 def read_odds_csv(spark: SparkSession, path) -> DataFrame:
     """Bronze odds CSV (S2).  Instead of an inference pass the used columns are
     matched by header name and given explicit types."""
-    df = spark.read.option("header", "true").csv(_as_list(path))
+    df = read_headed_csv(spark, _as_list(path))
     df = _select_text(df, schemas.BRONZE_ODDS.fieldNames())
     return df.select([F.col(f.name).try_cast(f.dataType).alias(f.name)
                       for f in schemas.BRONZE_ODDS.fields])
@@ -79,14 +116,14 @@ def _partitioned_writer(df: DataFrame, partition_col: str, within: Sequence[str]
 
 
 def write_season(df: DataFrame, path: str, partition_col: str = "season",
-                 within: Sequence[str] = ("game_id",), observation=None) -> None:
+                 within: Sequence[str] = ("game_id", "play_id"), observation=None) -> None:
     """Restate only the seasons present in ``df`` (dynamic partition overwrite)."""
     (_partitioned_writer(df, partition_col, within, observation)
      .option("partitionOverwriteMode", "dynamic").parquet(path))
 
 
 def write_layer(df: DataFrame, path: str, partition_col: str = "season",
-                within: Sequence[str] = ("game_id",), observation=None) -> None:
+                within: Sequence[str] = ("game_id", "play_id"), observation=None) -> None:
     """Overwrite the whole table, partitioned by season."""
     (_partitioned_writer(df, partition_col, within, observation)
      .option("partitionOverwriteMode", "static").parquet(path))
@@ -95,7 +132,3 @@ def write_layer(df: DataFrame, path: str, partition_col: str = "season",
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's parquet tables."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def empty_like(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)

@@ -1,16 +1,13 @@
 """Incremental bronze -> silver ingestion with Structured Streaming.
 
 The original job loops over season files on the driver and rewrites every season
-on each run.  Here new season files landing in the bronze folder are picked up by
-a file stream; each micro-batch is cleaned with the same silver operators and
-restates only the seasons it contains (dynamic partition overwrite), so a rerun
-with no new files does nothing and a corrected file restates just its season.
-Progress lives in the checkpoint location, so a restarted or failed run resumes
-where it stopped.
-
-A season is assumed to arrive in one file (as the source publishes it): the
-``(game_id, play_id)`` de-duplication then sees every copy of a play within one
-batch.
+on each run.  Here files landing in the bronze folder are picked up by a file
+stream; each micro-batch restates the seasons that its files touch, from all bronze
+files present (dynamic partition overwrite).  A season may thus arrive in any number
+of files, over any number of batches, with copies of a play spread over them, and
+a batch that is retried after a failure gives the same result: whatever the order,
+silver ends as the batch job's result over the same files.  A rerun with no new
+files does nothing.  Progress lives in the checkpoint location.
 """
 
 from __future__ import annotations
@@ -22,29 +19,40 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gridcast import schemas
+from gridcast.functions.columns import to_int
 from gridcast.operators.silver import clean_plays
 from gridcast.session import scratch_path
-from gridcast.sources.files import _select_text, write_season
+from gridcast.sources.files import read_plays_csv, write_season
 
 
-def plays_stream(spark: SparkSession, bronze_dir: str, max_files_per_trigger: int = 1) -> DataFrame:
-    """Streaming read of headered play-by-play CSV files, all columns text.
+def arrivals_stream(spark: SparkSession, bronze_dir: str, max_files_per_trigger: int = 100) -> DataFrame:
+    """Streaming read of the bronze folder as (file, line): it tells which files are
+    new; what is in them is read by each file's own header."""
+    return (spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger).text(bronze_dir)
+            .select(F.col("_metadata.file_path").alias("file")))
 
-    CSV schemas are positional, so the stream's schema is the header of the files
-    already present (read once, all text); new files must share that header, as
-    the source's season files do.  Used columns are then picked by name.
-    """
-    header = spark.read.option("header", "true").csv(bronze_dir).schema
-    stream = (spark.readStream.schema(header).option("header", "true")
-              .option("maxFilesPerTrigger", max_files_per_trigger).csv(bronze_dir))
-    return _select_text(stream, schemas.BRONZE_PLAY_COLUMNS)
+
+def restate_seasons(spark: SparkSession, new_files: Sequence[str], bronze_dir: str, silver_dir: str,
+                    keep_types: Sequence[str] = schemas.KEEP_TYPES,
+                    dedupe_order: Sequence[str] | None = None) -> None:
+    """Rewrite every season that is in ``new_files`` (null included) from all of bronze."""
+    found = read_plays_csv(spark, list(new_files)).select(to_int("season").alias("s")).distinct()
+    seasons = [r.s for r in found.collect()]   # a row per season
+    if not seasons:
+        return
+    bronze = read_plays_csv(spark, bronze_dir)
+    s = to_int("season")
+    touched = s.isin([x for x in seasons if x is not None])
+    if None in seasons:
+        touched = F.coalesce(touched, F.lit(False)) | s.isNull()
+    write_season(clean_plays(bronze.where(touched), keep_types, dedupe_order), silver_dir)
 
 
 def stream_plays_to_silver(spark: SparkSession, bronze_dir: str, silver_dir: str,
                            checkpoint: str | None = None,
                            keep_types: Sequence[str] = schemas.KEEP_TYPES,
-                           dedupe_order: Sequence[str] | None = ("play_id",),
-                           available_now: bool = True) -> StreamingQuery:
+                           dedupe_order: Sequence[str] | None = None,
+                           available_now: bool = True, max_files_per_trigger: int = 100) -> StreamingQuery:
     """Start the bronze -> silver stream; each batch restates its seasons.
 
     ``available_now`` processes everything present and stops (a scheduled job);
@@ -53,10 +61,11 @@ def stream_plays_to_silver(spark: SparkSession, bronze_dir: str, silver_dir: str
     checkpoint = checkpoint or scratch_path(spark, "streams/plays_silver")
 
     def write_batch(batch: DataFrame, _epoch: int) -> None:
-        silver = clean_plays(batch, keep_types, dedupe_order)
-        write_season(silver.where(F.col("season").isNotNull()), silver_dir)
+        files = [r.file for r in batch.select("file").distinct().collect()]   # max_files_per_trigger at most
+        if files:
+            restate_seasons(batch.sparkSession, files, bronze_dir, silver_dir, keep_types, dedupe_order)
 
-    writer = (plays_stream(spark, bronze_dir).writeStream.foreachBatch(write_batch)
-              .option("checkpointLocation", checkpoint))
+    writer = (arrivals_stream(spark, bronze_dir, max_files_per_trigger).writeStream
+              .foreachBatch(write_batch).option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
