@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridcast.functions.columns import exact_avg
+from gridcast.functions.columns import exact_avg, to_double
 from gridcast.operators.reshape import unpivot_counts
 
 
@@ -37,7 +37,7 @@ def column_summary(df: DataFrame, cols: Sequence[str] | None = None, stddev_digi
     parts = []
     for c in cols:
         x = F.col(f"`{c}`") if c in present else F.lit(None).cast("string")
-        num = x.cast("string").try_cast("double")
+        num = to_double(x.cast("string"))
         parts.append(F.struct(
             F.lit(c).alias("column_name"),
             F.count(x).alias("count"),
@@ -49,6 +49,15 @@ def column_summary(df: DataFrame, cols: Sequence[str] | None = None, stddev_digi
     return df.agg(F.array(*parts).alias("_s")).select(F.inline("_s"))
 
 
+def margin_disagreements(games: DataFrame) -> DataFrame:
+    """Per season, the games whose final scores (maxima over the kept plays) disagree
+    with the recorded margin, and those where one of the three is missing (Q15)."""
+    h, a, m = F.col("final_home_score"), F.col("final_away_score"), F.col("final_home_margin")
+    return games.groupBy("season").agg(
+        F.count(F.lit(1)).alias("n_games"), F.count_if(h - a != m).alias("n_disagree"),
+        F.count_if(h.isNull() | a.isNull() | m.isNull()).alias("n_unknown"))
+
+
 def layer_report(df: DataFrame, layer: str) -> DataFrame:
     """Row and column count of one layer (S7) as a one-row table."""
     return df.agg(F.count(F.lit(1)).alias("n_rows")).select(

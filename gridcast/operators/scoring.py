@@ -59,12 +59,20 @@ def _side_columns(latest: DataFrame, side: str, mode: str) -> list[Column]:
 
 def matchup_features(matchups: DataFrame, latest: DataFrame, mode: str = "own_side",
                      aliases: Mapping[str, str] = schemas.TEAM_ALIASES,
-                     spread: str = "vegas_spread", total: str = "vegas_total") -> DataFrame:
+                     spread: str = "vegas_spread", total: str = "vegas_total",
+                     spread_convention: str = "home_line") -> DataFrame:
     """Matchups (``home_team, away_team, vegas_spread, vegas_total`` + any keys) ->
     one feature row each (T2): home form from the home team's latest game, away
     form from the away team's, market columns from the request, and
-    ``is_favorite_home = spread < 0``.  A team without games gets null form.
+    ``is_favorite_home = spread < 0``.  A team without games gets null form and
+    ``teams_known`` false (Q9).
+
+    ``spread_convention`` says what ``spread_favorite`` becomes of the request's home
+    line: ``home_line`` passes it on as the original page does, ``favorite`` gives the
+    favourite's line (never positive), as the training data has it (Q7).
     """
+    if spread_convention not in ("home_line", "favorite"):
+        raise ValueError("spread_convention must be 'home_line' or 'favorite'")
     if mode not in ("literal", "own_side"):
         raise ValueError("mode must be 'literal' or 'own_side'")
 
@@ -75,11 +83,14 @@ def matchup_features(matchups: DataFrame, latest: DataFrame, mode: str = "own_si
         return expr
 
     req = matchups.withColumns({"_home_key": code("home_team"), "_away_key": code("away_team")})
-    home = latest.select(F.col("team").alias("_home_key"), *_side_columns(latest, "home", mode))
-    away = latest.select(F.col("team").alias("_away_key"), *_side_columns(latest, "away", mode))
+    home = latest.select(F.col("team").alias("_home_key"), F.lit(True).alias("_home_known"), *_side_columns(latest, "home", mode))
+    away = latest.select(F.col("team").alias("_away_key"), F.lit(True).alias("_away_known"), *_side_columns(latest, "away", mode))
     out = req.join(home, "_home_key", "left").join(away, "_away_key", "left")
-    return out.drop("_home_key", "_away_key").withColumns({
-        "spread_favorite": F.col(spread).cast("double"),
+    line = F.col(spread).cast("double")
+    known = F.coalesce(F.col("_home_known") & F.col("_away_known"), F.lit(False))
+    out = out.withColumn("teams_known", known)
+    return out.drop("_home_key", "_away_key", "_home_known", "_away_known").withColumns({
+        "spread_favorite": line if spread_convention == "home_line" else -F.abs(line),
         "over_under_line": F.col(total).cast("double"),
         "is_favorite_home": F.when(F.col(spread) < 0, 1).otherwise(0),
     })

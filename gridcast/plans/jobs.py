@@ -34,13 +34,14 @@ def bronze_to_silver(spark: SparkSession, plays_path: str, odds_path: str | None
     """Bronze CSV -> silver parquet (plays restated per season, odds overwritten)."""
     keep = schemas.LITERAL_KEEP_TYPES if literal else schemas.KEEP_TYPES
     bronze = read_plays_csv(spark, plays_path, seasons, all_columns=True)
-    silver = clean_plays(bronze, keep, dedupe_order=("play_id",) if not literal else None)
+    silver = clean_plays(bronze, keep)
     obs = Observation("silver_plays")   # row count gathered by the write itself, no extra pass
     write_season(silver, f"{out_root}/play_by_play", observation=obs)
     report = {"silver_plays_rows": obs.get["rows"], "silver_plays_columns": len(silver.columns)}
     if odds_path:
         oobs = Observation("silver_odds")
-        write_layer(clean_odds(read_odds_csv(spark, odds_path)), f"{out_root}/odds", within=("week",),
+        weeks = None if literal else schemas.LAST_REGULAR_WEEK
+        write_layer(clean_odds(read_odds_csv(spark, odds_path), last_regular=weeks), f"{out_root}/odds", within=("week",),
                     observation=oobs)
         report["silver_odds_rows"] = oobs.get["rows"]
     return report
@@ -82,8 +83,7 @@ def score(spark: SparkSession, gold_path: str, models_dir: str, matchups_path: s
                               "vegas_total": F.col("vegas_total").try_cast("double")}))
     models = [load_model(f"{models_dir}/{n}") for n in ("win", "spread", "total")]
     scored = score_matchups(matchups, read_gold(spark, gold_path), *models)
-    scored.withColumn("recommendations", F.col("recommendation_text")).drop("recommendation_text") \
-        .write.mode("overwrite").parquet(out)
+    scored.write.mode("overwrite").parquet(out)   # recommendations as an array and as text
 
 
 def main(argv=None) -> None:

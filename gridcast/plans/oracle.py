@@ -1,8 +1,9 @@
 """DuckDB oracle texts for the registered queries.
 
 Each text inlines the stand-in views (X1-X4) and the silver/gold stages as CTEs
-over the driver's base tables, written independently of the Spark code so the
-two engines check each other.  Averages are exact sums divided once, so doubles
+over the driver's base tables.  The clauses are written out here; names of metrics,
+play types and labels come from ``schemas``, which both sides share, so a wrong name
+there is not seen.  Averages are exact sums divided once, so doubles
 agree bit for bit without rounding.
 """
 
@@ -124,8 +125,8 @@ PLAYS_CLEAN_COLUMNS = ("play_id, game_id, game_date, season, week, is_playoffs,
                        "total_home_score, total_away_score, div_game, home_margin, src_seq")
 
 
-def odds_clean_cte(week_names=STANDIN_WEEK_NUMBERS, after=STANDIN_AFTER) -> str:
-    week_case = "case o.schedule_week " + " ".join(
+def odds_clean_cte(week_names=STANDIN_WEEK_NUMBERS, after=STANDIN_AFTER, week_case: str | None = None) -> str:
+    week_case = week_case or "case o.schedule_week " + " ".join(
         f"when '{k}' then {v}" for k, v in week_names.items()) + f" else {_int('o.schedule_week')} end"
     home = "coalesce(hm.team_code, o.team_home)"
     return f"""
@@ -190,7 +191,9 @@ def _metric_expr(m: schemas.RollingMetric) -> str:
     return f"(-1 * {m.source})" if m.negate else m.source
 
 
-def team_form_cte(metrics=schemas.ALL_METRICS, recent=schemas.RECENT_GAMES, source="team_games") -> str:
+def team_form_cte(metrics=schemas.ALL_METRICS, source="team_games",
+                  frame_recent="rows between 4 preceding and 1 preceding",
+                  frame_season="rows between unbounded preceding and 1 preceding") -> str:
     cols = []
     for m in metrics:
         w = "off" if m.entity == "posteam" else "def"
@@ -201,8 +204,7 @@ def team_form_cte(metrics=schemas.ALL_METRICS, recent=schemas.RECENT_GAMES, sour
         else:
             cols.append(f"{int_avg(x, f' over w_{w}_recent')} as {m.name}_recent_avg")
             cols.append(f"{int_avg(x, f' over w_{w}_season')} as {m.name}_season_avg")
-    frame_r = f"rows between {recent} preceding and 1 preceding"
-    frame_s = "rows between unbounded preceding and 1 preceding"
+    frame_r, frame_s = frame_recent, frame_season
     return f"""
 team_form as (
   select *, {', '.join(cols)}

@@ -473,99 +473,324 @@ def q_confusion_matrix(spark, sf_dir):
     return confusion_matrix(forecast_gold(spark, sf_dir), "home_win", "pred_home_win", by=("split",))
 
 
-# --- boosted-tree models (rows-only checks: no SQL equivalent) --------------------------
+# --- repairs and parameters of the survey's quirks ---------------------------------------
 
-from gridcast.operators.models import (fit_home_win, fit_margin, fit_total, load_model,  # noqa: E402
-                                       predict, residuals, save_model, top_importances)
+from gridcast.operators.quality import margin_disagreements  # noqa: E402
+from gridcast.sources.files import read_odds_csv, read_plays_csv  # noqa: E402
+
+# Last regular week by season of the season-aware stand-in weeks.
+_STANDIN_LAST_REGULAR = {0: 49, 1997: 50, 1998: 52}
+
+
+@register("odds_clean_season_weeks", O.with_ctes(O.STANDIN_CTES, O.odds_clean_cte(week_case="""
+  case o.schedule_week
+    when 'Wildcard' then (case when o.schedule_season >= 1998 then 53 when o.schedule_season >= 1997 then 51 else 50 end)
+    when 'Division' then (case when o.schedule_season >= 1998 then 54 when o.schedule_season >= 1997 then 52 else 51 end)
+    when 'Conference' then (case when o.schedule_season >= 1998 then 55 when o.schedule_season >= 1997 then 53 else 52 end)
+    when 'Superbowl' then (case when o.schedule_season >= 1998 then 56 when o.schedule_season >= 1997 then 54 else 53 end)
+    else try_cast(o.schedule_week as integer) end""")) + " select * from odds_clean")
+def q_odds_clean_season_weeks(spark, sf_dir):
+    """P7 (Q3 repaired): playoff rounds follow each season's last regular week."""
+    return rounded(silver_odds(spark, sf_dir, schemas.LITERAL_WEEK_NAMES, _STANDIN_LAST_REGULAR))
+
+
+def _form_after_sql() -> str:
+    cols = O.TEAM_GAME_COLUMNS + ("off_epa_avg",) + tuple(schemas.team_form_columns())
+    return (O.with_ctes(O.STANDIN_CTES, O.plays_clean_cte(), O.team_games_cte(),
+                        O.team_form_cte(frame_recent="rows between 3 preceding and current row",
+                                        frame_season="rows between unbounded preceding and current row"))
+            + f" select {O.round_list(cols, ints=O.TEAM_GAME_COLUMNS)} from team_form")
+
+
+@register("rolling_after_latest", _form_after_sql())
+def q_rolling_after_latest(spark, sf_dir):
+    """W1-W4 with frames that end at the current game (Q5 repaired): the form a
+    forecast of the next game starts from."""
+    return rounded(team_form(team_game_stats(silver_plays(spark, sf_dir)), as_of="after_latest"))
+
+
+@register("matchup_features_favorite_line", O.with_ctes(*gold_oracle_ctes(), _LATEST_CTE, _matchup_cte("own_side"))
+          + " select season, week, home_team, away_team, (-abs(vegas_spread) + 0.0) as spread_favorite, is_favorite_home"
+            " from matchups")
+def q_matchup_features_favorite_line(spark, sf_dir):
+    """T2 (Q7): the request's home line turned into the training data's convention,
+    the favourite's line with a separate flag."""
+    feats = matchup_features(_requests(spark, sf_dir), latest_team_game(gold(spark, sf_dir)),
+                             spread_convention="favorite")
+    return rounded(feats.select("season", "week", "home_team", "away_team", "spread_favorite", "is_favorite_home"))
+
+
+@register("matchup_unknown_teams", O.with_ctes(*gold_oracle_ctes(), _LATEST_CTE)
+          + " select n_name as home_team, 'N0' as away_team, exists (select 1 from latest l where l.team = n_name)"
+            " and exists (select 1 from latest l where l.team = 'N0') as teams_known from nation"
+            " union all select 'N' || n_nationkey, 'N0', exists (select 1 from latest l where l.team = 'N' || n_nationkey)"
+            " and exists (select 1 from latest l where l.team = 'N0') from nation")
+def q_matchup_unknown_teams(spark, sf_dir):
+    """T2 (Q9 repaired): requests that name a team without games are flagged rows, not
+    failures.  Every nation is asked for by its code and by its name, which no game has."""
+    from gridcast.sources.files import read_table
+    n = read_table(spark, sf_dir, "nation").select(F.explode(F.array(
+        "n_name", F.concat(F.lit("N"), F.col("n_nationkey").cast("string")))).alias("home_team"))
+    asked = n.select("home_team", F.lit("N0").alias("away_team"), F.lit(None).cast("double").alias("vegas_spread"),
+                     F.lit(None).cast("double").alias("vegas_total"))
+    return matchup_features(asked, latest_team_game(gold(spark, sf_dir))).select("home_team", "away_team", "teams_known")
+
+
+@register("margin_disagreements", O.with_ctes(O.STANDIN_CTES, O.plays_clean_cte(), O.game_base_cte())
+          + " select season, count(*) as n_games, count(*) filter (where final_home_score - final_away_score <> final_home_margin) as n_disagree,"
+            " count(*) filter (where final_home_score is null or final_away_score is null or final_home_margin is null) as n_unknown"
+            " from game_base group by season")
+def q_margin_disagreements(spark, sf_dir):
+    """Q15: games whose scores over the kept plays disagree with the recorded result."""
+    return margin_disagreements(game_base(silver_plays(spark, sf_dir)))
+
+
+@register("column_summary_odd_numbers", O.with_ctes(O.STANDIN_CTES, """
+odd as (
+  select case l_linenumber % 6 when 0 then 'NaN' when 1 then 'Infinity' when 2 then '-Infinity' when 3 then '1e30'
+         when 4 then 'NA' else cast(cast(l_quantity as integer) as varchar) end as x from lineitem
+)""") + """
+select 'x' as column_name, count(x) as count,
+  cast(sum(case when regexp_full_match(x, '[0-9]+') then cast(x as bigint) end) as double)
+    / count(case when regexp_full_match(x, '[0-9]+') then 1 end) as mean,
+  round(stddev_samp(case when regexp_full_match(x, '[0-9]+') then cast(x as double) end), 6) as stddev,
+  min(x) as min, max(x) as max from odd""")
+def q_column_summary_odd_numbers(spark, sf_dir):
+    """NaN, infinities and numbers out of range are text without a value."""
+    from gridcast.sources.files import read_table
+    kind = F.col("l_linenumber") % 6
+    x = (F.when(kind == 0, "NaN").when(kind == 1, "Infinity").when(kind == 2, "-Infinity").when(kind == 3, "1e30")
+         .when(kind == 4, "NA").otherwise(F.col("l_quantity").cast("int").cast("string")))
+    return rounded(column_summary(read_table(spark, sf_dir, "lineitem").select(x.alias("x")), ["x"]))
+
+
+# --- CSV sources ----------------------------------------------------------------------
+
+def _write_csv_by_season(df: DataFrame, path: str, season: str) -> None:
+    """The bronze table as headered CSV, one folder per season, the columns of odd
+    seasons in reverse order."""
+    odd = F.col(season).cast("int") % 2 == 1
+    columns = df.columns
+    for part, names in ((~odd, columns), (odd, columns[::-1])):
+        (df.where(part).select(*names).withColumn("_folder", F.col(season)).write.mode("append").partitionBy("_folder")
+         .option("header", "true").option("emptyValue", "").csv(path))
+
+
+def _without_folder(df: DataFrame) -> DataFrame:
+    return df.drop("_folder")
+
+
+@register("csv_plays_clean", O.with_ctes(O.STANDIN_CTES, O.plays_clean_cte())
+          + f" select {O.PLAYS_CLEAN_COLUMNS} from plays_clean")
+def q_csv_plays_clean(spark, sf_dir):
+    """Bronze plays written as season CSVs with columns in differing order, read
+    by each file's header, then cleaned like ``plays_clean``."""
+    path = f"{_own_folder(spark, 'bronze_plays')}"
+    _write_csv_by_season(standin.plays(spark, sf_dir), path, "season")
+    bronze = _without_folder(read_plays_csv(spark, path, all_columns=True))
+    silver = clean_plays(bronze, schemas.KEEP_TYPES, dedupe_order=DEDUPE_ORDER)
+    return rounded(silver.select(*_SILVER_COLUMNS))
+
+
+@register("csv_odds_clean", O.with_ctes(O.STANDIN_CTES, O.odds_clean_cte(schemas.LITERAL_WEEK_NAMES))
+          + " select * from odds_clean")
+def q_csv_odds_clean(spark, sf_dir):
+    """Bronze odds through CSV files with columns in differing order."""
+    path = f"{_own_folder(spark, 'bronze_odds')}"
+    _write_csv_by_season(standin.odds(spark, sf_dir), path, "schedule_season")
+    return rounded(clean_odds(read_odds_csv(spark, path), standin.team_map(spark, sf_dir), after=standin.STANDIN_AFTER,
+                              week_names=schemas.LITERAL_WEEK_NAMES, last_regular=None))
+
+
+def _own_folder(spark, name: str) -> str:
+    import uuid
+
+    from gridcast.session import scratch_path
+    return scratch_path(spark, f"{name}/{uuid.uuid4().hex}")
+
+
+# --- boosted-tree models ---------------------------------------------------------------
+
+from gridcast.operators.models import (feature_importances, fit_home_win, fit_margin, fit_total,  # noqa: E402
+                                       load_model, predict, residuals, save_model, top_importances)
 from gridcast.operators.scoring import score_matchups  # noqa: E402
+from gridcast.session import materialize, scratch_path  # noqa: E402
+from gridcast.sources.files import path_exists  # noqa: E402
+
+_FITS = {"win": fit_home_win, "spread": fit_margin, "total": fit_total}
+
+
+def training_folder(spark, sf_dir: str) -> str:
+    """The stand-in's training job: split gold and the three fitted pipelines (the
+    original's settings, 500 rounds) as files under the application's own folder.
+    A model that is there is not fitted again, as a training job's result is used by
+    many scoring jobs; what each query does beyond that is load and apply."""
+    import hashlib
+    root = scratch_path(spark, f"trained/{hashlib.sha256(sf_dir.encode()).hexdigest()[:16]}")
+    if not path_exists(spark, f"{root}/gold/_SUCCESS"):
+        split_gold(spark, sf_dir).write.mode("overwrite").parquet(f"{root}/gold")
+    return root
+
 
-# Boosting rounds for the registered fits.  The library default is the original's
-# 500; the registered queries train 20 rounds so the driver's check stays quick.
-# Row counts (what the check compares) do not depend on it.
-REGISTERED_GBT_ITER = 20
-_MODELS: dict = {}
-
-
-def trained(spark, sf_dir):
-    """(training table, win, spread, total models) for one data folder, trained once
-    per application.  The split gold table is written to the shared folder
-    first: the trainers make many passes and must not rebuild gold each time."""
-    try:
-        app = spark.sparkContext.applicationId
-    except Exception:  # noqa: BLE001 - no SparkContext handle
-        app = id(spark)
-    key = (app, sf_dir)
-    if key not in _MODELS:
-        from gridcast.session import materialize
-        data = materialize(split_gold(spark, sf_dir), "training_gold")
-        kw = dict(max_iter=REGISTERED_GBT_ITER)
-        _MODELS[key] = (data, fit_home_win(data, FEATURES, **kw), fit_margin(data, FEATURES, **kw),
-                        fit_total(data, FEATURES, **kw))
-    return _MODELS[key]
+def training_data(spark, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{training_folder(spark, sf_dir)}/gold")
+
+
+def trained(spark, sf_dir: str, name: str):
+    """One of the models, read from where the training job wrote it."""
+    path = f"{training_folder(spark, sf_dir)}/{name}"
+    if not path_exists(spark, f"{path}/metadata/_SUCCESS"):
+        save_model(_FITS[name](training_data(spark, sf_dir), FEATURES), path)
+    return load_model(path)
 
 
 def _held_out():
     return F.col("split").isin("val", "test")
 
 
+def _predicted(spark, sf_dir) -> DataFrame:
+    out = training_data(spark, sf_dir)
+    for name in _FITS:
+        out = predict(trained(spark, sf_dir, name), out)
+    return out
+
+
 @register("fit_home_win")
 def q_fit_home_win(spark, sf_dir):
     """M2 M3 M6: boosted home-win classifier; predictions on validation and test."""
-    data, win, _, _ = trained(spark, sf_dir)
-    return predict(win, data).where(_held_out()).select(
+    return predict(trained(spark, sf_dir, "win"), training_data(spark, sf_dir)).where(_held_out()).select(
         "game_id", "season", "split", "home_win", "pred_home_win", "prob_home_win")
 
 
 @register("fit_margin")
 def q_fit_margin(spark, sf_dir):
     """M5 M6: boosted home-margin regressor; predictions on validation and test."""
-    data, _, spread, _ = trained(spark, sf_dir)
-    return predict(spread, data).where(_held_out()).select(
+    return predict(trained(spark, sf_dir, "spread"), training_data(spark, sf_dir)).where(_held_out()).select(
         "game_id", "season", "split", "final_home_margin", "pred_spread")
 
 
 @register("fit_total")
 def q_fit_total(spark, sf_dir):
     """M4 M6: boosted total-points regressor; predictions on validation and test."""
-    data, _, _, total = trained(spark, sf_dir)
-    return predict(total, data).where(_held_out()).select(
+    return predict(trained(spark, sf_dir, "total"), training_data(spark, sf_dir)).where(_held_out()).select(
         "game_id", "season", "split", "final_total_score", "pred_total")
 
 
 @register("model_evaluation")
 def q_model_evaluation(spark, sf_dir):
     """M7 on the boosted models: accuracy, base rate, spread and total MAE per split."""
-    data, win, spread, total = trained(spark, sf_dir)
-    return evaluate(predict(total, predict(spread, predict(win, data))))
+    return evaluate(_predicted(spark, sf_dir))
 
 
 @register("top_importances")
 def q_top_importances(spark, sf_dir):
     """K3: the 15 most important features of the home-win model."""
-    _, win, _, _ = trained(spark, sf_dir)
-    return top_importances(win, FEATURES, spark=spark)
+    return top_importances(trained(spark, sf_dir, "win"), FEATURES, spark=spark)
+
+
+def _residuals(spark, sf_dir) -> DataFrame:
+    p = _predicted(spark, sf_dir)
+    both = (("total", "final_total_score", "pred_total"), ("spread", "final_home_margin", "pred_spread"))
+    parts = [residuals(p, label, pred, "test").withColumn("target", F.lit(t)) for t, label, pred in both]
+    return parts[0].unionByName(parts[1])
 
 
 @register("residuals")
 def q_residuals(spark, sf_dir):
-    """M8: actual vs predicted total points on the test split."""
-    data, _, _, total = trained(spark, sf_dir)
-    return residuals(predict(total, data), "final_total_score", "pred_total", "test")
+    """M8: actual vs predicted total points and home margin on the test split."""
+    return _residuals(spark, sf_dir)
+
+
+def _scored(spark, sf_dir) -> DataFrame:
+    return score_matchups(_requests(spark, sf_dir), gold(spark, sf_dir), *[trained(spark, sf_dir, n) for n in _FITS])
 
 
 @register("score_matchups")
 def q_score_matchups(spark, sf_dir):
-    """M9 T5: models saved to and loaded from the shared folder, then every priced
-    matchup scored with the latest form of both teams and labelled with edges."""
-    import uuid
+    """M9 T5: saved models loaded, then every priced matchup scored with the latest
+    form of both teams and labelled with edges."""
+    return _scored(spark, sf_dir).select(*_MATCHUP_KEYS, "prob_home_win", "pred_spread", "pred_total",
+                                         "recommendation_text")
 
-    from gridcast.session import scratch_path
-    _, win, spread, total = trained(spark, sf_dir)
-    root = scratch_path(spark, f"models/{uuid.uuid4().hex}")
-    loaded = []
-    for name, model in (("win", win), ("spread", spread), ("total", total)):
-        save_model(model, f"{root}/{name}")
-        loaded.append(load_model(f"{root}/{name}"))
-    scored = score_matchups(_requests(spark, sf_dir), gold(spark, sf_dir), *loaded)
-    return scored.select(*_MATCHUP_KEYS, "prob_home_win", "pred_spread", "pred_total",
-                         "recommendation_text")
+
+# What SQL can say of the models: which rows have a prediction and what must hold of it.
+
+_MODEL_GOLD = O.with_ctes(*gold_oracle_ctes(), f"""
+gold_split as (select *, {_SPLIT_SQL} as split from gold)""")
+
+
+@register("model_predictions_check", _MODEL_GOLD
+          + " select game_id, split, cast(home_win as integer) as home_win, cast(final_home_margin as integer) as final_home_margin,"
+            " cast(final_total_score as integer) as final_total_score, true as prob_in_range, true as class_follows,"
+            " true as numbers_finite from gold_split")
+def q_model_predictions_check(spark, sf_dir):
+    """M2-M6: every game of every split has its labels and predictions: probability in
+    [0, 1], class 1 exactly above one half, finite margin and total."""
+    p = _predicted(spark, sf_dir)
+    finite = [F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < 1e6) for c in ("pred_spread", "pred_total")]
+    return p.select("game_id", "split", "home_win", "final_home_margin", "final_total_score",
+                    F.col("prob_home_win").between(0.0, 1.0).alias("prob_in_range"),
+                    (F.col("pred_home_win").cast("int") == (F.col("prob_home_win") > 0.5).cast("int")).alias("class_follows"),
+                    (finite[0] & finite[1]).alias("numbers_finite"))
+
+
+@register("model_learning_check", _MODEL_GOLD
+          + " select count(*) as n_train, true as beats_mean_spread, true as beats_mean_total, true as beats_base_rate"
+            " from gold_split where split = 'train'")
+def q_model_learning_check(spark, sf_dir):
+    """M3-M5 M7: on the training games the models have a smaller error than the mean
+    label, and are right more often than the base rate."""
+    p = _predicted(spark, sf_dir).where("split = 'train'")
+
+    def err(a, b):
+        return F.avg(F.pow(F.col(a) - F.col(b), 2))
+
+    hit = F.avg((F.col("pred_home_win").cast("int") == F.col("home_win")).cast("double"))
+    base = F.greatest(F.avg(F.col("home_win").cast("double")), 1 - F.avg(F.col("home_win").cast("double")))
+    return p.agg(F.count("*").alias("n_train"), (err("pred_spread", "final_home_margin") < F.var_pop("final_home_margin")).alias("beats_mean_spread"),
+                 (err("pred_total", "final_total_score") < F.var_pop("final_total_score")).alias("beats_mean_total"), (hit > base).alias("beats_base_rate"))
+
+
+@register("model_reload_check", _MODEL_GOLD + " select split, count(*) as n_games, count(*) as n_equal from gold_split group by split")
+def q_model_reload_check(spark, sf_dir):
+    """M9: a model saved anew and loaded predicts every game as the one it came from."""
+    model, path = trained(spark, sf_dir, "win"), _own_folder(spark, "resaved")
+    save_model(model, path)
+    again = predict(load_model(path), predict(model, training_data(spark, sf_dir)).withColumnsRenamed(
+        {"prob_home_win": "p", "pred_home_win": "c"}))
+    equal = F.col("p").eqNullSafe(F.col("prob_home_win")) & F.col("c").eqNullSafe(F.col("pred_home_win"))
+    return again.groupBy("split").agg(F.count("*").alias("n_games"), F.count_if(equal).alias("n_equal"))
+
+
+@register("importances_check", "select unnest(['" + "', '".join(FEATURES) + "']) as feature, true as in_range, true as sums_to_one")
+def q_importances_check(spark, sf_dir):
+    """K3: an importance in [0, 1] for each of the 39 features, one in all."""
+    rows = feature_importances(trained(spark, sf_dir, "win"), FEATURES)   # a row per feature
+    whole = abs(sum(v for _, v in rows) - 1) < 1e-6
+    return spark.createDataFrame([(f, 0 <= v <= 1, whole) for f, v in rows], "feature string, in_range boolean, sums_to_one boolean")
+
+
+@register("residuals_check", _MODEL_GOLD
+          + " select game_id, 'total' as target, cast(final_total_score as double) as actual, true as adds_up from gold_split where split = 'test'"
+            " union all select game_id, 'spread', cast(final_home_margin as double), true from gold_split where split = 'test'")
+def q_residuals_check(spark, sf_dir):
+    """M8: actual values of both targets, and residual = predicted - actual."""
+    r = _residuals(spark, sf_dir)
+    return r.select("game_id", "target", "actual", (F.abs(F.col("residual") - (F.col("predicted") - F.col("actual"))) < 1e-9).alias("adds_up"))
+
+
+@register("score_matchups_check", O.with_ctes(*gold_oracle_ctes())
+          + " select season, week, home_team, away_team, spread_favorite as vegas_spread, over_under_line as vegas_total,"
+            " true as edges_follow from odds_clean")
+def q_score_matchups_check(spark, sf_dir):
+    """T5: every priced matchup is scored, and its edges follow from its predictions."""
+    s = _scored(spark, sf_dir)
+    text = F.col("recommendation_text")
+    win = F.when(F.col("prob_home_win") > 0.6, text.contains("BET HOME")).when(F.col("prob_home_win") < 0.4, text.contains("BET AWAY")).otherwise(
+        ~text.contains("BET HOME") & ~text.contains("BET AWAY"))
+    gap = F.col("pred_total") - F.col("vegas_total")
+    total = F.when(gap > 2.0, text.contains("BET OVER")).when(gap < -2.0, text.contains("BET UNDER")).otherwise(
+        ~text.contains("BET OVER") & ~text.contains("BET UNDER"))
+    lead = F.col("pred_spread") - F.col("vegas_spread")
+    spread = F.when(lead < -1.5, text.contains("OPPOSITE SPREAD")).otherwise(~text.contains("OPPOSITE SPREAD"))
+    return rounded(s.select(*_MATCHUP_KEYS, (win & total & spread).alias("edges_follow")))

@@ -42,6 +42,11 @@ def list_files(spark: SparkSession, paths: Sequence[str]) -> list[str]:
     return sorted(set(out))
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def read_headed_csv(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """CSV files as text columns, each by its own header, put together by name.
 
