@@ -23,7 +23,7 @@ def stage_table(df: DataFrame, name: str, compression: str = "snappy") -> DataFr
 
     Cuts the lineage (a lost executor costs a re-read, not a recomputation) and
     fixes the rows that several branches see.  The folder lives until
-    :func:`release`.
+    :func:`release`, or else as long as the application.
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"llm/{name}-{uuid.uuid4().hex}")
@@ -39,18 +39,21 @@ def drop_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def release(spark: SparkSession) -> int:
-    """Delete the staged tables made so far; call it when what was built on them has
-    been written.  Returns how many went."""
-    mine = [x for x in _OPEN if x[0] is spark]
-    for x in mine:
-        drop_path(spark, x[1])
-        _OPEN.remove(x)
-    return len(mine)
+def staged(spark: SparkSession) -> list[str]:
+    """Folders of the staged tables that are there."""
+    return [path for s, path in _OPEN if s is spark]
+
+
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Delete staged tables; what was built on them must have been written."""
+    for path in paths:
+        drop_path(spark, path)
+        if (spark, path) in _OPEN:
+            _OPEN.remove((spark, path))
 
 
 def stage_path(spark: SparkSession, name: str) -> str:
-    """A folder in the shared folder for a table that outlives :func:`release`."""
+    """A folder in the shared folder for a table of one's own."""
     return scratch_path(spark, f"llm/{name}")
 
 
