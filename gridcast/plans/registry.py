@@ -247,11 +247,8 @@ def q_layer_report(spark, sf_dir):
 def q_season_roundtrip(spark, sf_dir):
     """Silver plays written partitioned by season (whole table, then one
     season restated in place), read back with partition discovery, counted."""
-    import uuid
-
-    from gridcast.session import scratch_path
     from gridcast.sources.files import read_layer, write_layer, write_season
-    path = scratch_path(spark, f"season_roundtrip/{uuid.uuid4().hex}")
+    path = _own_folder(spark, "season_roundtrip")
     plays = silver_plays(spark, sf_dir)
     write_layer(plays, path)
     last = read_layer(spark, path).agg(F.max("season")).first()[0]
@@ -614,9 +611,11 @@ def _own_folder(spark, name: str) -> str:
 from gridcast.operators.models import (feature_importances, fit_home_win, fit_margin, fit_total,  # noqa: E402
                                        load_model, predict, residuals, save_model, top_importances)
 from gridcast.operators.scoring import score_matchups  # noqa: E402
-from gridcast.session import materialize, scratch_path  # noqa: E402
+from gridcast.session import scratch_path  # noqa: E402
 from gridcast.sources.files import path_exists  # noqa: E402
 
+#: Training rows in a partition.
+ROWS_A_PARTITION = 20_000
 _FITS = {"win": fit_home_win, "spread": fit_margin, "total": fit_total}
 
 
@@ -640,7 +639,10 @@ def trained(spark, sf_dir: str, name: str):
     """One of the models, read from where the training job wrote it."""
     path = f"{training_folder(spark, sf_dir)}/{name}"
     if not path_exists(spark, f"{path}/metadata/_SUCCESS"):
-        save_model(_FITS[name](training_data(spark, sf_dir), FEATURES), path)
+        data = training_data(spark, sf_dir)
+        # every round runs some jobs over all partitions: as many as the rows are worth
+        data = data.coalesce(max(1, data.count() // ROWS_A_PARTITION))
+        save_model(_FITS[name](data, FEATURES), path)
     return load_model(path)
 
 

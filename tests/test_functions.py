@@ -33,3 +33,12 @@ def test_exact_avg_is_order_independent(spark):
     from decimal import Decimal
     assert ea == eb == float(sum(Decimal(str(v)) for v in vals)) / len(vals)
     assert spark.createDataFrame([(None,)], "x double").agg(C.exact_avg("x").alias("m")).first().m is None
+
+
+def test_numbers_that_no_sum_can_hold_are_null(spark):
+    """NaN, infinities and out-of-range text have no value, in sums and counts alike."""
+    df = spark.createDataFrame([("NaN",), ("Infinity",), ("-Infinity",), ("1e30",), ("x",), ("",), ("1",), ("3",)], "t string")
+    r = df.select(C.to_double("t").alias("d")).agg(F.count("d").alias("n"), C.exact_avg("d").alias("m"), C.exact_sum("d").alias("s")).first()
+    assert (r.n, r.m, float(r.s)) == (2, 2.0, 4.0)
+    raw = df.select(F.col("t").try_cast("double").alias("d")).agg(C.exact_avg("d").alias("m")).first()
+    assert raw.m == 2.0

@@ -71,7 +71,22 @@ def test_input_order_and_partitioning_change_nothing(spark):
     bronze = bronze_plays(spark)
     a = build_gold(clean_plays(bronze, dedupe_order=("epa",)), None, GoldOptions(strategy="window"))
     shuffled = bronze.orderBy(F.rand(5)).repartition(7)
-    b = build_gold(clean_plays(shuffled, dedupe_order=("epa",)), None, GoldOptions(strategy="scan", chunks=3))
+    b = build_gold(clean_plays(shuffled, dedupe_order=("epa",)), None, GoldOptions(strategy="scan"))
     rows = lambda df: sorted((tuple(r) for r in df.select(sorted(df.columns)).collect()),
                              key=lambda t: tuple(repr(x) for x in t))
     assert rows(a) == rows(b)
+
+
+def test_wildcard_and_week_18_of_one_pairing_keep_their_lines(spark):
+    """In a season of 18 weeks the Wildcard game of a pairing that also met in week 18
+    has week 19; each game gets its own line (Q3)."""
+    from tests.fixtures import play
+    rows = [play("1", "w18", 2022, 18, "A", "B", "A", "B", "pass", "5", "0.1", "7", "3", date="2023-01-08"),
+            play("1", "wc", 2022, 19, "A", "B", "A", "B", "pass", "5", "0.1", "7", "3", date="2023-01-15", season_type="POST")]
+    plays = spark.createDataFrame([tuple(r[c] for c in schemas.BRONZE_PLAY_COLUMNS) for r in rows], schemas.BRONZE_PLAYS)
+    odds = spark.createDataFrame([(2022, "18", "Team A", "Team B", "A", -3.0, "40"), (2022, "Wildcard", "Team A", "Team B", "A", -9.0, "41")],
+                                 schemas.BRONZE_ODDS)
+    gold = build_gold(clean_plays(plays), clean_odds(odds, TEAM_MAP))
+    assert {r.game_id: r.spread_favorite for r in gold.collect()} == {"w18": -3.0, "wc": -9.0}
+    literal = clean_odds(odds, TEAM_MAP, last_regular=None)
+    assert [r.week for r in literal.collect()] == [18, 18]

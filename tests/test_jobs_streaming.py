@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gridcast import schemas
 from gridcast.plans import jobs
-from gridcast.sources.files import read_layer, read_plays_csv
+from gridcast.sources.files import read_gold, read_layer, read_plays_csv
 from gridcast.streaming.ingest import stream_plays_to_silver
 from tests.fixtures import PLAY_COLS, bronze_plays
 
@@ -66,3 +66,67 @@ def test_streaming_ingest_restates_seasons(spark, tmp_dir):
     q2 = stream_plays_to_silver(spark, f"{tmp_dir}/bronze", f"{tmp_dir}/silver", checkpoint=f"{tmp_dir}/ckpt")
     q2.awaitTermination(300)
     assert read_layer(spark, f"{tmp_dir}/silver").count() == 11
+
+
+def _plays_file(path, rows, columns):
+    with open(path, "w", newline="") as f:
+        w = csv.DictWriter(f, fieldnames=columns)
+        w.writeheader()
+        w.writerows({k: ("" if v is None else v) for k, v in r.items()} for r in rows)
+
+
+def test_files_are_read_by_their_own_headers(spark, tmp_dir):
+    rows = [r.asDict() for r in bronze_plays(spark).collect()]
+    _plays_file(f"{tmp_dir}/a.csv", rows[:7], PLAY_COLS)
+    _plays_file(f"{tmp_dir}/b.csv", rows[7:10], PLAY_COLS[::-1])
+    less = [c for c in PLAY_COLS if c != "wp"]
+    _plays_file(f"{tmp_dir}/c.csv", [{k: v for k, v in r.items() if k != "wp"} for r in rows[10:]], [*less, "more"])
+    got = sorted(tuple(r) for r in read_plays_csv(spark, tmp_dir).fillna("").collect())
+    want = sorted(tuple("" if r[c] is None or (c == "wp" and i >= 10) else r[c] for c in schemas.BRONZE_PLAY_COLUMNS) for i, r in enumerate(rows))
+    assert got == want
+    assert "more" in read_plays_csv(spark, tmp_dir, all_columns=True).columns
+
+
+def test_streaming_ingest_of_a_season_in_many_files(spark, tmp_dir):
+    """One file a batch, several files a season, copies of a play and null seasons
+    spread over them, a restart in between: silver is the batch job's result."""
+    rows = [r.asDict() for r in bronze_plays(spark).collect()]
+    rows[8] = rows[8] | {"season": None, "game_id": "gx"}
+    os.makedirs(f"{tmp_dir}/bronze")
+    parts = [rows[i::4] for i in range(4)]
+
+    def run():
+        stream_plays_to_silver(spark, f"{tmp_dir}/bronze", f"{tmp_dir}/silver", checkpoint=f"{tmp_dir}/ckpt",
+                               max_files_per_trigger=1).awaitTermination(300)
+
+    for i, part in enumerate(parts):
+        _plays_file(f"{tmp_dir}/bronze/play_by_play_{i}.csv", part, PLAY_COLS if i % 2 else PLAY_COLS[::-1])
+        if i == 2:
+            run()
+    run()
+    jobs.bronze_to_silver(spark, f"{tmp_dir}/bronze", None, f"{tmp_dir}/batch")
+    rows_of = lambda p: sorted(map(repr, (tuple(r) for r in read_layer(spark, p).select(*sorted(read_layer(spark, p).columns)).collect())))
+    assert rows_of(f"{tmp_dir}/silver") == rows_of(f"{tmp_dir}/batch/play_by_play") and len(rows_of(f"{tmp_dir}/silver")) == 11
+
+
+def test_train_and_score_jobs(spark, tmp_dir):
+    """S4 and the train and score jobs over a written gold table and a request file."""
+    import random
+    _write_bronze(spark, f"{tmp_dir}/bronze")
+    _write_odds(f"{tmp_dir}/odds.csv")
+    jobs.bronze_to_silver(spark, f"{tmp_dir}/bronze", f"{tmp_dir}/odds.csv", f"{tmp_dir}/silver")
+    jobs.silver_to_gold(spark, f"{tmp_dir}/silver", f"{tmp_dir}/gold")
+    r = random.Random(1)
+    gold = read_gold(spark, f"{tmp_dir}/gold")
+    one = gold.limit(1).drop("game_id", "home_win", "season")
+    keys = spark.createDataFrame([(f"n{i}", i % 2, r.choice([2020, 2021, 2023, 2024])) for i in range(40)], "game_id string, home_win int, season int")
+    more = keys.join(F.broadcast(one), F.lit(True)).select(*gold.columns)
+    gold.unionByName(more).write.parquet(f"{tmp_dir}/more")
+    rep = jobs.train(spark, f"{tmp_dir}/more", f"{tmp_dir}/models", max_iter=2)
+    assert rep["features"] == 39 and {m["split"] for m in rep["metrics"]} == {"train", "val", "test"}
+    with open(f"{tmp_dir}/asked.csv", "w") as f:
+        f.write("home_team,away_team,vegas_spread,vegas_total\nA,B,-3,44\nA,nobody,1,40\n")
+    jobs.score(spark, f"{tmp_dir}/more", f"{tmp_dir}/models", f"{tmp_dir}/asked.csv", f"{tmp_dir}/out")
+    out = {r.away_team: r for r in spark.read.parquet(f"{tmp_dir}/out").collect()}
+    assert out["B"].teams_known and not out["nobody"].teams_known
+    assert isinstance(out["B"].recommendations, list) and out["B"].recommendation_text == "; ".join(out["B"].recommendations)

@@ -14,11 +14,30 @@ def _plan(df) -> str:
 def test_filters_pushed_to_scan_and_no_cartesian(spark, tmp_dir):
     bronze_plays(spark).write.parquet(f"{tmp_dir}/bronze")
     bronze = spark.read.parquet(f"{tmp_dir}/bronze")
-    silver = clean_plays(bronze, dedupe_order=("play_id",))
+    silver = clean_plays(bronze, dedupe_order=("epa",))
     plan = _plan(silver)
     assert "PushedFilters: [In(play_type" in plan            # play-type filter reaches the scan
-    tg_plan = _plan(team_game_stats(silver))
-    assert "isnotnull(_best" in tg_plan or "IsNotNull(posteam)" in tg_plan
+    assert "HashAggregate" in _plan(team_game_stats(silver))
     gold_plan = _plan(build_gold(silver, None, GoldOptions(strategy="window")))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
         assert bad not in gold_plan
+
+
+def test_registered_plans_shuffle_by_no_hand(spark):
+    """No explicit repartition in front of a partial aggregate, no all-pairs join and no
+    Python in the registered plans over plays."""
+    from gridcast.plans import registry
+    sf = "/root/testdata/sf0.001"
+    for name in ("plays_clean", "latest_team_game", "gold_game_features"):
+        plan = _plan(registry.QUERIES[name](spark, sf))
+        for bad in ("REPARTITION_BY_COL", "CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython"):
+            assert bad not in plan, (name, bad)
+
+
+def test_scan_form_reads_its_exchanges_once(spark):
+    """The two sides of each chunk join share one exchange when the plan has run."""
+    from gridcast.plans import registry
+    df = registry.QUERIES["rolling_scan_strategy"](spark, "/root/testdata/sf0.001")
+    df.collect()
+    plan = _plan(df).split("== Initial Plan ==")[0]
+    assert plan.count("ReusedExchange") >= 2 and plan.count("Scan parquet") <= 6

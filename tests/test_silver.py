@@ -44,7 +44,7 @@ def test_map_values_dict_and_frame(spark):
 
 
 def test_clean_odds(spark):
-    odds = clean_odds(bronze_odds(spark), TEAM_MAP, after=2019).collect()
+    odds = clean_odds(bronze_odds(spark), TEAM_MAP, after=2019, last_regular=None).collect()
     assert len(odds) == 4                                   # 2019 dropped
     by_week = {(r.week, r.home_team): r for r in odds}
     assert (18, "A") in by_week and (18, "Unknown Name") in by_week   # Wildcard -> 18 collides with week 18
@@ -52,3 +52,16 @@ def test_clean_odds(spark):
     assert by_week[(2, "B")].is_favorite_home == 0          # null favourite
     assert by_week[(2, "B")].over_under_line is None        # blank line
     assert by_week[(18, "A")].over_under_line == 41.5
+    own = {(r.week, r.home_team) for r in clean_odds(bronze_odds(spark), TEAM_MAP, after=2020 - 1).collect()}
+    assert own == {(1, "A"), (2, "B"), (18, "A"), (18, "Unknown Name")}   # 2020 has 17 regular weeks
+
+
+def test_dedupe_order_is_total(spark):
+    """The survivor does not depend on the layout; an order by keys alone is refused."""
+    rows = [("g", "1", i % 7, i) for i in range(500)]
+    df = spark.createDataFrame(rows, "game_id string, play_id string, v int, w int")
+    layouts = [df, df.orderBy(F.desc("w")).coalesce(1), df.repartition(13, "w")]
+    assert {tuple(dedupe(x, order_by=("v",)).first()) for x in layouts} == {("g", "1", 0, 0)}
+    assert {tuple(dedupe(x).first()) for x in layouts} == {("g", "1", 0, 0)}
+    with pytest.raises(ValueError, match="ties"):
+        dedupe(df, order_by=("play_id",))
