@@ -22,20 +22,26 @@ from gridcast.operators.features import prefix_columns
 def latest_team_game(games: DataFrame, order: Sequence[str] = ("game_date", "game_id")) -> DataFrame:
     """Most recent game of every team, home or away.
 
-    Each game is listed once per side, then ``max_by`` per team keeps the row
-    with the largest ``order`` tuple.  It is a partial+final aggregate, so a team
-    with many games is reduced map-side, never gathered in one task.
+    Only teams and order columns are listed once per side and reduced to the largest
+    ``order`` tuple per team (partial+final, so a team with many games is reduced
+    map-side); the few winners, a row per team, then pick their whole rows from the
+    games.  ``order`` has to tell a team's games apart.
     Output: ``team``, ``is_home`` and every column of the chosen game row.
     """
     cols = games.columns
     sides = F.array(
         F.struct(F.col("home_team").alias("team"), F.lit(True).alias("is_home")),
         F.struct(F.col("away_team").alias("team"), F.lit(False).alias("is_home")))
-    per_side = games.select(F.inline(sides), *[F.col(c) for c in cols])
-    best = F.max_by(F.struct("is_home", *[F.col(c) for c in cols]),
-                    F.struct(*[F.col(c) for c in order]))
-    return per_side.groupBy("team").agg(best.alias("_g")).select(
-        "team", "_g.is_home", *[F.col(f"_g.{c}").alias(c) for c in cols])
+    best = F.max(F.struct(*order, "is_home")).alias("_w")
+    won = games.select(F.inline(sides), *order).groupBy("team").agg(best)
+    won = won.select(F.col("team").alias("_w_team"), F.col("_w.is_home").alias("_w_home"), *[F.col(f"_w.{c}").alias(f"_w_{c}") for c in order])
+    same = [F.col(c).eqNullSafe(F.col(f"_w_{c}")) for c in order]
+    side = F.when(F.col("_w_home"), F.col("home_team")).otherwise(F.col("away_team"))
+    on = same[0]
+    for c in same[1:]:
+        on = on & c
+    return games.join(won, on & side.eqNullSafe(F.col("_w_team"))).select(
+        F.col("_w_team").alias("team"), F.col("_w_home").alias("is_home"), *cols)
 
 
 def _side_columns(latest: DataFrame, side: str, mode: str) -> list[Column]:
