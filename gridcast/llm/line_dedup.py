@@ -28,6 +28,7 @@ equal results; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridcast.llm.common import NOT_SPACE_RE, SPACES, stage_table, text_of, words_of
+from gridcast.llm.common import SPACE_RE, SPACES, stage_table, text_of
 
 NEAR_WORDS = 8
 
@@ -57,23 +58,50 @@ def _place(id_col: str = "id") -> Column:
     return F.struct(F.col(id_col).isNull().alias("x"), F.col(id_col).alias("id"), "text_hash", "line")
 
 
-def _exploded(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, text_hash, line, words) for each line that has a word."""
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.posexplode(F.split(text_of(F.col(text_col)), "\n", -1)).alias("line", "s"))
-    return rows.select("id", "text_hash", "line", words_of(F.col("s")).alias("words")).filter(F.size("words") > 0)
+def normalised(line: Column) -> Column:
+    """The words of a line with one space between them."""
+    t = F.btrim(line, F.lit(SPACES))
+    return F.when(t.rlike(r"[\t\x0b\x0c\r]|\x20\x20"), F.regexp_replace(t, SPACE_RE, " ")).otherwise(t)
 
 
-def _halves(near_words: int) -> Column:
+def _first(s: Column, k: Column) -> Column:
+    return F.call_function("substring_index", s, F.lit(" "), k)
+
+
+def _halves(x: Column, near_words: int) -> Column:
     """Keys that a line shares with every line within the bound: its beginning and its
     end of half its own length and of half the next length."""
-    n, keys = F.size("words"), []
+    keys = []
     for longer in (0, 1):
-        m = n + longer
+        m = x.n + longer
         head = F.floor(m / 2).cast("int")
-        tail = m - head
-        keys += [F.xxhash64(m, F.lit("head"), F.slice("words", F.lit(1), head)),
-                 F.xxhash64(m, F.lit("tail"), F.slice("words", F.greatest(n - tail + 1, F.lit(1)), tail))]
-    return F.when(n >= near_words, F.array(*keys)).otherwise(F.array().cast("array<long>"))
+        keys += [F.xxhash64(m, F.lit("head"), _first(x.s, head)), F.xxhash64(m, F.lit("tail"), _first(x.s, head - m))]
+    return F.when(x.n >= near_words, F.array(*keys)).otherwise(F.array().cast("array<long>"))
+
+
+def _hashed(docs: DataFrame, id_col: str, text_col: str, near_words: int) -> DataFrame:
+    """(id, text_hash, lines): per document the lines that have a word, as (line, h, halves)."""
+    parts = F.transform(F.split(text_of(F.col(text_col)), "\n", -1), lambda s, i: F.struct(i.alias("line"), normalised(s).alias("s")))
+    counted = F.transform(F.filter(parts, lambda x: x.s != ""), lambda x: F.struct(
+        x.line.alias("line"), x.s.alias("s"), (F.regexp_count(x.s, F.lit(" ")) + 1).alias("n")))
+    lines = F.transform(counted, lambda x: F.struct(x.line.alias("line"), F.xxhash64(x.s).alias("h"), _halves(x, near_words).alias("halves")))
+    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), lines.alias("lines"))
+
+
+def _picked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, text_hash, line, h, words) of the wanted lines (line, h) of each text."""
+    for b in batches:
+        row, line, h, words = [], [], [], []
+        for r, (t, wanted) in enumerate(zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)):
+            lines = t.split("\n")
+            for x in wanted:
+                row.append(r)
+                line.append(x["line"])
+                h.append(x["h"])
+                words.append([w for w in re.split(SPACE_RE, lines[x["line"]]) if w])
+        at = pa.array(row, pa.int64())
+        yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(line, pa.int32()), pa.array(h, pa.int64()),
+                                          pa.array(words, pa.list_(pa.string()))], names=["id", "text_hash", "line", "h", "words"])
 
 
 # --- the deletion neighbourhood ----------------------------------------------
@@ -137,18 +165,22 @@ def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row per document row: id, ``text_hash``, ``n_lines`` (with a word),
     ``n_equal`` and ``n_near`` (gone because of an equal or a near line), and
     ``kept``, the numbers of the kept lines with a word, from 0."""
-    lines = stage_table(_exploded(docs, id_col, text_col).select(
-        "id", "text_hash", "line", F.size("words").alias("n"), F.xxhash64("words").alias("h"), _halves(near_words).alias("halves")), "lines")
+    hashed = stage_table(_hashed(docs, id_col, text_col, near_words), "lines")
+    lines = hashed.select("id", "text_hash", F.explode("lines").alias("x")).select("id", "text_hash", "x.*")
     distinct = stage_table(lines.groupBy("h").agg(F.min(_place()).alias("place"), F.first("halves").alias("halves")), "distinct-lines")
     halves = distinct.select("h", F.explode("halves").alias("key"))
     shared = halves.groupBy("key").agg(F.min("h").alias("a"), F.max("h").alias("b")).filter("a <> b").select("key")
     wanted = halves.join(shared, "key", "left_semi").select(F.col("h").alias("wh")).distinct()
     wanted = distinct.select("h", "place").join(wanted, F.col("h") == F.col("wh"), "left_semi")
-    wanted = wanted.select(F.col("h").alias("wh"), F.col("place.id").alias("wid"), F.col("place.text_hash").alias("wth"), F.col("place.line").alias("wline"))
-    # the places are the built side; texts are moved once and not sorted
-    texts = _exploded(docs, id_col, text_col).join(
-        wanted.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("wid")) & (F.col("text_hash") == F.col("wth")) & (F.col("line") == F.col("wline")))
-    texts = stage_table(texts.select(F.col("wh").alias("h"), "words", _place().alias("place")).dropDuplicates(["h"]), "line-texts", compression="zstd")
+    # of each document the lines wanted, no more than it has
+    wanted = (wanted.groupBy(F.xxhash64("place.id").alias("wi"), F.col("place.text_hash").alias("wt"))
+              .agg(F.collect_list(F.struct("place.line", "h")).alias("wanted")))
+    # the wanted lines are the built side; texts are moved once and not sorted
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(id_col).alias("i"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).cast("string").alias("text"))
+    rows = rows.join(wanted.hint("shuffle_hash"), (F.col("i") == F.col("wi")) & (F.col("text_hash") == F.col("wt"))).select("id", "text_hash", "text", "wanted")
+    id_type = rows.schema["id"].dataType.simpleString()
+    texts = rows.mapInArrow(_picked, f"id {id_type}, text_hash long, line int, h long, words array<string>")
+    texts = stage_table(texts.select("h", "words", _place().alias("place")).dropDuplicates(["h"]), "line-texts")
     keys = texts.select("h", "words").mapInArrow(_variants(near_words), "h long, key long, kind byte")
     keys = stage_table(keys, "line-variants")
     places = texts.select(F.col("h").alias("ph"), "place")
@@ -167,8 +199,7 @@ def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     dropped_near = near.select("h")
     first = distinct.join(dropped_near, "h", "left_semi").select(F.col("place.id").alias("nid"), F.col("place.text_hash").alias("nth"))
     n_near = first.groupBy("nid", "nth").agg(F.count("*").alias("n_near"))
-    n_lines = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"),
-                          F.size(F.filter(F.split(text_of(F.col(text_col)), "\n", -1), lambda x: x.rlike(NOT_SPACE_RE))).cast("long").alias("n_lines"))
+    n_lines = hashed.select("id", "text_hash", F.size("lines").cast("long").alias("n_lines"))
     zero = F.lit(0).cast("long")
     out = (n_lines.join(kept, F.col("id").eqNullSafe(F.col("kid")) & (F.col("text_hash") == F.col("kth")), "left")
            .join(n_near, F.col("id").eqNullSafe(F.col("nid")) & (F.col("text_hash") == F.col("nth")), "left"))
