@@ -1,27 +1,27 @@
 """Operator 7: quality classifier by an interpolated modified Kneser-Ney model.
 
-The model is of character 4-grams over a small fixed alphabet of classes, trained
-on trusted text: documents whose labels are all good and none toxic.  Tasks count
-their 4-grams, the counts meet in a sharded aggregate, and discounts,
-continuation counts, context totals and interpolated probabilities are aggregates
-and joins sharded by n-gram or context.  A model has at most
-``CLASSES ** ORDER`` probabilities whatever the corpus, 21 MB as a dense table,
-and with this proven bound it is broadcast for scoring (joining every n-gram of
-every document to the shards would move many times the input).
+The model is of 4-grams of real characters (``char_model``), trained on trusted text:
+documents whose labels are all good and none toxic.  Tasks count their 4-grams, the
+counts meet in a sharded aggregate, and discounts, continuation counts, context totals
+and interpolated probabilities are aggregates and joins sharded by n-gram or context.
+The tables grow with the corpus and are never gathered: for scoring, the distinct
+n-grams of each chunk of texts are joined to them.
 
 A document has its perplexity, and that of its ``HARD_RANK``-th hardest word (of
-three letters or more, words with digits are one symbol).  It is rejected if one
-of the two is above the quantile of its language, taken over trusted documents
-that were held out of training.  Languages with fewer than ``MIN_HELD`` of those
-use the quantile of all.
+three letters or more).  It is rejected if one of the two is above the quantile of its
+language, taken over all trusted documents.  Every text, trusted or not, is scored by
+the model that was trained without the fold that its hash is in, so equal texts get equal
+results and none is scored by a model that has seen it.  Languages with fewer than ``MIN_HELD`` of those use the quantile of all.
 
-Counts and quantiles cover all trusted documents and scoring covers whole texts;
-long texts are scored piece by piece in bounded memory.
+Counts and quantiles cover all trusted documents and scoring covers whole texts.
 
 Defined cases: a null, empty or blank text has null perplexities and is kept;
 null is a language of its own; equal rows get equal results; null label values
 are not trusted, ids that labels repeat must be good in all; without trusted text
 everything is kept with null perplexities; an empty table gives an empty result.
+
+``train`` and ``score`` are the earlier form, a dense table over 48 classes of
+characters.  Its tests hold them; the operator does not use them.
 """
 
 from __future__ import annotations
@@ -30,16 +30,16 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridcast.llm import char_model
 from gridcast.llm.common import stage_table
 
 ORDER = 4
 CLASSES = 48
-#: One in so many trusted documents is held out for the quantiles.
+#: Folds of the texts.
 HELD_PART = 5
 MIN_HELD = 20
 QUANTILE = 0.998
@@ -131,11 +131,11 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def trusted_ids(labels: DataFrame, id_col: str) -> DataFrame:
-    """(lid, held) for the documents that labels call good and not toxic."""
+    """(lid) of the documents that labels call good and not toxic."""
     good = (F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0)
     ids = (labels.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("lid"))
            .agg(F.min(F.coalesce(good, F.lit(False))).alias("good")).filter("good"))
-    return ids.select("lid", (F.pmod(F.xxhash64("lid", F.lit("held out")), F.lit(HELD_PART)) == 0).alias("held"))
+    return ids.select("lid")
 
 
 def _discounts(ones: int, twos: int, threes: int, fours: int) -> list[float]:
@@ -201,17 +201,62 @@ def score(text: str | None, logp: np.ndarray) -> tuple[float | None, float | Non
     return float(np.exp(-total / n)), float(np.exp(-hard[-1])) if len(hard) == HARD_RANK else None
 
 
-def scorer(df: DataFrame, logp: np.ndarray | None):
-    """Column function: struct (perplexity, hard_word) of a text."""
-    if logp is None:
-        return lambda text: F.lit(None).cast("struct<perplexity:double,hard_word:double>")
-    shared = df.sparkSession.sparkContext.broadcast(logp)  # CLASSES ** ORDER floats
+def symbols_of(text: str) -> Iterator[np.ndarray]:
+    """Code points of each piece of a text: runs of space are one, and the capital that
+    begins a word is lowered."""
+    for piece in pieces(text):
+        raw = np.frombuffer(piece.encode("utf-32-le", "replace"), np.uint32)
+        if len(raw):
+            space = class_table()[raw] == SPACE
+            begins = np.r_[True, space[:-1]]
+            c = np.where(space, char_model.SPACE, np.where(begins, lower_table()[raw], raw))
+            yield c[~(space & begins)]
+
+
+@cache
+def letter_table() -> np.ndarray:
+    """Whether each code point is a letter."""
+    return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
+
+
+def score_symbols(text: str | None, lookup) -> tuple[float | None, float | None]:
+    """Perplexity of a text and of its hard word; ``lookup`` gives the log
+    probabilities of symbols."""
+    total, n, hard = 0.0, 0, np.zeros(0)
+    for s in symbols_of(text or ""):
+        if not len(s) or (n == 0 and np.all(s == char_model.SPACE)):
+            continue
+        lp = lookup(s)
+        total, n = total + lp.sum(), n + len(lp)
+        word = np.cumsum(s == char_model.SPACE)
+        letters = np.bincount(word, weights=letter_table()[s])
+        mean = (np.bincount(word, weights=lp) / np.maximum(np.bincount(word), 1))[letters >= 3]
+        if len(mean) > HARD_RANK:
+            mean = np.partition(mean, HARD_RANK)[:HARD_RANK]
+        hard = np.sort(np.r_[hard, mean])[:HARD_RANK]
+    if not n or np.isnan(total):  # no text, or no model without its fold
+        return None, None
+    return float(np.exp(-total / n)), float(np.exp(-hard[-1])) if len(hard) == HARD_RANK else None
+
 
-    @F.pandas_udf("perplexity double, hard_word double")
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for s in batches:
-            yield pd.DataFrame([score(t, shared.value) for t in s], columns=["perplexity", "hard_word"], dtype="float64")
-    return of
+def _scores(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, lang_col: str, carry: tuple[str, ...]) -> DataFrame:
+    """(id, lang, trusted, perplexity, hard_word, doc), each by the model without its fold."""
+    rest = [F.struct(F.lit(0).alias("_"), *[c for c in carry if c != text_col]).alias("doc")]
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), text.alias("text"), *rest)
+    rows = rows.join(ids, F.col("id") == F.col("lid"), "left")
+    # chunks are cut once and written, as both the n-grams and the texts go by them
+    rows = rows.select(F.spark_partition_id().cast("long").alias("chunk"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("n_bytes"),
+                       "id", "lang", F.col("lid").isNotNull().alias("trusted"), F.pmod(F.xxhash64("text", F.lit("fold")), F.lit(HELD_PART)).cast("int").alias("m"), "text", "doc")
+    rows = stage_table(rows.mapInArrow(char_model.chunked, rows.schema), "chunks", compression="zstd")
+    model = char_model.train(rows.filter("trusted").select(F.col("m").alias("fold"), "text"), symbols_of, HELD_PART, _discounts)
+    if not model[0][-1].limit(1).count():
+        null = F.lit(None).cast("double")
+        rows = rows.withColumns({"perplexity": null, "hard_word": null})
+    else:
+        rows = char_model.scored(rows, model, symbols_of, score_symbols)
+    doc = [F.struct(*[F.col("text" if c == text_col else f"doc.`{c}`").alias(c) for c in carry]).alias("doc")] if carry else []
+    return rows.select("id", "lang", "trusted", "perplexity", "hard_word", *doc)
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -219,18 +264,12 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     """One row per document row: id, ``lang``, ``perplexity``, ``hard_word``, the two
     limits of its language, ``kept``, and the ``carry`` columns as struct ``doc``."""
     ids = trusted_ids(labels, label_id_col)
-    mine = ids.filter("not held").select("lid")
-    # the ids are the built side; texts are moved once and not sorted
-    texts = docs.select(F.col(id_col).alias("did"), F.col(text_col).alias("t")).join(mine.hint("shuffle_hash"), F.col("did") == F.col("lid")).select("t")
-    logp = train(texts)
-    kept = [F.struct(*carry).alias("doc")] if carry else []
-    rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), scorer(docs, logp)(F.col(text_col)).alias("s"), *kept)
-    rows = stage_table(rows.select("id", "lang", "s.perplexity", "s.hard_word", *(["doc"] if carry else [])), "scored")
-    held = rows.select("id", "lang", "perplexity", "hard_word").join(ids.filter("held"), F.col("id") == F.col("lid"))
+    rows = stage_table(_scores(docs, ids, id_col, text_col, lang_col, carry), "scored")
+    held = rows.filter("trusted").select("lang", "perplexity", "hard_word")
     limits = [F.percentile_approx(x, F.lit(quantile), F.lit(10_000)).alias(x) for x in ("perplexity", "hard_word")]
     by_lang = held.groupBy("lang").agg(F.count("*").alias("n"), *limits).filter(F.col("n") >= MIN_HELD).collect()  # a row per language
     everywhere = held.agg(*limits).first()
-    return verdict(rows, by_lang, everywhere).withColumnRenamed("id", id_col)
+    return verdict(rows.drop("trusted"), by_lang, everywhere).withColumnRenamed("id", id_col)
 
 
 def verdict(rows: DataFrame, by_lang, everywhere) -> DataFrame:

@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from gridcast.llm import char_model
 from gridcast.llm import kn_quality as kn
 from tests.llm.conftest import documents, odd_texts
 
@@ -91,3 +92,48 @@ def test_pieces_of_long_texts(spark):
     finally:
         kn.pieces.__defaults__ = old
     assert parts[0] == pytest.approx(whole[0], rel=0.05)
+
+
+def test_sharded_model_equals_brute_force_for_all_characters(spark):
+    """Real characters: Cyrillic, CJK and digits are symbols of their own, none of them in classes."""
+    texts = corpus(1, 8) + ["слово слева 1diot 漢字仮名 🙂", "снова словами a@b.c", "", None]
+    rows = spark.createDataFrame([(i % 3, t) for i, t in enumerate(texts)], "fold int, text string").repartition(3)
+    model = char_model.train(rows, kn.symbols_of, 3, kn._discounts)
+    for m in (0, 1):
+        counts = {4: Counter()}
+        for i, t in enumerate(texts):
+            if i % 3 != m:
+                for s in kn.symbols_of(t or ""):
+                    c = [32, 32, 32, *s.tolist()]
+                    counts[4].update(tuple(c[j:j + 4]) for j in range(len(c) - 3))
+        for k in (3, 2, 1):
+            counts[k] = Counter(g[1:] for g in counts[k + 1])
+        off = {k: kn._discounts(*[sum(v == i for v in c.values()) for i in (1, 2, 3, 4)]) for k, c in counts.items()}
+
+        def p(g, counts=counts, off=off):
+            k = len(g)
+            below = 1 / (len(counts[1]) + 1) if k == 1 else p(g[1:], counts, off)
+            rest = [n for h, n in counts[k].items() if h[:-1] == g[:-1]]
+            if not rest:
+                return below
+            n = counts[k].get(g, 0)
+            freed = sum(off[k][min(x, 3) - 1] for x in rest)
+            return ((n - off[k][min(n, 3) - 1]) if n else 0) / sum(rest) + freed / sum(rest) * below
+        grams = {tuple(map(ord, g)) for g in ("слов", "снов", "漢字仮名", "1dio", "the ", "zzzz", "th漢q", "\U0001f642\U0001f642 a")}
+        asked = spark.createDataFrame([(m, (g[0] << 42) | (g[1] << 21) | g[2], g[3]) for g in grams], "m int, ctx long, c int")
+        got = {(r.ctx, r.c): r.logp for r in char_model.log_probabilities(asked, model).collect()}
+        for g in grams:
+            assert got[(g[0] << 42) | (g[1] << 21) | g[2], g[3]] == pytest.approx(math.log(p(g)), abs=1e-9)
+
+
+def test_foreign_letters_and_words_with_digits_are_told_apart(spark):
+    """Letters that fell into one class, and junk that was one symbol like a number."""
+    r = random.Random(6)
+    word = lambda s: "".join(r.choices(s, k=5))
+    good = [" ".join(word("абвгд") for _ in range(40)) + " 2024" for _ in range(60)]
+    swap = {c: next(x for x in map(chr, range(0x4E00, 0x9FFF)) if kn.class_table()[ord(x)] == kn.class_table()[ord(c)]) for c in "абвгд"}
+    bad = [good[0].translate(str.maketrans(swap)), good[1] + " " + " ".join("".join(r.choices("0123456789abcdef", k=40)) for _ in range(20))]
+    labels = spark.createDataFrame([(i, 1, 0, "x") for i in range(50)], LABELS)
+    got = {r.doc_id: r for r in kn.classify(documents(spark, good + bad, lang=["ru"] * 62), labels).collect()}
+    assert sum(got[i].kept for i in range(60)) >= 55
+    assert not got[60].kept and not got[61].kept
