@@ -175,10 +175,23 @@ def training_order(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
 
 def write_shards(sequences: DataFrame, path: str) -> None:
     """One file for each shard in ``path/shard=N``; shards that are there already
-    stay, so a run that broke off is resumed by writing again."""
+    stay, so a run that broke off is resumed by writing again.  It is refused if one
+    of them holds other rows than ``sequences`` have for it: numbers follow the
+    input's splits, and shards of two numberings repeat sequences and lose others."""
     spark = sequences.sparkSession
     done = written_shards(spark, path)
-    (sequences.filter(~F.col("shard").isin(done)) if done else sequences).write.mode("append").partitionBy("shard").parquet(path)
+    if done:
+        mine, there = (_fingerprints(x.filter(F.col("shard").isin(done)), sequences.columns) for x in (sequences, spark.read.parquet(path)))
+        other = there.join(mine, there.columns, "left_anti").select("shard").first()
+        if other:
+            raise ValueError(f"shard {other.shard} under {path} is of another numbering of the sequences")
+        sequences = sequences.filter(~F.col("shard").isin(done))
+    sequences.write.mode("append").partitionBy("shard").parquet(path)
+
+
+def _fingerprints(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """(shard, n, mark): rows of each shard and what they hold, whatever their order."""
+    return rows.groupBy("shard").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64(*sorted(columns))).alias("mark"))
 
 
 def written_shards(spark: SparkSession, path: str) -> list[int]:

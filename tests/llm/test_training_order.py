@@ -60,3 +60,14 @@ def test_empty_null_and_repeated(spark, odd):
 def test_same_input_gives_same_slots(spark, odd):
     a, b = (sorted((r.doc_id, r.seq_no, r.slot) for r in to.training_order(odd, PATH, seq_len=64).collect()) for _ in range(2))
     assert a == b
+
+
+def test_resume_of_another_numbering_is_refused(spark, tmp_path):
+    """Other splits give other slots: the shards that are there belong to another permutation."""
+    docs = documents(spark, [f"text {i} " * i for i in range(60)])
+    a, b = (to.training_order(docs.repartition(n), PATH, seq_len=32, shard_len=8) for n in (2, 5))
+    path = str(tmp_path / "shards")
+    to.write_shards(a.filter("shard < 3"), path)
+    with pytest.raises(ValueError, match="another numbering"):
+        to.write_shards(b, path)
+    assert to.written_shards(spark, path) == [0, 1, 2]
