@@ -45,51 +45,64 @@ def keys_of(m: np.ndarray | int, ctx: np.ndarray, c: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(29))
 
 
-def _merged(m: int, parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct n-grams of some texts with their counts."""
-    ctx, c = (np.concatenate(x) for x in zip(*parts, strict=True))
-    _, at, n = np.unique(keys_of(m, ctx, c), return_index=True, return_counts=True)
-    return ctx[at], c[at], n
+Grams = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
-def _gathered(symbols: Callable[[str], Iterator[np.ndarray]], most: int = 4 << 20):
-    """(group, m, ctx, c, n) of (group, m, text): counts of runs of texts of a group."""
-    def rows(group: int, m: int, parts) -> pa.RecordBatch:
+def _merged(m: int, parts: list[Grams]) -> Grams:
+    """Distinct n-grams of some (ctx, c, n) with their counts."""
+    ctx, c, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+    _, at, back = np.unique(keys_of(m, ctx, c), return_index=True, return_inverse=True)
+    return ctx[at], c[at], np.bincount(back, weights=n, minlength=len(at)).astype(np.int64)
+
+
+def _gathered(symbols: Callable[[str], Iterator[np.ndarray]], most: int = 4 << 20, raw: int = 1 << 20):
+    """(group, m, ctx, c, n) of (group, m, text): counts of the texts of a group, which are
+    merged every ``raw`` symbols and handed on when a task holds ``most`` distinct n-grams."""
+    def rows(group: int, m: int, parts: list[Grams]) -> pa.RecordBatch:
         ctx, c, n = _merged(m, parts)
         k = len(ctx)
-        return pa.RecordBatch.from_arrays([pa.array(np.full(k, group, np.int64)), pa.array(np.full(k, m, np.int32)), pa.array(ctx), pa.array(c), pa.array(n.astype(np.int64))],
+        return pa.RecordBatch.from_arrays([pa.array(np.full(k, group, np.int64)), pa.array(np.full(k, m, np.int32)), pa.array(ctx), pa.array(c), pa.array(n)],
                                           names=["chunk", "m", "ctx", "c", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[int, int], list] = {}
-        size = 0
+        held: dict[tuple[int, int], list[Grams]] = {}
+        size: dict[tuple[int, int], int] = {}
+        total = new = 0
         for b in batches:
             for group, m, t in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
                 for s in symbols(t or ""):
                     if len(s):
-                        held.setdefault((group, m), []).append(grams_of(s))
-                        size += len(s)
-                    if size > most:
+                        held.setdefault((group, m), []).append((*grams_of(s), np.ones(len(s), np.int64)))
+                        size[group, m] = size.get((group, m), 0) + len(s)
+                        new += len(s)
+                    if new > raw:
+                        held = {k: [_merged(k[1], parts)] if size.get(k) else parts for k, parts in held.items()}
+                        size, new = {}, 0
+                        total = sum(len(parts[0][0]) for parts in held.values())
+                    if total > most:
                         for (g, k), parts in held.items():
                             yield rows(g, k, parts)
-                        held, size = {}, 0
+                        held, size, total, new = {}, {}, 0, 0
         for (g, k), parts in held.items():
             yield rows(g, k, parts)
     return run
 
 
-def chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Column 0, a partition number, becomes the number of a chunk; column 1 is the text."""
-    at = size = 0
-    for b in batches:
-        chunk = []
-        for n in b.column(1).to_pylist():
-            if size and size + n > CHUNK:
-                at, size = at + 1, 0
-            size += n
-            chunk.append(at)
-        first = pa.array(np.array(chunk, np.int64) + (b.column(0).to_numpy().astype(np.int64) << 32))
-        yield pa.RecordBatch.from_arrays([first, *b.columns[1:]], names=["chunk", *b.schema.names[1:]])
+def chunked(folds: int):
+    """Column 0, a partition number, becomes the number of a chunk of one fold; column 1 is
+    the bytes of the text and column 2 its fold."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, size, last = list(range(folds)), [0] * folds, folds
+        for b in batches:
+            chunk = []
+            for n, m in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                if size[m] and size[m] + n > CHUNK:
+                    at[m], size[m], last = last, 0, last + 1
+                size[m] += n
+                chunk.append(at[m])
+            first = pa.array(np.array(chunk, np.int64) + (b.column(0).to_numpy().astype(np.int64) << 32))
+            yield pa.RecordBatch.from_arrays([first, *b.columns[1:]], names=["chunk", *b.schema.names[1:]])
+    return run
 
 
 def _tail(k: int) -> Column:

@@ -11,7 +11,8 @@ A document has its perplexity, and that of its ``HARD_RANK``-th hardest word (of
 three letters or more).  It is rejected if one of the two is above the quantile of its
 language, taken over all trusted documents.  Every text, trusted or not, is scored by
 the model that was trained without the fold that its hash is in, so equal texts get equal
-results and none is scored by a model that has seen it.  Languages with fewer than ``MIN_HELD`` of those use the quantile of all.
+results and none is scored by a model that has seen it.  A language
+of few trusted documents is drawn smoothly to the quantile of all, moved to its median.
 
 Counts and quantiles cover all trusted documents and scoring covers whole texts.
 
@@ -31,7 +32,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridcast.llm import char_model
@@ -41,8 +42,11 @@ ORDER = 4
 CLASSES = 48
 #: Folds of the texts.
 HELD_PART = 5
-MIN_HELD = 20
-QUANTILE = 0.998
+QUANTILE = 0.995
+#: Documents that the values of all languages count as beside a language's own: for its
+#: median (a language varies less in itself than from others), and for its quantile, which fewer than 1 / (1 - QUANTILE) do not settle.
+MID_PRIOR, QUANTILE_PRIOR = 0.1, 200
+SCORES = ("perplexity", "hard_word")
 HARD_RANK = 2
 #: Characters scored at a time.
 PIECE = 1 << 20
@@ -247,8 +251,9 @@ def _scores(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, lang_co
     rows = rows.join(ids, F.col("id") == F.col("lid"), "left")
     # chunks are cut once and written, as both the n-grams and the texts go by them
     rows = rows.select(F.spark_partition_id().cast("long").alias("chunk"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("n_bytes"),
-                       "id", "lang", F.col("lid").isNotNull().alias("trusted"), F.pmod(F.xxhash64("text", F.lit("fold")), F.lit(HELD_PART)).cast("int").alias("m"), "text", "doc")
-    rows = stage_table(rows.mapInArrow(char_model.chunked, rows.schema), "chunks", compression="zstd")
+                       F.pmod(F.xxhash64("text", F.lit("fold")), F.lit(HELD_PART)).cast("int").alias("m"),
+                       "id", "lang", F.col("lid").isNotNull().alias("trusted"), "text", "doc")
+    rows = stage_table(rows.mapInArrow(char_model.chunked(HELD_PART), rows.schema), "chunks", compression="zstd")
     model = char_model.train(rows.filter("trusted").select(F.col("m").alias("fold"), "text"), symbols_of, HELD_PART, _discounts)
     if not model[0][-1].limit(1).count():
         null = F.lit(None).cast("double")
@@ -265,19 +270,36 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     limits of its language, ``kept``, and the ``carry`` columns as struct ``doc``."""
     ids = trusted_ids(labels, label_id_col)
     rows = stage_table(_scores(docs, ids, id_col, text_col, lang_col, carry), "scored")
-    held = rows.filter("trusted").select("lang", "perplexity", "hard_word")
-    limits = [F.percentile_approx(x, F.lit(quantile), F.lit(10_000)).alias(x) for x in ("perplexity", "hard_word")]
-    by_lang = held.groupBy("lang").agg(F.count("*").alias("n"), *limits).filter(F.col("n") >= MIN_HELD).collect()  # a row per language
-    everywhere = held.agg(*limits).first()
-    return verdict(rows.drop("trusted"), by_lang, everywhere).withColumnRenamed("id", id_col)
-
-
-def verdict(rows: DataFrame, by_lang, everywhere) -> DataFrame:
-    out = rows
-    for x in ("perplexity", "hard_word"):
-        limit = F.lit(everywhere[x]).cast("double")
-        for r in by_lang:
-            limit = F.when(F.col("lang").eqNullSafe(F.lit(r.lang)), F.lit(r[x]).cast("double")).otherwise(limit)
-        out = out.withColumn(f"{x}_limit", limit)
-    above = [F.coalesce(F.col(x) > F.col(f"{x}_limit"), F.lit(False)) for x in ("perplexity", "hard_word")]
-    return out.withColumn("kept", ~(above[0] | above[1]))
+    return verdict(rows.drop("trusted"), limits(rows.filter("trusted"), quantile)).withColumnRenamed("id", id_col)
+
+
+def limits(held: DataFrame, quantile: float) -> DataFrame:
+    """(lang, perplexity_limit, hard_word_limit): a row per language of ``held`` and one
+    without ``seen`` for the others.  A language's quantile is drawn to what all languages
+    give, moved to its own median, by as much as its number of documents is small."""
+    held = held.select("lang", *[F.log(x).alias(x) for x in SCORES])
+    at = lambda x, q: F.percentile_approx(x, F.lit(q), F.lit(10_000))
+    own = held.groupBy("lang").agg(F.count("*").alias("n"), *[at(x, 0.5).alias(f"{x}_mid") for x in SCORES], *[at(x, quantile).alias(f"{x}_own") for x in SCORES])
+    own = stage_table(own, "languages")  # a row per language, as the other tables that are broadcast here
+    away = held.join(F.broadcast(own.withColumnRenamed("lang", "l")), F.col("lang").eqNullSafe(F.col("l")))
+    every = F.broadcast(held.agg(*[at(x, 0.5).alias(f"{x}_all") for x in SCORES], *[at(x, quantile).alias(f"{x}_top") for x in SCORES]))
+    spread = F.broadcast(away.agg(*[at(F.col(x) - F.col(f"{x}_mid"), quantile).alias(f"{x}_off") for x in SCORES]))
+    n = F.col("n")
+
+    def limit(x: str) -> Column:
+        mid = (n * F.coalesce(f"{x}_mid", f"{x}_all") + MID_PRIOR * F.col(f"{x}_all")) / (n + MID_PRIOR)
+        moved = mid + F.col(f"{x}_off")
+        return F.exp((n * F.coalesce(f"{x}_own", moved) + QUANTILE_PRIOR * moved) / (n + QUANTILE_PRIOR)).alias(f"{x}_limit")
+
+    seen = own.crossJoin(every).crossJoin(spread).select(F.lit(True).alias("seen"), "lang", *map(limit, SCORES))
+    rest = every.select(F.lit(False).alias("seen"), F.lit(None).cast(held.schema["lang"].dataType).alias("lang"), *[F.exp(f"{x}_top").alias(f"{x}_limit") for x in SCORES])
+    return stage_table(seen.unionByName(rest), "limits")
+
+
+def verdict(rows: DataFrame, found: DataFrame) -> DataFrame:
+    names = [f"{x}_limit" for x in SCORES]
+    own = F.broadcast(found.filter("seen").select(F.col("lang").alias("l"), *[F.col(x).alias(f"own_{x}") for x in names], F.lit(True).alias("known")))
+    out = rows.join(own, F.col("lang").eqNullSafe(F.col("l")), "left").crossJoin(F.broadcast(found.filter("not seen").select(*names)))
+    out = out.withColumns({x: F.when(F.col("known"), F.col(f"own_{x}")).otherwise(F.col(x)) for x in names})
+    above = [F.coalesce(F.col(x) > F.col(f"{x}_limit"), F.lit(False)) for x in SCORES]
+    return out.select(*rows.columns, *names, (~(above[0] | above[1])).alias("kept"))

@@ -137,3 +137,17 @@ def test_foreign_letters_and_words_with_digits_are_told_apart(spark):
     got = {r.doc_id: r for r in kn.classify(documents(spark, good + bad, lang=["ru"] * 62), labels).collect()}
     assert sum(got[i].kept for i in range(60)) >= 55
     assert not got[60].kept and not got[61].kept
+
+
+def test_small_language_is_judged_by_its_own_level(spark):
+    """Few trusted documents of a language that is harder than the many of another."""
+    r = random.Random(8)
+    easy = corpus(7, 300)
+    hard = [" ".join("".join(r.choices("абвгдежзиклмнопрст", k=6)) for _ in range(40)) for _ in range(40)]
+    labels = spark.createDataFrame([(i, 1, 0, "x") for i in range(300)] + [(300 + i, 1, 0, "x") for i in range(30)], LABELS)
+    rows = kn.classify(documents(spark, easy + hard, lang=["en"] * 300 + ["ru"] * 40), labels).collect()
+    got = {x.doc_id: x for x in rows}
+    assert sum(got[i].kept for i in range(300, 340)) >= 37
+    limit = {x.lang: x.perplexity_limit for x in rows}
+    assert limit["ru"] > 1.5 * limit["en"]
+    assert limit["en"] < max(got[i].perplexity for i in range(300))
