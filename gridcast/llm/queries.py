@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from gridcast.llm import chat, decontam, kn_quality, line_dedup, mixing, pii, quality_rules, simhash, token_counts, training_order
+from gridcast.llm import chat, decontam, kn_quality, line_dedup, manifest, mixing, pii, quality_rules, simhash, token_counts, training_order
 from gridcast.llm.common import tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,6 +82,11 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all documents, held against a tampered copy."""
+    return manifest.verify(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_decontamination": op2_decontamination,
@@ -93,6 +98,7 @@ QUERIES: dict[str, Query] = {
     "op8_training_order": op8_training_order,
     "op9_pii": op9_pii,
     "op10_simhash_neardup": op10_simhash_neardup,
+    "op13_merkle_manifest": op13_merkle_manifest,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -119,6 +125,61 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
 FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN it USING (doc_id)
 """
 
+#: CRC-32 with its table made by the rule of the reversed polynomial 0xEDB88320;
+#: ``crc_of`` gives the unsigned value of a list of bytes, next to the table ``crc``.
+CRC_TABLE = """crc AS (
+  SELECT list(list_reduce([i] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM (SELECT unnest(range(256)) AS i))"""
+
+
+def crc_of(byte_list: str) -> str:
+    return (f"xor(list_reduce([4294967295::BIGINT] || ({byte_list}), lambda c, b: xor(t[CAST(xor(c, b) & 255 AS INTEGER) + 1], c >> 8)),"
+            " 4294967295)")
+
+
+def _leaf_sql(n_chars: str) -> str:
+    fields = [f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in ("doc_id", "source", "lang", n_chars, "text")]
+    return f"sha256({' || '.join(fields)})"
+
+
+OP13_SQL = f"""
+WITH RECURSIVE {CRC_TABLE},
+d AS (
+  SELECT doc_id, coalesce('=' || lang, '-') AS g, {_leaf_sql("n_chars")} AS leaf,
+         CASE WHEN {crc_of("list_transform(str_split(CAST(doc_id AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)")} % 7 = 0
+              THEN {_leaf_sql("(n_chars + 1)")} ELSE {_leaf_sql("n_chars")} END AS changed
+  FROM documents, crc),
+p AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM d),
+lv AS (
+  SELECT g, 0 AS l, list(leaf ORDER BY pos) AS nodes FROM p GROUP BY g
+  UNION ALL
+  SELECT g, l + 1, list_transform(range(0, (len(nodes) + 1) // 2), lambda i: sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], '')))
+  FROM lv WHERE len(nodes) > 1),
+tops AS (SELECT g, nodes[1] AS subroot, l AS height, row_number() OVER (ORDER BY g) - 1 AS pos FROM lv WHERE len(nodes) = 1),
+rl AS (
+  SELECT 0 AS l, list(subroot ORDER BY pos) AS nodes FROM tops
+  UNION ALL
+  SELECT l + 1, list_transform(range(0, (len(nodes) + 1) // 2), lambda i: sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], '')))
+  FROM rl WHERE len(nodes) > 1),
+steps AS (
+  SELECT p.g, p.pos, lv.l, (p.pos >> lv.l) & 1 AS odd, coalesce(lv.nodes[CAST(xor(p.pos >> lv.l, 1) + 1 AS BIGINT)], '') AS sib
+  FROM p JOIN lv ON lv.g = p.g AND len(lv.nodes) > 1
+  UNION ALL
+  SELECT p.g, p.pos, t.height + rl.l, (t.pos >> rl.l) & 1, coalesce(rl.nodes[CAST(xor(t.pos >> rl.l, 1) + 1 AS BIGINT)], '')
+  FROM p JOIN tops t ON t.g = p.g JOIN rl ON len(rl.nodes) > 1),
+proof AS (SELECT g, pos, list({{'odd': odd, 'sib': sib}} ORDER BY l) AS path, string_agg(sib, '' ORDER BY l) AS sibs FROM steps GROUP BY g, pos),
+fold AS (
+  SELECT p.g, p.pos, 0 AS k, changed AS acc, path FROM p LEFT JOIN proof USING (g, pos)
+  UNION ALL
+  SELECT g, pos, k + 1, CASE WHEN path[k + 1].odd = 1 THEN sha256(path[k + 1].sib || acc) ELSE sha256(acc || path[k + 1].sib) END, path
+  FROM fold WHERE k < coalesce(len(path), 0))
+SELECT doc_id, leaf, subroot, r.nodes[1] AS root, sha256(coalesce(sibs, '')) AS proof_sha256, acc AS folded_root, acc = r.nodes[1] AS verified
+FROM p JOIN (SELECT g, subroot FROM tops) USING (g) LEFT JOIN proof USING (g, pos)
+JOIN (SELECT g, pos, acc FROM fold WHERE k = coalesce(len(path), 0)) USING (g, pos)
+JOIN (SELECT nodes FROM rl WHERE len(nodes) = 1) r ON TRUE
+"""
+
 ORACLE: dict[str, str] = {
     "op2_decontamination": OP2_SQL,
+    "op13_merkle_manifest": OP13_SQL,
 } | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
