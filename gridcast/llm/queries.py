@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from gridcast.llm import chat, decontam, kn_quality, line_dedup, manifest, mixing, pii, quality_rules, simhash, token_counts, training_order
+from gridcast.llm import chat, decontam, kn_quality, line_dedup, manifest, mixing, pii, quality_rules, simhash, spelling, token_counts, training_order
 from gridcast.llm.common import tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,6 +82,11 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frequent words of all documents with their forms and roots."""
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"), delete_every=97)
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Proofs of all documents, held against a tampered copy."""
     return manifest.verify(table(spark, sf_dir, "documents"))
@@ -98,6 +103,7 @@ QUERIES: dict[str, Query] = {
     "op8_training_order": op8_training_order,
     "op9_pii": op9_pii,
     "op10_simhash_neardup": op10_simhash_neardup,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_merkle_manifest": op13_merkle_manifest,
     "pipeline": corpus_pipeline.run,
 }
@@ -179,7 +185,41 @@ JOIN (SELECT g, pos, acc FROM fold WHERE k = coalesce(len(path), 0)) USING (g, p
 JOIN (SELECT nodes FROM rl WHERE len(nodes) = 1) r ON TRUE
 """
 
+_WORD_BYTES = """flatten(list_transform(str_split(doc_id || ':' || run, ''),
+    lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [195::BIGINT, unicode(c)::BIGINT - 64] END))"""
+
+OP12_SQL = f"""
+WITH RECURSIVE {CRC_TABLE},
+runs AS (
+  SELECT doc_id, run, count(*) AS c
+  FROM (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS doc_id,
+               unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run
+        FROM documents) WHERE length(run) >= 5 GROUP BY ALL),
+hashed AS (SELECT run, c, {crc_of(_WORD_BYTES)} AS h FROM runs, crc),
+v AS (
+  SELECT word, CAST(sum(c) AS BIGINT) AS n
+  FROM (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, c FROM hashed)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3),
+cut AS (SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS less FROM (SELECT word, n, unnest(range(length(word))) AS i FROM v)),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.less = b.less AND a.i = b.i AND a.word <> b.word
+  UNION
+  SELECT cut.word, v.word, v.n FROM cut JOIN v ON v.word = less
+  UNION
+  SELECT v.word, cut.word, cut.n FROM cut JOIN v ON v.word = less),
+best AS (SELECT word, count(*) AS n_near, min({{'n': -other_n, 'w': other}}) AS best FROM near GROUP BY word),
+f AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -best.n >= 2 * v.n THEN best.w END AS form, CASE WHEN -best.n >= 2 * v.n THEN -best.n END AS form_n
+  FROM v LEFT JOIN best USING (word)),
+walk AS (
+  SELECT word, word AS at_word, form AS ahead FROM f
+  UNION ALL
+  SELECT walk.word, f.word, f.form FROM walk JOIN f ON f.word = walk.ahead)
+SELECT word, form, at_word AS root, n, n_near, form_n FROM f JOIN (SELECT word, at_word FROM walk WHERE ahead IS NULL) USING (word)
+"""
+
 ORACLE: dict[str, str] = {
+    "op12_spelling_variants": OP12_SQL,
     "op2_decontamination": OP2_SQL,
     "op13_merkle_manifest": OP13_SQL,
 } | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
