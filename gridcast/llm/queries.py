@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from gridcast.llm import chat, decontam, kn_quality, line_dedup, manifest, mixing, pii, quality_rules, simhash, spelling, token_counts, training_order
+from gridcast.llm import chat, decontam, kn_quality, line_dedup, manifest, mixing, packing, pii, quality_rules, simhash, spelling, token_counts, training_order
 from gridcast.llm.common import tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,6 +82,11 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of at most 1024 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frequent words of all documents with their forms and roots."""
     return spelling.spelling_variants(table(spark, sf_dir, "documents"), delete_every=97)
@@ -103,6 +108,7 @@ QUERIES: dict[str, Query] = {
     "op8_training_order": op8_training_order,
     "op9_pii": op9_pii,
     "op10_simhash_neardup": op10_simhash_neardup,
+    "op11_best_fit_packing": op11_best_fit_packing,
     "op12_spelling_variants": op12_spelling_variants,
     "op13_merkle_manifest": op13_merkle_manifest,
     "pipeline": corpus_pipeline.run,
