@@ -3,7 +3,7 @@
 The original serves one matchup per request from a pandas copy of the gold
 table.  Here a whole table of matchups is scored at once: the latest row of
 every team comes from one aggregate, matchups join it (one row per team, so
-Spark broadcasts it when small), the three models score the batch, and the
+Spark broadcasts it when small), the model scores the batch in one pass, and the
 market-edge rule is a column expression.
 """
 
@@ -11,12 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridcast import schemas
 from gridcast.operators.features import prefix_columns
+from gridcast.operators.models import GameModel, predict
 
 
 def latest_team_game(games: DataFrame, order: Sequence[str] = ("game_date", "game_id")) -> DataFrame:
@@ -146,11 +146,10 @@ def market_edges(df: DataFrame, prob: str = "prob_home_win", pred_spread: str =
         "recommendation_text", F.concat_ws("; ", "recommendations"))
 
 
-def score_matchups(matchups: DataFrame, games: DataFrame, win_model: PipelineModel,
-                   spread_model: PipelineModel, total_model: PipelineModel,
-                   mode: str = "own_side") -> DataFrame:
-    """Matchups -> features -> three model predictions -> market edges (T5)."""
-    from gridcast.operators.models import predict
-    feats = matchup_features(matchups, latest_team_game(games), mode)
-    scored = predict(total_model, predict(spread_model, predict(win_model, feats)))
+def score_matchups(matchups: DataFrame, games: DataFrame, *models: GameModel, mode: str = "own_side") -> DataFrame:
+    """Matchups -> features -> predictions -> market edges (T5).  A model that was
+    fitted for all targets scores them in one pass."""
+    scored = matchup_features(matchups, latest_team_game(games), mode)
+    for model in models:
+        scored = predict(model, scored)
     return market_edges(scored)

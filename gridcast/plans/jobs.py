@@ -19,8 +19,7 @@ from pyspark.sql import functions as F
 from gridcast import schemas
 from gridcast.operators.features import select_features
 from gridcast.operators.metrics import chrono_split, evaluate
-from gridcast.operators.models import (fit_home_win, fit_margin, fit_total, load_model, predict,
-                                       save_model, top_importances)
+from gridcast.operators.models import fit_games, load_model, predict, save_model, top_importances
 from gridcast.operators.scoring import score_matchups
 from gridcast.operators.silver import clean_odds, clean_plays
 from gridcast.plans.gold import GoldOptions, build_gold
@@ -61,18 +60,15 @@ def silver_to_gold(spark: SparkSession, silver_root: str, out: str, seasons=None
 def train(spark: SparkSession, gold_path: str, models_dir: str, train_to: int = schemas.TRAIN_TO_SEASON,
           val: int = schemas.VAL_SEASON, max_iter: int = schemas.GBT_MAX_ITER,
           early_stop: bool = False) -> dict:
-    """Fit the three models on the chronological split, save them, report metrics."""
+    """Fit the three targets on the chronological split, save the model, report metrics."""
     gold = read_gold(spark, gold_path)
     feats = select_features(gold)
     data = materialize(chrono_split(gold, train_to, val), "training_gold")
-    kw = dict(max_iter=max_iter, early_stop=early_stop)
-    models = {"win": fit_home_win(data, feats, **kw), "spread": fit_margin(data, feats, **kw),
-              "total": fit_total(data, feats, **kw)}
-    for name, m in models.items():
-        save_model(m, f"{models_dir}/{name}")
-    scored = predict(models["total"], predict(models["spread"], predict(models["win"], data)))
-    metrics = [r.asDict() for r in evaluate(scored).collect()]          # one row per split
-    top = [r.asDict() for r in top_importances(models["win"], feats, spark=spark).collect()]
+    model = fit_games(data, feats, max_iter=max_iter, early_stop=early_stop)
+    metrics = [r.asDict() for r in evaluate(predict(model, data)).collect()]          # one row per split
+    model.metrics = {r["split"]: {k: r[k] for k in ("accuracy", "mae_spread", "mae_total")} for r in metrics if r["split"]}
+    save_model(model, models_dir, spark)
+    top = [r.asDict() for r in top_importances(model, spark=spark).collect()]
     return {"features": len(feats), "metrics": metrics, "top_importances": top}
 
 
@@ -81,8 +77,9 @@ def score(spark: SparkSession, gold_path: str, models_dir: str, matchups_path: s
     matchups = (spark.read.option("header", "true").csv(matchups_path)
                 .withColumns({"vegas_spread": F.col("vegas_spread").try_cast("double"),
                               "vegas_total": F.col("vegas_total").try_cast("double")}))
-    models = [load_model(f"{models_dir}/{n}") for n in ("win", "spread", "total")]
-    scored = score_matchups(matchups, read_gold(spark, gold_path), *models)
+    gold = read_gold(spark, gold_path)
+    model = load_model(models_dir, select_features(gold), spark)
+    scored = score_matchups(matchups, gold, model)
     scored.write.mode("overwrite").parquet(out)   # recommendations as an array and as text
 
 

@@ -608,22 +608,18 @@ def _own_folder(spark, name: str) -> str:
 
 # --- boosted-tree models ---------------------------------------------------------------
 
-from gridcast.operators.models import (feature_importances, fit_home_win, fit_margin, fit_total,  # noqa: E402
-                                       load_model, predict, residuals, save_model, top_importances)
+from gridcast.operators.models import (GameModel, feature_importances, fit_games, load_model,  # noqa: E402
+                                       predict, residuals, save_model, top_importances)
 from gridcast.operators.scoring import score_matchups  # noqa: E402
 from gridcast.session import scratch_path  # noqa: E402
-from gridcast.sources.files import path_exists  # noqa: E402
-
-#: Training rows in a partition.
-ROWS_A_PARTITION = 20_000
-_FITS = {"win": fit_home_win, "spread": fit_margin, "total": fit_total}
+from gridcast.sources.files import path_exists, read_gold  # noqa: E402
 
 
 def training_folder(spark, sf_dir: str) -> str:
-    """The stand-in's training job: split gold and the three fitted pipelines (the
-    original's settings, 500 rounds) as files under the application's own folder.
-    A model that is there is not fitted again, as a training job's result is used by
-    many scoring jobs; what each query does beyond that is load and apply."""
+    """The stand-in's training job: split gold and the model (the original's settings,
+    500 rounds) as files under the application's own folder.  A model that is there is
+    not fitted again, as a training job's result is used by many scoring jobs; what
+    each query does beyond that is load and apply."""
     import hashlib
     root = scratch_path(spark, f"trained/{hashlib.sha256(sf_dir.encode()).hexdigest()[:16]}")
     if not path_exists(spark, f"{root}/gold/_SUCCESS"):
@@ -632,18 +628,15 @@ def training_folder(spark, sf_dir: str) -> str:
 
 
 def training_data(spark, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{training_folder(spark, sf_dir)}/gold")
+    return read_gold(spark, f"{training_folder(spark, sf_dir)}/gold")
 
 
-def trained(spark, sf_dir: str, name: str):
-    """One of the models, read from where the training job wrote it."""
-    path = f"{training_folder(spark, sf_dir)}/{name}"
-    if not path_exists(spark, f"{path}/metadata/_SUCCESS"):
-        data = training_data(spark, sf_dir)
-        # every round runs some jobs over all partitions: as many as the rows are worth
-        data = data.coalesce(max(1, data.count() // ROWS_A_PARTITION))
-        save_model(_FITS[name](data, FEATURES), path)
-    return load_model(path)
+def trained(spark, sf_dir: str) -> GameModel:
+    """The model of all targets, read from where the training job wrote it."""
+    path = f"{training_folder(spark, sf_dir)}/model"
+    if not path_exists(spark, path):
+        save_model(fit_games(training_data(spark, sf_dir), FEATURES), path, spark)
+    return load_model(path, FEATURES, spark)
 
 
 def _held_out():
@@ -651,30 +644,27 @@ def _held_out():
 
 
 def _predicted(spark, sf_dir) -> DataFrame:
-    out = training_data(spark, sf_dir)
-    for name in _FITS:
-        out = predict(trained(spark, sf_dir, name), out)
-    return out
+    return predict(trained(spark, sf_dir), training_data(spark, sf_dir))
 
 
 @register("fit_home_win")
 def q_fit_home_win(spark, sf_dir):
     """M2 M3 M6: boosted home-win classifier; predictions on validation and test."""
-    return predict(trained(spark, sf_dir, "win"), training_data(spark, sf_dir)).where(_held_out()).select(
+    return predict(trained(spark, sf_dir).only("win"), training_data(spark, sf_dir)).where(_held_out()).select(
         "game_id", "season", "split", "home_win", "pred_home_win", "prob_home_win")
 
 
 @register("fit_margin")
 def q_fit_margin(spark, sf_dir):
     """M5 M6: boosted home-margin regressor; predictions on validation and test."""
-    return predict(trained(spark, sf_dir, "spread"), training_data(spark, sf_dir)).where(_held_out()).select(
+    return predict(trained(spark, sf_dir).only("spread"), training_data(spark, sf_dir)).where(_held_out()).select(
         "game_id", "season", "split", "final_home_margin", "pred_spread")
 
 
 @register("fit_total")
 def q_fit_total(spark, sf_dir):
     """M4 M6: boosted total-points regressor; predictions on validation and test."""
-    return predict(trained(spark, sf_dir, "total"), training_data(spark, sf_dir)).where(_held_out()).select(
+    return predict(trained(spark, sf_dir).only("total"), training_data(spark, sf_dir)).where(_held_out()).select(
         "game_id", "season", "split", "final_total_score", "pred_total")
 
 
@@ -687,7 +677,7 @@ def q_model_evaluation(spark, sf_dir):
 @register("top_importances")
 def q_top_importances(spark, sf_dir):
     """K3: the 15 most important features of the home-win model."""
-    return top_importances(trained(spark, sf_dir, "win"), FEATURES, spark=spark)
+    return top_importances(trained(spark, sf_dir), spark=spark)
 
 
 def _residuals(spark, sf_dir) -> DataFrame:
@@ -704,7 +694,7 @@ def q_residuals(spark, sf_dir):
 
 
 def _scored(spark, sf_dir) -> DataFrame:
-    return score_matchups(_requests(spark, sf_dir), gold(spark, sf_dir), *[trained(spark, sf_dir, n) for n in _FITS])
+    return score_matchups(_requests(spark, sf_dir), gold(spark, sf_dir), trained(spark, sf_dir))
 
 
 @register("score_matchups")
@@ -756,18 +746,21 @@ def q_model_learning_check(spark, sf_dir):
 @register("model_reload_check", _MODEL_GOLD + " select split, count(*) as n_games, count(*) as n_equal from gold_split group by split")
 def q_model_reload_check(spark, sf_dir):
     """M9: a model saved anew and loaded predicts every game as the one it came from."""
-    model, path = trained(spark, sf_dir, "win"), _own_folder(spark, "resaved")
-    save_model(model, path)
-    again = predict(load_model(path), predict(model, training_data(spark, sf_dir)).withColumnsRenamed(
-        {"prob_home_win": "p", "pred_home_win": "c"}))
-    equal = F.col("p").eqNullSafe(F.col("prob_home_win")) & F.col("c").eqNullSafe(F.col("pred_home_win"))
+    model, path = trained(spark, sf_dir), _own_folder(spark, "resaved")
+    save_model(model, path, spark)
+    names = ("prob_home_win", "pred_home_win", "pred_total", "pred_spread")
+    first = predict(model, training_data(spark, sf_dir)).withColumnsRenamed({c: f"first_{c}" for c in names})
+    again = predict(load_model(path, FEATURES, spark), first)
+    equal = F.lit(True)
+    for c in names:
+        equal = equal & F.col(c).eqNullSafe(F.col(f"first_{c}"))
     return again.groupBy("split").agg(F.count("*").alias("n_games"), F.count_if(equal).alias("n_equal"))
 
 
 @register("importances_check", "select unnest(['" + "', '".join(FEATURES) + "']) as feature, true as in_range, true as sums_to_one")
 def q_importances_check(spark, sf_dir):
     """K3: an importance in [0, 1] for each of the 39 features, one in all."""
-    rows = feature_importances(trained(spark, sf_dir, "win"), FEATURES)   # a row per feature
+    rows = feature_importances(trained(spark, sf_dir))   # a row per feature
     whole = abs(sum(v for _, v in rows) - 1) < 1e-6
     return spark.createDataFrame([(f, 0 <= v <= 1, whole) for f, v in rows], "feature string, in_range boolean, sums_to_one boolean")
 

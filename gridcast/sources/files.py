@@ -43,8 +43,27 @@ def list_files(spark: SparkSession, paths: Sequence[str]) -> list[str]:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _file_system(spark, path)
+    return fs.exists(p)
+
+
+def _file_system(spark: SparkSession, path: str):
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    p, fs = _file_system(spark, path)
+    fs.delete(p, True)
+
+
+def rename_path(spark: SparkSession, old: str, new: str) -> None:
+    """Give a written folder its name; fails if the store refuses."""
+    p, fs = _file_system(spark, old)
+    target = _file_system(spark, new)[0]
+    fs.mkdirs(target.getParent())
+    if not fs.rename(p, target):
+        raise OSError(f"cannot rename {old} to {new}")
 
 
 def read_headed_csv(spark: SparkSession, paths: Sequence[str]) -> DataFrame:

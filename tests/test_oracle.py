@@ -30,10 +30,10 @@ def few_rounds():
     from functools import partial
 
     from gridcast.plans import registry
-    full = dict(registry._FITS)
-    registry._FITS.update({k: partial(f, max_iter=3) for k, f in full.items()})
+    full = registry.fit_games
+    registry.fit_games = partial(full, max_iter=3)
     yield
-    registry._FITS.update(full)
+    registry.fit_games = full
 
 
 # those of the llm subpackage are in its own test folder
