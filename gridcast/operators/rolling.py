@@ -8,14 +8,14 @@ game, for a forecast of the next one (quirk Q5).
 
 ``scan`` (the default) is a prefix scan over deterministic chunks: the rows of one
 entity, season and week.  A window inside each chunk gives the sums over the
-chunk's earlier rows; a table with one row per chunk holds its totals and its last
-``recent`` rows, and a window over that table (at most one row per week of an
+chunk's earlier rows; the last row of each chunk holds its totals and the values of
+its last ``recent`` rows, and a window over these rows (at most one per week of an
 (entity, season)) what lies before each chunk.  A row's frames are its chunk's part
 plus the part before.  So a hot team-season spreads over as many tasks as it has
 weeks, nothing is measured or written while the plan is built, and the row count
-never changes the plan.  The rows and their chunk table read the same exchange:
-the tails keep whole rows, so both sides need the same columns and Spark's
-adaptive execution runs the exchange once.
+never changes the plan.  The input is read once for the rows and once, in the keys
+and values alone, for the chunks, for each entity: give it a written table, as the
+gold build and the registered queries do.
 
 ``window`` is the plain ``avg(x) over (partition by entity, season order by week,
 game_id rows ...)``: one task per (entity, season), for small groups.
@@ -114,10 +114,12 @@ def _scan_pass(df: DataFrame, entity: str, metrics, recent: int, order, season:
                              for k, agg, w in (("_es", F.sum, earlier), ("_ec", F.count, earlier),
                                                ("_ls", F.sum, last), ("_lc", F.count, last))})
 
-    # 2. one row per chunk: totals and last n rows
-    tail = F.collect_list(F.struct(*base.drop("_chunk").columns)).over(inside.rowsBetween(1 - n, 0))
-    chunks = (base.withColumn("_tail", tail).withColumn("_rn", F.row_number().over(inside)).groupBy("_chunk")
-              .agg(F.max_by("_tail", "_rn").alias("_tail"), *[F.sum(v).alias(f"{v}_s") for v in values], *[F.count(v).alias(f"{v}_c") for v in values]))
+    # 2. one row per chunk, its last: totals and the values of the last n rows
+    so_far = inside.rowsBetween(Window.unboundedPreceding, 0)
+    chunks = base.select(
+        "_chunk", F.collect_list(F.struct(*values)).over(inside.rowsBetween(1 - n, 0)).alias("_tail"),
+        F.lead(F.lit(1)).over(inside).isNull().alias("_end"),
+        *[F.sum(v).over(so_far).alias(f"{v}_s") for v in values], *[F.count(v).over(so_far).alias(f"{v}_c") for v in values]).where("_end")
 
     # 3. what lies before each chunk: sums, and sums of the last 0 .. n rows
     over = Window.partitionBy("_chunk.e", "_chunk.s").orderBy("_chunk.w")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from gridcast import schemas
 from gridcast.operators.features import prefix_columns
 from gridcast.operators.models import GameModel, predict
+from gridcast.session import materialize
 
 
 def latest_team_game(games: DataFrame, order: Sequence[str] = ("game_date", "game_id")) -> DataFrame:
@@ -149,7 +150,8 @@ def market_edges(df: DataFrame, prob: str = "prob_home_win", pred_spread: str =
 def score_matchups(matchups: DataFrame, games: DataFrame, *models: GameModel, mode: str = "own_side") -> DataFrame:
     """Matchups -> features -> predictions -> market edges (T5).  A model that was
     fitted for all targets scores them in one pass."""
-    scored = matchup_features(matchups, latest_team_game(games), mode)
+    # a row per team, written once: both sides of a matchup read it
+    scored = matchup_features(matchups, materialize(latest_team_game(games), "latest"), mode)
     for model in models:
         scored = predict(model, scored)
     return market_edges(scored)

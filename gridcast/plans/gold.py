@@ -8,9 +8,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 
 from gridcast import schemas
-from gridcast.operators.aggregate import game_base, team_game_stats
+from gridcast.operators.aggregate import game_base_of, play_rollup, team_games_of
 from gridcast.operators.reshape import attach_form, attach_odds, side_pivot
 from gridcast.operators.rolling import DEFAULT_ORDER, team_form
+from gridcast.session import materialize
 
 
 @dataclass(frozen=True)
@@ -42,12 +43,12 @@ class GoldOptions:
 def build_gold(plays: DataFrame, odds: DataFrame | None, opts: GoldOptions = GoldOptions()) -> DataFrame:
     """Silver plays (+ silver odds) -> gold games.
 
-    The game base and the team-game stats are two aggregates over the plays.  Where
-    the plays come out of their de-duplication both read its one exchange; where
-    they are a Parquet layer each scans only its columns.
+    The plays are aggregated once, to a rollup by game and side, which is written in
+    the shared folder: what follows reads these few rows a game as often as it needs
+    to, and a lost executor costs a read of them.
     """
-    base = game_base(plays, opts.pass_types, opts.count_rush_types)
-    tg = team_game_stats(plays, opts.pass_types, opts.yard_rush_types)
+    rollup = materialize(play_rollup(plays, opts.pass_types, opts.count_rush_types, opts.yard_rush_types), "rollup")
+    base, tg = game_base_of(rollup), team_games_of(rollup)
     form = team_form(tg, opts.recent, opts.order, opts.strategy)
     games = attach_form(base, side_pivot(form, opts.metrics, opts.defense_side))
     if odds is None:

@@ -16,6 +16,7 @@ from gridcast.operators.rolling import rolling_defense, rolling_offense, team_fo
 from gridcast.operators.silver import clean_odds, clean_plays
 from gridcast.plans import oracle as O
 from gridcast.plans.gold import GoldOptions, build_gold
+from gridcast.session import materialize
 from gridcast.sources import standin
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +54,17 @@ def silver_odds(spark: SparkSession, sf_dir: str, week_names=standin.STANDIN_WEE
                       after=standin.STANDIN_AFTER, week_names=week_names, last_regular=last_regular)
 
 
+def team_games(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Team-game stats as a written table, which the trailing form reads several times."""
+    return materialize(team_game_stats(silver_plays(spark, sf_dir)), "team_games")
+
+
+def latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest game of every team as a written table of a row per team, from written
+    gold: what matchups are joined to has no lineage behind it."""
+    return materialize(latest_team_game(materialize(gold(spark, sf_dir), "gold")), "latest")
+
+
 def gold(spark: SparkSession, sf_dir: str, opts: GoldOptions = GoldOptions()) -> DataFrame:
     return build_gold(silver_plays(spark, sf_dir), silver_odds(spark, sf_dir), opts)
 
@@ -124,25 +136,25 @@ def _form_sql(metrics) -> str:
 @register("rolling_offense", _form_sql(schemas.OFFENSE_METRICS))
 def q_rolling_offense(spark, sf_dir):
     """Offence form over the last 4 games and the season to date."""
-    return rounded(rolling_offense(team_game_stats(silver_plays(spark, sf_dir))))
+    return rounded(rolling_offense(team_games(spark, sf_dir)))
 
 
 @register("rolling_defense", _form_sql(schemas.DEFENSE_METRICS))
 def q_rolling_defense(spark, sf_dir):
     """Defence form (negated EPA, points and yards allowed)."""
-    return rounded(rolling_defense(team_game_stats(silver_plays(spark, sf_dir))))
+    return rounded(rolling_defense(team_games(spark, sf_dir)))
 
 
 @register("rolling_window_strategy", _form_sql(schemas.ALL_METRICS))
 def q_rolling_window_strategy(spark, sf_dir):
     """W1-W4 with the plain-window strategy (same values as the scan)."""
-    return rounded(team_form(team_game_stats(silver_plays(spark, sf_dir)), strategy="window"))
+    return rounded(team_form(team_games(spark, sf_dir), strategy="window"))
 
 
 @register("rolling_scan_strategy", _form_sql(schemas.ALL_METRICS))
 def q_rolling_scan_strategy(spark, sf_dir):
     """W1-W4 with the skew-proof parallel prefix scan (same values as the window)."""
-    return rounded(team_form(team_game_stats(silver_plays(spark, sf_dir)), strategy="scan"))
+    return rounded(team_form(team_games(spark, sf_dir), strategy="scan"))
 
 
 def _pivot_sql(defense_side: str) -> str:
@@ -155,13 +167,13 @@ def _pivot_sql(defense_side: str) -> str:
 @register("side_pivot_own", _pivot_sql("own"))
 def q_side_pivot_own(spark, sf_dir):
     """One row per game; each side's defence columns describe its own defence."""
-    return rounded(side_pivot(team_form(team_game_stats(silver_plays(spark, sf_dir))), defense_side="own"))
+    return rounded(side_pivot(team_form(team_games(spark, sf_dir)), defense_side="own"))
 
 
 @register("side_pivot_as_row", _pivot_sql("as_row"))
 def q_side_pivot_as_row(spark, sf_dir):
     """J1 literal (Q2): defence columns read from the side's own offence row."""
-    return rounded(side_pivot(team_form(team_game_stats(silver_plays(spark, sf_dir))), defense_side="as_row"))
+    return rounded(side_pivot(team_form(team_games(spark, sf_dir)), defense_side="as_row"))
 
 
 @register("gold_game_features", O.with_ctes(*gold_oracle_ctes()) + " " + gold_select())
@@ -327,7 +339,7 @@ latest as (
           + f" select {O.round_list(_LATEST_COLS, ints=_LATEST_COLS[:8])} from latest")
 def q_latest_team_game(spark, sf_dir):
     """Most recent game of every team, home or away."""
-    return rounded(latest_team_game(gold(spark, sf_dir)).select(*_LATEST_COLS))
+    return rounded(latest(spark, sf_dir).select(*_LATEST_COLS))
 
 
 def _requests(spark, sf_dir) -> DataFrame:
@@ -373,14 +385,14 @@ def _matchup_sql(mode: str) -> str:
 @register("matchup_features_literal", _matchup_sql("literal"))
 def q_matchup_features_literal(spark, sf_dir):
     """T2 P15 (literal, Q4): home_* read from the home team's latest row as is."""
-    feats = matchup_features(_requests(spark, sf_dir), latest_team_game(gold(spark, sf_dir)), "literal")
+    feats = matchup_features(_requests(spark, sf_dir), latest(spark, sf_dir), "literal")
     return rounded(feats.select(*_MATCHUP_KEYS, *_MATCHUP_FEATURES))
 
 
 @register("matchup_features_own", _matchup_sql("own_side"))
 def q_matchup_features_own(spark, sf_dir):
     """T2 P15 (own side): each team's form from the side it actually played."""
-    feats = matchup_features(_requests(spark, sf_dir), latest_team_game(gold(spark, sf_dir)), "own_side")
+    feats = matchup_features(_requests(spark, sf_dir), latest(spark, sf_dir), "own_side")
     return rounded(feats.select(*_MATCHUP_KEYS, *_MATCHUP_FEATURES))
 
 
@@ -418,7 +430,7 @@ _EDGE_COLS = ("season", "week", "home_team", "away_team", "vegas_spread", "vegas
             " from forecast2")
 def q_market_edges(spark, sf_dir):
     """T4 over the season-form forecast of every priced matchup."""
-    feats = matchup_features(_requests(spark, sf_dir), latest_team_game(gold(spark, sf_dir)), "own_side")
+    feats = matchup_features(_requests(spark, sf_dir), latest(spark, sf_dir), "own_side")
     return rounded(market_edges(form_forecast(feats)).select(*_EDGE_COLS))
 
 
@@ -503,7 +515,7 @@ def _form_after_sql() -> str:
 def q_rolling_after_latest(spark, sf_dir):
     """W1-W4 with frames that end at the current game (Q5 repaired): the form a
     forecast of the next game starts from."""
-    return rounded(team_form(team_game_stats(silver_plays(spark, sf_dir)), as_of="after_latest"))
+    return rounded(team_form(team_games(spark, sf_dir), as_of="after_latest"))
 
 
 @register("matchup_features_favorite_line", O.with_ctes(*gold_oracle_ctes(), _LATEST_CTE, _matchup_cte("own_side"))
@@ -512,7 +524,7 @@ def q_rolling_after_latest(spark, sf_dir):
 def q_matchup_features_favorite_line(spark, sf_dir):
     """T2 (Q7): the request's home line turned into the training data's convention,
     the favourite's line with a separate flag."""
-    feats = matchup_features(_requests(spark, sf_dir), latest_team_game(gold(spark, sf_dir)),
+    feats = matchup_features(_requests(spark, sf_dir), latest(spark, sf_dir),
                              spread_convention="favorite")
     return rounded(feats.select("season", "week", "home_team", "away_team", "spread_favorite", "is_favorite_home"))
 
@@ -530,7 +542,7 @@ def q_matchup_unknown_teams(spark, sf_dir):
         "n_name", F.concat(F.lit("N"), F.col("n_nationkey").cast("string")))).alias("home_team"))
     asked = n.select("home_team", F.lit("N0").alias("away_team"), F.lit(None).cast("double").alias("vegas_spread"),
                      F.lit(None).cast("double").alias("vegas_total"))
-    return matchup_features(asked, latest_team_game(gold(spark, sf_dir))).select("home_team", "away_team", "teams_known")
+    return matchup_features(asked, latest(spark, sf_dir)).select("home_team", "away_team", "teams_known")
 
 
 @register("margin_disagreements", O.with_ctes(O.STANDIN_CTES, O.plays_clean_cte(), O.game_base_cte())
@@ -694,7 +706,7 @@ def q_residuals(spark, sf_dir):
 
 
 def _scored(spark, sf_dir) -> DataFrame:
-    return score_matchups(_requests(spark, sf_dir), gold(spark, sf_dir), trained(spark, sf_dir))
+    return score_matchups(_requests(spark, sf_dir), training_data(spark, sf_dir), trained(spark, sf_dir))
 
 
 @register("score_matchups")

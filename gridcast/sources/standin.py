@@ -70,7 +70,9 @@ def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     an = nation.select(F.col("n_nationkey").alias("ak"), F.col("n_regionkey").alias("a_region"))
     g = (games(spark, sf_dir).join(hn, "hk").join(an, "ak")
          .join(result, F.col("game_id") == F.col("l_orderkey")).drop("l_orderkey"))
-    x = li.join(g, li.l_orderkey == g.game_id)
+    # lines meet their games by a shuffle on the game at any size: a broadcast of a small
+    # games table would leave all work on a line to the tasks that scan it
+    x = li.join(g.hint("merge"), li.l_orderkey == g.game_id)
 
     home = team_code("N", "hk")
     away = team_code("N", "ak")

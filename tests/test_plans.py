@@ -34,10 +34,27 @@ def test_registered_plans_shuffle_by_no_hand(spark):
             assert bad not in plan, (name, bad)
 
 
-def test_scan_form_reads_its_exchanges_once(spark):
-    """The two sides of each chunk join share one exchange when the plan has run."""
+def _scans(df, what="Scan parquet") -> int:
+    return _plan(df).split("== Initial Plan ==")[-1].count(what)
+
+
+def test_plans_over_plays_hold_one_lineage(spark):
+    """The plays are read by the aggregate that is written first; what is planned on it
+    reads that table (form, gold) or a row per team (matchups), and the odds."""
     from gridcast.plans import registry
-    df = registry.QUERIES["rolling_scan_strategy"](spark, "/root/testdata/sf0.001")
-    df.collect()
-    plan = _plan(df).split("== Initial Plan ==")[0]
-    assert plan.count("ReusedExchange") >= 2 and plan.count("Scan parquet") <= 6
+    sf = "/root/testdata/sf0.001"
+    for name, most in (("rolling_offense", 2), ("rolling_scan_strategy", 4), ("gold_game_features", 12), ("latest_team_game", 1),
+                       ("matchup_features_own", 14), ("market_edges", 14)):
+        df = registry.QUERIES[name](spark, sf)
+        assert 0 < _scans(df) <= most and "lineitem" not in _plan(df), name
+        for bad in ("CartesianProduct", "BroadcastNestedLoopJoin"):
+            assert bad not in _plan(df), name
+
+
+def test_rollup_gives_both_aggregates(spark):
+    """Games and team-games from the one rollup are those of the plays themselves."""
+    from gridcast.operators.aggregate import game_base, game_base_of, play_rollup, team_games_of
+    silver = clean_plays(bronze_plays(spark), dedupe_order=("epa",)).cache()
+    rollup = play_rollup(silver)
+    for a, b in ((game_base(silver), game_base_of(rollup)), (team_game_stats(silver), team_games_of(rollup))):
+        assert a.columns == b.columns and sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
