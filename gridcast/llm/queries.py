@@ -7,8 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import corpus_pipeline
-from gridcast.llm import chat, decontam, kn_quality, line_dedup, manifest, mixing, packing, pii, quality_rules, simhash, spelling, token_counts, training_order
+from gridcast.llm import chat, decontam, kn_quality, line_dedup, manifest, mixing, packing, pii, pipeline, quality_rules, simhash, spelling, token_counts, training_order
 from gridcast.llm.common import tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,7 +110,7 @@ QUERIES: dict[str, Query] = {
     "op11_best_fit_packing": op11_best_fit_packing,
     "op12_spelling_variants": op12_spelling_variants,
     "op13_merkle_manifest": op13_merkle_manifest,
-    "pipeline": corpus_pipeline.run,
+    "pipeline": pipeline.run,
 }
 
 OP2_SQL = r"""
@@ -228,4 +227,4 @@ ORACLE: dict[str, str] = {
     "op12_spelling_variants": OP12_SQL,
     "op2_decontamination": OP2_SQL,
     "op13_merkle_manifest": OP13_SQL,
-} | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+} | ({"pipeline": pipeline.ORACLE_SQL} if pipeline.ORACLE_SQL else {})

@@ -2,6 +2,8 @@ import random
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from gridcast.llm import training_order
 from gridcast.llm.common import tokenizer_path
@@ -89,3 +91,20 @@ def test_near_duplicates_keep_one_of_equal_rows(spark):
     assert out.columns[0] == "doc_id"
     one_null = corpus_pipeline.near_duplicates(spark, documents(spark, [t, t], ids=[None, None]), "")
     assert one_null.count() == 1
+
+
+def test_columns_of_any_name_are_carried(spark, tmp_path):
+    """Names that stages and operators use inside, dots, and a lone underscore."""
+    names = ["_text_hash", "_id_hash", "_row_hash", "_", "a.b", "doc", "none", "row", "c0", "root", "fp", "id", "kept", "text_hash", "lid", "draws"]
+    docs = tables(spark, tmp_path, corpus(60), [" ".join(corpus(1, 7)[0].split()[:15])], [(i, 1, 0) for i in range(40)])
+    docs = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    for n in names:
+        docs = docs.withColumn(n, F.concat(F.lit(n), F.lit("-"), F.col("doc_id")))
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes
+        out.write.mode("overwrite").parquet(f"{tmp_path}/clash-{i}")
+        docs = spark.read.parquet(f"{tmp_path}/clash-{i}")
+        rows = docs.collect()
+        assert len(rows) > 30 and all(r[n] == f"{n}-{r.doc_id}" for r in rows for n in names)
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() > 0

@@ -13,10 +13,9 @@ def near_texts():
     r = random.Random(8)
     texts = []
     for _ in range(12):
-        w = [f"w{r.randrange(10 ** 6)}" for _ in range(r.randrange(5, 300))]
-        for _ in range(r.randrange(1, 8)):
+        w = [f"w{r.randrange(10 ** 6)}" for _ in range(r.randrange(600, 900))]  # so long that one edit turns few bits
+        for _ in range(r.randrange(2, 8)):
             texts.append(" ".join(w))
-            w = list(w)
             w[r.randrange(len(w))] = "edit"
     return texts + odd_texts()
 
