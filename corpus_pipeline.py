@@ -1,108 +1,2 @@
-"""From raw documents to training sequences: five operators one after the other.
-
-Each stage takes (spark, docs, sf_dir) and returns a DataFrame; its result is
-written as Parquet and read again before the next stage begins, which is when the
-next stage frees what the one before had staged in the shared folder.  All but the
-last return the columns of ``docs``.
-
-Defined cases: those of the operators; null ids and repeated rows are carried, a
-column of any name is carried unless an operator reads it.
-"""
-
-from __future__ import annotations
-
-import uuid
-from functools import wraps
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from gridcast.llm import decontam, kn_quality, mixing, simhash, training_order
-from gridcast.llm.common import release, stage_path, staged, tokenizer_path, words_of
-
-
-#: What the stage before staged, by session; its result is written when the next begins.
-_BEFORE: dict[int, list[str]] = {}
-
-
-def frees_the_stage_before(stage):
-    """Deletes what the stage called before has staged, and nothing else."""
-    @wraps(stage)
-    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        release(spark, _BEFORE.pop(id(spark), []))
-        there = set(staged(spark))
-        out = stage(spark, docs, sf_dir)
-        _BEFORE[id(spark)] = [p for p in staged(spark) if p not in there]
-        return out
-    return run_stage
-
-
-@frees_the_stage_before
-def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier keeps."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return kn_quality.classify(docs, labels, carry=tuple(docs.columns)).filter("kept").select("doc.*")
-
-
-@frees_the_stage_before
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component: that of the least id (null last), and
-    of those the one of least hash; of equal rows one."""
-    text_hash, row_hash = F.xxhash64("text").alias("_text_hash"), F.xxhash64(*docs.columns).alias("_row_hash")
-    found = simhash.simhash_components(docs.select("doc_id", "text", text_hash, row_hash), carry=("_text_hash", "_row_hash"))
-    best = F.min(F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "_text_hash", "_row_hash")).alias("best")
-    stay = found.groupBy("root").agg(best).select("best._text_hash", "best._row_hash").distinct()
-    rows = docs.select("*", text_hash, row_hash).join(stay.hint("shuffle_hash"), ["_text_hash", "_row_hash"], "left_semi")
-    return rows.dropDuplicates(["_text_hash", "_row_hash"]).select(*docs.columns)
-
-
-@frees_the_stage_before
-def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not contaminated by the benchmark."""
-    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontam.contamination(docs, items).filter("contaminated")
-    gone = found.select(F.xxhash64("doc_id").alias("_id_hash"), F.col("text_hash").alias("_text_hash")).distinct()
-    rows = docs.select("*", F.xxhash64("doc_id").alias("_id_hash"), F.xxhash64("text").alias("_text_hash"))
-    return rows.join(gone.hint("shuffle_hash"), ["_id_hash", "_text_hash"], "left_anti").select(*docs.columns)
-
-
-@frees_the_stage_before
-def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them; the one that a source's target cuts
-    has the words that are taken."""
-    found = mixing.mix(docs, carry=tuple(docs.columns))
-    drawn = found.select("doc", "size", F.explode("draws").alias("d"))
-    cut = F.array_join(F.slice(words_of(F.col("doc.text")), F.lit(1), F.col("d.words").cast("int")), " ")
-    text = F.when(F.col("d.words") < F.col("size"), cut).otherwise(F.col("doc.text"))
-    return drawn.select(*[(text if c == "text" else F.col("doc")[c]).alias(c) for c in docs.columns])
-
-
-@frees_the_stage_before
-def order(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token sequences in training order, in shards of fixed stride."""
-    return training_order.training_order(docs, tokenizer_path("byte_bpe_50k.tiktoken"))
-
-
-STAGES = [
-    ("quality classifier", quality),
-    ("SimHash near-dedup", near_duplicates),
-    ("benchmark decontamination", decontaminate),
-    ("mixing to target weights", mix),
-    ("token-ID output", order),
-]
-
-#: A learned classifier, fingerprints of a 64-bit hash and a keyed permutation have no
-#: SQL form; tests hold the rows against brute force.
-ORACLE_SQL = None
-
-
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents table."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    name = uuid.uuid4().hex
-    for k, (_, stage) in enumerate(STAGES[:-1]):
-        path = stage_path(spark, f"pipeline-{name}-{k}")
-        rows = stage(spark, docs, sf_dir)
-        rows.write.parquet(path)
-        docs = spark.read.schema(rows.schema).parquet(path)
-    return STAGES[-1][1](spark, docs, sf_dir)
+"""The corpus pipeline of ``gridcast.llm``: its stages, their run over a folder and its SQL."""
+from gridcast.llm.pipeline import ORACLE_SQL, STAGES, decontaminate, mix, near_duplicates, order, quality, run  # noqa: F401
