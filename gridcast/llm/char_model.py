@@ -7,9 +7,15 @@ are one space and the capital that begins a word is lowered; nothing else is fol
 Model ``m`` is trained without fold ``m``.
 Counts, discounts, continuation counts and probabilities are tables that grow with the
 corpus, sharded by n-gram or context; only four numbers a model and order reach the driver.
-For scoring, texts are cut into chunks of about ``CHUNK`` bytes.  The distinct n-grams of
-a chunk are joined to the probabilities and meet its texts in one task, so a task holds
-the n-grams of its chunk and never a model.
+An n-gram is one row with a column a model.
+
+Texts are cut into chunks of about ``CHUNK`` bytes where they are read and written once,
+bucketed by chunk: neither training nor scoring moves them again.  For scoring, the
+distinct n-grams of a chunk are joined to the probabilities and come back to its texts,
+so a task holds the n-grams of its chunk and never a model.
+
+Defined cases: a null or empty text has no n-grams; of equal rows each counts; models
+without text have no probabilities, and their texts no perplexity.
 """
 
 from __future__ import annotations
@@ -27,7 +33,9 @@ from gridcast.llm.common import stage_table
 ORDER, BITS = 4, 21
 SPACE = 32
 #: Bytes of text that are scored together.
-CHUNK = 8 << 20
+CHUNK = 32 << 20
+#: What a row counts beside its text, so that empty texts fill a chunk too.
+ROW = 64
 
 
 def grams_of(c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -88,20 +96,23 @@ def _gathered(symbols: Callable[[str], Iterator[np.ndarray]], most: int = 4 << 2
     return run
 
 
-def chunked(folds: int):
-    """Column 0, a partition number, becomes the number of a chunk of one fold; column 1 is
-    the bytes of the text and column 2 its fold."""
+def chunked():
+    """Column 0, a partition number, becomes the number of a chunk of about ``CHUNK`` bytes
+    and column 1, the bytes of the text, the row's number in its chunk."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, size, last = list(range(folds)), [0] * folds, folds
+        at, size, row = 0, 0, 0
         for b in batches:
-            chunk = []
-            for n, m in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                if size[m] and size[m] + n > CHUNK:
-                    at[m], size[m], last = last, 0, last + 1
-                size[m] += n
-                chunk.append(at[m])
+            chunk, rows = [], []
+            for n in b.column(1).to_pylist():
+                n += ROW
+                if size and size + n > CHUNK:
+                    at, size, row = at + 1, 0, 0
+                size += n
+                chunk.append(at)
+                rows.append(row)
+                row += 1
             first = pa.array(np.array(chunk, np.int64) + (b.column(0).to_numpy().astype(np.int64) << 32))
-            yield pa.RecordBatch.from_arrays([first, *b.columns[1:]], names=["chunk", *b.schema.names[1:]])
+            yield pa.RecordBatch.from_arrays([first, pa.array(rows, pa.int32()), *b.columns[2:]], names=b.schema.names)
     return run
 
 
@@ -110,72 +121,117 @@ def _tail(k: int) -> Column:
     return F.col("ctx").bitwiseAND(F.lit((1 << BITS * (k - 2)) - 1 if k > 2 else 0))
 
 
-def train(texts: DataFrame, symbols, folds: int, discounts) -> tuple[list[DataFrame], list[DataFrame], list[float]]:
-    """Of a table (fold, text) the probabilities (m, ctx, c, p) and back-off weights
-    (m, ctx, back) of the orders from 1 up, and each model's share of an unseen character, none for a model without text."""
-    counts = texts.select(F.lit(0).cast("long"), "fold", "text").mapInArrow(_gathered(symbols), "chunk long, m int, ctx long, c int, n long")
-    counts = counts.groupBy("ctx", "c").agg(*[F.sum(F.when(F.col("m") == f, F.col("n")).otherwise(0)).alias(f"n{f}") for f in range(folds)])
+Model = tuple[list[DataFrame], list[DataFrame], list[float]]
+
+
+def counts_of_texts(texts: DataFrame, symbols) -> DataFrame:
+    """(m, ctx, c, n): counts of a table (fold, text), in each task before the shuffle."""
+    return texts.select(F.lit(0).cast("long"), "fold", "text").mapInArrow(_gathered(symbols), "chunk long, m int, ctx long, c int, n long")
+
+
+def train(counts: DataFrame, folds: int, discounts) -> Model:
+    """Of the counts (m, ctx, c, n) of the folds ``m`` the models without each fold: for
+    the orders from 1 up the probabilities (ctx, c, p0, p1, ...) and back-off weights (ctx,
+    b0, b1, ...), a column a model, and each model's share of an unseen character, none
+    for a model without text."""
+    models = range(folds)
+    counts = counts.groupBy("ctx", "c").agg(*[F.sum(F.when(F.col("m") == f, F.col("n")).otherwise(0)).alias(f"n{f}") for f in models])
     every = sum((F.col(f"n{f}") for f in range(1, folds)), F.col("n0"))
-    of_model = F.posexplode(F.array(*[every - F.col(f"n{f}") for f in range(folds)])).alias("m", "n")
-    levels = {ORDER: stage_table(counts.select("ctx", "c", of_model).filter("n > 0"), "grams")}
+    levels = {ORDER: stage_table(counts.select("ctx", "c", *[(every - F.col(f"n{f}")).alias(f"n{f}") for f in models]), "grams")}
     for k in range(ORDER, 1, -1):  # continuation counts: in how many contexts a shorter n-gram ends a longer one
-        levels[k - 1] = stage_table(levels[k].groupBy(_tail(k).alias("ctx"), "c", "m").agg(F.count("*").alias("n")), f"grams-{k - 1}")
-    known = {r.m: r.n for r in levels[1].groupBy("m").agg(F.count("*").alias("n")).collect()}  # a row per model
-    unseen = [1 / (known[m] + 1) if m in known else None for m in range(folds)]
+        ends = [F.count_if(F.col(f"n{f}") > 0).alias(f"n{f}") for f in models]
+        levels[k - 1] = stage_table(levels[k].groupBy(_tail(k).alias("ctx"), "c").agg(*ends), f"grams-{k - 1}")
+    known = levels[1].agg(*[F.count_if(F.col(f"n{f}") > 0) for f in models]).first()
+    unseen = [1 / (n + 1) if n else None for n in known]
     probabilities, backs = [], []
     for k in range(1, ORDER + 1):
-        ones = {r.m: r[1:] for r in levels[k].groupBy("m").agg(*[F.count(F.when(F.col("n") == i, 1)) for i in (1, 2, 3, 4)]).collect()}
-        d = [discounts(*ones.get(m, (0, 0, 0, 0))) for m in range(folds)]
-        off = F.get(F.array(*[F.array(*map(F.lit, x)) for x in d]), F.col("m"))
-        c = levels[k].withColumn("off", F.get(off, F.least(F.col("n"), F.lit(3)).cast("int") - 1))
-        back = c.groupBy("m", "ctx").agg(F.sum("n").alias("total"), F.sum("off").alias("freed")).select("m", "ctx", "total", (F.col("freed") / F.col("total")).alias("back"))
-        back = stage_table(back, f"contexts-{k}")
-        p = c.join(back, ["m", "ctx"])
+        # four numbers a model
+        ones = levels[k].agg(*[F.count_if(F.col(f"n{f}") == i) for f in models for i in (1, 2, 3, 4)]).first()
+        rows = levels[k]
+        for f in models:
+            d, n = discounts(*ones[4 * f:4 * f + 4]), F.col(f"n{f}")
+            rows = rows.withColumn(f"off{f}", F.when(n == 0, 0.0).when(n == 1, d[0]).when(n == 2, d[1]).otherwise(d[2]))
+        back = rows.groupBy("ctx").agg(*[F.sum(f"n{f}").alias(f"t{f}") for f in models], *[F.sum(f"off{f}").alias(f"b{f}") for f in models])
+        share = [F.when(F.col(f"t{f}") > 0, F.col(f"b{f}") / F.col(f"t{f}")).otherwise(1.0).alias(f"b{f}") for f in models]
+        back = stage_table(back.select("ctx", *[f"t{f}" for f in models], *share), f"contexts-{k}")
+        rows = rows.join(back, "ctx")
         if k == 1:
-            p = p.withColumn("below", F.get(F.array(*[F.lit(x).cast("double") for x in unseen]), F.col("m")))
+            rows = rows.withColumns({f"below{f}": F.lit(unseen[f]).cast("double") for f in models})
         else:
-            lower = probabilities[-1].select("m", F.col("ctx").alias("tail"), "c", F.col("p").alias("below"))
-            p = p.withColumn("tail", _tail(k)).join(lower, ["m", "tail", "c"])
-        p = p.select("m", "ctx", "c", ((F.col("n") - F.col("off")) / F.col("total") + F.col("back") * F.col("below")).alias("p"))
-        probabilities.append(stage_table(p, f"probabilities-{k}"))
-        backs.append(back.select("m", "ctx", "back"))
+            lower = probabilities[-1].select(F.col("ctx").alias("tail"), "c", *[F.col(f"p{f}").alias(f"below{f}") for f in models])
+            rows = rows.withColumn("tail", _tail(k)).join(lower, ["tail", "c"])
+        own = [F.when(F.col(f"t{f}") > 0, (F.col(f"n{f}") - F.col(f"off{f}")) / F.col(f"t{f}")).otherwise(0.0) for f in models]
+        p = [(own[f] + F.col(f"b{f}") * F.col(f"below{f}")).alias(f"p{f}") for f in models]
+        probabilities.append(stage_table(rows.select("ctx", "c", *p), f"probabilities-{k}"))
+        backs.append(back.select("ctx", *[f"b{f}" for f in models]))
     return probabilities, backs, unseen
 
 
-def log_probabilities(grams: DataFrame, model) -> DataFrame:
-    """(m, ctx, c, logp) of distinct n-grams (m, ctx, c), seen in training or not."""
+def all_log_probabilities(grams: DataFrame, model: Model) -> DataFrame:
+    """(ctx, c, logp) of distinct n-grams (ctx, c), seen in training or not: ``logp`` has
+    a value a model.  Only what an order has not seen is sent on to the next lower one."""
     probabilities, backs, unseen = model
-    out = grams
-    p = F.get(F.array(*[F.lit(x).cast("double") for x in unseen]), F.col("m"))
-    for k in range(1, ORDER + 1):
-        at = F.col("ctx").bitwiseAND(F.lit((1 << BITS * (k - 1)) - 1))
-        out = out.withColumn("at", at)
-        out = out.join(probabilities[k - 1].select("m", F.col("ctx").alias("at"), "c", F.col("p").alias(f"p{k}")), ["m", "at", "c"], "left")
-        out = out.join(backs[k - 1].select("m", F.col("ctx").alias("at"), F.col("back").alias(f"b{k}")), ["m", "at"], "left").drop("at")
-        p = F.coalesce(F.col(f"p{k}"), F.coalesce(F.col(f"b{k}"), F.lit(1.0)) * p)
-    return out.select("m", "ctx", "c", F.log(p).alias("logp"))
-
-
-def scored(rows: DataFrame, model, symbols, score) -> DataFrame:
-    """Staged rows (chunk, n_bytes, m, text, ...) with ``score(text, lookup)`` added as
-    ``perplexity`` and ``hard_word``; ``lookup`` gives log probabilities of symbols."""
-    grams = rows.select("chunk", "m", "text").mapInArrow(_gathered(symbols), "chunk long, m int, ctx long, c int, n long")
-    grams = stage_table(grams.select("chunk", "m", "ctx", "c"), "chunk-grams", compression="zstd")
-    known = log_probabilities(grams.select("m", "ctx", "c").distinct(), model)
-    grams = grams.join(known, ["m", "ctx", "c"])
-    names = rows.columns
+    models = range(len(unseen))
+    out = None
+    left = grams.select("ctx", "c", F.col("ctx").alias("at"), *[F.lit(1.0).alias(f"w{f}") for f in models])
+    for k in range(ORDER, 0, -1):
+        seen = probabilities[k - 1].withColumnRenamed("ctx", "at").withColumn("seen", F.lit(True))
+        found = stage_table(left.join(seen, ["at", "c"], "left"), f"found-{k}", compression="zstd")
+        logp = F.array(*[F.log(F.col(f"w{f}") * F.col(f"p{f}")) for f in models])
+        hit = found.filter("seen").select("ctx", "c", logp.alias("logp"))
+        out = hit if out is None else out.unionByName(hit)
+        left = found.filter("seen is null").select("ctx", "c", "at", *[f"w{f}" for f in models])
+        left = left.join(backs[k - 1].withColumnRenamed("ctx", "at"), "at", "left")
+        shorter = F.col("at").bitwiseAND(F.lit((1 << BITS * (k - 2)) - 1 if k > 2 else 0))
+        left = left.select("ctx", "c", shorter.alias("at"), *[(F.col(f"w{f}") * F.coalesce(f"b{f}", F.lit(1.0))).alias(f"w{f}") for f in models])
+    rest = F.array(*[F.log(F.col(f"w{f}") * F.lit(unseen[f]).cast("double")) for f in models])
+    return out.unionByName(left.select("ctx", "c", rest.alias("logp")))
+
+
+def log_probabilities(grams: DataFrame, model: Model) -> DataFrame:
+    """(m, ctx, c, logp) of distinct n-grams (m, ctx, c)."""
+    known = all_log_probabilities(grams.select("ctx", "c").distinct(), model)
+    return grams.join(known, ["ctx", "c"]).select("m", "ctx", "c", F.get("logp", F.col("m")).alias("logp"))
+
+
+def counts_in_place(rows: DataFrame, flags: DataFrame, symbols) -> DataFrame:
+    """(m, ctx, c, n) of those texts of bucketed rows (chunk, row, m, text) that ``flags``
+    (chunk, row) names.  The flags come to the texts, which stay where they are."""
+    gather = _gathered(symbols)
+
+    def of_chunk(texts: pa.Table, named: pa.Table) -> pa.Table:
+        use = np.isin(texts.column("row").to_numpy(), named.column("row").to_numpy())
+        some = texts.filter(pa.array(use)).select(["chunk", "m", "text"]).combine_chunks()
+        parts = list(gather(iter(some.to_batches())))
+        table = pa.Table.from_batches(parts) if parts else pa.table({"chunk": pa.array([], pa.int64()), "m": pa.array([], pa.int32()),
+                                                                     "ctx": pa.array([], pa.int64()), "c": pa.array([], pa.int32()), "n": pa.array([], pa.int64())})
+        return table.select(["m", "ctx", "c", "n"])
+    texts = rows.select("chunk", "row", "m", "text")
+    return texts.groupBy("chunk").cogroup(flags.groupBy("chunk")).applyInArrow(of_chunk, "m int, ctx long, c int, n long")
+
+
+def scored(rows: DataFrame, model: Model, symbols, score) -> DataFrame:
+    """Bucketed rows (chunk, row, m, text, ...) with ``score(text, lookup)`` as ``perplexity``
+    and ``hard_word`` in place of the text; ``lookup`` gives log probabilities of symbols.  The distinct n-grams
+    of each chunk go to the probabilities and come back to the texts."""
+    folds = len(model[2])
+    grams = rows.select("chunk", F.lit(0).alias("m"), "text").mapInArrow(_gathered(symbols), "chunk long, m int, ctx long, c int, n long")
+    grams = stage_table(grams.select("chunk", "ctx", "c"), "chunk-grams", compression="zstd")
+    known = all_log_probabilities(grams.select("ctx", "c").distinct(), model)
+    grams = grams.join(known.select("ctx", "c", *[F.col("logp")[f].cast("float").alias(f"l{f}") for f in range(folds)]), ["ctx", "c"])
+    names = [c for c in rows.columns if c != "text"]
 
     def of_chunk(texts: pa.Table, table: pa.Table) -> pa.Table:
-        key = keys_of(*(table.column(x).to_numpy() for x in ("m", "ctx", "c")))
+        key = keys_of(0, table.column("ctx").to_numpy(), table.column("c").to_numpy())
         key, at = np.unique(key, return_index=True)
-        logp = table.column("logp").to_numpy()[at]
+        logp = [table.column(f"l{f}").to_numpy()[at].astype(np.float64) for f in range(folds)]
         found = []
-        for m, t in zip(texts.column("m").to_pylist(), texts.column("text").to_pylist(), strict=True):
-            found.append(score(t, lambda s, m=m: logp[np.searchsorted(key, keys_of(m, *grams_of(s)))]))
+        for m, t in zip(texts.column("m").to_pylist(), texts.column("text"), strict=True):
+            found.append(score(t.as_py(), lambda s, m=m: logp[m][np.searchsorted(key, keys_of(0, *grams_of(s)))]))
         out = texts.select(names)
         for i, x in enumerate(("perplexity", "hard_word")):
             out = out.append_column(x, pa.array([f[i] for f in found], pa.float64()))
         return out
 
-    schema = StructType([*rows.schema.fields, StructField("perplexity", DoubleType()), StructField("hard_word", DoubleType())])
+    schema = StructType([*[f for f in rows.schema.fields if f.name != "text"], StructField("perplexity", DoubleType()), StructField("hard_word", DoubleType())])
     return rows.groupBy("chunk").cogroup(grams.groupBy("chunk")).applyInArrow(of_chunk, schema)

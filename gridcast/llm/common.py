@@ -16,6 +16,8 @@ NOT_SPACE_RE = r"[^\x20\x09-\x0D]+"
 SPACE_RE = r"[\x20\x09-\x0D]+"
 
 _OPEN: list[tuple[SparkSession, str]] = []
+#: Names of those staged as bucketed tables, by folder.
+_TABLES: dict[str, str] = {}
 
 
 def stage_table(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
@@ -32,6 +34,19 @@ def stage_table(df: DataFrame, name: str, compression: str = "snappy") -> DataFr
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_buckets(df: DataFrame, name: str, by: str, buckets: int) -> DataFrame:
+    """Write ``df`` in the shared folder as a table bucketed by a column and read it
+    back: grouping and cogrouping by that column do not move its rows again."""
+    spark = df.sparkSession
+    table = f"{name}_{uuid.uuid4().hex}"
+    path = scratch_path(spark, f"llm/{table}")
+    (df.write.option("path", path).option("compression", "zstd").option("parquet.compression.codec.zstd.level", "6")
+     .bucketBy(buckets, by).format("parquet").saveAsTable(table))
+    _OPEN.append((spark, path))
+    _TABLES[path] = table
+    return spark.table(table)
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a folder through Hadoop's file system (any store Spark can write)."""
     jvm = spark.sparkContext._jvm
@@ -47,6 +62,8 @@ def staged(spark: SparkSession) -> list[str]:
 def release(spark: SparkSession, paths: list[str]) -> None:
     """Delete staged tables; what was built on them must have been written."""
     for path in paths:
+        if path in _TABLES:
+            spark.sql(f"drop table if exists {_TABLES.pop(path)}")
         drop_path(spark, path)
         if (spark, path) in _OPEN:
             _OPEN.remove((spark, path))

@@ -5,7 +5,8 @@ documents whose labels are all good and none toxic.  Tasks count their 4-grams,
 counts meet in a sharded aggregate, and discounts, continuation counts, context totals
 and interpolated probabilities are aggregates and joins sharded by n-gram or context.
 The tables grow with the corpus and are never gathered: for scoring, the distinct
-n-grams of each chunk of texts are joined to them.
+n-grams of each chunk of texts are joined to them.  Texts are written once, in chunks,
+and then stay where they are: labels, probabilities and verdicts come to them.
 
 A document has its perplexity, and that of its ``HARD_RANK``-th hardest word (of
 three letters or more).  It is rejected if one of the two is above the quantile of its
@@ -36,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridcast.llm import char_model
-from gridcast.llm.common import stage_table
+from gridcast.llm.common import stage_buckets, stage_table
 
 ORDER = 4
 CLASSES = 48
@@ -243,25 +244,25 @@ def score_symbols(text: str | None, lookup) -> tuple[float | None, float | None]
     return float(np.exp(-total / n)), float(np.exp(-hard[-1])) if len(hard) == HARD_RANK else None
 
 
-def _scores(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, lang_col: str, carry: tuple[str, ...]) -> DataFrame:
-    """(id, lang, trusted, perplexity, hard_word, doc), each by the model without its fold."""
-    rest = [F.struct(F.lit(0).alias("_"), *[c for c in carry if c != text_col]).alias("doc")]
+def _scores(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, lang_col: str) -> tuple[DataFrame, DataFrame]:
+    """The bucketed texts (chunk, row, m, id, lang, text, doc), and (chunk, row, id, lang, trusted,
+    perplexity, hard_word), each by the model without its fold."""
     text = F.col(text_col).cast("string")
-    rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), text.alias("text"), *rest)
-    rows = rows.join(ids, F.col("id") == F.col("lid"), "left")
-    # chunks are cut once and written, as both the n-grams and the texts go by them
-    rows = rows.select(F.spark_partition_id().cast("long").alias("chunk"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("n_bytes"),
-                       F.pmod(F.xxhash64("text", F.lit("fold")), F.lit(HELD_PART)).cast("int").alias("m"),
-                       "id", "lang", F.col("lid").isNotNull().alias("trusted"), "text", "doc")
-    rows = stage_table(rows.mapInArrow(char_model.chunked(HELD_PART), rows.schema), "chunks", compression="zstd")
-    model = char_model.train(rows.filter("trusted").select(F.col("m").alias("fold"), "text"), symbols_of, HELD_PART, _discounts)
-    if not model[0][-1].limit(1).count():
+    rest = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns) if c not in (id_col, text_col, lang_col)]
+    rows = docs.select(F.spark_partition_id().cast("long").alias("chunk"), F.coalesce(F.octet_length(text), F.lit(0)).alias("row"),
+                       F.pmod(F.xxhash64(text, F.lit("fold")), F.lit(HELD_PART)).cast("int").alias("m"),
+                       F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), text.alias("text"), F.struct(F.lit(0).alias("none"), *rest).alias("doc"))
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = stage_buckets(rows.mapInArrow(char_model.chunked(), rows.schema), "chunks", "chunk", buckets)
+    narrow = rows.select("chunk", "row", "id", "lang").join(ids, F.col("id") == F.col("lid"), "left")
+    narrow = stage_table(narrow.select("chunk", "row", "id", "lang", F.col("lid").isNotNull().alias("trusted")), "trusted")
+    trusted = narrow.filter("trusted").select("chunk", "row")
+    model = char_model.train(char_model.counts_in_place(rows, trusted, symbols_of), HELD_PART, _discounts)
+    if model[0][-1].isEmpty():
         null = F.lit(None).cast("double")
-        rows = rows.withColumns({"perplexity": null, "hard_word": null})
-    else:
-        rows = char_model.scored(rows, model, symbols_of, score_symbols)
-    doc = [F.struct(*[F.col("text" if c == text_col else f"doc.`{c}`").alias(c) for c in carry]).alias("doc")] if carry else []
-    return rows.select("id", "lang", "trusted", "perplexity", "hard_word", *doc)
+        return rows, narrow.withColumns({"perplexity": null, "hard_word": null})
+    found = char_model.scored(rows.select("chunk", "row", "m", "text"), model, symbols_of, score_symbols)
+    return rows, narrow.join(found.drop("m"), ["chunk", "row"])
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -269,8 +270,24 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     """One row per document row: id, ``lang``, ``perplexity``, ``hard_word``, the two
     limits of its language, ``kept``, and the ``carry`` columns as struct ``doc``."""
     ids = trusted_ids(labels, label_id_col)
-    rows = stage_table(_scores(docs, ids, id_col, text_col, lang_col, carry), "scored")
-    return verdict(rows.drop("trusted"), limits(rows.filter("trusted"), quantile)).withColumnRenamed("id", id_col)
+    texts, found = _scores(docs, ids, id_col, text_col, lang_col)
+    found = stage_table(found, "scored")
+    found = verdict(found.drop("trusted"), limits(found.filter("trusted"), quantile))
+    if carry:
+        place = {c: F.col(f"doc.c{i}") for i, c in enumerate(docs.columns)}
+        place |= {id_col: F.col("id"), text_col: F.col("text"), lang_col: F.col("lang")}
+        found = _with_rows(texts, found, F.struct(*[place[c].alias(c) for c in carry]))
+    return found.drop("chunk", "row").withColumnRenamed("id", id_col)
+
+
+def _with_rows(texts: DataFrame, found: DataFrame, doc: Column) -> DataFrame:
+    """``found`` with ``doc`` of the bucketed texts: a chunk's verdicts, in the order of its
+    rows, come to its texts, which are not moved."""
+    names = [c for c in found.columns if c not in ("chunk", "row", "id", "lang")]
+    of_chunk = found.groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("row", *names))).alias("found"))
+    rows = texts.select("chunk", "row", "id", "lang", doc.alias("doc")).join(of_chunk, "chunk")
+    one = F.get("found", F.col("row"))
+    return rows.select("chunk", "row", "id", "lang", *[one[c].alias(c) for c in names], "doc")
 
 
 def limits(held: DataFrame, quantile: float) -> DataFrame:

@@ -1,9 +1,11 @@
 import math
 import random
 from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from gridcast.llm import char_model
 from gridcast.llm import kn_quality as kn
@@ -98,7 +100,7 @@ def test_sharded_model_equals_brute_force_for_all_characters(spark):
     """Real characters: Cyrillic, CJK and digits are symbols of their own, none of them in classes."""
     texts = corpus(1, 8) + ["слово слева 1diot 漢字仮名 🙂", "снова словами a@b.c", "", None]
     rows = spark.createDataFrame([(i % 3, t) for i, t in enumerate(texts)], "fold int, text string").repartition(3)
-    model = char_model.train(rows, kn.symbols_of, 3, kn._discounts)
+    model = char_model.train(char_model.counts_of_texts(rows, kn.symbols_of), 3, kn._discounts)
     for m in (0, 1):
         counts = {4: Counter()}
         for i, t in enumerate(texts):
@@ -151,3 +153,65 @@ def test_small_language_is_judged_by_its_own_level(spark):
     limit = {x.lang: x.perplexity_limit for x in rows}
     assert limit["ru"] > 1.5 * limit["en"]
     assert limit["en"] < max(got[i].perplexity for i in range(300))
+
+
+def test_verdicts_from_end_to_end(spark):
+    """Perplexities, limits and verdicts of a table against dictionaries and sorted lists."""
+    texts = corpus(11, 60) + ["zq jx vk " * 30, None, "", "слово " * 9, *corpus(12, 3)]
+    texts += [texts[0], texts[5]]
+    trusted = set(range(50))
+    docs = documents(spark, texts, lang=["en"] * len(texts)).withColumn("a.b", F.lit(1)).repartition(5)
+    labels = spark.createDataFrame([(i, 1, 0, "x") for i in trusted], LABELS)
+    got = {r.doc_id: r for r in kn.classify(docs, labels, carry=("doc_id", "text", "a.b", "size")).collect()}
+    fold = {r.doc_id: r.m for r in docs.select("doc_id", F.pmod(F.xxhash64("text", F.lit("fold")), F.lit(kn.HELD_PART)).alias("m")).collect()}
+    perplexity = {}
+    for f in range(kn.HELD_PART):
+        counts = {4: Counter()}
+        for i in trusted:
+            if fold[i] != f:
+                for s in kn.symbols_of(texts[i]):
+                    c = [32, 32, 32, *s.tolist()]
+                    counts[4].update(tuple(c[j:j + 4]) for j in range(len(c) - 3))
+        for k in (3, 2, 1):
+            counts[k] = Counter(g[1:] for g in counts[k + 1])
+        off = {k: kn._discounts(*[sum(v == i for v in c.values()) for i in (1, 2, 3, 4)]) for k, c in counts.items()}
+        after = {k: {} for k in counts}
+        for k, c in counts.items():
+            for g, n in c.items():
+                after[k].setdefault(g[:-1], []).append(n)
+
+        @lru_cache(maxsize=None)
+        def p(g, counts=counts, off=off, after=after):
+            k = len(g)
+            below = 1 / (len(counts[1]) + 1) if k == 1 else p(g[1:])
+            rest = after[k].get(g[:-1])
+            if not rest:
+                return below
+            n = counts[k].get(g, 0)
+            return ((n - off[k][min(n, 3) - 1]) if n else 0) / sum(rest) + sum(off[k][min(x, 3) - 1] for x in rest) / sum(rest) * below
+        for i, t in enumerate(texts):
+            if fold[i] == f and (t or "").strip():
+                c = [32, 32, 32, *[x for s in kn.symbols_of(t) for x in s.tolist()]]
+                perplexity[i] = math.exp(-sum(math.log(p(tuple(c[j:j + 4]))) for j in range(len(c) - 3)) / (len(c) - 3))
+    for i, t in enumerate(texts):
+        r = got[i]
+        assert r.doc["text"] == t and r.doc["a.b"] == 1 and r.doc["doc_id"] == i and r.doc["size"] == 7
+        if i not in perplexity:
+            assert r.perplexity is None and r.kept
+            continue
+        assert r.perplexity == pytest.approx(perplexity[i], rel=1e-5)
+        above = r.perplexity > r.perplexity_limit or (r.hard_word is not None and r.hard_word > r.hard_word_limit)
+        assert r.kept == (not above)
+    assert not got[60].kept and not got[63].kept and got[0].perplexity == got[67].perplexity
+    own = sorted(math.log(perplexity[i]) for i in trusted)
+    assert own[len(own) // 2] < math.log(got[0].perplexity_limit)
+
+
+def test_texts_are_not_moved_again(spark):
+    """Training, scoring and verdicts read the bucketed texts without a shuffle of them."""
+    texts = corpus(3, 30)
+    labels = spark.createDataFrame([(i, 1, 0, "x") for i in range(20)], LABELS)
+    out = kn.classify(documents(spark, texts, lang=["en"] * 30), labels, carry=("text",))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    for part in plan.split("Exchange")[1:]:
+        assert "text#" not in part.split("\n")[0]
