@@ -8,6 +8,9 @@ finds its lowest-rank pair and merges all its occurrences (leftmost first where
 they overlap), all sequences at once; the symbols that survive are the tokens.
 Merging all occurrences in one round is exact because a merge's result only
 takes part in merges of higher rank, which is checked when the file is loaded.
+For the same reason ranks only rise, so long sequences (unspaced text) are merged
+rank by rank from buckets of positions, and only pairs beside a merge are ranked
+anew: a round costs what it merges, not the sequence's length.
 
 White space ends every pre-token, so the unit of work is a space-separated piece
 and each batch merges its distinct pieces once.  Memory is bounded by a batch.
@@ -19,6 +22,7 @@ empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import heapq
 import json
 from collections.abc import Iterator
 from functools import lru_cache
@@ -32,6 +36,8 @@ from pyspark.sql import functions as F
 MAX_TOKENS = 2048
 #: Pieces whose counts a task keeps between batches.
 KEPT_PIECES = 500_000
+#: Pre-tokens of more symbols are merged from buckets of positions by rank.
+LONG_WORD = 256
 
 
 def byte_symbols() -> list[str]:
@@ -84,6 +90,10 @@ class Merger:
         ends = np.cumsum(lens)[lens > 0] - 1
         sym[ends] = self.last_byte_id[raw[ends]]
         out = lens.copy()
+        long = (lens > LONG_WORD)[seq]
+        if long.any():
+            out[lens > LONG_WORD] = self._count_long(sym[long], seq[long], len(words))[lens > LONG_WORD]
+            sym, seq = sym[~long], seq[~long]
         while len(sym):
             same = seq[1:] == seq[:-1]
             rank = np.full(len(sym), self.no_rank)
@@ -109,6 +119,52 @@ class Merger:
             sym, seq = sym[keep], seq[keep]
         return out
 
+    def _count_long(self, sym: np.ndarray, seq: np.ndarray, n_seq: int) -> np.ndarray:
+        """Symbols that survive in each sequence; rounds go by rank over all of them."""
+        n = len(sym)
+        same = seq[1:] == seq[:-1]
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        after[:-1][~same] = n
+        after[-1] = n
+        before[1:][~same] = -1
+        rank, alive = np.full(n, self.no_rank), np.ones(n, bool)
+        buckets: dict[int, list[np.ndarray]] = {}
+        ranks: list[int] = []
+
+        def file(at: np.ndarray) -> None:
+            at = at[after[at] < n]
+            found = self._rank(sym[at], sym[after[at]])
+            rank[at] = found
+            order = np.argsort(found, kind="stable")
+            order = order[:np.searchsorted(found[order], self.no_rank)]
+            at, found = at[order], found[order]
+            cuts = np.flatnonzero(np.diff(found)) + 1
+            for part, r in zip(np.split(at, cuts), found[np.r_[0, cuts]].tolist() if len(at) else (), strict=False):
+                if r not in buckets:
+                    heapq.heappush(ranks, r)
+                buckets.setdefault(r, []).append(part)
+
+        file(np.arange(n))
+        while ranks:
+            r = heapq.heappop(ranks)
+            at = np.unique(np.concatenate(buckets.pop(r)))
+            at = at[rank[at] == r]  # others were merged away or have a new neighbour
+            if not len(at):
+                continue
+            # of a run of overlapping occurrences every second one stays
+            first = np.r_[True, after[at[:-1]] != at[1:]]
+            begins = np.flatnonzero(first)
+            at = at[(np.arange(len(at)) - begins[np.cumsum(first) - 1]) % 2 == 0]
+            gone = after[at]
+            sym[at], alive[gone], rank[gone] = self.made[r], False, self.no_rank
+            rank[at] = self.no_rank
+            after[at] = after[gone]
+            inner = after[at] < n
+            before[after[at[inner]]] = at[inner]
+            left = before[at]
+            file(np.unique(np.r_[left[left >= 0], at]))
+        return np.bincount(seq[alive], minlength=n_seq)
+
     def count_pieces(self, pieces: list[str]) -> np.ndarray:
         """Tokens of each piece of text."""
         import unicodedata

@@ -47,3 +47,19 @@ def test_kept_pieces_do_not_change_counts():
     first = tc.count_texts(m, a, kept).tolist()
     assert kept and tc.count_texts(m, a, kept).tolist() == first
     assert tc.count_texts(m, a.slice(1), kept).tolist() == first[1:]
+
+
+def test_long_words_are_merged_by_rank(library, monkeypatch):
+    r, m = random.Random(4), tc.merger(PATH)
+    texts = ["".join(r.choices(letters, k=r.randrange(200, 3000)))
+             for letters in ("abcdefghijklmnopqrstuvwxyz", "ab", "a", "etaoin", "éñ漢かa", "oo l") for _ in range(20)]
+    assert tc.count_texts(m, pa.array(texts), {}).tolist() == expected(library, texts)
+    # the same for words of any length
+    monkeypatch.setattr(tc, "LONG_WORD", 1)
+    texts = ["".join(r.choices("abcXYZ etaoin,.é\n", k=r.randrange(80))) for _ in range(2000)] + odd_texts()
+    assert tc.count_texts(m, pa.array(texts, pa.string()), {}).tolist() == expected(library, texts)
+
+
+def test_a_word_of_400000_letters(library):
+    text = "".join(random.Random(5).choices("abcdefghijklmnopqrstuvwxyz", k=400_000))
+    assert tc.count_texts(tc.merger(PATH), pa.array([text]), {}).tolist() == expected(library, [text])
