@@ -38,8 +38,77 @@ def test_quotes_link_and_go(spark):
     assert {t: (r.parent, r.linked) for t, r in one.items()} == {
         0: (None, False), 1: (0, False), 2: (0, True), 3: (1, True), 4: (3, False), 5: (4, False)}
     assert [r.turn for r in got[1]] == [0, 1, 3, 4, 5, 2]
-    assert one[2].content == "Somebody asked the same today." and one[3].content == "Which one is it?" and one[5].content == "really"
-    assert got[2][0].content == "other conversation" and got[2][0].parent is None
+    assert one[2].content == "Somebody asked the same today." and one[3].content == "Which one is it?"
+    # what nobody said before, or only in another conversation, is not a quotation
+    assert one[5].content == "> nobody ever said this\nreally"
+    assert got[2][0].content == "> It takes a key column.\nother conversation" and got[2][0].parent is None
+
+
+def test_prompts_and_outside_quotations_stay(spark):
+    text = ">>> f(x)\n42\n> an outside text\n>\n> nobody here said\nend"
+    got = run(spark, [(1, 0, "user", "start"), (1, 1, "user", text), (1, 2, "user", "Bob wrote:\n> an outside one\nno")])
+    assert [x.content for x in got[1]] == ["start", text, "Bob wrote:\n> an outside one\nno"]
+
+
+def test_parts_of_a_message_link_whatever_their_length(spark):
+    rows = [(1, 0, "u", "Thanks!"),
+            (1, 1, "u", "First line of three\nsecond line\nthird line\n\nNow a sentence. And another one that is\nwrapped here. Ok?"),
+            (1, 2, "u", "something else"),
+            (1, 3, "u", "> Thanks!\na"), (1, 4, "u", "> second line\n> third line\nb"), (1, 5, "u", "> And another one\n> that is wrapped here.\nc"),
+            (1, 6, "u", "> ok?\n> something else\nd"), (1, 7, "u", "> First line of three\n> third line\ne"), (1, 8, "u", "> ok?\n\n> something else\nf")]
+    got = {x.turn: x for x in run(spark, rows)[1]}
+    assert {t: (x.parent, x.linked) for t, x in got.items() if t > 2} == {
+        3: (0, True), 4: (1, True), 5: (1, True), 6: (5, False), 7: (6, False), 8: (2, True)}
+    assert [got[t].content for t in range(3, 9)] == ["a", "b", "c", rows[6][3], rows[7][3], "f"]
+
+
+def brute_links(texts):
+    """(source or None, own lines kept) of messages of one conversation, by substring
+    of whole pieces."""
+    import re
+    norm = lambda s: " ".join(s.split()).lower()
+    own, out = [], []
+    for t in texts:
+        groups = []
+        for line in t.split("\n"):
+            level = re.match(r"[ \t]*((?:>[ \t]?)*)", line).group(1).count(">")
+            groups += [] if groups and groups[-1][0] == level else [(level, [])]
+            groups[-1][1].append(line)
+        found, keep = [], []
+        for level, lines in groups:
+            passage = norm(" ".join(re.sub(r"^[ \t]*(?:>[ \t]?)+", "", x) for x in lines))
+            source = next((i for i, pieces in enumerate(own) if level and any(
+                passage == " ".join(p[a:b]) for p in pieces for a in range(len(p)) for b in range(a + 1, len(p) + 1))), None)
+            if source is not None:
+                found.append((level, -source))
+            else:
+                keep += lines
+        mine = [x for level, lines in groups if not level for x in lines]
+        cut = lambda s: [p for p in re.split(r"(?<=[.!?]) ", norm(s)) if p]
+        own.append(([p for x in mine for p in cut(x)], cut("\n".join(mine))))
+        out.append((-min(found)[1] if found else None, "\n".join(keep).strip()))
+    return out
+
+
+def test_links_match_brute_force(spark):
+    r, rows, want = random.Random(8), [], {}
+    pieces = ["a.", "b!", "yes", "no way", "Ok?", "the end", "c. d"]
+    for c in range(60):
+        texts = []
+        for _ in range(8):
+            lines = []
+            for _ in range(r.randrange(1, 5)):
+                lines.append("> " * r.choice([0, 0, 1, 1, 2]) + " ".join(r.choices(pieces, k=r.randrange(1, 4))))
+            texts.append("\n".join(lines))
+        want[c] = brute_links(texts)
+        rows += [(c, t, "u", x) for t, x in enumerate(texts)]
+    got = run(spark, rows)
+    assert sum(s is not None for w in want.values() for s, _ in w) > 40
+    for c, w in want.items():
+        for x in got[c]:
+            source, content = w[x.turn]
+            assert (x.linked, x.content) == (source is not None, content)
+            assert x.parent == (source if source is not None else (x.turn - 1 if x.turn else None))
 
 
 def test_order_is_depth_first_on_random_trees(spark):
