@@ -21,8 +21,8 @@ only sums come back by joins that split skewed keys; pairs inside a group are
 never formed.  Texts are moved for lines with a partner only.
 
 Defined cases: a null text has no lines and stays null; lines without a word are
-kept as they are; shorter lines than ``near_words`` are dropped for equal ones
-only; null ids come last; rows that are equal in id and text count as one and get
+kept as they are; lines of fewer than ``near_words`` words (one or two) are dropped
+for equal ones only, whatever stands near them; null ids come last; rows that are equal in id and text count as one and get
 equal results; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -38,7 +38,8 @@ from pyspark.sql import functions as F
 
 from gridcast.llm.common import SPACE_RE, SPACES, stage_table, text_of
 
-NEAR_WORDS = 8
+#: Lines of fewer words go for equal ones only: one word of two is another line.
+NEAR_WORDS = 3
 
 
 def words_within(a: list, b: list) -> bool:

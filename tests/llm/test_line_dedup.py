@@ -15,7 +15,7 @@ def one_apart(a, b):
     return len(b) - len(a) == 1 and any(b[:i] + b[i + 1:] == a for i in range(len(b)))
 
 
-def expected(rows, near=8):
+def expected(rows, near=3):
     """Kept line numbers of (id, text) rows that are in order of place."""
     seen, out = [], []
     for _, text in rows:
@@ -32,7 +32,7 @@ def expected(rows, near=8):
 
 def random_texts(seed):
     r = random.Random(seed)
-    base = [[f"w{r.randrange(12)}" for _ in range(r.randrange(5, 14))] for _ in range(20)]
+    base = [[f"w{r.randrange(12)}" for _ in range(r.randrange(2, 14))] for _ in range(24)]
     texts = []
     for _ in range(60):
         lines = []
@@ -69,6 +69,12 @@ def test_texts_without_the_lines(spark):
         assert got[i] == want
 
 
+def test_short_lines_have_near_duplicates(spark):
+    texts = ["Posted by Anna on 3 May 2020\nPage 3 of 17\nsee also", "Posted by Anna on 4 May 2020\nPage 4 of 17\nsee here", "Page of 17", "one two three four\nfour three two one"]
+    got = {r.doc_id: r.kept for r in line_dedup.kept_lines(documents(spark, texts)).collect()}
+    assert got == {0: [0, 1, 2], 1: [2], 2: [], 3: [0, 1]}
+
+
 def test_very_common_line_and_hot_key(spark):
     common = "this very common line stands in every one of them"
     texts = [f"{common}\nnumber {i} of a form with nine words here" for i in range(200)]
