@@ -62,3 +62,24 @@ def layer_report(df: DataFrame, layer: str) -> DataFrame:
     """Row and column count of one layer (S7) as a one-row table."""
     return df.agg(F.count(F.lit(1)).alias("n_rows")).select(
         F.lit(layer).alias("layer"), "n_rows", F.lit(len(df.columns)).alias("n_columns"))
+
+
+def stored_profile(footers: DataFrame, layer: str, partition_cols: Sequence[str] = ("season",)) -> DataFrame:
+    """Schema and null counts of a layer on disk (A3, S7): layer, position, column_name,
+    data_type, n_rows, null_count, one row per column.
+
+    ``footers`` is the layer from :func:`gridcast.sources.files.read_footers`.  The
+    counts by partition come from footers; what is summed is a row a file.  A layer
+    with nested columns is scanned for them instead, with equal results.
+    """
+    parts = [c for c in partition_cols if c in footers.columns]
+    data = [c for c in footers.columns if c not in parts]
+    total = F.count(F.lit(1)).alias("_n")
+    per = footers.groupBy(*[F.col(f"`{c}`") for c in parts]).agg(total, *[F.count(F.col(f"`{c}`")).alias(f"_c{i}") for i, c in enumerate(data)])
+    nulls = {c: F.sum(F.col("_n") - F.col(f"_c{i}")) for i, c in enumerate(data)}
+    nulls |= {c: F.sum(F.when(F.col(f"`{c}`").isNull(), F.col("_n"))) for c in parts}
+    zero = F.lit(0).cast("long")
+    rows = [F.struct(F.lit(layer).alias("layer"), F.lit(i).alias("position"), F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"),
+                     F.coalesce(F.sum("_n"), zero).alias("n_rows"), F.coalesce(nulls[f.name], zero).alias("null_count"))
+            for i, f in enumerate(footers.schema.fields, 1)]
+    return per.agg(F.array(*rows).alias("_s")).select(F.inline("_s"))

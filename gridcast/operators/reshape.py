@@ -83,5 +83,5 @@ def attach_odds(games: DataFrame, odds: DataFrame, on: Sequence[str] = schemas.O
 
 def unpivot_counts(wide: DataFrame, name_col: str = "column_name",
                    value_col: str = "null_count") -> DataFrame:
-    """One wide row of counts -> (column_name, count) rows."""
-    return wide.unpivot([], wide.columns, name_col, value_col)
+    """One wide row of counts -> (column_name, count) rows (R1); columns of any name."""
+    return wide.unpivot([], [F.col(f"`{c}`") for c in wide.columns], name_col, value_col)

@@ -182,6 +182,15 @@ def q_gold_game_features(spark, sf_dir):
     return rounded(gold(spark, sf_dir).select(*GOLD_COLUMNS))
 
 
+@register("gold_stored", O.with_ctes(*gold_oracle_ctes()) + " " + gold_select())
+def q_gold_stored(spark, sf_dir):
+    """The gold table as training and serving read it, written and read back."""
+    from gridcast.sources.files import read_gold, write_layer
+    path = _own_folder(spark, "gold_stored")
+    write_layer(gold(spark, sf_dir), path, within=("game_id",))
+    return rounded(read_gold(spark, path).select(*GOLD_COLUMNS))
+
+
 @register("gold_literal_weeks", O.with_ctes(*gold_oracle_ctes(
     keep_types=schemas.LITERAL_KEEP_TYPES, week_names=schemas.LITERAL_WEEK_NAMES,
     count_rush=("rush",), yard_rush=("run",), defense_side="as_row")) + " " + gold_select())
@@ -251,6 +260,26 @@ def q_layer_report(spark, sf_dir):
         layer_report(silver_plays(spark, sf_dir), "silver"))
 
 
+#: Columns of the stored silver layer in order, the partition column last (fixed values).
+_STORED_TYPES = {
+    "play_id": "string", "game_id": "string", "game_date": "date", "week": "int", "is_playoffs": "int", "home_team": "string",
+    "away_team": "string", "posteam": "string", "defteam": "string", "play_type": "string", "air_yards": "int",
+    "yards_after_catch": "int", "yards_gained": "int", "epa": "double", "total_home_score": "int", "total_away_score": "int",
+    "div_game": "int", "home_margin": "int", "src_seq": "string", "season": "int"}
+
+
+@register("stored_profile", O.with_ctes(O.STANDIN_CTES, O.plays_clean_cte()) + " " + " union all ".join(
+    f"select 'silver' as layer, {i} as position, '{c}' as column_name, '{t}' as data_type, count(*) as n_rows,"
+    f" count(*) - count({c}) as null_count from plays_clean" for i, (c, t) in enumerate(_STORED_TYPES.items(), 1)))
+def q_stored_profile(spark, sf_dir):
+    """A3 S7 on the written silver layer: schema, rows and nulls from file footers."""
+    from gridcast.operators.quality import stored_profile
+    from gridcast.sources.files import read_footers, write_layer
+    path = _own_folder(spark, "stored_profile")
+    write_layer(silver_plays(spark, sf_dir), path)
+    return stored_profile(read_footers(spark, path), "silver")
+
+
 # --- sinks and partitioned round trip ----------------------------------------------
 
 @register("season_roundtrip", O.with_ctes(O.STANDIN_CTES, O.plays_clean_cte())

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,17 +67,46 @@ def rename_path(spark: SparkSession, old: str, new: str) -> None:
         raise OSError(f"cannot rename {old} to {new}")
 
 
+#: Files whose first lines are read at a time.
+HEADER_READS = 16
+
+
+def first_line(spark: SparkSession, path: str) -> str:
+    """First line of a text file that is not blank (compressed files by their name)."""
+    jvm = spark.sparkContext._jvm
+    p, fs = _file_system(spark, path)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark.sparkContext._jsc.hadoopConfiguration()).getCodec(p)
+    raw = fs.open(p)
+    try:
+        text = jvm.java.io.InputStreamReader(codec.createInputStream(raw) if codec else raw, "UTF-8")
+        reader = jvm.java.io.BufferedReader(text)
+        line = reader.readLine()
+        while line is not None and not line.strip():
+            line = reader.readLine()
+        return line or ""
+    finally:
+        raw.close()
+
+
+def header_catalogue(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
+    """Files by their first line.  One line a file is read, many files at a time and
+    without a Spark job, so the jobs that follow are as many as there are headers."""
+    files, out = list_files(spark, paths), {}
+    with ThreadPoolExecutor(HEADER_READS) as pool:
+        for path, line in zip(files, pool.map(lambda f: first_line(spark, f), files), strict=True):
+            out.setdefault(line, []).append(path)
+    return out
+
+
 def read_headed_csv(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """CSV files as text columns, each by its own header, put together by name.
 
-    A header takes one read of a file's first line; files are scanned together where
-    their headers are equal, and the scans are unioned by name.
+    Files are scanned together where their headers are equal; the CSV reader names
+    the columns of each header from one of its files, and the scans are unioned by name.
     """
-    by_header: dict[tuple, list[str]] = {}
-    for f in list_files(spark, paths):
-        by_header.setdefault(tuple(spark.read.option("header", "true").csv(f).columns), []).append(f)
     out = None
-    for header, files in by_header.items():
+    for files in header_catalogue(spark, paths).values():
+        header = spark.read.option("header", "true").csv(files[0]).columns
         schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
         df = spark.read.schema(schema).option("header", "true").option("enforceSchema", "false").csv(files)
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)
@@ -120,6 +150,19 @@ def read_layer(spark: SparkSession, path: str, seasons: Sequence[int] | None = N
     return df
 
 
+def read_footers(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet layer, read so that counts without a filter, of the whole or by its
+    partition columns, are answered from file footers and no row group is read.
+
+    That takes Spark's newer Parquet reader, which is set for this table alone, in a
+    session of its own on the same cluster."""
+    own = spark.newSession()
+    older = own.conf.get("spark.sql.sources.useV1SourceList").split(",")
+    own.conf.set("spark.sql.sources.useV1SourceList", ",".join(x for x in older if x.strip() != "parquet"))
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return own.read.parquet(path)
+
+
 def read_gold(spark: SparkSession, path: str) -> DataFrame:
     """Whole gold table for training and serving (S4); never collected."""
     return spark.read.parquet(path)

@@ -1,13 +1,15 @@
 """End-to-end jobs over CSV files written by the test, and the streaming ingest."""
 
 import csv
+import gzip
 import os
 
 from pyspark.sql import functions as F
 
 from gridcast import schemas
+from gridcast.operators.quality import null_profile, stored_profile
 from gridcast.plans import jobs
-from gridcast.sources.files import read_gold, read_layer, read_plays_csv
+from gridcast.sources.files import header_catalogue, read_footers, read_gold, read_headed_csv, read_layer, read_plays_csv, write_layer
 from gridcast.streaming.ingest import stream_plays_to_silver
 from tests.fixtures import PLAY_COLS, bronze_plays
 
@@ -87,6 +89,39 @@ def test_files_are_read_by_their_own_headers(spark, tmp_dir):
     assert "more" in read_plays_csv(spark, tmp_dir, all_columns=True).columns
 
 
+def test_jobs_follow_from_headers_not_files(spark, tmp_dir):
+    for i in range(40):
+        with open(f"{tmp_dir}/{i:02d}.csv", "w") as f:
+            f.write(("" if i % 2 else "\n") + ("a,b\n1,2\n" if i % 4 < 2 else 'b,"c d"\r\n3,4\r\n'))
+    with gzip.open(f"{tmp_dir}/z.csv.gz", "wt") as f:
+        f.write("a,b\n5,6\n")
+    assert sorted(len(x) for x in header_catalogue(spark, [tmp_dir]).values()) == [20, 21]
+    spark.sparkContext.setJobGroup("headers", "headers")
+    df = read_headed_csv(spark, [tmp_dir])
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("headers")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) <= 2 * 2
+    got = sorted((r.a or "", r.b or "", r["c d"] or "") for r in df.collect())
+    assert got == [("", "3", "4")] * 20 + [("1", "2", "")] * 20 + [("5", "6", "")]
+
+
+def test_stored_layer_is_profiled_from_footers(spark, tmp_dir):
+    rows = [(1, None, "x", 2020), (2, 0.5, None, 2020), (3, None, None, 2021), (4, None, "y", None)]
+    df = spark.createDataFrame(rows, "play_id int, `odd.name` double, game_id string, season int")
+    write_layer(df, f"{tmp_dir}/layer")
+    found = stored_profile(read_footers(spark, f"{tmp_dir}/layer"), "silver")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(" in plan and "PushedGroupBy: [season]" in plan
+    got = {r.column_name: (r.position, r.data_type, r.n_rows, r.null_count) for r in found.collect()}
+    assert got == {"play_id": (1, "int", 4, 0), "odd.name": (2, "double", 4, 3), "game_id": (3, "string", 4, 2), "season": (4, "int", 4, 1)}
+    assert {r.column_name: r.null_count for r in null_profile(df).collect()} == {c: n for c, (*_, n) in got.items() if n}
+    # a layer without partitions and without rows; the session's own reader stays as it was
+    df.drop("season").where("false").write.parquet(f"{tmp_dir}/none")
+    got = stored_profile(read_footers(spark, f"{tmp_dir}/none"), "none").collect()
+    assert [(r.column_name, r.n_rows, r.null_count) for r in got] == [("play_id", 0, 0), ("odd.name", 0, 0), ("game_id", 0, 0)]
+    assert "FileScan" in spark.read.parquet(f"{tmp_dir}/none")._jdf.queryExecution().executedPlan().toString()
+
+
 def test_streaming_ingest_of_a_season_in_many_files(spark, tmp_dir):
     """One file a batch, several files a season, copies of a play and null seasons
     spread over them, a restart in between: silver is the batch job's result."""
