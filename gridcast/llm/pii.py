@@ -1,10 +1,14 @@
 """Operator 9: personal data by weak supervision.
 
 Base spans come from four patterns (email, ip, card, phone) with their checks and
-are always kept.  Beyond them, every word with a digit, ``@`` or ``=`` that no base
-span touches is a candidate.  Labelers of three sorts vote on candidates and base
-spans: formats (regular expressions), word lists (gazetteer) around the span, and
-the shape of its context.  Expectation-maximisation over the counts of vote
+are always kept.  Beyond them, each sort of labeler proposes spans: formats (account
+numbers in groups, telephone numbers without a plus, keys without a digit), word
+lists (a title or a first name before capitalised words, a street with its number),
+contexts (what follows ``password:`` and the like), and any word with a digit, ``@``
+or ``=``.  Candidates are the proposals that no base span touches, leftmost first and
+the longer form before the single word.  All labelers vote on candidates and base
+spans: formats (regular expressions), word lists (gazetteer) in and around the span,
+the context and the shape.  Expectation-maximisation over the counts of vote
 patterns estimates how reliable each labeler is, without labels; its posteriors
 train the final span classifier (naive Bayes over features of the span, some of
 which no labeler sees), and the candidates that it accepts become ``other`` spans.
@@ -46,7 +50,6 @@ PATTERNS = {
 #: What a text must have before a pattern is tried.
 NEEDS = {"email": r"@[A-Za-z0-9-]", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
 _BYTE = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])?"
-CANDIDATE_RE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@=]*+[0-9@=][^\x20\x09-\x0D]*+"
 EDGES = ".,;:!?()[]{}<>\"'"
 
 # Word lists of the gazetteer labeler (lower case).
@@ -58,8 +61,36 @@ PLAIN_WORDS = ("version", "license", "licence", "apache", "cc", "by", "by-nc", "
 # Formats that stand for personal data or secrets, and plain numbers.
 PERSONAL_FORMAT = (r"^(?:[0-9]{3}-[0-9]{2}-[0-9]{4}|AKIA[0-9A-Z]{16}|[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}"
                    r"|(?:gh[pousr]_|sk-|xox[abp]-)[A-Za-z0-9_-]{16,}|(?i:password|passwd|pwd|secret|token|api_?key)[=:].+)$")
+GROUPED_ACCOUNT = r"[A-Z]{2}[0-9]{2}(?:\x20[A-Z0-9]{4}){2,7}+(?:\x20[A-Z0-9]{1,3})?+(?![A-Za-z0-9])"
+LOCAL_PHONE = r"(?:\([0-9]{2,5}\)\x20?|[0-9]{3}[.-])[0-9]{3,4}[\x20.-][0-9]{3,5}(?![0-9A-Za-z])"
+BARE_KEY = r"AKIA[0-9A-Z]{16}(?![0-9A-Za-z])"
+# Words before a name, first names, words of streets.
+TITLES = ("Mr", "Mrs", "Ms", "Miss", "Dr", "Prof", "Herr", "Herrn", "Frau", "Monsieur", "Madame", "Mme", "Señor", "Señora", "Sr", "Sra", "Don", "Doña")
+FIRST_NAMES = ("James", "Mary", "John", "Patricia", "Robert", "Jennifer", "Michael", "Linda", "David", "Elizabeth", "William", "Barbara",
+               "Richard", "Susan", "Thomas", "Sarah", "Peter", "Anna", "Hans", "Klaus", "Wolfgang", "Jürgen", "Ursula", "Sabine", "Monika",
+               "Petra", "Jean", "Pierre", "Michel", "Marie", "Nathalie", "Isabelle", "François", "José", "Antonio", "Manuel", "Francisco",
+               "Carmen", "María", "Josefa", "Isabel", "Dolores", "Juan", "Carlos")
+STREETS = ("Street", "Road", "Avenue", "Lane", "Drive", "Boulevard")
+STREETS_BEFORE = ("rue", "avenue", "boulevard", "calle", "avenida", "plaza")
+STREETS_JOINED = ("straße", "strasse", "weg", "platz", "gasse", "allee")
 PLAIN_FORMAT = r"^[v#§$€£]?[0-9]{1,4}(?:[.,:/-][0-9]{1,4}){0,2}(?:st|nd|rd|th|%|s)?$"
 
+# --- what labelers propose --------------------------------------------------
+
+_NAME = r"\p{Lu}\p{Ll}++(?:-\p{Lu}\p{Ll}++)?+"
+LISTED = (rf"(?:(?:{'|'.join(TITLES)})\.?+\x20{_NAME}(?:\x20{_NAME})?+|(?:{'|'.join(FIRST_NAMES)})\x20{_NAME}"
+          rf"|[0-9]{{1,5}}\x20{_NAME}(?:\x20{_NAME})?\x20(?:{'|'.join(STREETS)})(?![\p{{L}}])"
+          rf"|[0-9]{{1,4}}+,?+\x20(?:{'|'.join(STREETS_BEFORE)})\x20(?:[\p{{L}}]{{1,20}}\x20){{0,2}}{_NAME}"
+          rf"|\p{{Lu}}\p{{Ll}}{{2,30}}(?:{'|'.join(STREETS_JOINED)})\x20[0-9]{{1,4}}[a-z]?+(?![0-9\p{{L}}]))")
+_ASSIGNING = r"(?i:password|passwort|passwd|pwd|secret|token|key|login|username)\x20?[=:]"
+# the cheap look behind goes first
+ASSIGNED = rf"(?<=[=:]\x20?)(?<={_ASSIGNING}\x20?)[^\x20\x09-\x0D]++"
+_WORD_START = r"(?<![^\x20\x09-\x0D\"'<\[(])"
+CANDIDATE_RE = (rf"(?=[\p{{Lu}}0-9(]){_WORD_START}(?:{GROUPED_ACCOUNT}|{LOCAL_PHONE}|{BARE_KEY}|{LISTED})|{ASSIGNED}"
+                r"|(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@=]*+[0-9@=][^\x20\x09-\x0D]*+")
+#: What a text must have before candidates are looked for.
+CANDIDATE_NEEDS = rf"[0-9@=]|AKIA|{_ASSIGNING}|(?:{'|'.join(TITLES + FIRST_NAMES)})[.\x20]"
+
 
 # --- base spans -------------------------------------------------------------
 
@@ -121,8 +152,8 @@ def labelers(x: Column) -> list[Column]:
     near = F.slice(F.reverse(_last_words(x.before)), 1, 4)
     n_digits = F.length(F.regexp_replace(x.m, "[^0-9]", ""))
     return [
-        _vote(x.base | x.m.rlike(PERSONAL_FORMAT), x.m.rlike(PLAIN_FORMAT)),  # format
-        _vote(F.arrays_overlap(near, F.array(*map(F.lit, PERSONAL_WORDS))) | F.lower(x.m).rlike(r"^\p{L}+[=:]"),
+        _vote(x.base | x.m.rlike(PERSONAL_FORMAT) | x.m.rlike(f"^(?:{GROUPED_ACCOUNT}|{LOCAL_PHONE})$"), x.m.rlike(PLAIN_FORMAT)),  # format
+        _vote(F.arrays_overlap(near, F.array(*map(F.lit, PERSONAL_WORDS))) | F.lower(x.m).rlike(r"^\p{L}+[=:]") | x.m.rlike(f"^{LISTED}$"),
               F.arrays_overlap(near, F.array(*map(F.lit, PLAIN_WORDS)))),  # gazetteer
         _vote(x.before.rlike(r"[:=<(]\s*$") | x.m.contains("=") | x.m.contains("@"), x.after.rlike(r"^[.,]?\s*$|^[.,]?\n")),  # context
         _vote((F.length(x.m) >= 9) & (n_digits >= 6), F.length(x.m) < 6),  # shape
@@ -132,10 +163,11 @@ def labelers(x: Column) -> list[Column]:
 def span_features(x: Column) -> list[Column]:
     """What the final classifier sees of a span."""
     return [F.length(x.m) >= 6, F.length(x.m) >= 10, F.length(x.m) >= 16, x.m.contains("@"), x.m.contains("="),
-            x.m.rlike("[A-Za-z]"), x.m.rlike("[0-9].*[0-9].*[0-9].*[0-9].*[0-9]"), x.m.rlike("[A-Z].*[0-9]|[0-9].*[A-Z]")]
+            x.m.rlike("[A-Za-z]"), x.m.rlike("[0-9].*[0-9].*[0-9].*[0-9].*[0-9]"), x.m.rlike("[A-Z].*[0-9]|[0-9].*[A-Z]"),
+            x.m.contains(" "), x.m.rlike(f"^{LISTED}$")]
 
 
-N_FEATURES = 8
+N_FEATURES = 10
 
 
 # --- learning ---------------------------------------------------------------
@@ -203,7 +235,7 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     in the order of kinds (email, ip, card, phone, other) and starts; and the model."""
     t = docs.select(F.col(id_col).alias("id"), text_of(F.col(text_col)).alias("text"))
     t = t.select("id", "text", *[base_spans(F.col("text"), k).alias(k) for k in KINDS])
-    words = F.when(F.col("text").rlike("[0-9@=]"), _placed(F.col("text"), CANDIDATE_RE)).otherwise(F.array().cast(_SPANS))
+    words = F.when(F.col("text").rlike(CANDIDATE_NEEDS), _placed(F.col("text"), CANDIDATE_RE)).otherwise(F.array().cast(_SPANS))
     t = t.withColumn("words", words).drop("text")
 
     def span(x: Column, k: int) -> Column:
@@ -214,12 +246,12 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         return lambda x: span(x, k)
 
     def trimmed(x: Column) -> Column:
-        core = F.ltrim(x.m, F.lit(EDGES))
+        core = F.when(x.m.rlike(r"^\([0-9]+\).*[0-9]"), x.m).otherwise(F.ltrim(x.m, F.lit(EDGES)))
         return F.struct((x.start + F.length(x.m) - F.length(core)).alias("start"), F.rtrim(core, F.lit(EDGES)).alias("m"),
                         x.before.alias("before"), x.after.alias("after"))
 
     t = t.select("id", F.concat(*[F.transform(k, tagged(n)) for n, k in enumerate(KINDS)]).alias("found"),
-                 F.transform(F.filter(F.transform("words", trimmed), lambda x: x.m.rlike("[0-9@=]")), tagged(len(KINDS))).alias("words"))
+                 F.transform(F.filter(F.transform("words", trimmed), lambda x: x.m.rlike(r"[\p{L}\p{N}]")), tagged(len(KINDS))).alias("words"))
     free = F.filter("words", lambda w: ~F.exists("found", lambda b: (b.start < w.end) & (w.start < b.end)))
     t = t.withColumn("all", F.concat("found", free))
 

@@ -59,7 +59,8 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = [F.size(F.filter("base", lambda s: s.k == 0)), F.size(F.filter("base", lambda s: s.k == 1)),
          F.size(F.filter("base", lambda s: s.k == 2)), F.size(F.filter("base", lambda s: s.k == 3))]
     return found.select("doc_id", *[x.cast("long").alias(f"n_{k}") for k, x in zip(pii.KINDS, n, strict=True)],
-                        F.sha2(pii.span_text(F.col("base")), 256).alias("base_sha256"), pii.span_text(F.col("spans")).alias("spans"))
+                        F.sha2(pii.span_text(F.col("base")), 256).alias("base_sha256"), pii.span_text(F.col("spans")).alias("spans"),
+                        F.size("spans").cast("long").alias("n_spans"))
 
 
 def op10_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -66,3 +66,40 @@ def test_reliabilities_are_learned():
 def test_plan_is_native(spark, odd):
     plan = pii.personal_data(odd)[0]._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_labelers_propose_spans_of_several_words(spark):
+    """Recall and precision by kind on planted formats, names, streets and secrets."""
+    r = random.Random(5)
+    digits = lambda n: "".join(r.choices("0123456789", k=n))
+    make = [
+        lambda: f"DE{digits(2)} {digits(4)} {digits(4)} {digits(4)} {digits(4)} {digits(2)}",
+        lambda: f"({digits(3)}) {digits(3)}-{digits(4)}",
+        lambda: "AKIA" + "".join(r.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ", k=16)),
+        lambda: f"{r.choice(['Mr', 'Dr.', 'Frau', 'Señora'])} {r.choice(['Miller', 'Weber', 'García'])}",
+        lambda: f"{r.choice(['Anna', 'Thomas', 'Pierre'])} {r.choice(['Schmidt', 'Jones', 'Lefèvre'])}",
+        lambda: f"{digits(2)} {r.choice(['Baker', 'Station'])} Street",
+        lambda: f"{r.choice(['Haupt', 'Berg', 'Garten'])}straße {1 + r.randrange(98)}",
+    ]
+    texts, want = [], []
+    for i in range(len(make) * 30):
+        span = make[i % len(make)]()
+        begin = "so it was said that "
+        texts.append(f"{begin}{span} came again on the day after and left")
+        want.append((len(begin), len(begin) + len(span)))
+    plain = [f"Licensed under version {r.randrange(9)}.0.\nsee page {i} for more of it" for i in range(120)]
+    mails = [f"mail me at x{i}@mail.example.com today" for i in range(60)]
+    got, model = spans_of(spark, texts + plain + mails)
+    assert model is not None
+    for k in range(len(make)):
+        rows = range(k, len(texts), len(make))
+        caught = sum(want[i] in [(s.start, s.end) for s in got[i].spans] for i in rows)
+        assert caught >= 0.9 * len(rows), (k, caught)
+    for i in range(len(texts), len(texts) + len(plain) + len(mails)):
+        assert [s for s in got[i].spans if s.k == 4] == []
+
+
+def test_long_runs_of_proposals_are_linear(spark):
+    texts = ["A" * 200_000, "Dr " * 60_000, "Anna" * 50_000, "DE12 " * 40_000, "(123) " * 40_000, "token:" * 30_000, "X" + "a" * 200_000]
+    got, _ = spans_of(spark, texts)
+    assert len(got) == len(texts)
