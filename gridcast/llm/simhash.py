@@ -41,6 +41,8 @@ from gridcast.llm.common import stage_table
 
 SHINGLE_WORDS = 4
 RADIUS = 4
+#: A key of more than this part of the rows is looked up in a broadcast table.
+HOT = 1000
 SEED = 42
 #: Most fingerprints in one piece of a shard.
 SHARD_CAP = 8192
@@ -261,11 +263,25 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """One row per input row: ``id_col``, ``fp`` (long), ``root`` (the component's
     least fingerprint), ``component_id`` (its least id), and the ``carry`` columns."""
     rows = stage_table(docs.select(id_col, *carry, fingerprint(F.col(text_col), shingle_words).alias("fp")), "fingerprints")
-    nodes = rows.groupBy("fp").agg(F.min(id_col).alias("least_id"))
+    nodes = rows.groupBy("fp").agg(F.min(id_col).alias("least_id"), F.count("*").alias("copies"))
     stars = close_links(fingerprint_links(nodes.select("fp"), radius, shard_cap))
-    named = (nodes.join(stars, nodes.fp == stars.u, "left")
-             .select("fp", "least_id", F.coalesce("root", "fp").alias("root")))
+    below = stage_table(nodes.join(stars, nodes.fp == stars.u).select("fp", "least_id", "copies", "root"), "below-roots")
     # few rows per root after the map-side combine, whatever its group's size
-    ids = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    classes = named.select("fp", "root").join(ids, "root")
-    return rows.join(classes, "fp").select(id_col, *carry, "fp", "root", "component_id")
+    least = below.groupBy("root").agg(F.min("least_id").alias("m"), F.count("*").alias("n"))
+    # every node that is not below a root is one; F.least skips a null id
+    roots = stage_table(nodes.join(below.select("fp"), "fp", "left_anti").join(least, F.col("fp") == F.col("root"), "left")
+                        .select(F.col("fp").alias("root"), "copies", F.least("least_id", "m").alias("component_id"), "n"), "roots")
+    named = _looked_up(below.drop("least_id"), roots.filter("n is not null").drop("copies"), "root", below.count())
+    classes = roots.select(F.col("root").alias("fp"), "root", F.col("copies").alias("n"), "component_id").unionByName(
+        named.select("fp", "root", F.col("copies").alias("n"), "component_id"))
+    return _looked_up(rows, classes, "fp", rows.count()).select(id_col, *carry, "fp", "root", "component_id")
+
+
+def _looked_up(rows: DataFrame, table: DataFrame, key: str, total: int) -> DataFrame:
+    """``rows`` (``total`` of them) with the columns of ``table``, which has each key once
+    and in ``n`` how many rows have it.  Keys of more than a ``HOT``-th of the rows, fewer
+    than ``HOT`` by that, are broadcast, so no task gets more of one key than that."""
+    hot = F.col("n") > F.lit(total / HOT)
+    few = F.broadcast(table.filter(hot).drop("n"))
+    others = rows.join(few.select(key), key, "left_anti").join(table.filter(~hot).drop("n"), key)
+    return rows.join(few, key).unionByName(others)

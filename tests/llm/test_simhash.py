@@ -87,3 +87,24 @@ def test_empty_null_and_repeated(spark, odd):
     assert sorted((r.doc_id or -1, r.component_id) for r in got) == [(-1, 4), (-1, 9), (4, 4), (9, 9), (9, 9)]
     got = sh.simhash_components(documents(spark, ["alone here now"], ids=[None])).collect()
     assert [(r.doc_id, r.component_id) for r in got] == [(None, None)]
+
+
+@pytest.mark.parametrize("hot", [1, 4, 10 ** 6])
+def test_look_up_is_the_same_for_hot_keys(spark, monkeypatch, hot):
+    """Keys over the bound go by broadcast, the others by the plain join; together each row comes once."""
+    monkeypatch.setattr(sh, "HOT", hot)
+    rows = spark.createDataFrame([(i, 0 if i < 40 else i % 7) for i in range(100)], "i long, k long")
+    table = rows.groupBy("k").agg(F.count("*").alias("n"), F.min("i").alias("least"))
+    got = sh._looked_up(rows, table, "k", 100).collect()
+    least = {}
+    for i in range(100):
+        least.setdefault(0 if i < 40 else i % 7, i)
+    assert sorted((r.i, r.least) for r in got) == [(i, least[0 if i < 40 else i % 7]) for i in range(100)]
+
+
+def test_null_ids_in_a_component(spark):
+    """A component's id is its least id that is not null; without any it is null."""
+    text = "one two three four five six"
+    got = sh.simhash_components(documents(spark, [text, text, None, "a b c d e f g"], ids=[None, 7, None, 3])).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.component_id) for r in got if r.component_id is not None) == [(False, 3, 3), (False, 7, 7), (True, 0, 7)]
+    assert sum(r.component_id is None for r in got) == 1
