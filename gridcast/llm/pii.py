@@ -82,14 +82,14 @@ LISTED = (rf"(?:(?:{'|'.join(TITLES)})\.?+\x20{_NAME}(?:\x20{_NAME})?+|(?:{'|'.j
           rf"|[0-9]{{1,5}}\x20{_NAME}(?:\x20{_NAME})?\x20(?:{'|'.join(STREETS)})(?![\p{{L}}])"
           rf"|[0-9]{{1,4}}+,?+\x20(?:{'|'.join(STREETS_BEFORE)})\x20(?:[\p{{L}}]{{1,20}}\x20){{0,2}}{_NAME}"
           rf"|\p{{Lu}}\p{{Ll}}{{2,30}}(?:{'|'.join(STREETS_JOINED)})\x20[0-9]{{1,4}}[a-z]?+(?![0-9\p{{L}}]))")
-_ASSIGNING = r"(?i:password|passwort|passwd|pwd|secret|token|key|login|username)\x20?[=:]"
-# the cheap look behind goes first
-ASSIGNED = rf"(?<=[=:]\x20?)(?<={_ASSIGNING}\x20?)[^\x20\x09-\x0D]++"
+# look-aheads of one character come first: most places fail there
+_ASSIGNING = r"(?<=(?i:password|passwort|passwd|pwd|secret|token|key|login|username)\x20?[=:]"
+ASSIGNED = rf"(?<=[=:]\x20?){_ASSIGNING}\x20?)[^\x20\x09-\x0D]++"
 _WORD_START = r"(?<![^\x20\x09-\x0D\"'<\[(])"
 CANDIDATE_RE = (rf"(?=[\p{{Lu}}0-9(]){_WORD_START}(?:{GROUPED_ACCOUNT}|{LOCAL_PHONE}|{BARE_KEY}|{LISTED})|{ASSIGNED}"
                 r"|(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@=]*+[0-9@=][^\x20\x09-\x0D]*+")
 #: What a text must have before candidates are looked for.
-CANDIDATE_NEEDS = rf"[0-9@=]|AKIA|{_ASSIGNING}|(?:{'|'.join(TITLES + FIRST_NAMES)})[.\x20]"
+CANDIDATE_NEEDS = rf"[0-9@=]|:{_ASSIGNING})|(?=[A-Z])(?:AKIA|(?:{'|'.join(TITLES + FIRST_NAMES)})[.\x20])"
 
 
 # --- base spans -------------------------------------------------------------
