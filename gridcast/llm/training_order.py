@@ -7,16 +7,19 @@ make the numbers global and without gaps, and a keyed Feistel permutation with
 cycle-walking sends each number to its global slot: a shuffle of the whole corpus
 that any task can evaluate for itself.  The order of the numbers is that of the
 input's splits, so a rerun over the same files, split alike, gives the same slots.  Slots are cut into
-shards of ``shard_len``; one task writes each shard in slot order with a fixed
-stride of ``2 * seq_len`` bytes, so slot ``s`` is at ``(s % shard_len) * stride``
-of shard ``s // shard_len``, and a reader resumes at any slot.
+shards of ``shard_len``; ``write_shards`` has one task write each shard as one raw
+file of records of ``stride(seq_len)`` bytes in slot order, so slot ``s`` is at
+``(s % shard_len) * stride`` of shard ``s // shard_len``; ``record`` is the records'
+numpy type.  ``sequences_from`` seeks to any slot and reads on in order, and
+``read_from`` does so with Spark, a shard at a time.
 
 Texts are tokenised once, where they are read, and moved once, to their shards.  A
 task holds the ids of a few megabytes of text, or of one longer text, at a time.
 
 Defined cases: a null or empty text is one sequence with only the end mark; equal
 rows each have slots of their own; null ids are kept;
-an empty table gives an empty result; other columns are ignored.
+an empty table gives an empty result and no shard; other columns are ignored.  A record
+keeps an integer id as it is and of any other id its ``xxhash64``.
 """
 
 from __future__ import annotations
@@ -30,6 +33,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -39,6 +43,19 @@ from gridcast.llm.common import stage_table
 SEQ_LEN = 1024
 SHARD_LEN = 16_384
 ROUNDS = 6
+#: What ends a record: two bytes, so that ids stay at even places of a file.
+RECORD_END = "\n\n"
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
+
+
+def record(seq_len: int = SEQ_LEN) -> np.dtype:
+    """A record of a shard: padded ids, how many are of the text, whether the id is null,
+    the sequence's number in its text, and the id."""
+    return np.dtype([("ids", "<u2", (seq_len,)), ("n_tokens", ">u2"), ("no_id", ">u2"), ("seq_no", ">u4"), ("id", ">i8"), ("end", "S2")])
+
+
+def stride(seq_len: int = SEQ_LEN) -> int:
+    return record(seq_len).itemsize
 
 
 # --- permutation ------------------------------------------------------------
@@ -139,13 +156,13 @@ def _sequences(starts, seq_len: int, shard_len: int, n: int, seed: int, end: int
             grid[at:at + len(t)] = t
         first = starts.value[b.column(0).to_numpy()] + b.column(2).to_numpy()
         slot = permute(first[doc] + seq_no, n, seed)
-        stride = 2 * seq_len
+        width = 2 * seq_len
         for at in range(0, len(doc), 1024):
             r = slice(at, at + 1024)
             k = len(doc[r])
-            tokens = pa.Array.from_buffers(pa.binary(stride), k, [None, pa.py_buffer(grid[at * seq_len:(at + k) * seq_len])]).cast(pa.binary())
+            tokens = pa.Array.from_buffers(pa.binary(width), k, [None, pa.py_buffer(grid[at * seq_len:(at + k) * seq_len])]).cast(pa.binary())
             yield pa.RecordBatch.from_arrays([
-                pa.array(slot[r]), pa.array((slot[r] // shard_len).astype(np.int32)), pa.array(slot[r] % shard_len * stride),
+                pa.array(slot[r]), pa.array((slot[r] // shard_len).astype(np.int32)), pa.array(slot[r] % shard_len * stride(seq_len)),
                 b.column(1).take(pa.array(doc[r])), pa.array(seq_no[r].astype(np.int32)), pa.array(used[r].astype(np.int32)), tokens], schema=schema)
     return run
 
@@ -173,25 +190,41 @@ def training_order(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     return out.withColumnRenamed("id", id_col)
 
 
-def write_shards(sequences: DataFrame, path: str) -> None:
-    """One file for each shard in ``path/shard=N``; shards that are there already
-    stay, so a run that broke off is resumed by writing again.  It is refused if one
-    of them holds other rows than ``sequences`` have for it: numbers follow the
-    input's splits, and shards of two numberings repeat sequences and lose others."""
+def write_shards(sequences: DataFrame, path: str, id_col: str = "doc_id", seq_len: int = SEQ_LEN, shard_len: int = SHARD_LEN) -> None:
+    """One raw file for each shard in ``path/shard=N``, written by one task under a
+    temporary name and renamed when the job commits, on any store Spark can write.
+    Shards that are there already stay, so a run that broke off is resumed by writing
+    again.  It is refused if one of them holds other rows than ``sequences`` have for it:
+    numbers follow the input's splits, and shards of two numberings repeat sequences and
+    lose others."""
+    if seq_len > 0xFFFF:
+        raise ValueError("a record counts its ids in 16 bits")
     spark = sequences.sparkSession
+    whole = sequences.schema[id_col].dataType.simpleString() in _WHOLE
+    key = F.col(id_col).cast("long") if whole else F.when(F.col(id_col).isNotNull(), F.xxhash64(id_col))
+    rows = sequences.select("slot", "shard", key.alias("id"), "seq_no", "n_tokens", "tokens")
     done = written_shards(spark, path)
     if done:
-        mine, there = (_fingerprints(x.filter(F.col("shard").isin(done)), sequences.columns) for x in (sequences, spark.read.parquet(path)))
+        there = read_from(spark, path, 0, shard_len, seq_len, "id").filter(F.col("shard").isin(done)).select(rows.columns)
+        mine, there = (_fingerprints(x) for x in (rows.filter(F.col("shard").isin(done)), there))
         other = there.join(mine, there.columns, "left_anti").select("shard").first()
         if other:
             raise ValueError(f"shard {other.shard} under {path} is of another numbering of the sequences")
-        sequences = sequences.filter(~F.col("shard").isin(done))
-    sequences.write.mode("append").partitionBy("shard").parquet(path)
+        rows = rows.filter(~F.col("shard").isin(done))
+
+    def field(value, n_bytes: int):
+        return F.unhex(F.lpad(F.hex(value.cast("long")), 2 * n_bytes, "0"))
+
+    parts = [F.col("tokens"), field(F.col("n_tokens"), 2), field(F.col("id").isNull().cast("int"), 2),
+             field(F.col("seq_no"), 4), field(F.coalesce("id", F.lit(0)), 8)]
+    # the text writer puts the bytes of a string out as they are
+    lines = rows.sortWithinPartitions("shard", "slot").select("shard", F.concat(*parts).cast("string").alias("record"))
+    lines.write.mode("append").option("lineSep", RECORD_END).option("compression", "none").partitionBy("shard").text(path)
 
 
-def _fingerprints(rows: DataFrame, columns: list[str]) -> DataFrame:
+def _fingerprints(rows: DataFrame) -> DataFrame:
     """(shard, n, mark): rows of each shard and what they hold, whatever their order."""
-    return rows.groupBy("shard").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64(*sorted(columns))).alias("mark"))
+    return rows.groupBy("shard").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("slot", "id", "seq_no", "n_tokens", "tokens")).alias("mark"))
 
 
 def written_shards(spark: SparkSession, path: str) -> list[int]:
@@ -204,7 +237,50 @@ def written_shards(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(p) if s.getPath().getName().startswith("shard="))
 
 
-def read_from(spark: SparkSession, path: str, slot: int, shard_len: int = SHARD_LEN) -> DataFrame:
-    """Sequences from ``slot`` on in order: whole shards before it are not opened."""
-    rows = spark.read.parquet(path)
-    return rows.filter((F.col("shard") >= slot // shard_len) & (F.col("slot") >= slot)).orderBy("slot")
+def _records(slot: int, seq_len: int, shard_len: int, schema: pa.Schema):
+    """Rows of whole shard files, from ``slot`` on; a task holds a few files at a time."""
+    kind = record(seq_len)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for shard, content in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                data = np.frombuffer(content.as_buffer(), kind)
+                for at in range(max(0, slot - shard * shard_len), len(data), 1024):
+                    r = data[at:at + 1024]
+                    place = np.arange(at, at + len(r))
+                    tokens = pa.Array.from_buffers(pa.binary(2 * seq_len), len(r), [None, pa.py_buffer(np.ascontiguousarray(r["ids"]))])
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(shard * shard_len + place), pa.array(np.full(len(r), shard, np.int32)), pa.array(place * kind.itemsize),
+                        pa.array(r["id"].astype(np.int64), mask=r["no_id"] == 1), pa.array(r["seq_no"].astype(np.int32)),
+                        pa.array(r["n_tokens"].astype(np.int32)), tokens.cast(pa.binary())], schema=schema)
+    return run
+
+
+def read_from(spark: SparkSession, path: str, slot: int, shard_len: int = SHARD_LEN, seq_len: int = SEQ_LEN, id_col: str = "doc_id") -> DataFrame:
+    """The columns of ``training_order`` from ``slot`` on, out of the shard files and in
+    slot order within each: shards before it are not opened and records before it not
+    looked at.  The id is a long (see above)."""
+    schema = "slot long, shard int, offset long, id long, seq_no int, n_tokens int, tokens binary"
+    empty = spark.createDataFrame([], schema)
+    if not written_shards(spark, path):
+        return empty.withColumnRenamed("id", id_col)
+    files = spark.read.format("binaryFile").load(path).filter(F.col("shard") >= slot // shard_len)
+    rows = files.select("shard", "content").mapInArrow(_records(slot, seq_len, shard_len, to_arrow_schema(empty.schema)), schema)
+    return rows.withColumnRenamed("id", id_col)
+
+
+def sequences_from(path: str, slot: int, shard_len: int = SHARD_LEN, seq_len: int = SEQ_LEN) -> Iterator[np.ndarray]:
+    """Records from ``slot`` on for a trainer, without Spark: seeks in the slot's file and
+    reads on, one record at a time, from any store that pyarrow opens."""
+    fs, root = pa.fs.FileSystem.from_uri(path) if "://" in path else (pa.fs.LocalFileSystem(), path)
+    kind, shard = record(seq_len), slot // shard_len
+    offset = slot % shard_len * kind.itemsize
+    while (folder := fs.get_file_info(f"{root}/shard={shard}")).type == pa.fs.FileType.Directory:
+        files = [f for f in fs.get_file_info(pa.fs.FileSelector(folder.path)) if not f.base_name.startswith(("_", "."))]
+        if len(files) != 1:
+            raise ValueError(f"shard {shard} under {path} has {len(files)} files")
+        with fs.open_input_file(files[0].path) as f:
+            f.seek(offset)
+            while len(raw := f.read(kind.itemsize)) == kind.itemsize:
+                yield np.frombuffer(raw, kind)[0]
+        shard, offset = shard + 1, 0

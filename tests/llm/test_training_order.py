@@ -28,7 +28,7 @@ def test_round_trip(spark):
     n = len(rows)
     assert sorted(r.slot for r in rows) == list(range(n))
     for r in rows:
-        assert (r.shard, r.offset, len(r.tokens)) == (r.slot // 10, r.slot % 10 * 128, 128)
+        assert (r.shard, r.offset, len(r.tokens)) == (r.slot // 10, r.slot % 10 * to.stride(64), 128)
     for i, t in enumerate(texts):
         assert ids([r for r in rows if r.doc_id == i]) == [*bpe.encode_ordinary(t or ""), bpe.n_vocab]
 
@@ -43,11 +43,36 @@ def test_written_shards_resume_and_read_on(spark, tmp_path):
     df = to.training_order(documents(spark, [f"text {i} " * i for i in range(60)]), PATH, seq_len=32, shard_len=8).persist()
     want = [(r.slot, r.tokens) for r in df.orderBy("slot").collect()]
     path = str(tmp_path / "shards")
-    to.write_shards(df.filter("shard < 3"), path)  # a run that broke off
+    to.write_shards(df.filter("shard < 3"), path, seq_len=32, shard_len=8)  # a run that broke off
     assert to.written_shards(spark, path) == [0, 1, 2]
-    to.write_shards(df, path)
-    assert [(r.slot, r.tokens) for r in to.read_from(spark, path, 0, 8).collect()] == want
-    assert [(r.slot, r.tokens) for r in to.read_from(spark, path, 21, 8).collect()] == want[21:]
+    to.write_shards(df, path, seq_len=32, shard_len=8)
+    assert sorted((r.slot, r.tokens) for r in to.read_from(spark, path, 0, 8, 32).collect()) == want
+    assert sorted((r.slot, r.tokens) for r in to.read_from(spark, path, 21, 8, 32).collect()) == want[21:]
+    for slot in (0, 5, 8, 21, len(want) - 1, len(want)):
+        got = [r["ids"].tobytes() for r in to.sequences_from(path, slot, 8, 32)]
+        assert got == [bytes(t) for _, t in want[slot:]]
+
+
+def test_shards_are_raw_files_of_fixed_stride(spark, tmp_path):
+    """All 65,536 values of an id, null and hashed ids come back from their places."""
+    grid = np.arange(1 << 16, dtype="<u2").reshape(-1, 64)
+    rows = [(s, s // 100, s % 100 * to.stride(64), None if s % 5 == 0 else f"id {s}", s % 3, 64, grid[s].tobytes()) for s in range(len(grid))]
+    df = spark.createDataFrame(rows, "slot long, shard int, offset long, doc_id string, seq_no int, n_tokens int, tokens binary")
+    path = str(tmp_path / "shards")
+    to.write_shards(df.repartitionById(11, "shard"), path, seq_len=64, shard_len=100)
+    files = sorted(tmp_path.glob("shards/shard=*/part-*"), key=lambda f: int(f.parent.name[6:]))
+    assert [f.stat().st_size for f in files] == [100 * to.stride(64)] * 10 + [24 * to.stride(64)]
+    whole = np.concatenate([np.fromfile(f, to.record(64)) for f in files])
+    assert (whole["ids"] == grid).all() and (whole["seq_no"] == np.arange(1024) % 3).all()
+    want = {r.slot: r.k for r in df.selectExpr("slot", "if(doc_id is null, null, xxhash64(doc_id)) as k").collect()}
+    got = to.read_from(spark, path, 0, 100, 64).collect()
+    assert {r.slot: r.doc_id for r in got} == want and all(r.offset == r.slot % 100 * to.stride(64) for r in got)
+
+
+def test_no_rows_no_shards(spark, odd, tmp_path):
+    path = str(tmp_path / "none")
+    to.write_shards(to.training_order(odd.filter("false"), PATH), path)
+    assert to.written_shards(spark, path) == [] and to.read_from(spark, path, 0).count() == 0 and list(to.sequences_from(path, 0)) == []
 
 
 def test_empty_null_and_repeated(spark, odd):
@@ -67,7 +92,7 @@ def test_resume_of_another_numbering_is_refused(spark, tmp_path):
     docs = documents(spark, [f"text {i} " * i for i in range(60)])
     a, b = (to.training_order(docs.repartition(n), PATH, seq_len=32, shard_len=8) for n in (2, 5))
     path = str(tmp_path / "shards")
-    to.write_shards(a.filter("shard < 3"), path)
+    to.write_shards(a.filter("shard < 3"), path, seq_len=32, shard_len=8)
     with pytest.raises(ValueError, match="another numbering"):
-        to.write_shards(b, path)
+        to.write_shards(b, path, seq_len=32, shard_len=8)
     assert to.written_shards(spark, path) == [0, 1, 2]
