@@ -36,7 +36,9 @@ from pyspark.sql import functions as F
 from gridcast.session import materialize
 
 BINS = 64
-ROWS_A_BLOCK = 100_000
+#: A task works on one block at a time, in some 250 bytes a row.
+ROWS_A_BLOCK = 1_000_000
+ROWS_A_CHUNK = 1 << 15
 ROUNDS_A_JOB = 25
 UNIT = float(1 << 20)
 NO_SPLIT = 255
@@ -123,12 +125,20 @@ def sampled(key: np.ndarray, round_: int, settings: Settings) -> np.ndarray:
 
 
 def sums(bins: np.ndarray, node: np.ndarray, g: np.ndarray, h: np.ndarray, nodes: int, width: int) -> np.ndarray:
-    """First and second derivatives by node, feature and bin (whole numbers)."""
-    n, features = bins.shape
-    at = ((node[:, None] * features + np.arange(features)) * width + bins).ravel()
-    size = nodes * features * width
-    both = [np.bincount(at, np.repeat(x, features), size) for x in (g, h)]
-    return np.stack(both, -1).reshape(nodes, features, width, 2).astype(np.int64)
+    """First and second derivatives by node, feature and bin (whole numbers).  Rows are
+    counted a feature at a time in chunks that stay in the processor's cache."""
+    features, size = bins.shape[1], nodes * width
+    out = np.zeros((features, 2, size), np.int64)
+    for begin in range(0, len(bins), ROWS_A_CHUNK):
+        part = slice(begin, begin + ROWS_A_CHUNK)
+        columns, first = np.ascontiguousarray(bins[part].T), node[part] * width
+        gs, hs, at = g[part], h[part], np.empty_like(first)
+        alike = (hs == hs[0]).all()   # squared error: a count says it all
+        for f in range(features):
+            np.add(first, columns[f], out=at)
+            out[f, 0] += np.bincount(at, gs, size).astype(np.int64)
+            out[f, 1] += np.bincount(at, None, size) * int(hs[0]) if alike else np.bincount(at, hs, size).astype(np.int64)
+    return out.reshape(features, 2, nodes, width).transpose(2, 0, 3, 1)
 
 
 def best_split(total: np.ndarray, settings: Settings) -> tuple[int, int, float, float, float]:
@@ -202,13 +212,47 @@ class Block:
 
     def begin(self) -> None:
         """Derivatives of the rows that the next round sees."""
-        use = sampled(self.key, self.done, self.settings)
-        self.rows = self.bins[use]
-        self.g, self.h = derivatives(self.target, self.margin[use], self.label[use])
+        self.use = sampled(self.key, self.done, self.settings)
+        self.rows = self.bins[self.use]
+        self.g, self.h = derivatives(self.target, self.margin[self.use], self.label[self.use])
+        self.node, self.level, self.total = np.zeros(len(self.rows), np.int64), 0, None
+
+    def _descend(self, tree: Growing, level: int) -> None:
+        at, rows = np.arange(len(self.rows)), self.rows
+        for k in range(self.level, level):
+            split = self.node + (1 << k) - 1
+            self.node = 2 * self.node + (rows[at, tree.feature[split]] > tree.cut[split])
+        self.level = level
 
     def sums(self, tree: Growing) -> np.ndarray:
-        node = walk(self.rows, tree.feature, tree.cut, tree.level)
-        return sums(self.rows, node, self.g, self.h, 1 << tree.level, self.settings.bins)
+        """The block's sums for the nodes of the tree's next level.  Where those of the
+        level above are at hand only the smaller child of each node is counted; the
+        other is the rest of its parent, exactly, as the sums are whole numbers."""
+        before = self.total if self.total is not None and self.level == tree.level - 1 else None
+        self._descend(tree, tree.level)
+        nodes, width = 1 << tree.level, self.settings.bins
+        if before is None:
+            self.total = sums(self.rows, self.node, self.g, self.h, nodes, width)
+            return self.total
+        rows = np.bincount(self.node, None, nodes).reshape(-1, 2)
+        less = np.arange(0, nodes, 2) + rows.argmin(1)
+        mine = np.zeros(nodes, bool)
+        mine[less] = True
+        at = np.flatnonzero(mine[self.node])
+        counted = sums(self.rows[at], self.node[at] >> 1, self.g[at], self.h[at], nodes >> 1, width)
+        self.total = np.empty((nodes, *counted.shape[1:]), np.int64)
+        self.total[less], self.total[less ^ 1] = counted, before - counted
+        return self.total
+
+    def grown(self, tree: Growing) -> None:
+        """Apply the tree that was grown on the rows in use: they are at its last
+        level already, only the others are walked down."""
+        self._descend(tree, tree.depth)
+        self.margin[self.use] += tree.leaf[self.node]
+        rest = ~self.use
+        self.margin[rest] += tree.leaf[walk(self.bins[rest], tree.feature, tree.cut, tree.depth)]
+        self.done += 1
+        _SEEN[self.place] = (self.done, self.margin)
 
 
 def _block(width: int, n_labels: int):
@@ -262,7 +306,7 @@ class Trainer:
                     total = block.sums(tree)
                     tree.split({n: best_split(t, settings) for n, t in enumerate(total) if t[0, :, 1].any()})
                 trees = trees.plus(tree.forest(0.0))
-                block.apply(tree.forest(0.0))
+                block.grown(tree)
             yield k, trees
         for k, trees in self._job(work).collect():
             self.forests[k] = self.forests[k].plus(trees)
@@ -332,8 +376,10 @@ def fit_forests(df: DataFrame, features: Sequence[str], targets: Sequence[Target
     edges = bin_edges(rows, values, settings.bins)
     bases = [float(np.log(m / (1 - m))) if t.loss == "log" and 0 < m < 1 else float(m) if t.loss != "log" else 0.0
              for t, m in zip(targets, means, strict=True)]
-    table = binned(rows, values, labels, edges, max(1, -(-n // rows_a_block)))
-    blocks = table.rdd.mapPartitions(_block(len(features), len(targets))).persist()
+    parts = max(1, -(-n // rows_a_block))
+    table = binned(rows, values, labels, edges, parts)
+    # a scan cuts a block's file into splits of which one has the rows; each would cost a task a level
+    blocks = table.rdd.coalesce(parts).mapPartitions(_block(len(features), len(targets))).persist()
     try:
         return edges, Trainer(blocks, targets, bases, settings).fit()
     finally:

@@ -148,3 +148,42 @@ def test_importances_and_tables_without_rows(spark):
     with pytest.raises(ValueError, match="no training rows"):
         fit_games(df.where("false"), FEATURES, max_iter=1)
     assert predict(model, df.where("false")).collect() == []
+
+
+def test_only_the_smaller_child_is_counted(monkeypatch):
+    """Below the root a block counts at most half of its rows a level, and has the sums
+    that counting all of them gives; the grown tree is applied as any other."""
+    r = np.random.default_rng(5)
+    n, counted = 4000, []
+    bins = r.integers(0, 16, (n, 5)).astype(np.uint8)
+    labels = np.stack([bins[:, 0] * 1.5 + r.normal(size=n), (bins[:, 1] > 9).astype(float)], 1)
+    key, settings, whole = r.integers(0, 1 << 60, n).astype(np.uint64), b.Settings(depth=4, bins=16), b.sums
+    monkeypatch.setattr(b, "sums", lambda bins, *more: counted.append(len(bins)) or whole(bins, *more))
+    for k, loss in enumerate(("squared", "log")):
+        block = b.Block(f"run{k}", 0, (bins, labels, key), k, b.Target("y", "y", loss), b.Forest.empty(0.5, 4), settings)
+        block.begin()
+        tree = b.Growing(4)
+        for level in range(4):
+            counted.clear()
+            total = block.sums(tree)
+            node = b.walk(block.rows, tree.feature, tree.cut, level)
+            assert np.array_equal(total, whole(block.rows, node, block.g, block.h, 1 << level, 16))
+            assert counted[0] <= (len(block.rows) // 2 if level else len(block.rows))
+            tree.split({i: b.best_split(t, settings) for i, t in enumerate(total) if t[0, :, 1].any()})
+        block.grown(tree)
+        fresh = b.Block(f"other{k}", 0, (bins, labels, key), k, b.Target("y", "y", loss), b.Forest.empty(0.5, 4).plus(tree.forest(0.5)), settings)
+        assert np.array_equal(fresh.margin, block.margin) and fresh.done == block.done == 1
+
+
+def test_rows_of_one_block_are_one_partition(spark, monkeypatch):
+    """However many splits a scan makes of the binned rows, a task gets a block, so that few
+    rows are learned in jobs of many rounds."""
+    parts, init = [], b.Trainer.__init__
+    monkeypatch.setattr(b.Trainer, "__init__", lambda self, *a: init(self, *a) or parts.append(self.parts))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        b.fit_forests(games(spark), FEATURES, [b.Target("spread", "final_home_margin")], b.Settings(rounds=2, depth=2))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert parts == [1]
