@@ -95,15 +95,19 @@ def _window_pass(df: DataFrame, entity: str, metrics, recent: int, order, season
     return df.withColumns(cols)
 
 
-def _scan_pass(df: DataFrame, entity: str, metrics, recent: int, order, season: str, end: int) -> DataFrame:
+def _scan_pass(df: DataFrame, entity: str, metrics, recent: int, order, season: str, end: int, source: DataFrame | None = None) -> DataFrame:
+    """``source``: the same rows before other entities' columns came to them, which are
+    not worked out again for the chunks."""
     original = df.columns
     n, values = recent, {}
     for i, m in enumerate(metrics):
         values[f"_v{i}"] = _value(df, m)
     zero = {v: F.lit(0).cast("bigint" if integral else EXACT) for v, (_, integral) in values.items()}
     # the chunk as one key that is never null, for the window and for the join alike
-    base = df.withColumn("_chunk", F.struct(F.col(entity).alias("e"), F.col(season).alias("s"), F.col(order[0]).alias("w")))
-    base = base.withColumns({v: c for v, (c, _) in values.items()})
+    def keyed(rows: DataFrame) -> DataFrame:
+        chunk = F.struct(F.col(entity).alias("e"), F.col(season).alias("s"), F.col(order[0]).alias("w"))
+        return rows.withColumn("_chunk", chunk).withColumns({v: c for v, (c, _) in values.items()})
+    base, narrow = keyed(df), keyed(df if source is None else source)
 
     # 1. inside each chunk: sums over its earlier rows
     inside = Window.partitionBy("_chunk").orderBy(*order)
@@ -116,7 +120,7 @@ def _scan_pass(df: DataFrame, entity: str, metrics, recent: int, order, season:
 
     # 2. one row per chunk, its last: totals and the values of the last n rows
     so_far = inside.rowsBetween(Window.unboundedPreceding, 0)
-    chunks = base.select(
+    chunks = narrow.select(
         "_chunk", F.collect_list(F.struct(*values)).over(inside.rowsBetween(1 - n, 0)).alias("_tail"),
         F.lead(F.lit(1)).over(inside).isNull().alias("_end"),
         *[F.sum(v).over(so_far).alias(f"{v}_s") for v in values], *[F.count(v).over(so_far).alias(f"{v}_c") for v in values]).where("_end")
@@ -172,7 +176,8 @@ def add_trailing_avg(df: DataFrame, metrics: Sequence[schemas.RollingMetric] = s
         raise ValueError(f"unknown strategy {strategy!r}")
     out = df
     for entity, ms in _by_entity(metrics).items():
-        out = passes[strategy](out, entity, ms, recent, list(order), season, _ends(as_of))
+        more = {"source": df} if strategy == "scan" else {}
+        out = passes[strategy](out, entity, ms, recent, list(order), season, _ends(as_of), **more)
     return out
 
 

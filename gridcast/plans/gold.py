@@ -44,13 +44,18 @@ def build_gold(plays: DataFrame, odds: DataFrame | None, opts: GoldOptions = Gol
     """Silver plays (+ silver odds) -> gold games.
 
     The plays are aggregated once, to a rollup by game and side, which is written in
-    the shared folder: what follows reads these few rows a game as often as it needs
-    to, and a lost executor costs a read of them.
+    the shared folder: what follows reads these few rows a game, and the team-games
+    written from them, as often as it needs to; a lost executor costs a read of them.
     """
     rollup = materialize(play_rollup(plays, opts.pass_types, opts.count_rush_types, opts.yard_rush_types), "rollup")
-    base, tg = game_base_of(rollup), team_games_of(rollup)
+    # the trailing form reads the team-games several times, in few columns
+    base, tg = game_base_of(rollup), materialize(team_games_of(rollup), "team_games")
     form = team_form(tg, opts.recent, opts.order, opts.strategy)
-    games = attach_form(base, side_pivot(form, opts.metrics, opts.defense_side))
+    sides = side_pivot(form, opts.metrics, opts.defense_side)
     if odds is None:
-        return games
-    return attach_odds(games, odds, check_unique=opts.check_unique_odds)
+        return attach_form(base, sides)
+    # both joins keep every game, so their order is free: the odds go to the narrow rows,
+    # and the wide ones stay where the pivot left them
+    games = attach_form(attach_odds(base, odds, check_unique=opts.check_unique_odds), sides)
+    lines = [c for c in odds.columns if c not in schemas.ODDS_KEYS]
+    return games.select(*schemas.ODDS_KEYS, *[c for c in games.columns if c not in (*schemas.ODDS_KEYS, *lines)], *lines)

@@ -58,3 +58,15 @@ def test_rollup_gives_both_aggregates(spark):
     rollup = play_rollup(silver)
     for a, b in ((game_base(silver), game_base_of(rollup)), (team_game_stats(silver), team_games_of(rollup))):
         assert a.columns == b.columns and sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+
+def test_plays_stay_where_they_met_their_games(spark):
+    """The de-duplication needs no second shuffle of the plays, and the second entity's
+    chunks do not work out the first one's form again."""
+    import re
+
+    from gridcast.plans import registry
+    sf = "/root/testdata/sf0.001"
+    plan = _plan(registry.QUERIES["plays_clean"](spark, sf))
+    assert re.search(r"hashpartitioning\(_game#", plan) and not re.search(r"hashpartitioning\(game_id#\d+, play_id#", plan)
+    assert _scans(registry.QUERIES["rolling_scan_strategy"](spark, sf)) <= 3
