@@ -38,7 +38,9 @@ from gridcast.session import materialize
 BINS = 64
 #: A task works on one block at a time, in some 250 bytes a row.
 ROWS_A_BLOCK = 1_000_000
-ROWS_A_CHUNK = 1 << 15
+ROWS_A_CHUNK = 1 << 18
+#: Rows that go down a tree together, and the levels at which they meet all nodes.
+ROWS_A_WALK, WIDE_LEVELS = 1 << 14, 8
 ROUNDS_A_JOB = 25
 UNIT = float(1 << 20)
 NO_SPLIT = 255
@@ -91,17 +93,45 @@ class Forest:
     def add_to(self, margin: np.ndarray, bins: np.ndarray) -> None:
         """Add the trees to the predictions of binned rows, one after the other."""
         depth = self.leaf.shape[1].bit_length() - 1
-        for k in range(len(self)):
-            margin += self.leaf[k][walk(bins, self.feature[k], self.cut[k], depth)]
+        for begin in range(0, len(bins) if len(self) else 0, ROWS_A_WALK):
+            part = slice(begin, begin + ROWS_A_WALK)
+            columns, sums_ = np.ascontiguousarray(bins[part].T), margin[part]
+            for k in range(len(self)):
+                sums_ += np.take(self.leaf[k], _down(columns, None, self.feature[k], self.cut[k], 0, depth))
+
+
+def _down(columns: np.ndarray, node: np.ndarray | None, feature: np.ndarray, cut: np.ndarray, begin: int, end: int) -> np.ndarray:
+    """From nodes of level ``begin`` to those of level ``end``, for rows whose bins come by
+    column.  All nodes of a level are compared with all rows, column by column, and a
+    row's own is then chosen by the bits of its node: bytes in a row, no look-up a row."""
+    kind = np.uint8 if end <= WIDE_LEVELS else np.int64
+    node = np.zeros(columns.shape[1], kind) if node is None else node.astype(kind, copy=False)
+    for level in range(begin, end):
+        first = (1 << level) - 1
+        if level >= WIDE_LEVELS:
+            at = node + first
+            node = 2 * node + (columns[feature[at], np.arange(len(node))] > cut[at])
+            continue
+        right = (columns[feature[first:2 * first + 1]] > cut[first:2 * first + 1, None]).view(np.uint8)
+        for k in range(level - 1, -1, -1):
+            half = len(right) >> 1
+            right = right[:half] ^ ((right[:half] ^ right[half:]) & (node >> k & 1).astype(np.uint8, copy=False))
+        node = node + node + right[0]
+    return node
+
+
+def descend(bins: np.ndarray, node: np.ndarray, feature: np.ndarray, cut: np.ndarray, begin: int, end: int) -> np.ndarray:
+    """Nodes at level ``end``, counted from the left, of rows at nodes of level ``begin``."""
+    out = np.empty(len(bins), np.int64)
+    for at in range(0, len(bins), ROWS_A_WALK):
+        part = slice(at, at + ROWS_A_WALK)
+        out[part] = _down(np.ascontiguousarray(bins[part].T), node[part], feature, cut, begin, end)
+    return out
 
 
 def walk(bins: np.ndarray, feature: np.ndarray, cut: np.ndarray, depth: int) -> np.ndarray:
     """The node of each row ``depth`` levels below the root, counted from the left."""
-    rows, node = np.arange(len(bins)), np.zeros(len(bins), np.int64)
-    for level in range(depth):
-        at = node + (1 << level) - 1
-        node = 2 * node + (bins[rows, feature[at]] > cut[at])
-    return node
+    return descend(bins, np.zeros(len(bins), np.int64), feature, cut, 0, depth)
 
 
 # --- sums and splits --------------------------------------------------------
@@ -125,20 +155,27 @@ def sampled(key: np.ndarray, round_: int, settings: Settings) -> np.ndarray:
 
 
 def sums(bins: np.ndarray, node: np.ndarray, g: np.ndarray, h: np.ndarray, nodes: int, width: int) -> np.ndarray:
-    """First and second derivatives by node, feature and bin (whole numbers).  Rows are
-    counted a feature at a time in chunks that stay in the processor's cache."""
-    features, size = bins.shape[1], nodes * width
-    out = np.zeros((features, 2, size), np.int64)
+    """First and second derivatives by node, feature and bin (whole numbers).  Features
+    are counted two at a time where rows are many enough for the bins of both."""
+    features, step = bins.shape[1], 2 if 2 * nodes * width * width <= len(bins) else 1
+    out = np.zeros((features, 2, nodes, width), np.int64)
     for begin in range(0, len(bins), ROWS_A_CHUNK):
         part = slice(begin, begin + ROWS_A_CHUNK)
-        columns, first = np.ascontiguousarray(bins[part].T), node[part] * width
-        gs, hs, at = g[part], h[part], np.empty_like(first)
-        alike = (hs == hs[0]).all()   # squared error: a count says it all
-        for f in range(features):
-            np.add(first, columns[f], out=at)
-            out[f, 0] += np.bincount(at, gs, size).astype(np.int64)
-            out[f, 1] += np.bincount(at, None, size) * int(hs[0]) if alike else np.bincount(at, hs, size).astype(np.int64)
-    return out.reshape(features, 2, nodes, width).transpose(2, 0, 3, 1)
+        columns, at = np.ascontiguousarray(bins[part].T), np.empty(len(node[part]), np.int64)
+        first = [node[part] * width ** k for k in range(1, step + 1)]
+        alike = (h[part] == h[begin]).all()   # squared error: a count says it all
+        for f in range(0, features, step):
+            both = step == 2 and f + 1 < features
+            np.add(first[both], columns[f] * np.uint16(width) + columns[f + 1] if both else columns[f], out=at)
+            shape = (nodes, width, width) if both else (nodes, width)
+            for k, weights in enumerate((g[part], None if alike else h[part])):
+                found = np.bincount(at, weights, int(np.prod(shape))).reshape(shape).astype(np.int64, copy=False)
+                if k and alike:
+                    found = found * int(h[begin])
+                out[f, k] += found.sum(2) if both else found
+                if both:
+                    out[f + 1, k] += found.sum(1)
+    return out.transpose(2, 0, 3, 1)
 
 
 def best_split(total: np.ndarray, settings: Settings) -> tuple[int, int, float, float, float]:
@@ -199,7 +236,8 @@ class Block:
     def __init__(self, run: str, part: int, arrays: tuple, k: int, target: Target, forest: Forest, settings: Settings):
         for old in [x for x in _SEEN if x[0] != run]:
             del _SEEN[old]
-        self.bins, labels, self.key = arrays
+        bins, labels, self.key = arrays
+        self.bins = np.asfortranarray(bins)   # by column; so do rows of them lie
         self.target, self.label, self.settings = target, labels[:, k], settings
         self.place = (run, part, k)
         self.done, self.margin = _SEEN.get(self.place) or (0, np.full(len(self.bins), forest.base))
@@ -213,15 +251,20 @@ class Block:
     def begin(self) -> None:
         """Derivatives of the rows that the next round sees."""
         self.use = sampled(self.key, self.done, self.settings)
-        self.rows = self.bins[self.use]
+        self.rows = self._some(self.bins, np.flatnonzero(self.use))
         self.g, self.h = derivatives(self.target, self.margin[self.use], self.label[self.use])
         self.node, self.level, self.total = np.zeros(len(self.rows), np.int64), 0, None
 
+    @staticmethod
+    def _some(bins: np.ndarray, at: np.ndarray) -> np.ndarray:
+        out = np.empty((bins.shape[1], len(at)), np.uint8)
+        for f, column in enumerate(bins.T):
+            np.take(column, at, out=out[f], mode="clip")
+        return out.T
+
     def _descend(self, tree: Growing, level: int) -> None:
-        at, rows = np.arange(len(self.rows)), self.rows
-        for k in range(self.level, level):
-            split = self.node + (1 << k) - 1
-            self.node = 2 * self.node + (rows[at, tree.feature[split]] > tree.cut[split])
+        if level > self.level:
+            self.node = descend(self.rows, self.node, tree.feature, tree.cut, self.level, level)
         self.level = level
 
     def sums(self, tree: Growing) -> np.ndarray:
@@ -239,7 +282,7 @@ class Block:
         mine = np.zeros(nodes, bool)
         mine[less] = True
         at = np.flatnonzero(mine[self.node])
-        counted = sums(self.rows[at], self.node[at] >> 1, self.g[at], self.h[at], nodes >> 1, width)
+        counted = sums(self._some(self.rows, at), self.node[at] >> 1, self.g[at], self.h[at], nodes >> 1, width)
         self.total = np.empty((nodes, *counted.shape[1:]), np.int64)
         self.total[less], self.total[less ^ 1] = counted, before - counted
         return self.total
@@ -250,7 +293,7 @@ class Block:
         self._descend(tree, tree.depth)
         self.margin[self.use] += tree.leaf[self.node]
         rest = ~self.use
-        self.margin[rest] += tree.leaf[walk(self.bins[rest], tree.feature, tree.cut, tree.depth)]
+        self.margin[rest] += tree.leaf[walk(self._some(self.bins, np.flatnonzero(rest)), tree.feature, tree.cut, tree.depth)]
         self.done += 1
         _SEEN[self.place] = (self.done, self.margin)
 
@@ -261,7 +304,8 @@ def _block(width: int, n_labels: int):
         parts = [(np.frombuffer(r.bins, np.uint8).reshape(-1, width), np.frombuffer(r.labels, np.float64).reshape(-1, n_labels),
                   np.frombuffer(r.key, np.uint64)) for r in rows]
         if parts:
-            yield tuple(np.concatenate(p) for p in zip(*parts, strict=True))
+            bins, labels, key = (np.concatenate(p) for p in zip(*parts, strict=True))
+            yield np.asfortranarray(bins), labels, key
     return run
 
 
@@ -346,7 +390,10 @@ def bin_edges(df: DataFrame, values: Sequence[F.Column], bins: int) -> list[np.n
 
 def to_bins(values: np.ndarray, edges: Sequence[np.ndarray]) -> np.ndarray:
     """Bin of each value, one byte a feature; above the last edge, and NaN, the last."""
-    return np.stack([np.searchsorted(e, values[:, i], side="left") for i, e in enumerate(edges)], 1).astype(np.uint8)
+    out = np.empty((len(edges), len(values)), np.uint8)
+    for i, e in enumerate(edges):
+        out[i] = np.searchsorted(e, values[:, i], side="left")
+    return out.T
 
 
 def binned(df: DataFrame, values: Sequence[F.Column], labels: Sequence[F.Column], edges: Sequence[np.ndarray], partitions: int) -> DataFrame:

@@ -187,3 +187,43 @@ def test_rows_of_one_block_are_one_partition(spark, monkeypatch):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert parts == [1]
+
+
+def test_features_are_counted_two_at_a_time(monkeypatch):
+    """Where rows are many enough two features share a count (an odd one is left alone),
+    else each has its own; both are the plain sums of the rows."""
+    r = np.random.default_rng(7)
+    for n, nodes, calls in ((6000, 2, 6), (300, 4, 10)):   # five features, two derivatives
+        bins, node = r.integers(0, 16, (n, 5)).astype(np.uint8), r.integers(0, nodes, n)
+        g, h = np.rint(r.normal(size=n) * b.UNIT), np.rint(r.random(n) * b.UNIT) + 1
+        plain = np.zeros((nodes, 5, 16, 2), np.int64)
+        for f in range(5):
+            np.add.at(plain, (node, f, bins[:, f]), np.stack([g, h], 1).astype(np.int64))
+        counted, count = [], np.bincount
+        with monkeypatch.context() as m:
+            m.setattr(b.np, "bincount", lambda *a: counted.append(1) or count(*a))
+            for chunk in (1 << 18, 1000):
+                m.setattr(b, "ROWS_A_CHUNK", chunk)
+                assert np.array_equal(b.sums(bins, node, g, h, nodes, 16), plain)
+                assert np.array_equal(b.sums(np.asfortranarray(bins), node, g, np.full(n, b.UNIT), nodes, 16)[..., 0], plain[..., 0])
+        assert len(counted) == 2 * calls * (1 + -(-n // 1000))
+
+
+def test_rows_go_down_by_column():
+    """Rows meet all nodes of a level at once (below eight levels one each): the leaf is that
+    of going down row by row, from any level, and no look-up has a place for each row."""
+    r = np.random.default_rng(8)
+    for depth in (1, 4, 6, 9):
+        bins = r.integers(0, 64, (b.ROWS_A_WALK + 77, 7)).astype(np.uint8)
+        feature, cut = r.integers(0, 7, (1 << depth) - 1).astype(np.int16), r.choice([5, 30, 60, b.NO_SPLIT], (1 << depth) - 1).astype(np.uint8)
+        at, rows, half = np.zeros(len(bins), np.int64), np.arange(len(bins)), None
+        for level in range(depth):
+            half = at.copy() if level == depth // 2 else half
+            k = at + (1 << level) - 1
+            at = 2 * at + (bins[rows, feature[k]] > cut[k])
+        assert np.array_equal(b.walk(bins, feature, cut, depth), at)
+        assert np.array_equal(b.descend(np.asfortranarray(bins), half, feature, cut, depth // 2, depth), at)
+        forest = b.Forest(0.0, feature[None], cut[None], np.zeros((1, len(cut))), r.normal(size=(1, 1 << depth)))
+        margin = np.ones(len(bins))
+        forest.add_to(margin, bins)
+        assert np.array_equal(margin, 1.0 + forest.leaf[0][at])
