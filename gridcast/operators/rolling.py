@@ -43,7 +43,8 @@ def _names(m: schemas.RollingMetric) -> tuple[str, str]:
     return f"{m.name}_{schemas.FRAMES['recent'][0]}", f"{m.name}_{schemas.FRAMES['season'][0]}"
 
 
-def _by_entity(metrics) -> dict[str, list[schemas.RollingMetric]]:
+def by_entity(metrics) -> dict[str, list[schemas.RollingMetric]]:
+    """The metrics of each entity, in order."""
     out: dict[str, list] = {}
     for m in metrics:
         out.setdefault(m.entity, []).append(m)
@@ -107,10 +108,17 @@ def _scan_pass(df: DataFrame, entity: str, metrics, recent: int, order, season:
     def keyed(rows: DataFrame) -> DataFrame:
         chunk = F.struct(F.col(entity).alias("e"), F.col(season).alias("s"), F.col(order[0]).alias("w"))
         return rows.withColumn("_chunk", chunk).withColumns({v: c for v, (c, _) in values.items()})
-    base, narrow = keyed(df), keyed(df if source is None else source)
+    # what the chunk or a whole-number value says is not moved a second time
+    told = {entity: F.col("_chunk.e"), season: F.col("_chunk.s"), order[0]: F.col("_chunk.w")}
+    for m, (v, (_, integral)) in zip(metrics, values.items(), strict=True):
+        if integral and not m.negate:
+            told.setdefault(m.source, F.col(v).cast(df.schema[m.source].dataType))
+    told = {c: value for c, value in told.items() if c not in order[1:]}   # the window orders by these
+    kept = [told[c].alias(c) if c in told else F.col(c) for c in original]
+    base, narrow = keyed(df).drop(*told), keyed(df if source is None else source)
 
     # 1. inside each chunk: sums over its earlier rows
-    inside = Window.partitionBy("_chunk").orderBy(*order)
+    inside = Window.partitionBy("_chunk").orderBy(*order[1:] or ["_chunk.w"])   # a chunk has one week
     earlier = inside.rowsBetween(Window.unboundedPreceding, end)
     last = inside.rowsBetween(end + 1 - n, end)
     rows = base.withColumn("_rn", F.row_number().over(inside))
@@ -159,7 +167,7 @@ def _scan_pass(df: DataFrame, entity: str, metrics, recent: int, order, season:
         out[r] = _ratio(_add(F.coalesce(f"{v}_ls", zero[v]), F.element_at(f"{v}_ts", missing), integral),
                         F.coalesce(f"{v}_lc", none) + F.element_at(f"{v}_tc", missing), integral)
     names = [x for m in metrics for x in _names(m)]
-    return joined.select(*[F.col(c) for c in original], *[out[k].alias(k) for k in names])
+    return joined.select(*kept, *[out[k].alias(k) for k in names])
 
 
 def add_trailing_avg(df: DataFrame, metrics: Sequence[schemas.RollingMetric] = schemas.ALL_METRICS,
@@ -175,7 +183,7 @@ def add_trailing_avg(df: DataFrame, metrics: Sequence[schemas.RollingMetric] = s
     if strategy not in passes:
         raise ValueError(f"unknown strategy {strategy!r}")
     out = df
-    for entity, ms in _by_entity(metrics).items():
+    for entity, ms in by_entity(metrics).items():
         more = {"source": df} if strategy == "scan" else {}
         out = passes[strategy](out, entity, ms, recent, list(order), season, _ends(as_of), **more)
     return out

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame
 
 from gridcast import schemas
 from gridcast.operators.aggregate import game_base_of, play_rollup, team_games_of
-from gridcast.operators.reshape import attach_form, attach_odds, side_pivot
-from gridcast.operators.rolling import DEFAULT_ORDER, team_form
+from gridcast.operators.reshape import attach_form, attach_odds, side_pivot, unique_odds
+from gridcast.operators.rolling import DEFAULT_ORDER, add_trailing_avg, by_entity
 from gridcast.session import materialize
 
 
@@ -40,22 +41,34 @@ class GoldOptions:
         return GoldOptions(**base)
 
 
+def game_form(team_games: DataFrame, opts: GoldOptions = GoldOptions()) -> DataFrame:
+    """Trailing form and pivot (W1-W4, J1): one row per game.  Each entity's form is worked
+    out and pivoted by itself, from the columns that it needs, so that no pass moves the
+    other's averages; the pivots have the same games and meet where their game is."""
+    parts = [side_pivot(add_trailing_avg(team_games, ms, opts.recent, opts.order, strategy=opts.strategy), ms, opts.defense_side)
+             for ms in by_entity(opts.metrics).values()]
+    games = reduce(lambda a, b: a.join(b, "game_id"), parts)
+    return games.select("game_id", *[c for side in ("home", "away") for c in schemas.gold_form_columns(side, opts.metrics)])
+
+
 def build_gold(plays: DataFrame, odds: DataFrame | None, opts: GoldOptions = GoldOptions()) -> DataFrame:
     """Silver plays (+ silver odds) -> gold games.
 
     The plays are aggregated once, to a rollup by game and side, which is written in
-    the shared folder: what follows reads these few rows a game, and the team-games
-    written from them, as often as it needs to; a lost executor costs a read of them.
+    the shared folder, bucketed by game: what follows reads these few rows a game, and the
+    team-games written from them, as often as it needs to, and games and team-games stay
+    where they are; a lost executor costs a read of them.  The odds are written as well,
+    so Spark knows their size before it plans the join.
     """
-    rollup = materialize(play_rollup(plays, opts.pass_types, opts.count_rush_types, opts.yard_rush_types), "rollup")
+    rollup = materialize(play_rollup(plays, opts.pass_types, opts.count_rush_types, opts.yard_rush_types), "rollup", by="game_id")
     # the trailing form reads the team-games several times, in few columns
     base, tg = game_base_of(rollup), materialize(team_games_of(rollup), "team_games")
-    form = team_form(tg, opts.recent, opts.order, opts.strategy)
-    sides = side_pivot(form, opts.metrics, opts.defense_side)
+    sides = game_form(tg, opts)
     if odds is None:
         return attach_form(base, sides)
     # both joins keep every game, so their order is free: the odds go to the narrow rows,
     # and the wide ones stay where the pivot left them
-    games = attach_form(attach_odds(base, odds, check_unique=opts.check_unique_odds), sides)
+    known = materialize(unique_odds(odds) if opts.check_unique_odds else odds, "odds")
+    games = attach_form(attach_odds(base, known, check_unique=False), sides)
     lines = [c for c in odds.columns if c not in schemas.ODDS_KEYS]
     return games.select(*schemas.ODDS_KEYS, *[c for c in games.columns if c not in (*schemas.ODDS_KEYS, *lines)], *lines)

@@ -11,11 +11,10 @@ from pyspark.sql import types as T
 
 from gridcast import schemas
 from gridcast.operators.aggregate import game_base, team_game_stats
-from gridcast.operators.reshape import side_pivot
 from gridcast.operators.rolling import rolling_defense, rolling_offense, team_form
 from gridcast.operators.silver import clean_odds, clean_plays
 from gridcast.plans import oracle as O
-from gridcast.plans.gold import GoldOptions, build_gold
+from gridcast.plans.gold import GoldOptions, build_gold, game_form
 from gridcast.session import materialize
 from gridcast.sources import standin
 
@@ -167,13 +166,13 @@ def _pivot_sql(defense_side: str) -> str:
 @register("side_pivot_own", _pivot_sql("own"))
 def q_side_pivot_own(spark, sf_dir):
     """One row per game; each side's defence columns describe its own defence."""
-    return rounded(side_pivot(team_form(team_games(spark, sf_dir)), defense_side="own"))
+    return rounded(game_form(team_games(spark, sf_dir), GoldOptions(defense_side="own")))
 
 
 @register("side_pivot_as_row", _pivot_sql("as_row"))
 def q_side_pivot_as_row(spark, sf_dir):
     """J1 literal (Q2): defence columns read from the side's own offence row."""
-    return rounded(side_pivot(team_form(team_games(spark, sf_dir)), defense_side="as_row"))
+    return rounded(game_form(team_games(spark, sf_dir), GoldOptions(defense_side="as_row")))
 
 
 @register("gold_game_features", O.with_ctes(*gold_oracle_ctes()) + " " + gold_select())

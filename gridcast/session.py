@@ -7,7 +7,8 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, Window
+from pyspark.sql import functions as F
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -102,12 +103,22 @@ def _delete(spark: SparkSession, path: str) -> None:
         pass
 
 
-def materialize(df, name: str):
+def materialize(df, name: str, by: str | None = None):
     """Write ``df`` as a parquet table under the shared checkpoint folder and read it
     back: cuts the lineage (recovery after a lost executor re-reads the files
     instead of recomputing upstream stages) and fixes values that must be seen
     identically by several branches.  One job, unlike ``checkpoint()`` which runs
-    the plan once to count and again to save."""
-    path = scratch_path(df.sparkSession, f"{name}/{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    the plan once to count and again to save.
+
+    With ``by`` the table is bucketed by that column, so what groups or joins by it later
+    moves no row.  The rows of a key are gathered first (they have to be few): where
+    ``df`` has them together already that is no shuffle, and a bucket is one file."""
+    spark, own = df.sparkSession, uuid.uuid4().hex
+    path = scratch_path(spark, f"{name}/{own}")
+    if by is None:
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    rows = df.withColumn("_rows_of_key", F.count(F.lit(1)).over(Window.partitionBy(by)))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows.write.option("path", path).bucketBy(buckets, by).format("parquet").saveAsTable(f"{name}_{own}")
+    return spark.table(f"{name}_{own}").drop("_rows_of_key")

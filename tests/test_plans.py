@@ -70,3 +70,41 @@ def test_plays_stay_where_they_met_their_games(spark):
     plan = _plan(registry.QUERIES["plays_clean"](spark, sf))
     assert re.search(r"hashpartitioning\(_game#", plan) and not re.search(r"hashpartitioning\(game_id#\d+, play_id#", plan)
     assert _scans(registry.QUERIES["rolling_scan_strategy"](spark, sf)) <= 3
+
+
+def test_bucketed_tables_move_no_row_by_their_key(spark):
+    """What groups a rollup by game finds its rows together: games and team-games need no
+    exchange, a bucket is one file, and the rows are those that were written."""
+    from gridcast.operators.aggregate import game_base_of, play_rollup, team_games_of
+    from gridcast.session import materialize
+    rollup = play_rollup(clean_plays(bronze_plays(spark), dedupe_order=("epa",)))
+    written = materialize(rollup, "rollup", by="game_id")
+    assert written.columns == rollup.columns and sorted(map(str, written.collect())) == sorted(map(str, rollup.collect()))
+    for df in (game_base_of(written), team_games_of(written), game_base_of(written).join(team_games_of(written), "game_id")):
+        assert "Exchange hashpartitioning" not in _plan(df)
+    many = materialize(spark.range(5000).selectExpr("cast(id % 500 as string) as k", "id").repartition(7), "many", by="k")
+    assert len(many.inputFiles()) <= int(spark.conf.get("spark.sql.shuffle.partitions")) and many.count() == 5000
+
+
+def test_gold_moves_no_averages_between_entities(spark):
+    """No pass of the trailing form shuffles another's averages, games keep their place, and
+    the odds, whose size is known, are not shuffled against the games."""
+    import re
+
+    from gridcast.plans import registry
+    plan = _plan(registry.QUERIES["gold_game_features"](spark, "/root/testdata/sf0.001")).split("== Initial Plan ==")[-1]
+    assert not re.search(r"hashpartitioning\(season", plan)
+    assert len(re.findall(r"hashpartitioning\(game_id", plan)) == 2    # a pivot of each entity
+    assert len(re.findall(r"hashpartitioning\(_chunk", plan)) == 4     # rows and chunk ends of each
+
+
+def test_rows_of_the_scan_move_what_is_told_once(spark):
+    """Keys that the chunk holds and whole-number values are restored after the shuffle, also
+    where the order needs them."""
+    from gridcast.operators.rolling import add_trailing_avg
+    rows = [(f"g{i}", 2020 + i % 2, i % 5, f"T{i % 3}", f"T{(i + 1) % 3}", i * 3 % 7, i * 5 % 11, i % 4, i % 6, float(i % 5) / 4) for i in range(120)]
+    tg = spark.createDataFrame(rows, "game_id string, season int, week int, posteam string, defteam string, team_plays int, pass_yds int, "
+                                     "rush_yds int, off_final_points_scored int, off_epa_avg double")
+    for order in (("week", "game_id"), ("week", "team_plays", "game_id")):
+        scan, window = (add_trailing_avg(tg, order=order, strategy=s) for s in ("scan", "window"))
+        assert scan.dtypes == window.dtypes and sorted(map(str, scan.collect())) == sorted(map(str, window.collect()))
