@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from gridcast import schemas
 from gridcast.operators.aggregate import game_base_of, play_rollup, team_games_of
@@ -41,17 +42,27 @@ class GoldOptions:
         return GoldOptions(**base)
 
 
-def game_form(team_games: DataFrame, opts: GoldOptions = GoldOptions()) -> DataFrame:
+def game_form(team_games: DataFrame, opts: GoldOptions = GoldOptions(), wanted: DataFrame | None = None) -> DataFrame:
     """Trailing form and pivot (W1-W4, J1): one row per game.  Each entity's form is worked
     out and pivoted by itself, from the columns that it needs, so that no pass moves the
-    other's averages; the pivots have the same games and meet where their game is."""
-    parts = [side_pivot(add_trailing_avg(team_games, ms, opts.recent, opts.order, strategy=opts.strategy), ms, opts.defense_side)
+    other's averages; the pivots have the same games and meet where their game is.  Form
+    follows from all games; ``wanted`` says which of them to pivot."""
+    parts = [side_pivot(_of(wanted, add_trailing_avg(team_games, ms, opts.recent, opts.order, strategy=opts.strategy)), ms, opts.defense_side)
              for ms in by_entity(opts.metrics).values()]
     games = reduce(lambda a, b: a.join(b, "game_id"), parts)
     return games.select("game_id", *[c for side in ("home", "away") for c in schemas.gold_form_columns(side, opts.metrics)])
 
 
-def build_gold(plays: DataFrame, odds: DataFrame | None, opts: GoldOptions = GoldOptions()) -> DataFrame:
+def _of(wanted: DataFrame | None, rows: DataFrame) -> DataFrame:
+    """The rows of the wanted games (a table of ``game_id``; None: all)."""
+    if wanted is None:
+        return rows
+    ids = wanted.select(F.col("game_id").alias("_wanted"))
+    return rows.join(ids, F.col("game_id").eqNullSafe(F.col("_wanted")), "left_semi")
+
+
+def build_gold(plays: DataFrame, odds: DataFrame | None, opts: GoldOptions = GoldOptions(),
+               choose: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Silver plays (+ silver odds) -> gold games.
 
     The plays are aggregated once, to a rollup by game and side, which is written in
@@ -59,11 +70,15 @@ def build_gold(plays: DataFrame, odds: DataFrame | None, opts: GoldOptions = Gol
     team-games written from them, as often as it needs to, and games and team-games stay
     where they are; a lost executor costs a read of them.  The odds are written as well,
     so Spark knows their size before it plans the join.
+
+    ``choose`` gets the game base and returns the games that are asked for: their form is
+    that of the whole table's games, but only they are pivoted, joined and returned.
     """
     rollup = materialize(play_rollup(plays, opts.pass_types, opts.count_rush_types, opts.yard_rush_types), "rollup", by="game_id")
     # the trailing form reads the team-games several times, in few columns
     base, tg = game_base_of(rollup), materialize(team_games_of(rollup), "team_games")
-    sides = game_form(tg, opts)
+    wanted = None if choose is None else materialize(choose(base).select("game_id").distinct(), "wanted")
+    base, sides = _of(wanted, base), game_form(tg, opts, wanted)
     if odds is None:
         return attach_form(base, sides)
     # both joins keep every game, so their order is free: the odds go to the narrow rows,

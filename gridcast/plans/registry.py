@@ -59,9 +59,11 @@ def team_games(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The latest game of every team as a written table of a row per team, from written
-    gold: what matchups are joined to has no lineage behind it."""
-    return materialize(latest_team_game(materialize(gold(spark, sf_dir), "gold")), "latest")
+    """The latest game of every team as a written table of a row per team: what matchups
+    are joined to has no lineage behind it.  Which games those are follows from the game
+    base; gold has their rows, a few a team, with form from all games."""
+    games = build_gold(silver_plays(spark, sf_dir), silver_odds(spark, sf_dir), choose=latest_team_game)
+    return materialize(latest_team_game(materialize(games, "gold")), "latest")
 
 
 def gold(spark: SparkSession, sf_dir: str, opts: GoldOptions = GoldOptions()) -> DataFrame:

@@ -108,3 +108,18 @@ def test_rows_of_the_scan_move_what_is_told_once(spark):
     for order in (("week", "game_id"), ("week", "team_plays", "game_id")):
         scan, window = (add_trailing_avg(tg, order=order, strategy=s) for s in ("scan", "window"))
         assert scan.dtypes == window.dtypes and sorted(map(str, scan.collect())) == sorted(map(str, window.collect()))
+
+
+def test_chosen_games_are_those_of_whole_gold(spark):
+    """Gold of the teams' latest games alone has the rows of whole gold, form from all games
+    included, and so the same latest games; the pivot then moves only their rows."""
+    from gridcast.operators.scoring import latest_team_game
+    from gridcast.plans import registry
+    from gridcast.plans.registry import silver_odds, silver_plays
+    sf = "/root/testdata/sf0.001"
+    whole = registry.gold(spark, sf)
+    few = build_gold(silver_plays(spark, sf), silver_odds(spark, sf), choose=latest_team_game)
+    a, b = ({str(r) for r in latest_team_game(g).collect()} for g in (whole, few))
+    assert a == b and len(a) > 1
+    assert {str(r) for r in few.collect()} < {str(r) for r in whole.collect()}
+    assert _plan(few).split("== Initial Plan ==")[-1].count("LeftSemi") == 3
