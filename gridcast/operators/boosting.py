@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +41,9 @@ ROWS_A_BLOCK = 1_000_000
 ROWS_A_CHUNK = 1 << 18
 #: Rows that go down a tree together, and the levels at which they meet all nodes.
 ROWS_A_WALK, WIDE_LEVELS = 1 << 14, 8
-ROUNDS_A_JOB = 25
+#: Rounds of a job whose task has all rows of a target, and how many trees go along with a
+#: job before they are broadcast.
+ROUNDS_A_JOB, TREES_ALONG = 100, 25
 UNIT = float(1 << 20)
 NO_SPLIT = 255
 
@@ -122,10 +124,11 @@ def _down(columns: np.ndarray, node: np.ndarray | None, feature: np.ndarray, cut
 
 def descend(bins: np.ndarray, node: np.ndarray, feature: np.ndarray, cut: np.ndarray, begin: int, end: int) -> np.ndarray:
     """Nodes at level ``end``, counted from the left, of rows at nodes of level ``begin``."""
-    out = np.empty(len(bins), np.int64)
+    out, by_column = np.empty(len(bins), np.uint8 if end <= WIDE_LEVELS else np.int64), bins.flags.f_contiguous
     for at in range(0, len(bins), ROWS_A_WALK):
         part = slice(at, at + ROWS_A_WALK)
-        out[part] = _down(np.ascontiguousarray(bins[part].T), node[part], feature, cut, begin, end)
+        columns = bins[part].T if by_column else np.ascontiguousarray(bins[part].T)
+        out[part] = _down(columns, node[part], feature, cut, begin, end)
     return out
 
 
@@ -154,24 +157,50 @@ def sampled(key: np.ndarray, round_: int, settings: Settings) -> np.ndarray:
     return (x >> np.uint64(11)).astype(np.float64) < settings.subsample * (1 << 53)
 
 
-def sums(bins: np.ndarray, node: np.ndarray, g: np.ndarray, h: np.ndarray, nodes: int, width: int) -> np.ndarray:
+@dataclass
+class Columns:
+    """Some rows (``at``; None: all) by column: the bins of each feature, and those of each
+    two neighbours as one number, which a block works out once for all rounds."""
+    one: np.ndarray
+    two: np.ndarray
+    at: np.ndarray | None = None
+
+    @staticmethod
+    def of(bins: np.ndarray, width: int) -> Columns:
+        one = np.ascontiguousarray(bins.T)
+        return Columns(one, one[:-1:2] * np.uint16(width) + one[1::2])
+
+    def __len__(self) -> int:
+        return self.one.shape[1] if self.at is None else len(self.at)
+
+    def get(self, f: int, both: bool, part: slice) -> np.ndarray:
+        column = self.two[f // 2] if both else self.one[f]
+        return column[part] if self.at is None else np.take(column, self.at[part], mode="clip")
+
+
+def sums(bins: np.ndarray | Columns, node: np.ndarray, g: np.ndarray, h: np.ndarray, nodes: int, width: int) -> np.ndarray:
     """First and second derivatives by node, feature and bin (whole numbers).  Features
     are counted two at a time where rows are many enough for the bins of both."""
-    features, step = bins.shape[1], 2 if 2 * nodes * width * width <= len(bins) else 1
+    rows = bins if isinstance(bins, Columns) else Columns.of(bins, width)
+    features, step = len(rows.one), 2 if nodes * width * width <= len(rows) else 1
     out = np.zeros((features, 2, nodes, width), np.int64)
-    for begin in range(0, len(bins), ROWS_A_CHUNK):
+    for begin in range(0, len(rows), ROWS_A_CHUNK):
         part = slice(begin, begin + ROWS_A_CHUNK)
-        columns, at = np.ascontiguousarray(bins[part].T), np.empty(len(node[part]), np.int64)
-        first = [node[part] * width ** k for k in range(1, step + 1)]
-        alike = (h[part] == h[begin]).all()   # squared error: a count says it all
+        at, whole = np.empty(len(node[part]), np.int64), node[part].astype(np.int64)
+        first = [whole * width ** k for k in range(1, step + 1)]
+        weights = g[part], h[part]
+        alike = (weights[1] == weights[1][0]).all()   # squared error: a count says it all
         for f in range(0, features, step):
             both = step == 2 and f + 1 < features
-            np.add(first[both], columns[f] * np.uint16(width) + columns[f + 1] if both else columns[f], out=at)
+            if nodes == 1:
+                np.copyto(at, rows.get(f, both, part))
+            else:
+                np.add(first[both], rows.get(f, both, part), out=at)
             shape = (nodes, width, width) if both else (nodes, width)
-            for k, weights in enumerate((g[part], None if alike else h[part])):
-                found = np.bincount(at, weights, int(np.prod(shape))).reshape(shape).astype(np.int64, copy=False)
+            for k, w in enumerate((weights[0], None if alike else weights[1])):
+                found = np.bincount(at, w, int(np.prod(shape))).reshape(shape).astype(np.int64, copy=False)
                 if k and alike:
-                    found = found * int(h[begin])
+                    found = found * int(weights[1][0])
                 out[f, k] += found.sum(2) if both else found
                 if both:
                     out[f + 1, k] += found.sum(1)
@@ -237,7 +266,8 @@ class Block:
         for old in [x for x in _SEEN if x[0] != run]:
             del _SEEN[old]
         bins, labels, self.key = arrays
-        self.bins = np.asfortranarray(bins)   # by column; so do rows of them lie
+        self.bins = np.asfortranarray(bins)   # by column
+        self.columns = Columns.of(self.bins, settings.bins)
         self.target, self.label, self.settings = target, labels[:, k], settings
         self.place = (run, part, k)
         self.done, self.margin = _SEEN.get(self.place) or (0, np.full(len(self.bins), forest.base))
@@ -250,21 +280,20 @@ class Block:
 
     def begin(self) -> None:
         """Derivatives of the rows that the next round sees."""
-        self.use = sampled(self.key, self.done, self.settings)
-        self.rows = self._some(self.bins, np.flatnonzero(self.use))
-        self.g, self.h = derivatives(self.target, self.margin[self.use], self.label[self.use])
-        self.node, self.level, self.total = np.zeros(len(self.rows), np.int64), 0, None
+        self.used = np.flatnonzero(sampled(self.key, self.done, self.settings))
+        self.g, self.h = derivatives(self.target, self.margin[self.used], self.label[self.used])
+        self.node, self.level, self.total = np.zeros(len(self.bins), np.uint8), 0, None
 
-    @staticmethod
-    def _some(bins: np.ndarray, at: np.ndarray) -> np.ndarray:
-        out = np.empty((bins.shape[1], len(at)), np.uint8)
-        for f, column in enumerate(bins.T):
-            np.take(column, at, out=out[f], mode="clip")
-        return out.T
+    @property
+    def rows(self) -> np.ndarray:
+        """Bins of the rows that the round sees."""
+        return self.bins[self.used]
 
     def _descend(self, tree: Growing, level: int) -> None:
+        """All rows go down, also those that the round does not see: the grown tree needs
+        their leaves as well."""
         if level > self.level:
-            self.node = descend(self.rows, self.node, tree.feature, tree.cut, self.level, level)
+            self.node = descend(self.bins, self.node, tree.feature, tree.cut, self.level, level)
         self.level = level
 
     def sums(self, tree: Growing) -> np.ndarray:
@@ -273,27 +302,24 @@ class Block:
         other is the rest of its parent, exactly, as the sums are whole numbers."""
         before = self.total if self.total is not None and self.level == tree.level - 1 else None
         self._descend(tree, tree.level)
-        nodes, width = 1 << tree.level, self.settings.bins
+        nodes, width, node = 1 << tree.level, self.settings.bins, self.node[self.used]
         if before is None:
-            self.total = sums(self.rows, self.node, self.g, self.h, nodes, width)
+            self.total = sums(replace(self.columns, at=self.used), node, self.g, self.h, nodes, width)
             return self.total
-        rows = np.bincount(self.node, None, nodes).reshape(-1, 2)
+        rows = np.bincount(node, None, nodes).reshape(-1, 2)
         less = np.arange(0, nodes, 2) + rows.argmin(1)
         mine = np.zeros(nodes, bool)
         mine[less] = True
-        at = np.flatnonzero(mine[self.node])
-        counted = sums(self._some(self.rows, at), self.node[at] >> 1, self.g[at], self.h[at], nodes >> 1, width)
+        at = np.flatnonzero(mine[node])
+        counted = sums(replace(self.columns, at=self.used[at]), node[at] >> 1, self.g[at], self.h[at], nodes >> 1, width)
         self.total = np.empty((nodes, *counted.shape[1:]), np.int64)
         self.total[less], self.total[less ^ 1] = counted, before - counted
         return self.total
 
     def grown(self, tree: Growing) -> None:
-        """Apply the tree that was grown on the rows in use: they are at its last
-        level already, only the others are walked down."""
+        """Apply the tree that was grown: the rows go on from the level where they are."""
         self._descend(tree, tree.depth)
-        self.margin[self.use] += tree.leaf[self.node]
-        rest = ~self.use
-        self.margin[rest] += tree.leaf[walk(self._some(self.bins, np.flatnonzero(rest)), tree.feature, tree.cut, tree.depth)]
+        self.margin += np.take(tree.leaf, self.node)
         self.done += 1
         _SEEN[self.place] = (self.done, self.margin)
 
@@ -325,7 +351,7 @@ class Trainer:
     def _job(self, work):
         """``work(block)`` for the block of every partition that has rows.  Trees of
         earlier jobs are broadcast now and then, the few since are sent along."""
-        if self.held is None or len(self.forests[0]) - self.held[0] >= ROUNDS_A_JOB:
+        if self.held is None or len(self.forests[0]) - self.held[0] >= TREES_ALONG:
             if self.held:
                 self.held[1].unpersist()
             self.held = (len(self.forests[0]), self.sc.broadcast(self.forests))

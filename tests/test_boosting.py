@@ -2,6 +2,7 @@
 the rows, quality next to Spark ML's trees, and saved models."""
 
 import random
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -227,3 +228,23 @@ def test_rows_go_down_by_column():
         margin = np.ones(len(bins))
         forest.add_to(margin, bins)
         assert np.array_equal(margin, 1.0 + forest.leaf[0][at])
+
+
+def test_counts_take_the_rows_of_a_round_where_they_are():
+    """A block puts pairs of features together once; counting some of its rows from there
+    gives the sums of a copy of those rows."""
+    r = np.random.default_rng(9)
+    bins = np.asfortranarray(r.integers(0, 16, (5000, 5)).astype(np.uint8))
+    at = np.flatnonzero(r.random(5000) < 0.7)
+    node, g, h = r.integers(0, 2, len(at)), np.rint(r.normal(size=len(at)) * b.UNIT), np.rint(r.random(len(at)) * b.UNIT) + 1
+    columns = b.Columns.of(bins, 16)
+    assert len(columns) == 5000 and columns.two.shape == (2, 5000)
+    for nodes in (2, 64):   # two features a count, one a count
+        assert np.array_equal(b.sums(replace(columns, at=at), node, g, h, nodes, 16), b.sums(bins[at], node, g, h, nodes, 16))
+
+
+def test_rounds_of_one_block_are_few_jobs(spark, monkeypatch):
+    jobs, job = [], b.Trainer._job
+    monkeypatch.setattr(b.Trainer, "_job", lambda self, work: jobs.append(len(self.forests[0])) or job(self, work))
+    _, (forest,) = b.fit_forests(games(spark), FEATURES, [b.Target("spread", "final_home_margin")], b.Settings(rounds=110, depth=2))
+    assert jobs == [0, 100] and len(forest) == 110
