@@ -13,9 +13,9 @@ its last ``recent`` rows, and a window over these rows (at most one per week of
 (entity, season)) what lies before each chunk.  A row's frames are its chunk's part
 plus the part before.  So a hot team-season spreads over as many tasks as it has
 weeks, nothing is measured or written while the plan is built, and the row count
-never changes the plan.  The input is read once for the rows and once, in the keys
-and values alone, for the chunks, for each entity: give it a written table, as the
-gold build and the registered queries do.
+never changes the plan.  Rows and chunks of the first entity read one shuffle of the rows; for
+a further entity the input is read again, in the keys and values alone, for its chunks: give
+it a written table, as the gold build and the registered queries do.
 
 ``window`` is the plain ``avg(x) over (partition by entity, season order by week,
 game_id rows ...)``: one task per (entity, season), for small groups.
@@ -27,6 +27,8 @@ both give the same doubles whatever the partitioning.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -83,7 +85,7 @@ def _ends(as_of: str) -> int:
     return -1 if as_of == "before_game" else 0
 
 
-def _window_pass(df: DataFrame, entity: str, metrics, recent: int, order, season: str, end: int) -> DataFrame:
+def _window_pass(df: DataFrame, entity: str, metrics, recent: int, order, season: str, end: int, columns: Sequence[str]) -> DataFrame:
     base = Window.partitionBy(entity, season).orderBy(*order)
     w_recent = base.rowsBetween(end + 1 - recent, end)
     w_season = base.rowsBetween(Window.unboundedPreceding, end)
@@ -93,13 +95,13 @@ def _window_pass(df: DataFrame, entity: str, metrics, recent: int, order, season
         v, integral = _value(df, m)
         cols[r] = _ratio(F.sum(v).over(w_recent), F.count(v).over(w_recent), integral)
         cols[s] = _ratio(F.sum(v).over(w_season), F.count(v).over(w_season), integral)
-    return df.withColumns(cols)
+    return df.withColumns(cols).select(*columns, *cols)
 
 
-def _scan_pass(df: DataFrame, entity: str, metrics, recent: int, order, season: str, end: int, source: DataFrame | None = None) -> DataFrame:
+def _scan_pass(df: DataFrame, entity: str, metrics, recent: int, order, season: str, end: int, columns: Sequence[str],
+               source: DataFrame | None = None) -> DataFrame:
     """``source``: the same rows before other entities' columns came to them, which are
-    not worked out again for the chunks."""
-    original = df.columns
+    not worked out again for the chunks (None: there are no others)."""
     n, values = recent, {}
     for i, m in enumerate(metrics):
         values[f"_v{i}"] = _value(df, m)
@@ -114,8 +116,10 @@ def _scan_pass(df: DataFrame, entity: str, metrics, recent: int, order, season:
         if integral and not m.negate:
             told.setdefault(m.source, F.col(v).cast(df.schema[m.source].dataType))
     told = {c: value for c, value in told.items() if c not in order[1:]}   # the window orders by these
-    kept = [told[c].alias(c) if c in told else F.col(c) for c in original]
-    base, narrow = keyed(df).drop(*told), keyed(df if source is None else source)
+    kept = [told[c].alias(c) if c in told else F.col(c) for c in columns]
+    base = keyed(df).select("_chunk", *dict.fromkeys([*order[1:], *[c for c in columns if c not in told]]), *values)
+    # the chunks ask for all columns of the rows, and no window for more than columns, so that both read one shuffle
+    narrow, asked = (base, base.columns) if source is None else (keyed(source), ["_chunk"])
 
     # 1. inside each chunk: sums over its earlier rows
     inside = Window.partitionBy("_chunk").orderBy(*order[1:] or ["_chunk.w"])   # a chunk has one week
@@ -128,10 +132,13 @@ def _scan_pass(df: DataFrame, entity: str, metrics, recent: int, order, season:
 
     # 2. one row per chunk, its last: totals and the values of the last n rows
     so_far = inside.rowsBetween(Window.unboundedPreceding, 0)
-    chunks = narrow.select(
-        "_chunk", F.collect_list(F.struct(*values)).over(inside.rowsBetween(1 - n, 0)).alias("_tail"),
-        F.lead(F.lit(1)).over(inside).isNull().alias("_end"),
+    ends = narrow.select(
+        "_chunk", F.row_number().over(inside).alias("_rn"),
+        reduce(and_, [F.lead(c).over(inside).isNull() for c in asked]).alias("_end"),   # the chunk itself is never null
+        *[F.lag(v, k).over(inside).alias(f"{v}_{k}") for v in values for k in range(n)],
         *[F.sum(v).over(so_far).alias(f"{v}_s") for v in values], *[F.count(v).over(so_far).alias(f"{v}_c") for v in values]).where("_end")
+    last_rows = F.array(*[F.struct(*[F.col(f"{v}_{k}").alias(v) for v in values]) for k in range(n - 1, -1, -1)])
+    chunks = ends.select("_chunk", F.slice(last_rows, -F.least("_rn", F.lit(n)), n).alias("_tail"), *[f"{v}_{k}" for v in values for k in "sc"])
 
     # 3. what lies before each chunk: sums, and sums of the last 0 .. n rows
     over = Window.partitionBy("_chunk.e", "_chunk.s").orderBy("_chunk.w")
@@ -172,20 +179,25 @@ def _scan_pass(df: DataFrame, entity: str, metrics, recent: int, order, season:
 
 def add_trailing_avg(df: DataFrame, metrics: Sequence[schemas.RollingMetric] = schemas.ALL_METRICS,
                      recent: int = schemas.RECENT_GAMES, order: Sequence[str] = DEFAULT_ORDER,
-                     season: str = "season", strategy: str = "scan", as_of: str = "before_game") -> DataFrame:
+                     season: str = "season", strategy: str = "scan", as_of: str = "before_game",
+                     columns: Sequence[str] | None = None) -> DataFrame:
     """Add ``{metric}_recent_avg`` and ``{metric}_season_avg`` for each metric,
     partitioned by the metric's entity (``posteam`` or ``defteam``) and season.
 
     The first of ``order`` (the week) cuts an (entity, season) into chunks for
-    ``scan``; the whole of ``order`` should order a team's games without ties.
+    ``scan``; the whole of ``order`` should order a team's games without ties.  ``columns``
+    are those of ``df`` to return (None: all); the others are not moved.
     """
     passes = {"scan": _scan_pass, "window": _window_pass}
     if strategy not in passes:
         raise ValueError(f"unknown strategy {strategy!r}")
+    groups = by_entity(metrics)
+    if columns is not None and len(groups) > 1:
+        raise ValueError("columns are chosen for the metrics of one entity")
     out = df
-    for entity, ms in by_entity(metrics).items():
-        more = {"source": df} if strategy == "scan" else {}
-        out = passes[strategy](out, entity, ms, recent, list(order), season, _ends(as_of), **more)
+    for entity, ms in groups.items():
+        more = {"source": None if out is df else df} if strategy == "scan" else {}
+        out = passes[strategy](out, entity, ms, recent, list(order), season, _ends(as_of), columns or out.columns, **more)
     return out
 
 

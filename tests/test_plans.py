@@ -123,3 +123,12 @@ def test_chosen_games_are_those_of_whole_gold(spark):
     assert a == b and len(a) > 1
     assert {str(r) for r in few.collect()} < {str(r) for r in whole.collect()}
     assert _plan(few).split("== Initial Plan ==")[-1].count("LeftSemi") == 3
+
+
+def test_rows_and_chunks_of_an_entity_read_one_shuffle(spark):
+    """The trailing form moves the rows of an entity once; its chunks are read from there."""
+    from gridcast.plans import registry
+    for name, entities in (("rolling_offense", 1), ("side_pivot_own", 2), ("side_pivot_as_row", 2)):
+        df = registry.QUERIES[name](spark, "/root/testdata/sf0.001")
+        df.collect()
+        assert _plan(df).split("== Initial Plan ==")[0].count("ReusedExchange") == entities, name
