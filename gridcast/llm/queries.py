@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridcast.llm import chat, decontam, kn_quality, line_dedup, manifest, mixing, packing, pii, pipeline, quality_rules, simhash, spelling, token_counts, training_order
-from gridcast.llm.common import release, stage_path, staged, tokenizer_path
+from gridcast.llm.common import stage_path, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,11 +51,8 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sequences of all documents in their slots, written as raw shards and read from them."""
-    there = set(staged(spark))
-    sequences = training_order.training_order(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"))
     path = stage_path(spark, f"shards-{uuid.uuid4().hex}")
-    training_order.write_shards(sequences, path)
-    release(spark, [p for p in staged(spark) if p not in there])
+    training_order.write_order(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"), path)
     return training_order.read_from(spark, path, 0)
 
 

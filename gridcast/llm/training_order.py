@@ -13,7 +13,8 @@ file of records of ``stride(seq_len)`` bytes in slot order, so slot ``s`` is at
 numpy type.  ``sequences_from`` seeks to any slot and reads on in order, and
 ``read_from`` does so with Spark, a shard at a time.
 
-Texts are tokenised once, where they are read, and moved once, to their shards.  A
+Texts are tokenised once, where they are read, and moved once, to their shards;
+``write_order`` does both a range of shards at a time.  A
 task holds the ids of a few megabytes of text, or of one longer text, at a time.
 
 Defined cases: a null or empty text is one sequence with only the end mark; equal
@@ -26,6 +27,7 @@ from __future__ import annotations
 
 import base64
 import math
+import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -38,11 +40,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from gridcast.llm.common import stage_table
+from gridcast.llm.common import drop_path, release, stage_path, stage_table, staged
 
 SEQ_LEN = 1024
 SHARD_LEN = 16_384
 ROUNDS = 6
+#: Ranges of shards that ``write_order`` works on one after the other, and Spark's setting that
+#: deletes the shuffle of a write with its end.
+TURNS, CLEANUP = 4, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: What ends a record: two bytes, so that ids stay at even places of a file.
 RECORD_END = "\n\n"
 _WHOLE = ("tinyint", "smallint", "int", "bigint")
@@ -172,6 +177,12 @@ def training_order(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     """One row per sequence, range-partitioned into shards and in slot order inside:
     ``slot``, ``shard``, ``offset`` (bytes in the shard), id, ``seq_no``,
     ``n_tokens`` (without padding) and ``tokens`` (little-endian 16-bit ids)."""
+    out, n = _placed(docs, tokenizer_path, id_col, text_col, seq_len, shard_len, seed)
+    return out.repartitionById(max(1, -(-n // shard_len)), F.col("shard")).sortWithinPartitions("slot")
+
+
+def _placed(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str, seq_len: int, shard_len: int, seed: int) -> tuple[DataFrame, int]:
+    """The sequences with their slots, where their texts were read, and how many there are."""
     spark = docs.sparkSession
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.spark_partition_id().alias("part"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -186,24 +197,54 @@ def training_order(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     arrow = to_arrow_schema(spark.createDataFrame([], schema).schema)
     cut = _sequences(starts, seq_len, shard_len, max(n, 1), seed, encoding(tokenizer_path).n_vocab, arrow)
     out = rows.select("part", "id", "inside", "tokens").mapInArrow(cut, schema)
-    out = out.repartitionById(max(1, -(-n // shard_len)), F.col("shard")).sortWithinPartitions("slot")
-    return out.withColumnRenamed("id", id_col)
-
-
-def write_shards(sequences: DataFrame, path: str, id_col: str = "doc_id", seq_len: int = SEQ_LEN, shard_len: int = SHARD_LEN) -> None:
+    return out.withColumnRenamed("id", id_col), n
+
+
+def write_order(docs: DataFrame, tokenizer_path: str, path: str, id_col: str = "doc_id", text_col: str = "text",
+                seq_len: int = SEQ_LEN, shard_len: int = SHARD_LEN, seed: int = 8, turns: int = TURNS) -> None:
+    """``write_shards`` of the ``training_order``, a range of shards at a time, so that the
+    staged rows, their shuffle and the padded records are not all on disk at once: the
+    sequences are staged compressed by turn, then the tokens are deleted; each turn moves
+    its sequences to their shards, writes these and deletes what it read."""
+    spark, there = docs.sparkSession, set(staged(docs.sparkSession))
+    sequences, n = _placed(docs, tokenizer_path, id_col, text_col, seq_len, shard_len, seed)
+    shards = -(-n // shard_len)
+    turns = min(turns, shards)
+    by_turn = stage_path(spark, f"turns-{uuid.uuid4().hex}")
+    first = [shards * t // turns for t in range(turns)] + [shards]   # of each turn
+    turn = sum((F.col("shard") >= x).cast("int") for x in first[1:-1]) + F.lit(0)
+    if turns:
+        sequences.withColumn("turn", turn).write.option("compression", "zstd").partitionBy("turn").parquet(by_turn)
+    release(spark, [p for p in staged(spark) if p not in there])
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")   # a turn's shuffle goes with its write
+    try:
+        for t in range(turns):
+            mine = range(first[t], first[t + 1])
+            rows = spark.read.schema(sequences.schema).parquet(f"{by_turn}/turn={t}")
+            rows = rows.repartitionById(len(mine), F.col("shard") - mine[0])
+            write_shards(rows, path, id_col, seq_len, shard_len, mine)
+            drop_path(spark, f"{by_turn}/turn={t}")
+    finally:
+        spark.conf.set(CLEANUP, before)
+        drop_path(spark, by_turn)
+
+
+def write_shards(sequences: DataFrame, path: str, id_col: str = "doc_id", seq_len: int = SEQ_LEN, shard_len: int = SHARD_LEN,
+                 only: range | None = None) -> None:
     """One raw file for each shard in ``path/shard=N``, written by one task under a
     temporary name and renamed when the job commits, on any store Spark can write.
     Shards that are there already stay, so a run that broke off is resumed by writing
     again.  It is refused if one of them holds other rows than ``sequences`` have for it:
     numbers follow the input's splits, and shards of two numberings repeat sequences and
-    lose others."""
+    lose others.  ``only``: the shards whose sequences these are (None: all)."""
     if seq_len > 0xFFFF:
         raise ValueError("a record counts its ids in 16 bits")
     spark = sequences.sparkSession
     whole = sequences.schema[id_col].dataType.simpleString() in _WHOLE
     key = F.col(id_col).cast("long") if whole else F.when(F.col(id_col).isNotNull(), F.xxhash64(id_col))
     rows = sequences.select("slot", "shard", key.alias("id"), "seq_no", "n_tokens", "tokens")
-    done = written_shards(spark, path)
+    done = [s for s in written_shards(spark, path) if only is None or s in only]
     if done:
         there = read_from(spark, path, 0, shard_len, seq_len, "id").filter(F.col("shard").isin(done)).select(rows.columns)
         mine, there = (_fingerprints(x) for x in (rows.filter(F.col("shard").isin(done)), there))

@@ -96,3 +96,25 @@ def test_resume_of_another_numbering_is_refused(spark, tmp_path):
     with pytest.raises(ValueError, match="another numbering"):
         to.write_shards(b, path, seq_len=32, shard_len=8)
     assert to.written_shards(spark, path) == [0, 1, 2]
+
+
+@pytest.mark.parametrize("n", [60, 3, 0])
+def test_shards_written_in_turns_are_those_of_the_order(spark, tmp_path, n):
+    """A range of shards at a time: the same files, nothing staged is left, no shuffle but a
+    turn's is kept, and a run that broke off is resumed."""
+    docs = documents(spark, [f"text {i} " * i for i in range(n)]).repartition(3) if n else documents(spark, ["x"]).filter("false")
+    want = sorted((r.slot, r.shard, r.doc_id, r.seq_no, r.n_tokens, bytes(r.tokens)) for r in to.training_order(docs, PATH, seq_len=32, shard_len=8).collect())
+    before, setting = set(to.staged(spark)), spark.conf.get(to.CLEANUP)
+    path, jvm = str(tmp_path / "shards"), spark.sparkContext._jvm
+    to.write_order(docs, PATH, path, seq_len=32, shard_len=8)
+    for again in (False, True):
+        if again and n == 60:   # the last shard is gone
+            last = to.written_shards(spark, path)[-1]
+            to.drop_path(spark, f"{path}/shard={last}")
+            to.write_order(docs, PATH, path, seq_len=32, shard_len=8)
+        got = to.read_from(spark, path, 0, 8, 32).collect()
+        assert sorted((r.slot, r.shard, r.doc_id, r.seq_no, r.n_tokens, bytes(r.tokens)) for r in got) == want
+    assert all(len(list(f.glob("part-*"))) == 1 for f in tmp_path.glob("shards/shard=*"))
+    assert set(to.staged(spark)) == before and spark.conf.get(to.CLEANUP) == setting
+    left = jvm.org.apache.hadoop.fs.Path(to.stage_path(spark, "")).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    assert not (left.globStatus(jvm.org.apache.hadoop.fs.Path(to.stage_path(spark, "turns-*"))) or [])
