@@ -607,9 +607,9 @@ def q_column_summary_odd_numbers(spark, sf_dir):
 
 def _write_csv_by_season(df: DataFrame, path: str, season: str) -> None:
     """The bronze table as headered CSV, one folder per season, the columns of odd
-    seasons in reverse order."""
+    seasons in reverse order.  The table is worked out once, for both orders."""
     odd = F.col(season).cast("int") % 2 == 1
-    columns = df.columns
+    columns, df = df.columns, materialize(df, "bronze")
     for part, names in ((~odd, columns), (odd, columns[::-1])):
         (df.where(part).select(*names).withColumn("_folder", F.col(season)).write.mode("append").partitionBy("_folder")
          .option("header", "true").option("emptyValue", "").csv(path))

@@ -132,3 +132,21 @@ def test_rows_and_chunks_of_an_entity_read_one_shuffle(spark):
         df = registry.QUERIES[name](spark, "/root/testdata/sf0.001")
         df.collect()
         assert _plan(df).split("== Initial Plan ==")[0].count("ReusedExchange") == entities, name
+
+
+def test_bronze_csv_works_its_table_out_once(spark, tmp_dir):
+    """Both column orders are written from one reading of the table."""
+    from gridcast.plans import registry
+    from gridcast.sources.files import read_headed_csv
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    rows = [("1997", "a", "x"), ("1998", "b", "y"), ("1999", None, "z")]
+    df = spark.createDataFrame(rows, "season string, p string, q string")
+    registry._write_csv_by_season(df.mapInArrow(count, df.schema), f"{tmp_dir}/csv", "season")
+    assert seen.value == 3
+    got = read_headed_csv(spark, [f"{tmp_dir}/csv"]).select("season", "p", "q").collect()
+    assert sorted(got, key=str) == sorted([("1997", "a", "x"), ("1998", "b", "y"), ("1999", None, "z")], key=str) and len(got) == 3
