@@ -13,21 +13,40 @@ def _c(col) -> Column:
 
 
 def parse_date(col, fmt: str = "yyyy-MM-dd") -> Column:
-    """Text -> date with a fixed pattern; malformed text becomes null."""
-    return F.try_to_date(_c(col), fmt)
+    """Text -> date with a fixed pattern; malformed text becomes null (P1).  A cast reads
+    the usual text in a fraction of the time; it takes other forms as well, so the
+    pattern is asked for all text that is not four, two and two digits."""
+    c = _c(col)
+    if fmt != "yyyy-MM-dd":
+        return F.try_to_date(c, fmt)
+    d = c.try_cast("date")
+    # a text of this outline that is a date has digits in all other places
+    plain = (F.length(c) == 10) & (F.substring(c, 5, 1) == "-") & (F.substring(c, 8, 1) == "-") \
+        & F.substring(c, 1, 1).between("0", "9") & F.substring(c, 10, 1).between("0", "9") & (F.substring(c, 1, 4) != "0000")
+    return F.when(plain, d).otherwise(F.try_to_date(c, fmt))
+
+
+#: What stands for a missing number: no cast is tried, as each that fails costs an exception.
+MISSING = ("NA", "")
+
+
+def _given(c: Column) -> Column:
+    return ~c.cast("string").isin(*MISSING)
 
 
 def to_double(col) -> Column:
     """Tolerant text -> double: ``"NA"``, empty, ``"NaN"``, infinite and out-of-range
     values (``EXACT_LIMIT`` and more, which no exact sum can hold) become null (P2)."""
-    d = _c(col).try_cast("double")
-    return F.when(F.abs(d) < EXACT_LIMIT, d)   # false for NaN and infinity
+    c = _c(col)
+    d = c.try_cast("double")
+    return F.when(_given(c) & (F.abs(d) < EXACT_LIMIT), d)   # false for NaN and infinity
 
 
 def to_int(col) -> Column:
     """Tolerant text -> int through double, truncating toward zero, so ``"5.0"``
-    gives 5 and ``"NA"``/``"NaN"``/empty give null (P2)."""
-    return to_double(col).try_cast("int")
+    gives 5 and ``"NA"``/``"NaN"``/empty give null (P2), like all that no int can hold."""
+    c = _c(col)
+    return F.when(_given(c), c.try_cast("double").try_cast("int"))
 
 
 def playoff_flag(col) -> Column:
