@@ -18,6 +18,16 @@ def _pick(cond, value, what: str) -> F.Column:
         .otherwise(F.max(F.when(cond, value)))
 
 
+DEFENSE_SIDES = ("own", "as_row")
+
+
+def side_rows(entity: str, defense_side: str = "own") -> dict[str, F.Column]:
+    """Whether a team-game row is the home or the away side's, for the metrics of an entity:
+    two flags that say all that the pivot asks of the teams."""
+    who = entity if defense_side == "own" else "posteam"
+    return {f"_{side}_row": F.col(who) == F.col(f"{side}_team") for side in ("home", "away")}
+
+
 def side_pivot(form: DataFrame, metrics: Sequence[schemas.RollingMetric] = schemas.ALL_METRICS,
                defense_side: str = "own") -> DataFrame:
     """Two team-game rows per game -> one row per game with ``home_*``/``away_*``
@@ -32,16 +42,16 @@ def side_pivot(form: DataFrame, metrics: Sequence[schemas.RollingMetric] = schem
     describes the home defence.  ``"as_row"`` reads them from the side's own
     offence row, as the original pipeline did, which yields the opponent's
     defence (quirk Q2).
+
+    A table of one entity may come with the flags of ``side_rows`` in place of the teams.
     """
-    if defense_side not in ("own", "as_row"):
+    if defense_side not in DEFENSE_SIDES:
         raise ValueError("defense_side must be 'own' or 'as_row'")
+    flagged = {c: F.col(c) for c in form.columns if c in ("_home_row", "_away_row")}
     aggs = []
     for side in ("home", "away"):
-        team = F.col(f"{side}_team")
-        off_row = F.col("posteam") == team
-        def_row = (F.col("defteam") == team) if defense_side == "own" else off_row
         for m in metrics:
-            row = def_row if m.entity == "defteam" else off_row
+            row = (flagged or side_rows(m.entity, defense_side))[f"_{side}_row"]
             for frame, (team_suffix, gold_suffix) in schemas.FRAMES.items():
                 aggs.append(_pick(row, F.col(f"{m.name}_{team_suffix}"), f"{side} {m.entity}")
                             .alias(f"{side}_{m.name}_{gold_suffix}"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from gridcast import schemas
 from gridcast.operators.aggregate import game_base_of, play_rollup, team_games_of
-from gridcast.operators.reshape import attach_form, attach_odds, side_pivot, unique_odds
+from gridcast.operators.reshape import attach_form, attach_odds, side_pivot, side_rows, unique_odds
 from gridcast.operators.rolling import DEFAULT_ORDER, add_trailing_avg, by_entity
 from gridcast.session import materialize
 
@@ -47,11 +47,12 @@ def game_form(team_games: DataFrame, opts: GoldOptions = GoldOptions(), wanted:
     out and pivoted by itself, from the columns that it needs, so that no pass moves the
     other's averages; the pivots have the same games and meet where their game is.  Form
     follows from all games; ``wanted`` says which of them to pivot."""
-    # what the pivot asks of a row: its game, and who has the ball or defends
-    teams = {entity: (entity,) if opts.defense_side == "own" else ("posteam",) for entity in by_entity(opts.metrics)}
-    parts = [side_pivot(_of(wanted, add_trailing_avg(team_games, ms, opts.recent, opts.order, strategy=opts.strategy,
-                                                     columns=("game_id", "home_team", "away_team", *teams[entity]))), ms, opts.defense_side)
-             for entity, ms in by_entity(opts.metrics).items()]
+    parts = []
+    for entity, ms in by_entity(opts.metrics).items():
+        # what the pivot asks of a row: its game and whose side it is; no team goes along
+        sides = side_rows(entity, opts.defense_side)
+        form = add_trailing_avg(team_games.withColumns(sides), ms, opts.recent, opts.order, strategy=opts.strategy, columns=("game_id", *sides))
+        parts.append(side_pivot(_of(wanted, form), ms, opts.defense_side))
     games = reduce(lambda a, b: a.join(b, "game_id"), parts)
     return games.select("game_id", *[c for side in ("home", "away") for c in schemas.gold_form_columns(side, opts.metrics)])
 

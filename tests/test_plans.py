@@ -150,3 +150,25 @@ def test_bronze_csv_works_its_table_out_once(spark, tmp_dir):
     assert seen.value == 3
     got = read_headed_csv(spark, [f"{tmp_dir}/csv"]).select("season", "p", "q").collect()
     assert sorted(got, key=str) == sorted([("1997", "a", "x"), ("1998", "b", "y"), ("1999", None, "z")], key=str) and len(got) == 3
+
+
+def test_the_pivot_asks_rows_for_flags(spark):
+    """The trailing form moves whose side a row is, not the teams; flags give the same pivot."""
+    import re
+
+    from gridcast import schemas
+    from gridcast.operators.reshape import DEFENSE_SIDES, side_pivot, side_rows
+    from gridcast.operators.rolling import team_form
+    from gridcast.plans import registry
+    sf = "/root/testdata/sf0.001"
+    for name in ("side_pivot_own", "side_pivot_as_row", "gold_game_features"):
+        moved = re.findall(r"Project \[([^\n]*AS _chunk#[^\n]*)\]", _plan(registry.QUERIES[name](spark, sf)).split("== Initial Plan ==")[-1])
+        assert len(moved) >= 2, name
+        for columns in moved:
+            assert "_home_row" in columns and not re.search(r"(^|, )(home_team|away_team)#\d+(,|$)", columns), name
+    form = team_form(registry.team_games(spark, sf)).cache()
+    for side in DEFENSE_SIDES:
+        for entity, metrics in (("posteam", schemas.OFFENSE_METRICS), ("defteam", schemas.DEFENSE_METRICS)):
+            flagged = form.withColumns(side_rows(entity, side)).drop("home_team", "away_team", "posteam", "defteam")
+            a, b = side_pivot(form, metrics, side), side_pivot(flagged, metrics, side)
+            assert a.columns == b.columns and sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
