@@ -423,17 +423,20 @@ def to_bins(values: np.ndarray, edges: Sequence[np.ndarray]) -> np.ndarray:
 
 
 def binned(df: DataFrame, values: Sequence[F.Column], labels: Sequence[F.Column], edges: Sequence[np.ndarray], partitions: int) -> DataFrame:
-    """Blocks of rows as a written table: ``bins``, ``labels`` and ``key`` as bytes."""
+    """Blocks of rows as a written table: ``bins``, ``labels`` and ``key`` as bytes.  Rows are
+    binned where they are, by all tasks; a byte a feature moves to its block."""
     n, m = len(values), len(labels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            if not b.num_rows:
+                continue
             x, y = (np.stack([b.column(i).to_numpy(zero_copy_only=False) for i in at], 1) for at in (range(n), range(n, n + m)))
             blob = (to_bins(x, edges).tobytes(), y.astype(np.float64).tobytes(), b.column(b.num_columns - 1).to_numpy().astype(np.int64).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array([z], pa.binary()) for z in blob], names=["bins", "labels", "key"])
     plain = df.select(*[v.alias(f"f{i}") for i, v in enumerate(values)], *[y.alias(f"y{i}") for i, y in enumerate(labels)],
                       F.xxhash64(*[F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind]).alias("key"))
-    return materialize(plain.repartition(partitions).mapInArrow(run, "bins binary, labels binary, key binary"), "binned")
+    return materialize(plain.mapInArrow(run, "bins binary, labels binary, key binary").repartition(partitions), "binned")
 
 
 def fit_forests(df: DataFrame, features: Sequence[str], targets: Sequence[Target], settings: Settings,

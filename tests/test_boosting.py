@@ -248,3 +248,17 @@ def test_rounds_of_one_block_are_few_jobs(spark, monkeypatch):
     monkeypatch.setattr(b.Trainer, "_job", lambda self, work: jobs.append(len(self.forests[0])) or job(self, work))
     _, (forest,) = b.fit_forests(games(spark), FEATURES, [b.Target("spread", "final_home_margin")], b.Settings(rounds=110, depth=2))
     assert jobs == [0, 100] and len(forest) == 110
+
+
+def test_rows_are_binned_before_they_move(spark, monkeypatch):
+    """All tasks bin the rows that they have, and a block gets bytes; no row is lost or changed."""
+    plans, write = [], b.materialize
+    monkeypatch.setattr(b, "materialize", lambda df, name: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or write(df, name))
+    df = games(spark).where("split = 'train'")
+    values, labels = [F.coalesce(F.col(c), F.lit(0.0)) for c in FEATURES], [F.col("final_home_margin")]
+    edges = b.bin_edges(df, values, 16)
+    table = b.binned(df, values, labels, edges, 2)
+    assert plans[0].index("Repartition 2") < plans[0].index("MapInArrow")
+    rows = [r for row in table.collect() for r in zip(np.frombuffer(row.labels), map(tuple, np.frombuffer(row.bins, np.uint8).reshape(-1, 4)), strict=True)]
+    plain = df.select(*labels, *values).toPandas().to_numpy()
+    assert sorted(rows) == sorted(zip(plain[:, 0], map(tuple, b.to_bins(plain[:, 1:], edges)), strict=True)) and len(rows) > 100
