@@ -15,6 +15,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # the JVM leaves generated methods of more than 8,000 bytes uncompiled: their steps run one by one instead
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -70,6 +70,8 @@ def test_missing_numbers_are_not_cast(spark):
 
 def test_game_queries_leave_no_method_uncompiled(spark):
     import __spark_entry__ as entry
+    from gridcast.session import DEFAULT_CONF
+    assert DEFAULT_CONF["spark.sql.codegen.hugeMethodLimit"] == "8000"   # of sessions of jobs too
     for name, limit in (("plays_clean", "8000"), ("op6_mixing", "65535")):
         entry.queries()[name](spark, "/root/testdata/sf0.001")
         assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == limit
