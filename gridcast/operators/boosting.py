@@ -9,12 +9,15 @@ back with the next job.  The objective is second-order with an L2 term on the
 leaves and a least hessian a child, log loss for a class and squared error for a
 number.
 
-Where things are.  The binned rows are a written table, read into cached blocks.  The
-driver holds the trees (some kilobytes a round) and sends them with each job; a
-worker keeps the predictions of a block it has seen and brings them up to date with the
-trees it has missed, so a new worker or a lost executor only has more trees to apply.
-Where one task holds all rows of a target its sums are complete, so it goes on to the next
-level itself, ``ROUNDS_A_JOB`` rounds in a job.
+Where things are.  The binned rows are a written table.  The driver holds the trees (some
+kilobytes a round) and sends them with each job; where a block of rows is worked on its
+predictions are kept and brought up to date with the trees that they miss, so a new worker or a
+lost executor only has more trees to apply.  Where one task holds all rows of a target its
+sums are complete, so it goes on to the next level itself, ``ROUNDS_A_JOB`` rounds in a job.
+More rows are dealt to all cores.  A block then lies in its executor's scratch folder, by
+column and mapped by whichever worker has the task (``Placed``), so a level is a job of one stage
+that moves sums alone, of the smaller child of each node: the driver takes them from
+their parents' for the other.  Sums of a level on the driver are nodes x features x bins, whatever the rows.
 
 Derivatives are whole multiples of 1 / 2**20 and sums of them are exact, rows are
 sampled by their hash and a round's number, and ties go to the first feature
@@ -24,13 +27,20 @@ or retries.
 
 from __future__ import annotations
 
+import contextlib
+import os
+import shutil
+import tempfile
+import threading
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridcast.session import materialize
@@ -38,6 +48,12 @@ from gridcast.session import materialize
 BINS = 64
 #: A task works on one block at a time, in some 250 bytes a row.
 ROWS_A_BLOCK = 1_000_000
+#: Rows that fill more than one block are dealt to all cores, but so many to each at least.
+LEAST_ROWS = 200_000
+#: The sums of so many blocks go to the driver as they are; those of more meet by node first.
+BLOCKS_GATHERED = 32
+#: Jobs in a row that may find blocks gone before the fit gives up.
+LOST_JOBS = 10
 ROWS_A_CHUNK = 1 << 18
 #: Rows that go down a tree together, and the levels at which they meet all nodes.
 ROWS_A_WALK, WIDE_LEVELS = 1 << 14, 8
@@ -183,7 +199,7 @@ def sums(bins: np.ndarray | Columns, node: np.ndarray, g: np.ndarray, h: np.ndar
     are counted two at a time where rows are many enough for the bins of both."""
     rows = bins if isinstance(bins, Columns) else Columns.of(bins, width)
     features, step = len(rows.one), 2 if nodes * width * width <= len(rows) else 1
-    out = np.zeros((features, 2, nodes, width), np.int64)
+    out, ones = np.zeros((features, 2, nodes, width), np.int64), np.ones(width)
     for begin in range(0, len(rows), ROWS_A_CHUNK):
         part = slice(begin, begin + ROWS_A_CHUNK)
         at, whole = np.empty(len(node[part]), np.int64), node[part].astype(np.int64)
@@ -196,14 +212,14 @@ def sums(bins: np.ndarray | Columns, node: np.ndarray, g: np.ndarray, h: np.ndar
                 np.copyto(at, rows.get(f, both, part))
             else:
                 np.add(first[both], rows.get(f, both, part), out=at)
-            shape = (nodes, width, width) if both else (nodes, width)
             for k, w in enumerate((weights[0], None if alike else weights[1])):
-                found = np.bincount(at, w, int(np.prod(shape))).reshape(shape).astype(np.int64, copy=False)
-                if k and alike:
-                    found = found * int(weights[1][0])
-                out[f, k] += found.sum(2) if both else found
-                if both:
-                    out[f + 1, k] += found.sum(1)
+                found, times = np.bincount(at, w, nodes * width ** (1 + both)), int(weights[1][0]) if k and alike else 1
+                if both:   # whole numbers below 2**53 add up exactly in any order
+                    found = found.astype(np.float64, copy=False).reshape(nodes, width, width)
+                    out[f, k] += (found @ ones).astype(np.int64) * times
+                    out[f + 1, k] += (ones @ found).astype(np.int64) * times
+                else:
+                    out[f, k] += found.reshape(nodes, width).astype(np.int64, copy=False) * times
     return out.transpose(2, 0, 3, 1)
 
 
@@ -324,44 +340,179 @@ class Block:
         _SEEN[self.place] = (self.done, self.margin)
 
 
+class Placed:
+    """The rows of a partition in the scratch folder of the executor that has them, where
+    Spark's own spills go, as the task of target ``k`` sees them.  Any of its workers maps them; nothing
+    is unpickled.
+
+    Files never change: what a task works out for a round or level is a new file under their
+    numbers, named when it is whole.  So tasks that run twice or end halfway do no harm, and what is not there is
+    worked out again from the trees."""
+
+    def __init__(self, folder: str, k: int, target: Target, settings: Settings, base: float, trees: Callable[[int], Forest], done: int):
+        self.folder, self.own, self.target, self.settings, self.base = folder, f"{folder}/{k}", target, settings, base
+        self.trees, self.done = trees, done   # trees(begin): those from ``begin`` to ``done``
+        self.columns = Columns(*[_mapped(f"{folder}/{name}.npy") for name in ("one", "two")])
+        self.label, self.key = _mapped(f"{folder}/labels.npy")[k], _mapped(f"{folder}/key.npy")
+        self.bins = self.columns.one.T
+
+    @staticmethod
+    def folder_of(run: str, part: int) -> str:
+        places = os.environ.get("SPARK_LOCAL_DIRS", tempfile.gettempdir()).split(",")
+        return f"{places[part % len(places)]}/python/gridcast-{run}/{part}"
+
+    @staticmethod
+    def place(folder: str, arrays: tuple, settings: Settings) -> None:
+        """Write the rows by column; the folder is there whole or not at all."""
+        if os.path.isdir(folder):
+            return
+        bins, labels, key = arrays
+        os.makedirs(os.path.dirname(folder), exist_ok=True)
+        own, columns = tempfile.mkdtemp(dir=os.path.dirname(folder)), Columns.of(bins, settings.bins)
+        for name, a in (("one", columns.one), ("two", columns.two), ("labels", np.ascontiguousarray(labels.T)), ("key", key)):
+            np.save(f"{own}/{name}.npy", a)
+        for k in range(labels.shape[1]):
+            os.mkdir(f"{own}/{k}")
+        try:
+            os.rename(own, folder)
+        except OSError:   # another task was first
+            shutil.rmtree(own, ignore_errors=True)
+
+    def _get(self, name: str) -> np.ndarray | None:
+        try:
+            return _mapped(f"{self.own}/{name}-{self.done}.npy")
+        except FileNotFoundError:
+            return None
+
+    def _keep(self, name: str, a: np.ndarray) -> np.ndarray:
+        own = f"{self.own}/{uuid.uuid4().hex}"
+        with open(own, "wb") as f:
+            np.save(f, a)
+        os.replace(own, f"{self.own}/{name}-{self.done}.npy")
+        return a
+
+    def margin(self) -> np.ndarray:
+        """Predictions with all trees so far: with the one of the last round from where its
+        last level left the rows."""
+        if (found := self._get("margin")) is not None:
+            return found
+        last, n = self.settings.depth - 1, self.done
+        self.done = n - 1
+        before, node = self._get("margin"), self._get(f"node{last}")
+        self.done = n
+        out = np.full(len(self.key), self.base) if before is None else np.array(before)
+        trees = self.trees(0 if before is None else n - 1)
+        if before is not None and node is not None:
+            out += np.take(trees.leaf[0], descend(self.bins, node, trees.feature[0], trees.cut[0], last, last + 1))
+        else:
+            trees.add_to(out, self.bins)
+        self._keep("margin", out)
+        for old in os.listdir(self.own):   # of earlier rounds
+            if old.endswith(".npy") and not old.endswith(f"-{n}.npy"):
+                with contextlib.suppress(FileNotFoundError):
+                    os.unlink(f"{self.own}/{old}")
+        return out
+
+    def begun(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The rows that the round sees and their derivatives."""
+        found = [self._get(name) for name in ("used", "g", "h")]
+        if any(a is None for a in found):
+            used = np.flatnonzero(sampled(self.key, self.done, self.settings))
+            found = [used, *derivatives(self.target, np.take(self.margin(), used), np.take(self.label, used))]
+            for name, a in zip(("used", "g", "h"), found, strict=True):
+                self._keep(name, a)
+        return tuple(found)
+
+    def node(self, tree: Growing) -> np.ndarray:
+        """The nodes of all rows at the tree's next level."""
+        level = tree.level
+        if (found := self._get(f"node{level}")) is not None:
+            return found
+        before = self._get(f"node{level - 1}")
+        begin, before = (0, np.zeros(len(self.key), np.uint8)) if before is None else (level - 1, before)
+        return self._keep(f"node{level}", descend(self.bins, before, tree.feature, tree.cut, begin, level))
+
+    def sums(self, tree: Growing, nodes: Sequence[int]) -> np.ndarray:
+        """The block's sums for some nodes of the tree's next level.  Rows are counted node
+        after node, so that a count's places are near one another."""
+        used, g, h = self.begun()
+        if not tree.level:
+            return sums(replace(self.columns, at=used), np.zeros(len(used), np.uint8), g, h, 1, self.settings.bins)
+        number = np.full(1 << tree.level, -1, np.int16)
+        number[list(nodes)] = np.arange(len(nodes))
+        mine = np.take(number, np.take(self.node(tree), used))
+        at = np.flatnonzero(mine >= 0)
+        at = at[np.argsort(mine[at], kind="stable")]
+        return sums(replace(self.columns, at=np.take(used, at)), mine[at], np.take(g, at), np.take(h, at), len(nodes), self.settings.bins)
+
+
+def _mapped(path: str) -> np.ndarray:
+    return np.asarray(np.load(path, mmap_mode="r"))
+
+
 def _block(width: int, n_labels: int):
     """One block of arrays from the written rows of a partition."""
     def run(rows: Iterator) -> Iterator[tuple]:
-        parts = [(np.frombuffer(r.bins, np.uint8).reshape(-1, width), np.frombuffer(r.labels, np.float64).reshape(-1, n_labels),
-                  np.frombuffer(r.key, np.uint64)) for r in rows]
-        if parts:
-            bins, labels, key = (np.concatenate(p) for p in zip(*parts, strict=True))
-            yield np.asfortranarray(bins), labels, key
+        parts = [(np.frombuffer(bins, np.uint8).reshape(-1, width), np.frombuffer(labels, np.float64).reshape(-1, n_labels),
+                  np.frombuffer(key, np.uint64)) for bins, labels, key in rows]
+        parts = parts or [(np.empty((0, width), np.uint8), np.empty((0, n_labels)), np.empty(0, np.uint64))]
+        bins, labels, key = (np.concatenate(p) for p in zip(*parts, strict=True))
+        yield np.asfortranarray(bins), labels, key
     return run
 
 
+def children(before: np.ndarray, nodes: Sequence[int], counted: Sequence[np.ndarray]) -> np.ndarray:
+    """Sums of all nodes of a level from those of the level above and of one child of each
+    node that was split.  A node that was not sends its rows left."""
+    total = np.zeros((2 * len(before), *before.shape[1:]), np.int64)
+    total[::2] = before
+    for node, found in zip(nodes, counted, strict=True):
+        total[node], total[node ^ 1] = found, before[node >> 1] - found
+    return total
+
+
+def smaller(total: np.ndarray, found: dict[int, tuple]) -> list[int]:
+    """Of each node that was split the child with less of the second derivatives."""
+    out = []
+    for node, (feature, cut, *_) in sorted(found.items()):
+        if cut != NO_SPLIT:
+            left, right = (int(x.sum()) for x in np.split(total[node, feature, :, 1], [cut + 1]))
+            out.append(2 * node + (right < left))
+    return out
+
+
 class Trainer:
-    """Grows the forests of all targets over the cached blocks."""
+    """Grows the forests of all targets over the blocks of rows."""
 
     def __init__(self, blocks, targets: Sequence[Target], bases: Sequence[float], settings: Settings):
         self.sc, self.run = blocks.context, uuid.uuid4().hex
         self.targets, self.settings = list(targets), settings
         self.forests = [Forest.empty(b, settings.depth) for b in bases]
         self.parts = blocks.getNumPartitions()
-        # a partition for each target and block, so that targets are worked on side by side
+        self.rows, self.placed, self.placing, self.over = blocks, None, threading.Lock(), threading.Event()
+        # one block: a partition for each target, so that targets are worked on side by side
         self.blocks = self.sc.union([blocks.mapPartitionsWithIndex(
             lambda i, it, k=k: ((k, i, arrays) for arrays in it), preservesPartitioning=True) for k in range(len(self.targets))])
-        self.held = None
+        self.held: dict[int, tuple] = {}
+
+    def _trees(self, k: int) -> Callable[[int], Forest]:
+        """A target's trees from some round on, for tasks.  Trees of earlier jobs are broadcast
+        now and then, the few since are sent along."""
+        if k not in self.held or len(self.forests[k]) - self.held[k][0] >= TREES_ALONG:
+            if k in self.held:
+                self.held[k][1].unpersist()
+            self.held[k] = (len(self.forests[k]), self.sc.broadcast(self.forests[k]))
+        n, before = self.held[k]
+        since = self.forests[k].part(n)
+        return lambda begin: since.part(begin - n) if begin >= n else before.value.part(begin).plus(since)
 
     def _job(self, work):
-        """``work(block)`` for the block of every partition that has rows.  Trees of
-        earlier jobs are broadcast now and then, the few since are sent along."""
-        if self.held is None or len(self.forests[0]) - self.held[0] >= TREES_ALONG:
-            if self.held:
-                self.held[1].unpersist()
-            self.held = (len(self.forests[0]), self.sc.broadcast(self.forests))
-        n, before = self.held
-        since = [f.part(n) for f in self.forests]
-        run, targets, settings = self.run, self.targets, self.settings
+        """``work(block)`` for the one block and every target."""
+        run, targets, settings, trees = self.run, self.targets, self.settings, [self._trees(k) for k in range(len(self.targets))]
 
         def task(it: Iterator):
             for k, part, arrays in it:
-                yield from work(k, Block(run, part, arrays, k, targets[k], before.value[k].plus(since[k]), settings))
+                yield from work(k, Block(run, part, arrays, k, targets[k], trees[k](0), settings))
         return self.blocks.mapPartitions(task)
 
     def _rounds_in_task(self, rounds: int) -> None:
@@ -381,29 +532,92 @@ class Trainer:
         for k, trees in self._job(work).collect():
             self.forests[k] = self.forests[k].plus(trees)
 
-    def _round_by_level(self) -> None:
-        settings, trees = self.settings, [Growing(self.settings.depth) for _ in self.targets]
+    def _place(self, gone=None) -> None:
+        """Put every block where its task runs.  The cached partition of a block's number tells Spark
+        to send its tasks there."""
+        with self.placing:
+            if self.placed is not gone:   # another target was first
+                return
+            run, settings = self.run, self.settings
+
+            def task(i: int, it: Iterator):
+                for arrays in it:
+                    Placed.place(Placed.folder_of(run, i), arrays, settings)
+                yield i
+            if gone:
+                gone.unpersist()
+            self.placed = self.rows.mapPartitionsWithIndex(task).persist()
+            self.placed.count()
+
+    def _counted(self, k: int, tree: Growing, nodes: list[int]) -> list[np.ndarray]:
+        """Sums over all blocks of some nodes.  A job that meets a block which is not where its task
+        runs (an executor is gone) places the blocks anew."""
+        run, target, settings, base, trees, done = self.run, self.targets[k], self.settings, self.forests[k].base, self._trees(k), len(self.forests[k])
+
+        def task(i: int, it: Iterator):
+            folder = Placed.folder_of(run, i)
+            if os.path.isdir(folder):
+                yield from enumerate(Placed(folder, k, target, settings, base, trees, done).sums(tree, nodes))
+            else:
+                yield -1, 1
+            for _ in it:   # last, as the work needs nothing of it and need not wait
+                pass
+        for _ in range(LOST_JOBS):
+            placed, out = self.placed, {}
+            found = placed.mapPartitionsWithIndex(task)
+            if self.parts > BLOCKS_GATHERED:
+                found = found.reduceByKey(lambda a, b: a + b, min(self.parts, len(nodes)))
+            for n, total in found.collect():
+                out[n] = out[n] + total if n in out else total
+            if -1 not in out:
+                return [out[n] for n in range(len(nodes))]
+            self._place(placed)
+        raise RuntimeError("blocks of rows are lost again and again")
+
+    def _round_by_level(self, k: int) -> None:
+        settings, tree = self.settings, Growing(self.settings.depth)
+        nodes, total = [0], None
         for level in range(settings.depth):
-            def work(k: int, block: Block, trees=trees):
-                block.begin()
-                for n, t in enumerate(block.sums(trees[k])):
-                    if t[0, :, 1].any():
-                        yield (k, n), t
-            meet = min(self.parts, len(self.targets) << level)
-            found = (self._job(work).reduceByKey(lambda a, b: a + b, meet)
-                     .mapValues(lambda t: best_split(t, settings)).collect())
-            for k, tree in enumerate(trees):
-                tree.split({n: s for (j, n), s in found if j == k})
-        self.forests = [f.plus(t.forest(0.0)) for f, t in zip(self.forests, trees, strict=True)]
+            counted = self._counted(k, tree, nodes) if nodes else []
+            total = children(total, nodes, counted) if level else np.stack(counted)
+            found = {n: best_split(t, settings) for n, t in enumerate(total) if t[0, :, 1].any()}
+            nodes = smaller(total, found)
+            tree.split(found)
+        self.forests[k] = self.forests[k].plus(tree.forest(0.0))
+
+    def _by_level(self, k: int) -> None:
+        try:
+            while len(self.forests[k]) < self.settings.rounds and not self.over.is_set():
+                self._round_by_level(k)
+        except BaseException:
+            self.over.set()
+            raise
 
     def fit(self) -> list[Forest]:
-        while (left := self.settings.rounds - len(self.forests[0])) > 0:
-            if self.parts == 1:
+        if self.parts == 1:
+            while (left := self.settings.rounds - len(self.forests[0])) > 0:
                 self._rounds_in_task(min(left, ROUNDS_A_JOB))
-            else:
-                self._round_by_level()
+            return self.forests
+        self._place()
+        # targets do not wait for one another: the tasks of one fill the cores while another's splits are looked for
+        with ThreadPoolExecutor(len(self.targets)) as pool:
+            try:
+                list(pool.map(inheritable_thread_target(SparkSession.active())(self._by_level), range(len(self.targets))))
+            finally:
+                self.over.set()
         return self.forests
 
+    def close(self) -> None:
+        """Delete the blocks where they lie."""
+        if self.placed:
+            run = self.run
+
+            def task(i: int, it: Iterator):
+                shutil.rmtree(Placed.folder_of(run, i), ignore_errors=True)
+                yield from it
+            self.placed.mapPartitionsWithIndex(task).count()
+            self.placed.unpersist()
+
 
 # --- binning ----------------------------------------------------------------
 
@@ -436,7 +650,15 @@ def binned(df: DataFrame, values: Sequence[F.Column], labels: Sequence[F.Column]
             yield pa.RecordBatch.from_arrays([pa.array([z], pa.binary()) for z in blob], names=["bins", "labels", "key"])
     plain = df.select(*[v.alias(f"f{i}") for i, v in enumerate(values)], *[y.alias(f"y{i}") for i, y in enumerate(labels)],
                       F.xxhash64(*[F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind]).alias("key"))
-    return materialize(plain.mapInArrow(run, "bins binary, labels binary, key binary").repartition(partitions), "binned")
+    return materialize(plain.mapInArrow(run, "bins binary, labels binary, key binary").repartition(partitions)
+                       .withColumn("block", F.spark_partition_id()), "binned")
+
+
+def blocks_of(rows: int, cores: int, targets: int, rows_a_block: int) -> int:
+    """One block if it holds all rows.  Else so many that the targets' tasks together are half
+    as many again as there are cores (but a task a core is enough), or a multiple of that."""
+    need, wide = -(-rows // rows_a_block), max(1, min(cores, -(-3 * cores // (2 * targets)), rows // LEAST_ROWS))
+    return 1 if need <= 1 else wide * -(-need // wide)
 
 
 def fit_forests(df: DataFrame, features: Sequence[str], targets: Sequence[Target], settings: Settings,
@@ -452,11 +674,15 @@ def fit_forests(df: DataFrame, features: Sequence[str], targets: Sequence[Target
     edges = bin_edges(rows, values, settings.bins)
     bases = [float(np.log(m / (1 - m))) if t.loss == "log" and 0 < m < 1 else float(m) if t.loss != "log" else 0.0
              for t, m in zip(targets, means, strict=True)]
-    parts = max(1, -(-n // rows_a_block))
+    parts = blocks_of(n, rows.sparkSession.sparkContext.defaultParallelism, len(targets), rows_a_block)
     table = binned(rows, values, labels, edges, parts)
-    # a scan cuts a block's file into splits of which one has the rows; each would cost a task a level
-    blocks = table.rdd.coalesce(parts).mapPartitions(_block(len(features), len(targets))).persist()
+    # a scan cuts files into splits of its own, so rows go by the block's number; one block is kept in memory
+    dealt = table.rdd.map(lambda r: (r.block, (r.bins, r.labels, r.key)))
+    dealt = dealt.coalesce(1) if parts == 1 else dealt.partitionBy(parts, int)
+    blocks = dealt.values().mapPartitions(_block(len(features), len(targets)))
+    trainer = Trainer(blocks.persist() if parts == 1 else blocks, targets, bases, settings)
     try:
-        return edges, Trainer(blocks, targets, bases, settings).fit()
+        return edges, trainer.fit()
     finally:
+        trainer.close()
         blocks.unpersist()

@@ -262,3 +262,50 @@ def test_rows_are_binned_before_they_move(spark, monkeypatch):
     rows = [r for row in table.collect() for r in zip(np.frombuffer(row.labels), map(tuple, np.frombuffer(row.bins, np.uint8).reshape(-1, 4)), strict=True)]
     plain = df.select(*labels, *values).toPandas().to_numpy()
     assert sorted(rows) == sorted(zip(plain[:, 0], map(tuple, b.to_bins(plain[:, 1:], edges)), strict=True)) and len(rows) > 100
+
+
+def test_blocks_of_many_rows_stay_where_they_are(spark, monkeypatch):
+    """A level is a job of one stage that counts the smaller child of each node; blocks are placed
+    once, found again by any worker, and placed anew where they are gone.  The trees are those of one block."""
+    df, gone = games(spark), []
+    targets, settings = [b.Target("win", "home_win", "log"), b.Target("spread", "final_home_margin")], b.Settings(rounds=5, depth=3)
+    _, plain = b.fit_forests(df, FEATURES, targets, settings)
+    asked, counted, placed, place = [], b.Trainer._counted, [], b.Trainer._place
+
+    def count(self, k, tree, nodes):
+        if (k, len(self.forests[k]), tree.level) == (1, 2, 1) and not gone:
+            found = self.placed.mapPartitionsWithIndex(lambda i, it, run=self.run: [b.Placed.folder_of(run, i)] if list(it) else []).collect()
+            gone.extend(found)
+            for folder in found[:2]:
+                b.shutil.rmtree(folder)
+        asked.append((tree.level, len(nodes)))
+        return counted(self, k, tree, nodes)
+    monkeypatch.setattr(b.Trainer, "_counted", count)
+    monkeypatch.setattr(b.Trainer, "_place", lambda self, gone=None: placed.append(gone) or place(self, gone))
+    for gathered in (32, 1):   # sums to the driver as they are, or by node first
+        monkeypatch.setattr(b, "BLOCKS_GATHERED", gathered)
+        _, found = b.fit_forests(df.repartition(5), FEATURES, targets, settings, 100)
+        for x, y in zip(plain, found, strict=True):
+            assert len(x) == 5 and all(np.array_equal(getattr(x, k), getattr(y, k)) for k in ("feature", "cut", "gain", "leaf"))
+    assert all(n <= max(1, (1 << level) // 2) for level, n in asked) and len(asked) <= 2 * 2 * 5 * 3
+    assert len(gone) == 6 and placed[0] is None and placed[1] is not None
+    assert not any(b.os.path.exists(folder) for folder in gone)
+
+
+def test_rows_beyond_a_block_are_dealt_to_the_cores():
+    million = 1_000_000
+    assert [b.blocks_of(n, 12, 3, million) for n in (1, million, million + 1, 2_570_000, 15_400_000)] == [1, 1, 5, 6, 18]
+    assert b.blocks_of(2_570_000, 12, 1, million) == 12 and b.blocks_of(300, 8, 3, 130) == 3
+
+
+def test_a_level_follows_from_one_child_of_each_node():
+    """Children of nodes that were split and that were not, and of empty ones."""
+    r = np.random.default_rng(11)
+    bins, g = r.integers(0, 16, (900, 3)).astype(np.uint8), np.rint(r.normal(size=900) * b.UNIT)
+    h, node = np.rint(r.random(900) * b.UNIT) + 1, r.integers(0, 3, 900)
+    before = b.sums(bins, node, g, h, 4, 16)
+    found = {0: (1, 4, 1.0, 0, 0), 1: (0, b.NO_SPLIT, 0.0, 0, 0), 2: (2, 12, 1.0, 0, 0)}   # node 3 has no rows
+    right = np.array([bins[i, 1] > 4 if n == 0 else n == 2 and bins[i, 2] > 12 for i, n in enumerate(node)])
+    whole, nodes = b.sums(bins, 2 * node + right, g, h, 8, 16), b.smaller(before, found)
+    assert nodes == [0, 5]
+    assert np.array_equal(b.children(before, nodes, [whole[n] for n in nodes]), whole)
