@@ -15,7 +15,7 @@ from gridcast.operators.rolling import rolling_defense, rolling_offense, team_fo
 from gridcast.operators.silver import clean_odds, clean_plays
 from gridcast.plans import oracle as O
 from gridcast.plans.gold import GoldOptions, build_gold, game_form
-from gridcast.session import materialize
+from gridcast.session import held, materialize
 from gridcast.sources import standin
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -515,7 +515,7 @@ def q_confusion_matrix(spark, sf_dir):
 # --- repairs and parameters of the survey's quirks ---------------------------------------
 
 from gridcast.operators.quality import margin_disagreements  # noqa: E402
-from gridcast.sources.files import read_odds_csv, read_plays_csv  # noqa: E402
+from gridcast.sources.files import delete_path, read_odds_csv, read_plays_csv  # noqa: E402
 
 # Last regular week by season of the season-aware stand-in weeks.
 _STANDIN_LAST_REGULAR = {0: 49, 1997: 50, 1998: 52}
@@ -605,14 +605,27 @@ def q_column_summary_odd_numbers(spark, sf_dir):
 
 # --- CSV sources ----------------------------------------------------------------------
 
+#: Seasons whose files a task has open at once, and rows a file.
+SEASONS_OPEN, ROWS_A_FILE = 64, 500_000
+
+
 def _write_csv_by_season(df: DataFrame, path: str, season: str) -> None:
-    """The bronze table as headered CSV, one folder per season, the columns of odd
-    seasons in reverse order.  The table is worked out once, for both orders."""
+    """The bronze table as headered CSV, compressed, one folder per season, the columns of odd
+    seasons in reverse order.  The table is worked out once, for both orders; its shuffles go
+    with its write, and it goes when the files are there.  A task has a file open for each
+    season instead of sorting its rows (beyond ``SEASONS_OPEN`` it sorts the rest)."""
+    spark, table = df.sparkSession, _own_folder(df.sparkSession, "bronze")
     odd = F.col(season).cast("int") % 2 == 1
-    columns, df = df.columns, materialize(df, "bronze")
-    for part, names in ((~odd, columns), (odd, columns[::-1])):
-        (df.where(part).select(*names).withColumn("_folder", F.col(season)).write.mode("append").partitionBy("_folder")
-         .option("header", "true").option("emptyValue", "").csv(path))
+    try:
+        with held(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
+            df.write.option("compression", "zstd").parquet(table)
+        bronze = spark.read.schema(df.schema).parquet(table)
+        with held(spark, {"spark.sql.maxConcurrentOutputFileWriters": str(SEASONS_OPEN)}):
+            for part, names in ((~odd, df.columns), (odd, df.columns[::-1])):
+                (bronze.where(part).select(*names).withColumn("_folder", F.col(season)).write.mode("append").partitionBy("_folder")
+                 .option("header", "true").option("emptyValue", "").option("compression", "lz4").option("maxRecordsPerFile", ROWS_A_FILE).csv(path))
+    finally:
+        delete_path(spark, table)
 
 
 def _without_folder(df: DataFrame) -> DataFrame:

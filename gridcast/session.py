@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import re
 import tempfile
 import uuid
@@ -83,6 +84,19 @@ def use_own_folder(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="gridcast-"))
 
 
+@contextlib.contextmanager
+def held(spark: SparkSession, settings: dict[str, str]):
+    """Settings of the session for a while."""
+    before = {k: _conf(spark, k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 _SCRATCH: set[tuple[int, str]] = set()
 
 

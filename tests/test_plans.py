@@ -172,3 +172,27 @@ def test_the_pivot_asks_rows_for_flags(spark):
             flagged = form.withColumns(side_rows(entity, side)).drop("home_team", "away_team", "posteam", "defteam")
             a, b = side_pivot(form, metrics, side), side_pivot(flagged, metrics, side)
             assert a.columns == b.columns and sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+
+def test_bronze_csv_leaves_only_compressed_files(spark, tmp_dir, monkeypatch):
+    """The table behind the files goes when they are there, files are compressed and of
+    bounded rows, no task sorts by season, and any number of seasons is written whole."""
+    from gridcast.plans import registry
+    from gridcast.sources.files import list_files, path_exists, read_headed_csv
+    tables, own = [], registry._own_folder
+    monkeypatch.setattr(registry, "_own_folder", lambda *a: tables.append(own(*a)) or tables[-1])
+    rows = [(str(1990 + i % 9), f"a{i}", None if i % 5 == 0 else f'x,"{i}') for i in range(200)]
+    df = spark.createDataFrame(rows, "season string, p string, q string").coalesce(2)
+    confs = ("spark.sql.maxConcurrentOutputFileWriters", "spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    before = [spark.conf.get(c, None) for c in confs]
+    for seasons in (64, 2):
+        monkeypatch.setattr(registry, "SEASONS_OPEN", seasons)
+        monkeypatch.setattr(registry, "ROWS_A_FILE", 7)
+        path = f"{tmp_dir}/csv{seasons}"
+        registry._write_csv_by_season(df, path, "season")
+        files = list_files(spark, [path])
+        assert all(f.endswith(".csv.lz4") for f in files) and len(files) >= 9 * 4
+        got = read_headed_csv(spark, [path]).select("season", "p", "q").collect()
+        assert sorted(map(tuple, got), key=str) == sorted(rows, key=str)
+    assert len(tables) == 2 and not any(path_exists(spark, t) for t in tables)
+    assert [spark.conf.get(c, None) for c in confs] == before
